@@ -1 +1,145 @@
-"""Queries (filled in below)."""
+"""Vector queries on ``embeddings`` (fixture F4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.operators import vectors as vx
+from tessera.operators.tokens import attach_small
+from tessera.plans.registry import register
+from tessera.sources.tables import table
+
+SEED = "42"
+N_GATES = 8
+N_QUERIES = 20
+K = 2
+
+
+def emb(spark, sf) -> DataFrame:
+    return table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+
+
+def _sumsq(c):
+    return F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x)
+
+
+def sql_sum(lst: str) -> str:
+    return f"list_reduce({lst}, lambda a, b: a + b)"
+
+
+DV = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
+
+
+@register("a12_neft_noise", f"""
+WITH n AS (
+  SELECT vec_id, 10.0 / sqrt(1 * len(embedding)) AS m, {DV} AS v FROM embeddings),
+z AS (
+  SELECT vec_id, m, v, list_transform(v, lambda x, i: x + m * (2 * (CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':' || CAST(i - 1 AS VARCHAR) || ':{SEED}'), 1, 8)) AS BIGINT) / 4294967296.0) - 1)) AS noisy
+  FROM n)
+SELECT vec_id, round(m, 6) AS noise_bound,
+       round(list_max(list_transform(range(1, len(v) + 1), lambda j: abs(noisy[j] - v[j]))), 6) AS max_abs_noise,
+       round({sql_sum('noisy')}, 6) AS noisy_sum
+FROM z
+""")
+def a12(spark, sf):
+    e = vx.neft_noise(emb(spark, sf), "vec_id", "embedding", 10.0, 1, SEED)
+    v = vx.to_double(F.col("embedding"))
+    diff = F.zip_with(F.col("noisy"), v, lambda a, b: F.abs(a - b))
+    return e.select("vec_id", F.round("noise_bound", 6).alias("noise_bound"),
+                    F.round(F.array_max(diff), 6).alias("max_abs_noise"),
+                    F.round(F.aggregate("noisy", F.lit(0.0), lambda a, x: a + x), 6).alias("noisy_sum"))
+
+
+def gates(spark, sf) -> DataFrame:
+    g = emb(spark, sf).where(F.col("vec_id") < N_GATES)
+    return vx.gate_row(g, "vec_id", "embedding")
+
+
+def routed(spark, sf) -> DataFrame:
+    return vx.topk_route(emb(spark, sf).select("vec_id", "embedding"), "embedding", gates(spark, sf), 2)
+
+
+ROUTE_SQL = f"""
+WITH g AS (SELECT list({DV} ORDER BY vec_id) AS gates FROM embeddings WHERE vec_id < {N_GATES}),
+s AS (SELECT e.vec_id, list_transform(g.gates, lambda gv, i: {{'s': list_reduce(list_transform(range(1, len(gv) + 1),
+          lambda j: CAST(e.embedding[j] AS DOUBLE) * gv[j]), lambda a, b: a + b), 'neg_e': -(i - 1)}}) AS sc
+      FROM embeddings e, g),
+t AS (SELECT vec_id, list_sort(sc, 'DESC')[1:2] AS top FROM s),
+w AS (SELECT vec_id, -top[1].neg_e AS e1, -top[2].neg_e AS e2,
+             1.0 / (1.0 + exp(top[2].s - top[1].s)) AS w1, exp(top[2].s - top[1].s) / (1.0 + exp(top[2].s - top[1].s)) AS w2 FROM t)
+"""
+
+
+@register("a13_topk_route", ROUTE_SQL + """
+SELECT vec_id, CAST(e1 AS INTEGER) AS expert1, round(w1, 6) AS weight1, CAST(e2 AS INTEGER) AS expert2, round(w2, 6) AS weight2 FROM w
+""")
+def a13(spark, sf):
+    r = routed(spark, sf)
+    return r.select("vec_id", F.col("routes")[0]["expert"].alias("expert1"), F.round(F.col("routes")[0]["weight"], 6).alias("weight1"),
+                    F.col("routes")[1]["expert"].alias("expert2"), F.round(F.col("routes")[1]["weight"], 6).alias("weight2"))
+
+
+@register("g14_expert_load", ROUTE_SQL + f""",
+r AS (SELECT e1 AS expert, w1 AS weight FROM w UNION ALL SELECT e2, w2 FROM w),
+ex AS (SELECT CAST(vec_id AS INTEGER) AS expert FROM embeddings WHERE vec_id < {N_GATES})
+SELECT ex.expert, CAST(count(r.expert) AS BIGINT) AS n_rows, round(coalesce(sum(r.weight), 0.0), 6) AS total_weight
+FROM ex LEFT JOIN r USING (expert) GROUP BY ex.expert
+""")
+def g14(spark, sf):
+    experts = emb(spark, sf).where(F.col("vec_id") < N_GATES).select(F.col("vec_id").cast("int").alias("expert"))
+    g = vx.expert_load(routed(spark, sf), experts)
+    return g.select("expert", "n_rows", F.round("total_weight", 6).alias("total_weight"))
+
+
+@register("a14_layernorm_rmsnorm", f"""
+WITH v AS (SELECT vec_id, {DV} AS v FROM embeddings),
+st AS (SELECT vec_id, v, {sql_sum('v')} / len(v) AS mu, {sql_sum('list_transform(v, lambda x: x * x)')} / len(v) AS ms FROM v),
+st2 AS (SELECT *, {sql_sum('list_transform(v, lambda x: (x - mu) * (x - mu))')} / len(v) AS var FROM st),
+o AS (SELECT vec_id, list_transform(v, lambda x: (x - mu) / sqrt(var + 1e-6)) AS ln, list_transform(v, lambda x: x / sqrt(ms + 1e-6)) AS rms FROM st2)
+SELECT vec_id, round(ln[1], 6) AS ln_first, round({sql_sum('list_transform(ln, lambda x: x * x)')}, 6) AS ln_sumsq,
+       round(rms[1], 6) AS rms_first, round({sql_sum('list_transform(rms, lambda x: x * x)')}, 6) AS rms_sumsq FROM o
+""")
+def a14(spark, sf):
+    e = emb(spark, sf).select("vec_id", vx.to_double(F.col("embedding")).alias("v"))
+    o = e.select("vec_id", vx.layernorm(F.col("v")).alias("ln"), vx.rmsnorm(F.col("v")).alias("rms"))
+    return o.select("vec_id", F.round(F.element_at("ln", 1), 6).alias("ln_first"), F.round(_sumsq(F.col("ln")), 6).alias("ln_sumsq"),
+                    F.round(F.element_at("rms", 1), 6).alias("rms_first"), F.round(_sumsq(F.col("rms")), 6).alias("rms_sumsq"))
+
+
+@register("a15_standardize_channels", f"""
+WITH x AS (SELECT vec_id, unnest({DV}) AS x, generate_subscripts(embedding, 1) AS c FROM embeddings),
+st AS (SELECT c, avg(x) AS mu, stddev_pop(x) AS sd FROM x GROUP BY c),
+z AS (SELECT x.vec_id, x.c, (x.x - st.mu) / st.sd AS z, least(greatest(((x.x - st.mu) / st.sd) * st.sd + st.mu, 0.0), 1.0) AS inv
+      FROM x JOIN st USING (c))
+SELECT vec_id, round(max(CASE WHEN c = 1 THEN z END), 6) AS z_first, round(sum(z * z), 6) AS z_sumsq,
+       round(min(inv), 6) AS inv_min, round(max(inv), 6) AS inv_max FROM z GROUP BY vec_id
+""")
+def a15(spark, sf):
+    e = emb(spark, sf)
+    st = vx.channel_stats(e, "embedding")
+    x = attach_small(e.select("vec_id", vx.to_double(F.col("embedding")).alias("v")), st)
+    z = x.select("vec_id", vx.standardize_channels(F.col("v"), F.col("ch_mean"), F.col("ch_std")).alias("z"),
+                 "ch_mean", "ch_std")
+    inv = vx.unstandardize_clamped(F.col("z"), F.col("ch_mean"), F.col("ch_std"))
+    return z.select("vec_id", F.round(F.element_at("z", 1), 6).alias("z_first"), F.round(_sumsq(F.col("z")), 6).alias("z_sumsq"),
+                    F.round(F.array_min(inv), 6).alias("inv_min"), F.round(F.array_max(inv), 6).alias("inv_max"))
+
+
+KNN_SQL = f"""
+WITH v AS (SELECT vec_id, {DV} AS v FROM embeddings),
+p AS (SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
+             {sql_sum('list_transform(range(1, len(q.v) + 1), lambda j: (q.v[j] - c.v[j]) * (q.v[j] - c.v[j]))')} AS dist
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id < {N_QUERIES}),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY dist, neighbor_id) AS INTEGER) AS rank FROM p)
+"""
+
+
+def knn(spark, sf) -> DataFrame:
+    e = emb(spark, sf)
+    return vx.knn_join(e.where(F.col("vec_id") < N_QUERIES), e, "vec_id", "vec_id", "embedding", K)
+
+
+@register("j8_knn_join", KNN_SQL + f" SELECT query_id, rank, neighbor_id, round(dist, 6) AS dist FROM r WHERE rank <= {K}")
+def j8(spark, sf):
+    return knn(spark, sf).withColumn("dist", F.round("dist", 6))
