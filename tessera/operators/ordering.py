@@ -12,10 +12,19 @@ the same numbers with work split evenly:
   aggregate, so a hot group is combined map-side).
 * ``neighbour`` fetches the previous/next row of the same group with an equi
   join on the unique global index, so a hot group spreads over all tasks.
+
+The range-partitioned, sorted rows are persisted once and read by both the
+counting branch and the numbering branch. Spark samples range bounds per
+exchange instance (the sample seed depends on the RDD id), so two separately
+planned exchanges may cut the data differently; one persisted physical plan
+gives both branches the same partitions. If an executor is lost, its blocks
+are recomputed from that same plan (same partitioner, same total order), so
+the numbers do not change.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +49,8 @@ def with_global_index(df: DataFrame, order: list, name: str = "_gidx",
                .sortWithinPartitions(*order)
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_local", F.monotonically_increasing_id()
-                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+                           - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+               .persist(StorageLevel.MEMORY_AND_DISK))
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",
@@ -83,3 +93,29 @@ def neighbour(indexed: DataFrame, group: list[str], cols: list[str], offset: int
     cond = [indexed[index] == other["_nidx"]] + [indexed[g] == other["_n_" + g] for g in group]
     return (indexed.join(other, cond, "left")
             .drop("_nidx", *["_n_" + g for g in group]))
+
+
+def running_sum(df: DataFrame, group: list[str], order: list, value, name: str,
+                num_partitions: int | None = None) -> DataFrame:
+    """``sum(value) over (partition by group order by order rows unbounded preceding)``, skew-safe.
+
+    Rows are range-partitioned on (group, order), so a hot group spans several
+    partitions. Sums run inside each (group, partition) chunk, and each chunk adds
+    the totals of the same group's earlier chunks (a table with one row per chunk,
+    at most one per partition for any group).
+    """
+    n = num_partitions or shuffle_partitions(df.sparkSession)
+    val = value if not isinstance(value, str) else F.col(value)
+    keys = [F.col(g) for g in group] + list(order)
+    ranged = (df.withColumn("_v", val).repartitionByRange(n, *keys)
+              .withColumn("_pid", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    w = Window.partitionBy(*group, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_local", F.sum("_v").over(w))
+    chunks = ranged.groupBy(*group, "_pid").agg(F.sum("_v").alias("_tot"))
+    offs = chunks.select(*group, "_pid", F.coalesce(F.sum("_tot").over(
+        Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("_off"))
+    return (local.join(offs, group + ["_pid"])
+            .withColumn(name, F.col("_off") + F.col("_local"))
+            .drop("_v", "_pid", "_local", "_off"))
