@@ -1 +1,238 @@
-"""Queries (filled in below)."""
+"""Graph and memory queries over the TPC-H-like tables (fixture F7) and traces."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.operators import graph as gr
+from tessera.operators.graph import node_id
+from tessera.plans.q_trace import trace
+from tessera.plans.q_vectors import knn
+from tessera.plans.registry import register
+from tessera.sources.tables import table
+
+# Segment names mapped for J1; MACHINERY is left out on purpose.
+SEGMENT_MAP = [("AUTOMOBILE", "cars"), ("BUILDING", "construction"), ("FURNITURE", "home"),
+               ("HOUSEHOLD", "household goods")]
+
+
+def nodes(spark, sf) -> DataFrame:
+    T = lambda n: table(spark, sf, n)
+    m = F.create_map
+    parts = [
+        T("region").select(node_id("region", F.col("r_regionkey")).alias("id"), F.lit("Region").alias("type"),
+                           m(F.lit("name"), F.col("r_name")).alias("properties")),
+        T("nation").select(node_id("nation", F.col("n_nationkey")).alias("id"), F.lit("Nation").alias("type"),
+                           m(F.lit("name"), F.col("n_name")).alias("properties")),
+        T("customer").select(node_id("customer", F.col("c_custkey")).alias("id"), F.lit("Customer").alias("type"),
+                             m(F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment")).alias("properties")),
+        T("supplier").select(node_id("supplier", F.col("s_suppkey")).alias("id"), F.lit("Supplier").alias("type"),
+                             m(F.lit("name"), F.col("s_name")).alias("properties")),
+        T("part").select(node_id("part", F.col("p_partkey")).alias("id"), F.lit("Part").alias("type"),
+                         m(F.lit("name"), F.col("p_name"), F.lit("brand"), F.col("p_brand")).alias("properties")),
+    ]
+    return gr.union_all(parts)
+
+
+def raw_edges(spark, sf) -> DataFrame:
+    """M2 over every source table; ORDERED edges keep their order line as version
+    (order date, order, line, quantity - the last breaks ties between repeated lines)."""
+    T = lambda n: table(spark, sf, n)
+    nv = lambda: F.lit(None).cast("timestamp").alias("v_date")
+    nk = lambda: F.lit(None).cast("bigint").alias("v_key")
+    nl = lambda: F.lit(None).cast("int").alias("v_line")
+    nq = lambda: F.lit(None).cast("double").alias("v_qty")
+    nat = gr.extract_triples(T("nation"), [(node_id("nation", F.col("n_nationkey")), "IN",
+                                            node_id("region", F.col("n_regionkey")))])
+    cus = gr.extract_triples(T("customer"), [
+        (node_id("customer", F.col("c_custkey")), "FROM", node_id("nation", F.col("c_nationkey"))),
+        (node_id("customer", F.col("c_custkey")), "IN_SEGMENT", F.concat(F.lit("segment:"), F.col("c_mktsegment")))])
+    sup = gr.extract_triples(T("supplier"), [(node_id("supplier", F.col("s_suppkey")), "FROM",
+                                              node_id("nation", F.col("s_nationkey")))])
+    static = gr.union_all([nat, cus, sup]).select("*", nv(), nk(), nl(), nq())
+    li = T("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    od = T("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    ol = li.join(od, li["l_orderkey"] == od["o_orderkey"])
+    props = F.create_map(F.lit("orderkey"), F.col("l_orderkey").cast("string"),
+                         F.lit("quantity"), F.floor("l_quantity").cast("bigint").cast("string"))
+    ordered = ol.select(node_id("customer", F.col("o_custkey")).alias("src"), F.lit("ORDERED").alias("type"),
+                        node_id("part", F.col("l_partkey")).alias("dst"), props.alias("properties"),
+                        F.col("o_orderdate").alias("v_date"), F.col("l_orderkey").alias("v_key"),
+                        F.col("l_linenumber").alias("v_line"), F.col("l_quantity").alias("v_qty"))
+    return static.unionByName(ordered)
+
+
+def edges(spark, sf) -> DataFrame:
+    """D3-merged edge table."""
+    return gr.dedup_graph(raw_edges(spark, sf), ["v_date", "v_key", "v_line", "v_qty"]).select("src", "type", "dst", "properties")
+
+
+NODES_SQL = """
+nodes AS (
+  SELECT 'region:' || r_regionkey AS id, 'Region' AS type, r_name AS name FROM region
+  UNION ALL SELECT 'nation:' || n_nationkey, 'Nation', n_name FROM nation
+  UNION ALL SELECT 'customer:' || c_custkey, 'Customer', c_name FROM customer
+  UNION ALL SELECT 'supplier:' || s_suppkey, 'Supplier', s_name FROM supplier
+  UNION ALL SELECT 'part:' || p_partkey, 'Part', p_name FROM part)
+"""
+STATIC_EDGES_SQL = """
+static_edges AS (
+  SELECT 'nation:' || n_nationkey AS src, 'IN' AS type, 'region:' || n_regionkey AS dst FROM nation
+  UNION ALL SELECT 'customer:' || c_custkey, 'FROM', 'nation:' || c_nationkey FROM customer
+  UNION ALL SELECT 'customer:' || c_custkey, 'IN_SEGMENT', 'segment:' || c_mktsegment FROM customer
+  UNION ALL SELECT 'supplier:' || s_suppkey, 'FROM', 'nation:' || s_nationkey FROM supplier)
+"""
+ORDERED_SQL = """
+ordered AS (
+  SELECT 'customer:' || o_custkey AS src, 'ORDERED' AS type, 'part:' || l_partkey AS dst,
+         l_orderkey, CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) AS quantity, o_orderdate, l_linenumber, l_quantity
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+"""
+EDGES_SQL = STATIC_EDGES_SQL + "," + ORDERED_SQL + """,
+merged AS (
+  SELECT src, type, dst, l_orderkey, quantity FROM (
+    SELECT *, row_number() OVER (PARTITION BY src, type, dst ORDER BY o_orderdate DESC, l_orderkey DESC, l_linenumber DESC, l_quantity DESC) AS rn
+    FROM ordered) WHERE rn = 1),
+edges AS (SELECT src, type, dst FROM static_edges UNION ALL SELECT src, type, dst FROM merged)
+"""
+
+
+@register("m2_extract_triples", "WITH " + STATIC_EDGES_SQL + "," + ORDERED_SQL + """
+SELECT src, type, dst FROM static_edges UNION ALL SELECT src, type, dst FROM ordered
+""")
+def m2(spark, sf):
+    return raw_edges(spark, sf).select("src", "type", "dst")
+
+
+@register("d3_dedup_graph", "WITH " + EDGES_SQL + """
+SELECT src, type, dst, CAST(l_orderkey AS VARCHAR) AS last_orderkey, quantity AS last_quantity FROM merged
+UNION ALL SELECT src, type, dst, NULL, NULL FROM static_edges
+""")
+def d3(spark, sf):
+    e = edges(spark, sf)
+    return e.select("src", "type", "dst", F.col("properties")["orderkey"].alias("last_orderkey"),
+                    F.col("properties")["quantity"].alias("last_quantity"))
+
+
+@register("g13_graph_schema", "WITH " + EDGES_SQL + """
+SELECT 'node' AS kind, 'Region' AS type, 'name' AS property_keys, count(*) AS n FROM region
+UNION ALL SELECT 'node', 'Nation', 'name', count(*) FROM nation
+UNION ALL SELECT 'node', 'Customer', 'name,segment', count(*) FROM customer
+UNION ALL SELECT 'node', 'Supplier', 'name', count(*) FROM supplier
+UNION ALL SELECT 'node', 'Part', 'brand,name', count(*) FROM part
+UNION ALL SELECT 'edge', type, CASE WHEN type = 'ORDERED' THEN 'orderkey,quantity' ELSE '' END, count(*) FROM edges GROUP BY type
+""")
+def g13(spark, sf):
+    return gr.graph_schema(nodes(spark, sf), edges(spark, sf))
+
+
+def region_seeds(spark, sf) -> DataFrame:
+    return table(spark, sf, "region").select(node_id("region", F.col("r_regionkey")).alias("id"))
+
+
+NEIGHBORS_SQL = "WITH " + EDGES_SQL + """,
+both_dir AS (SELECT src, type, dst, 'out' AS direction FROM edges UNION ALL SELECT dst, type, src, 'in' FROM edges),
+nb AS (SELECT b.src AS entity, b.type AS relation, b.dst AS neighbor, b.direction
+       FROM (SELECT DISTINCT 'region:' || r_regionkey AS id FROM region) s JOIN both_dir b ON b.src = s.id)
+"""
+
+
+@register("j6_graph_neighbors", NEIGHBORS_SQL + " SELECT entity, relation, neighbor, direction FROM nb")
+def j6(spark, sf):
+    return gr.graph_neighbors(region_seeds(spark, sf), edges(spark, sf))
+
+
+@register("w11_limit_global", NEIGHBORS_SQL + " SELECT entity, relation, neighbor, direction FROM nb ORDER BY entity, relation, neighbor, direction LIMIT 5")
+def w11(spark, sf):
+    nb = gr.graph_neighbors(region_seeds(spark, sf), edges(spark, sf))
+    return gr.limit_global(nb, ["entity", "relation", "neighbor", "direction"], 5)
+
+
+@register("j7_graph_typed_match", "WITH " + NODES_SQL + "," + EDGES_SQL + """
+SELECT e.src, e.type AS relation, e.dst, m.type AS dst_type
+FROM (SELECT id FROM nodes WHERE type = 'Customer') n JOIN edges e ON e.src = n.id AND e.type IN ('FROM', 'ORDERED')
+JOIN nodes m ON m.id = e.dst
+""")
+def j7(spark, sf):
+    return gr.graph_typed_match(nodes(spark, sf), edges(spark, sf), "Customer", ["FROM", "ORDERED"])
+
+
+@register("j1_rename_classes", f"""
+WITH m(from_name, to_name) AS (VALUES {", ".join(f"('{a}', '{b}')" for a, b in SEGMENT_MAP)})
+SELECT c_custkey, c_mktsegment, m.to_name AS segment_label FROM customer JOIN m ON m.from_name = c_mktsegment
+""")
+def j1(spark, sf):
+    mp = spark.createDataFrame(SEGMENT_MAP, "from_name string, to_name string")
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return gr.rename_classes(c, "c_mktsegment", mp, "segment_label")
+
+
+def recall_queries(spark, sf) -> DataFrame:
+    """One question per region, asked in words: ``Which nations are in <r_name>?``."""
+    r = table(spark, sf, "region")
+    return r.select(F.col("r_regionkey").cast("long").alias("query_id"),
+                    F.concat(F.lit("Which nations are in "), F.col("r_name"), F.lit(" ?")).alias("text"))
+
+
+@register("m3_semantic_recall", "WITH " + NODES_SQL + "," + EDGES_SQL + f""",
+q AS (SELECT CAST(r_regionkey AS BIGINT) AS query_id, 'Which nations are in ' || r_name || ' ?' AS text FROM region),
+kw AS (SELECT DISTINCT query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[\\s]+'), lambda x: x <> '')) AS token FROM q),
+nt AS (SELECT id AS entity, unnest(list_filter(regexp_split_to_array(lower(name), '[\\s]+'), lambda x: x <> '')) AS token FROM nodes),
+hits AS (SELECT DISTINCT kw.query_id, nt.entity FROM kw JOIN nt USING (token)),
+both_dir AS (SELECT src, type, dst, 'out' AS direction FROM edges UNION ALL SELECT dst, type, src, 'in' FROM edges)
+SELECT h.query_id, h.entity, b.type AS relation, b.dst AS neighbor, b.direction
+FROM hits h JOIN both_dir b ON b.src = h.entity
+ORDER BY query_id, entity, relation, neighbor, direction LIMIT 5
+""")
+def m3(spark, sf):
+    return gr.semantic_recall(recall_queries(spark, sf), nodes(spark, sf), edges(spark, sf), 5)
+
+
+@register("x1_path_search", """
+WITH RECURSIVE tr AS (
+  SELECT event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+e AS (SELECT DISTINCT prev AS src, event_type AS dst FROM tr WHERE prev IS NOT NULL),
+p(path, last, depth) AS (
+  SELECT ['view'], 'view', 0
+  UNION ALL
+  SELECT list_append(p.path, e.dst), e.dst, p.depth + 1 FROM p JOIN e ON e.src = p.last
+  WHERE NOT list_contains(p.path, e.dst) AND p.depth < 4 AND p.last <> 'purchase')
+SELECT array_to_string(path, '>') AS path, CAST(depth AS INTEGER) AS depth FROM p
+WHERE last = 'purchase' AND depth = (SELECT min(depth) FROM p WHERE last = 'purchase')
+""")
+def x1(spark, sf):
+    t = trace(spark, sf, keep_index=True)
+    from tessera.operators.ordering import neighbour
+    j = neighbour(t, ["user_id"], ["event_type"], 1, prefix="prev_").where(F.col("prev_event_type").isNotNull())
+    e = j.select(F.col("prev_event_type").alias("src"), F.col("event_type").alias("dst"))
+    p = gr.path_search(e, "view", "purchase", 4)
+    return p.select(F.array_join("path", ">").alias("path"), F.col("depth").cast("int").alias("depth"))
+
+
+@register("c11_context_assembly", f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+p AS (SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
+             list_reduce(list_transform(range(1, len(q.v) + 1), lambda j: (q.v[j] - c.v[j]) * (q.v[j] - c.v[j])), lambda a, b: a + b) AS dist
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id < 20),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, neighbor_id) AS rank FROM p),
+ep AS (SELECT query_id, string_agg('memory ' || CAST(neighbor_id AS VARCHAR), chr(10) ORDER BY rank) AS episodic FROM r WHERE rank <= 2 GROUP BY query_id),
+sem AS (SELECT CAST(n_regionkey AS BIGINT) AS query_id, string_agg(n_name || ' IN ' || r_name, chr(10) ORDER BY n_name) AS semantic
+        FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY n_regionkey)
+SELECT coalesce(ep.query_id, sem.query_id) AS query_id,
+       'Episodic memory:' || chr(10) || coalesce(episodic, '(none)') || chr(10) || chr(10) || 'Semantic memory:' || chr(10) || coalesce(semantic, '(none)') AS context
+FROM ep FULL OUTER JOIN sem ON ep.query_id = sem.query_id
+""")
+def c11(spark, sf):
+    k = knn(spark, sf)
+    ep = (k.groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
+        "rank", F.concat(F.lit("memory "), F.col("neighbor_id").cast("string")).alias("t")))), lambda x: x["t"]), "\n")
+        .alias("episodic")))
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    sem = (n.join(r, n["n_regionkey"] == r["r_regionkey"])
+           .groupBy(F.col("n_regionkey").cast("long").alias("query_id"))
+           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
+               "n_name", F.concat(F.col("n_name"), F.lit(" IN "), F.col("r_name")).alias("t")))), lambda x: x["t"]), "\n")
+               .alias("semantic")))
+    return gr.context_assembly(ep, sem, "query_id")

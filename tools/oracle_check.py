@@ -81,8 +81,10 @@ def main():
         a, b = rows_of(scols, srows), rows_of(dcols, drows)
         if a != b:
             bad += 1
-            diff = [x for x in a if x not in set(b)][:2] if len(a) < 50000 else a[:1]
-            diff2 = [x for x in b if x not in set(a)][:2] if len(b) < 50000 else b[:1]
+            from collections import Counter
+            ca, cb = Counter(a), Counter(b)
+            diff = list((ca - cb).elements())[:2]
+            diff2 = list((cb - ca).elements())[:2]
             print(f"FAIL {name}: rows spark={len(a)} duck={len(b)}\n  spark-only {str(diff)[:700]}\n  duck-only {str(diff2)[:700]}")
             continue
         tmap = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
