@@ -1 +1,119 @@
-"""Queries (filled in below)."""
+"""Source/sink queries: each writes a table derived from the fixtures into a fresh folder
+under the shared checkpoint folder and reads it back through the scan under test."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.operators import chat, evaluate as ev
+from tessera.operators.dedup import anti_seen, last_per_key
+from tessera.plans.q_chat import conversations
+from tessera.plans.q_eval import _per_class, predictions
+from tessera.plans.q_text import LANGS
+from tessera.plans.q_tokens import tr, vocabulary
+from tessera.plans.registry import register
+from tessera.plans.sqlkit import PC_CTE
+from tessera.sources import files
+from tessera.operators.tokens import attach_small
+from tessera.sources.tables import table
+
+CONV_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+                            T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
+PC_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+                          T.StructField("prompt", T.StringType()), T.StructField("completion", T.StringType())])
+
+
+@register("s1_scan_text")
+def s1(spark, sf):
+    out = files.scratch_dir(spark, "s1")
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    d.repartition(8, "doc_id").select("text").write.mode("overwrite").text(out)
+    t = files.scan_text(spark, out)
+    return t.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.length("text").alias("n_chars"))
+
+
+@register("s2_scan_jsonl", "SELECT conv_id, turn, role, text FROM conversations")
+def s2(spark, sf):
+    out = files.scratch_dir(spark, "s2")
+    files.sink_jsonl(conversations(spark, sf), out)
+    r = files.scan_jsonl(spark, out, CONV_SCHEMA)
+    return r.where(F.col("_corrupt_record").isNull()).select("conv_id", "turn", "role", "text")
+
+
+@register("s3_sink_jsonl", "WITH " + PC_CTE + " SELECT conv_id, turn, prompt, completion FROM pc")
+def s3(spark, sf):
+    out = files.scratch_dir(spark, "s3")
+    files.sink_jsonl(chat.to_prompt_completion(conversations(spark, sf)), out)
+    return files.scan_jsonl(spark, out, PC_SCHEMA).drop("_corrupt_record")
+
+
+@register("s4_latest_version", """
+SELECT o_custkey, o_orderkey, o_orderstatus FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+WHERE rn = 1
+""")
+def s4(spark, sf):
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
+    return last_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderstatus"]).select(
+        "o_custkey", "o_orderkey", "o_orderstatus")
+
+
+@register("s5_scan_labelled_tree")
+def s5(spark, sf):
+    root = files.scratch_dir(spark, "s5")
+    p = table(spark, sf, "pages").select("page_id", "url", "html")
+    lang = F.regexp_extract("url", "/(en|fr|de|es)/", 1)
+    for c in LANGS:  # one folder per class: root/<class>/part-*.txt
+        p.where(lang == c).select("html").write.mode("overwrite").text(f"{root}/{c}")
+    listing = files.scan_labelled_tree(spark, root, [".TXT"])
+    return listing.groupBy("label").agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+
+
+@register("s7_scan_json_array", "WITH " + PC_CTE + f""",
+toks AS (SELECT unnest(string_split({tr('text')}, '')) AS tok FROM conversations),
+vc AS (SELECT tok, count(*) AS n FROM toks GROUP BY tok),
+vocab AS (SELECT tok AS token, CAST(row_number() OVER (ORDER BY n DESC, tok) + 1 AS INTEGER) AS id FROM vc
+          QUALIFY row_number() OVER (ORDER BY n DESC, tok) <= 100)
+SELECT token, id FROM vocab UNION ALL SELECT '<PAD>', 0 UNION ALL SELECT '<UNK>', 1
+""")
+def s7(spark, sf):
+    from tessera.operators.tokens import with_specials
+    out = files.scratch_dir(spark, "s7")
+    files.write_json_array(with_specials(vocabulary(spark, sf)), "token", "id", out)
+    return files.scan_json_array(spark, out).select("token", "id")
+
+
+@register("s8_sink_metrics", """
+SELECT 10 AS n_classes, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) * 100, 6) AS accuracy, count(*) AS n_rows FROM (
+  WITH lg AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE) * 10) AS logits FROM embeddings),
+  ex AS (SELECT vec_id, label, list_transform(logits, lambda x: exp(x - list_max(logits))) AS ex FROM lg)
+  SELECT label = CAST(list_position(ex, list_max(ex)) - 1 AS INTEGER) AS correct FROM ex)
+""")
+def s8(spark, sf):
+    out = files.scratch_dir(spark, "s8")
+    p = predictions(spark, sf)
+    acc = ev.accuracy(p, "label", "pred").select(F.round("accuracy", 6).alias("accuracy"))
+    per = _per_class(spark, sf).agg(F.array_sort(F.collect_list(F.struct("cls", "precision", "recall", "f1", "support")))
+                                    .alias("per_class"))
+    n = p.agg(F.count(F.lit(1)).alias("n_rows"))
+    doc = (attach_small(attach_small(acc, per), n)  # three one-row tables
+           .select(F.struct("accuracy", "n_rows").alias("metrics"), "per_class",
+                   F.transform("per_class", lambda x: F.concat(F.lit("class_"), x["cls"].cast("string"))).alias("class_names")))
+    files.sink_metrics(doc, out)
+    back = spark.read.json(out)
+    return back.select(F.size("class_names").alias("n_classes"), F.col("metrics.accuracy").alias("accuracy"),
+                       F.col("metrics.n_rows").alias("n_rows"))
+
+
+@register("s10_sink_overwrite", """
+SELECT doc_id, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+""")
+def s10(spark, sf):
+    out = files.scratch_dir(spark, "s10")
+    d = table(spark, sf, "documents").select("doc_id", "n_chars")
+    new = anti_seen(d, table(spark, sf, "labels"), ["doc_id"])
+    files.sink_overwrite(d, out)      # an earlier run's output ...
+    files.sink_overwrite(new, out)    # ... is replaced, not appended to
+    return spark.read.parquet(out)
