@@ -1 +1,83 @@
-"""Queries (filled in below)."""
+"""Streaming queries: the fixture rows are written to a source folder, a stream with
+``Trigger.AvailableNow`` processes them into a file sink, and the sink is read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.plans.q_chat import VARIANTS_SQL, conversations
+from tessera.plans.q_trace import CONTENT_SQL, content_col
+from tessera.plans.registry import register
+from tessera.plans.sqlkit import strip
+from tessera.sources import files
+from tessera.sources.tables import table
+from tessera.streaming import prepare as st
+
+BASE_SCHEMA = T.StructType([
+    T.StructField("base_id", T.LongType()), T.StructField("ts", T.TimestampType()),
+    T.StructField("instruction", T.StringType()), T.StructField("output", T.StringType()),
+    T.StructField("paraphrases", T.ArrayType(T.StringType()))])
+TRACE_SCHEMA = T.StructType([
+    T.StructField("user_id", T.LongType()), T.StructField("ts", T.TimestampType()),
+    T.StructField("event_id", T.LongType()), T.StructField("content", T.StringType())])
+
+
+def base_rows(spark, sf) -> DataFrame:
+    """Stored teacher output per dialog: question, answer and paraphrases (its user turns)."""
+    t = conversations(spark, sf)
+    users = (t.where(F.col("role") == "user").groupBy("conv_id")
+             .agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("_u")))
+    answers = t.where(F.col("role") == "assistant").groupBy("conv_id").agg(F.min_by("text", "turn").alias("output"))
+    return (users.join(answers, "conv_id", "left")
+            .select(F.col("conv_id").alias("base_id"),
+                    F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id")).alias("ts"),
+                    F.element_at("_u", 1)["text"].alias("instruction"), "output",
+                    F.transform("_u", lambda x: x["text"]).alias("paraphrases")))
+
+
+def _prepared_stream(spark, sf):
+    src = files.scratch_dir(spark, "k-src")
+    base_rows(spark, sf).write.mode("overwrite").json(src)
+    return st.prepare_stream(st.read_stream(spark, src, BASE_SCHEMA))
+
+
+K1_SQL = "WITH " + VARIANTS_SQL + f""",
+k1 AS (SELECT base_id, pos, question, {strip('answer')} AS answer FROM expanded
+       WHERE answer IS NOT NULL AND length({strip('answer')}) > 0)
+"""
+
+
+@register("k1_stream_prepare", K1_SQL + " SELECT base_id, pos, question, answer FROM k1")
+def k1(spark, sf):
+    out, ck = files.scratch_dir(spark, "k1-out"), files.scratch_dir(spark, "k1-ckpt")
+    st.run_available_now(_prepared_stream(spark, sf), out, ck)
+    schema = "base_id bigint, pos int, ts timestamp, question string, answer string"
+    return spark.read.schema(schema).json(out).select("base_id", "pos", "question", "answer")
+
+
+@register("k2_stream_dedup", K1_SQL + " SELECT DISTINCT question FROM k1")
+def k2(spark, sf):
+    out, ck = files.scratch_dir(spark, "k2-out"), files.scratch_dir(spark, "k2-ckpt")
+    st.run_available_now(st.dedup_stream(_prepared_stream(spark, sf)), out, ck)
+    return spark.read.schema("question string").json(out).select("question")
+
+
+@register("k3_stream_retry_state", f"""
+WITH t AS (SELECT user_id, {CONTENT_SQL} AS content,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step FROM events),
+r AS (SELECT user_id, step, sum(CASE WHEN starts_with(content, 'Error:') THEN 1 ELSE 0 END)
+                               OVER (PARTITION BY user_id ORDER BY step) AS retries FROM t),
+s AS (SELECT user_id, min(step) AS st FROM r WHERE retries > 3 GROUP BY user_id)
+SELECT r.user_id, r.step, CAST(r.retries AS BIGINT) AS retries, CASE WHEN r.step = s.st THEN 'stop' ELSE 'continue' END AS action
+FROM r LEFT JOIN s USING (user_id) WHERE s.st IS NULL OR r.step <= s.st
+""")
+def k3(spark, sf):
+    src = files.scratch_dir(spark, "k3-src")
+    e = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "props")
+    e.select("user_id", "ts", "event_id", content_col().alias("content")).write.mode("overwrite").parquet(src)
+    stream = st.read_stream(spark, src, TRACE_SCHEMA, "parquet")
+    out, ck = files.scratch_dir(spark, "k3-out"), files.scratch_dir(spark, "k3-ckpt")
+    st.run_available_now(st.retry_state_stream(stream, 3), out, ck, fmt="parquet")
+    return spark.read.parquet(out).select("user_id", "step", "retries", "action")
