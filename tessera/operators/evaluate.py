@@ -17,10 +17,10 @@ from tessera.operators.ordering import md5_order, rank_in_groups
 
 def softmax(logits) -> Column:
     """exp(x - max) / sum(exp(x - max))."""
-    mx = F.array_max(logits)
-    ex = F.transform(logits, lambda x: F.exp(x - mx))
+    ex = F.zip_with(logits, F.array_repeat(F.array_max(logits), F.size(logits)), lambda x, m: F.exp(x - m))
     total = F.aggregate(ex, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(ex, lambda x: x / total)
+    # scalars enter as repeated arrays: evaluated once per row, not per element
+    return F.zip_with(ex, F.array_repeat(total, F.size(ex)), lambda x, t: x / t)
 
 
 def argmax(probs) -> Column:

@@ -42,19 +42,28 @@ def neft_noise(df: DataFrame, id_col: str, vec: str, alpha: float = 10.0, seq_le
     return df.withColumn(out, noisy).withColumn("noise_bound", m)
 
 
+def _with_scalar(vec, scalar, fn) -> Column:
+    """Element-wise ``fn(x, scalar)``. The scalar is passed in as a repeated array so it is
+    evaluated once per row, not once per element inside the lambda."""
+    return F.zip_with(vec, F.array_repeat(scalar, F.size(vec)), fn)
+
+
+def _sum(vec) -> Column:
+    return F.aggregate(vec, F.lit(0.0), lambda a, x: a + x)
+
+
 def layernorm(vec) -> Column:
     """(x - mean) / sqrt(var_pop + 1e-6), no learned scale."""
     n = F.size(vec)
-    mean = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x) / n
-    var = F.aggregate(vec, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n
-    return F.transform(vec, lambda x: (x - mean) / F.sqrt(var + F.lit(1e-6)))
+    centered = _with_scalar(vec, _sum(vec) / n, lambda x, m: x - m)
+    var = F.aggregate(centered, F.lit(0.0), lambda a, x: a + x * x) / n
+    return _with_scalar(centered, F.sqrt(var + F.lit(1e-6)), lambda x, s: x / s)
 
 
 def rmsnorm(vec) -> Column:
     """X / sqrt(mean(x^2) + 1e-6)."""
-    n = F.size(vec)
-    ms = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x) / n
-    return F.transform(vec, lambda x: x / F.sqrt(ms + F.lit(1e-6)))
+    ms = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x) / F.size(vec)
+    return _with_scalar(vec, F.sqrt(ms + F.lit(1e-6)), lambda x, s: x / s)
 
 
 def channel_stats(df: DataFrame, vec: str) -> DataFrame:
@@ -90,9 +99,9 @@ def topk_route(df: DataFrame, vec: str, gates: DataFrame, k: int = 2) -> DataFra
                                                               (-i).alias("neg_e")))
     x = x.withColumn("_top", F.slice(F.sort_array(scores, asc=False), 1, k)).drop("gates")
     mx = F.element_at("_top", 1)["s"]
-    x = x.withColumn("_ex", F.transform("_top", lambda t: F.exp(t["s"] - mx)))
-    tot = F.aggregate("_ex", F.lit(0.0), lambda a, v: a + v)
-    routes = F.zip_with("_top", "_ex", lambda t, e: F.struct((-t["neg_e"]).alias("expert"), (e / tot).alias("weight")))
+    x = x.withColumn("_ex", _with_scalar(F.col("_top"), mx, lambda t, m: F.exp(t["s"] - m)))
+    w = _with_scalar(F.col("_ex"), _sum(F.col("_ex")), lambda e, t: e / t)
+    routes = F.zip_with("_top", w, lambda t, e: F.struct((-t["neg_e"]).alias("expert"), e.alias("weight")))
     return x.withColumn("routes", routes).drop("_top", "_ex")
 
 
