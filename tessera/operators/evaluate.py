@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import r6
 from tessera.operators.ordering import md5_order, rank_in_groups
 
 
@@ -212,7 +213,7 @@ def class_distribution(df: DataFrame, label: str, split: str) -> DataFrame:
     c = df.groupBy(split, label).agg(F.count(F.lit(1)).alias("n"))
     tot = df.groupBy(split).agg(F.count(F.lit(1)).alias("_tot"))
     return (c.join(tot, split)
-            .withColumn("pct", F.round(F.col("n") * 100.0 / F.col("_tot"), 1)).drop("_tot"))
+            .withColumn("pct", r6(F.col("n") * 100.0 / F.col("_tot"), 1)).drop("_tot"))
 
 
 def sorted_counts(df: DataFrame, label: str) -> DataFrame:

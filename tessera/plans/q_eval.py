@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import r6
+
 from tessera.operators import evaluate as ev
 from tessera.plans.registry import register
 from tessera.sources.tables import table
@@ -57,12 +59,12 @@ prf1 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall
     f"round(probs[{i + 1}], 6) AS p{i}" for i in range(10)) + " FROM pc")
 def a9(spark, sf):
     p = predictions(spark, sf)
-    return p.select("vec_id", *[F.round(F.element_at("probs", i + 1), 6).alias(f"p{i}") for i in range(10)])
+    return p.select("vec_id", *[r6(F.element_at("probs", i + 1), 6).alias(f"p{i}") for i in range(10)])
 
 
 @register("a10_argmax_confidence", PRED_SQL + " SELECT vec_id, pred, round(conf, 6) AS conf FROM pc")
 def a10(spark, sf):
-    return predictions(spark, sf).select("vec_id", "pred", F.round("conf", 6).alias("conf"))
+    return predictions(spark, sf).select("vec_id", "pred", r6("conf", 6).alias("conf"))
 
 
 @register("w8_topk_classes", PRED_SQL + """,
@@ -76,7 +78,7 @@ def w8(spark, sf):
     p = predictions(spark, sf).select("vec_id", ev.topk_classes(F.col("probs"), names, 3).alias("top"))
     cols = []
     for i in range(3):
-        cols += [F.col("top")[i]["cls"].alias(f"top{i + 1}"), F.round(F.col("top")[i]["prob"], 6).alias(f"top{i + 1}_prob")]
+        cols += [F.col("top")[i]["cls"].alias(f"top{i + 1}"), r6(F.col("top")[i]["prob"], 6).alias(f"top{i + 1}_prob")]
     return p.select("vec_id", *cols)
 
 
@@ -85,12 +87,12 @@ SELECT vec_id, round(0.9 * -ln(probs[label + 1]) + 0.1 / len(probs) * list_reduc
 """)
 def a11(spark, sf):
     p = predictions(spark, sf)
-    return p.select("vec_id", F.round(ev.smoothed_ce(F.col("probs"), F.col("label"), 0.1), 6).alias("loss"))
+    return p.select("vec_id", r6(ev.smoothed_ce(F.col("probs"), F.col("label"), 0.1), 6).alias("loss"))
 
 
 @register("g2_accuracy", PRED_SQL + " SELECT round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) * 100, 6) AS accuracy FROM pc")
 def g2(spark, sf):
-    return ev.accuracy(predictions(spark, sf), "label", "pred").select(F.round("accuracy", 6).alias("accuracy"))
+    return ev.accuracy(predictions(spark, sf), "label", "pred").select(r6("accuracy", 6).alias("accuracy"))
 
 
 def _per_class(spark, sf):
@@ -105,7 +107,7 @@ SELECT round(sum(precision * support) / sum(support) * 100, 6) AS precision,
 """)
 def g3(spark, sf):
     w = ev.weighted_prf(_per_class(spark, sf))
-    return w.select(*[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+    return w.select(*[r6(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @register("g4_classification_report", PRED_SQL + """
@@ -120,7 +122,7 @@ def g4(spark, sf):
     p = predictions(spark, sf)
     nc = p.agg(F.sum(F.col("correct").cast("long")).alias("correct"), F.count(F.lit(1)).alias("total"))
     r = ev.classification_report(_per_class(spark, sf), nc)
-    return r.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+    return r.select("label", *[r6(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
 @register("g5_confusion_matrix", PRED_SQL + """
@@ -148,7 +150,7 @@ SELECT round(avg(conf), 6) AS mean_conf, round(avg(CASE WHEN correct THEN conf E
 """)
 def g7(spark, sf):
     s = ev.confidence_stats(predictions(spark, sf), "conf", "correct")
-    return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
+    return s.select(*[r6(c, 6).alias(c) for c in s.columns])
 
 
 # ------------------------------------------------------------------ F2: documents, labels, splits
@@ -239,8 +241,8 @@ SELECT round(avg(conf), 6) AS mean_conf, CAST(sum(CASE WHEN truth IS NOT NULL AN
 """)
 def g8(spark, sf):
     s = ev.eval_summary(doc_predictions(spark, sf), "conf", "truth", "pred")
-    return s.select(F.round("mean_conf", 6).alias("mean_conf"), "n_correct", "n_labelled",
-                    F.round("accuracy", 6).alias("accuracy"))
+    return s.select(r6("mean_conf", 6).alias("mean_conf"), "n_correct", "n_labelled",
+                    r6("accuracy", 6).alias("accuracy"))
 
 
 # ------------------------------------------------------------------ F5: training history from events
@@ -267,7 +269,7 @@ h AS (SELECT run, epoch, avg(batch_loss) AS loss, sum(n_correct) / sum(n) AS acc
 @register("g9_epoch_metrics", HIST_SQL + " SELECT run, epoch, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy FROM h")
 def g9(spark, sf):
     h = history(spark, sf)
-    return h.select("run", "epoch", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
+    return h.select("run", "epoch", r6("loss", 6).alias("loss"), r6("accuracy", 6).alias("accuracy"))
 
 
 @register("w6_best_epoch", HIST_SQL + """
@@ -276,7 +278,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY accuracy DESC, epoc
 """)
 def w6(spark, sf):
     b = ev.best_epoch(history(spark, sf), "run", "epoch", "accuracy")
-    return b.select("run", "best_epoch", F.round("best_value", 6).alias("best_value"))
+    return b.select("run", "best_epoch", r6("best_value", 6).alias("best_value"))
 
 
 PATIENCE = 3
@@ -295,4 +297,4 @@ FROM c JOIN st USING (run) GROUP BY run, stop_epoch
 """)
 def w7(spark, sf):
     s = ev.early_stopping(history(spark, sf), "run", "epoch", "loss", PATIENCE, 0.0)
-    return s.select("run", "stop_epoch", F.round("best_score", 6).alias("best_score"))
+    return s.select("run", "stop_epoch", r6("best_score", 6).alias("best_score"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import r6
+
 from tessera.functions.text import IM_START
 from tessera.operators import chat, rewards
 from tessera.plans.q_chat import conversations
@@ -52,8 +54,8 @@ def grpo_best_completion(spark, sf):
     """Flagship: dialogs -> prompt/completion -> rewards -> group advantage -> best per group."""
     a = advantages(spark, sf)
     best = rewards.best_per_group(a, ["conv_id"], "reward", "turn", ["turn", "reward", "advantage", "completion"])
-    return best.select("conv_id", "turn", F.round("reward", 6).alias("reward"),
-                       F.round("advantage", 6).alias("advantage"), "completion")
+    return best.select("conv_id", "turn", r6("reward", 6).alias("reward"),
+                       r6("advantage", 6).alias("advantage"), "completion")
 
 
 @register("r1_reward_length", SCORED_SQL + " SELECT conv_id, turn, r_len FROM scored")
@@ -63,7 +65,7 @@ def r1(spark, sf):
 
 @register("r2_reward_keywords", SCORED_SQL + " SELECT conv_id, turn, round(r_kw, 6) AS r_kw FROM scored")
 def r2(spark, sf):
-    return scored_completions(spark, sf).select("conv_id", "turn", F.round("r_kw", 6).alias("r_kw"))
+    return scored_completions(spark, sf).select("conv_id", "turn", r6("r_kw", 6).alias("r_kw"))
 
 
 @register("r3_reward_format", "WITH " + PC_CTE + f"""
@@ -80,7 +82,7 @@ def r3(spark, sf):
 
 @register("r4_reward_total", SCORED_SQL + " SELECT conv_id, turn, round(reward, 6) AS reward FROM scored")
 def r4(spark, sf):
-    return scored_completions(spark, sf).select("conv_id", "turn", F.round("reward", 6).alias("reward"))
+    return scored_completions(spark, sf).select("conv_id", "turn", r6("reward", 6).alias("reward"))
 
 
 @register("r6_missing_eos_penalty", f"""
@@ -89,13 +91,13 @@ SELECT conv_id, turn,
        round({kw_reward("text || '<|im_end|>'")} - CASE WHEN strpos(text || '<|im_end|>', '<|im_end|>') > 0 THEN 0.0 ELSE 1.0 END, 6) AS pen_completion
 FROM conversations WHERE role = 'assistant'
 """)
-def r6(spark, sf):
+def r6_penalty(spark, sf):
     t = conversations(spark, sf).where(F.col("role") == "assistant")
     comp = F.concat(F.col("text"), F.lit("<|im_end|>"))
     return t.select("conv_id", "turn",
-                    F.round(rewards.missing_eos_penalty(rewards.reward_keywords(F.col("text"), KEYWORDS),
+                    r6(rewards.missing_eos_penalty(rewards.reward_keywords(F.col("text"), KEYWORDS),
                                                         F.col("text")), 6).alias("pen_raw"),
-                    F.round(rewards.missing_eos_penalty(rewards.reward_keywords(comp, KEYWORDS), comp), 6)
+                    r6(rewards.missing_eos_penalty(rewards.reward_keywords(comp, KEYWORDS), comp), 6)
                     .alias("pen_completion"))
 
 
@@ -104,7 +106,7 @@ SELECT conv_id, turn, round(reward, 6) AS reward, round(advantage, 6) AS advanta
 """)
 def w5(spark, sf):
     a = advantages(spark, sf)
-    return a.select("conv_id", "turn", F.round("reward", 6).alias("reward"), F.round("advantage", 6).alias("advantage"))
+    return a.select("conv_id", "turn", r6("reward", 6).alias("reward"), r6("advantage", 6).alias("advantage"))
 
 
 def pair_candidates(spark, sf) -> DataFrame:
@@ -166,8 +168,8 @@ FROM sc
 """)
 def r5(spark, sf):
     s = _pair_scores(spark, sf).withColumn("margin", F.col("s_chosen") - F.col("s_rejected"))
-    return s.select("conv_id", F.round("margin", 6).alias("margin"),
-                    F.round(rewards.ranking_loss(F.col("margin")), 6).alias("loss"))
+    return s.select("conv_id", r6("margin", 6).alias("margin"),
+                    r6(rewards.ranking_loss(F.col("margin")), 6).alias("loss"))
 
 
 @register("g11_pairwise_eval", PAIRS_SQL + f""",
@@ -177,4 +179,4 @@ SELECT round(avg(CASE WHEN s_chosen > s_rejected THEN 1.0 ELSE 0.0 END), 6) AS a
 """)
 def g11(spark, sf):
     e = rewards.pairwise_eval(_pair_scores(spark, sf), "s_chosen", "s_rejected")
-    return e.select(F.round("accuracy", 6).alias("accuracy"), F.round("mean_margin", 6).alias("mean_margin"), "n_pairs")
+    return e.select(r6("accuracy", 6).alias("accuracy"), r6("mean_margin", 6).alias("mean_margin"), "n_pairs")

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from tessera.functions.numeric import r6
 from pyspark.sql import types as T
 
 from tessera.operators import chat, evaluate as ev
@@ -94,7 +96,7 @@ SELECT 10 AS n_classes, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) * 100
 def s8(spark, sf):
     out = files.scratch_dir(spark, "s8")
     p = predictions(spark, sf)
-    acc = ev.accuracy(p, "label", "pred").select(F.round("accuracy", 6).alias("accuracy"))
+    acc = ev.accuracy(p, "label", "pred").select(r6("accuracy", 6).alias("accuracy"))
     per = _per_class(spark, sf).agg(F.array_sort(F.collect_list(F.struct("cls", "precision", "recall", "f1", "support")))
                                     .alias("per_class"))
     n = p.agg(F.count(F.lit(1)).alias("n_rows"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import r6
+
 from tessera.functions.text import FULL_WIDTH, HALF_WIDTH, IM_START, char_tokens, normalize_width
 from tessera.operators import chat, tokens
 from tessera.plans.q_chat import conversations
@@ -170,7 +172,7 @@ def g10(spark, sf):
     loss = F.transform(lab, lambda x: F.when(x == tokens.PAD_ID, F.lit(0.0)).otherwise((x % 7) / 7.0))
     s = b.select("batch", loss.alias("loss"), F.slice(mask, 2, n).alias("mask"))
     out = tokens.masked_mean_loss(s, ["batch"], "loss", "mask")
-    return out.select("batch", F.round("masked_loss", 6).alias("masked_loss"))
+    return out.select("batch", r6("masked_loss", 6).alias("masked_loss"))
 
 
 @register("a8_pack_sequences")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import r6
+
 from tessera.operators import trace as tr
 from tessera.operators.ordering import rank_in_groups
 from tessera.plans.q_text import K_SQL, STEP_SQL, TOOL_RE, _k, plan_steps
@@ -135,7 +137,7 @@ FROM events GROUP BY ALL
 """)
 def g12(spark, sf):
     g = tr.judge_scores(judged(spark, sf), "system", "dimension", "score")
-    return g.withColumn("mean_score", F.round("mean_score", 6))
+    return g.withColumn("mean_score", r6("mean_score", 6))
 
 
 @register("j4_before_after", f"""
@@ -147,7 +149,7 @@ SELECT system, dimension, round(b, 6) AS before, round(a, 6) AS after, round(a -
 """)
 def j4(spark, sf):
     g = tr.before_after(judged(spark, sf), ["system", "dimension"], "phase", "score")
-    return g.select("system", "dimension", *[F.round(c, 6).alias(c) for c in ("before", "after", "delta")])
+    return g.select("system", "dimension", *[r6(c, 6).alias(c) for c in ("before", "after", "delta")])
 
 
 @register("j5_attach_results", f"""

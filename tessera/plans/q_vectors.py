@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import r6
+
 from tessera.operators import vectors as vx
 from tessera.operators.tokens import attach_small
 from tessera.plans.registry import register
@@ -46,9 +48,9 @@ def a12(spark, sf):
     e = vx.neft_noise(emb(spark, sf), "vec_id", "embedding", 10.0, 1, SEED)
     v = vx.to_double(F.col("embedding"))
     diff = F.zip_with(F.col("noisy"), v, lambda a, b: F.abs(a - b))
-    return e.select("vec_id", F.round("noise_bound", 6).alias("noise_bound"),
-                    F.round(F.array_max(diff), 6).alias("max_abs_noise"),
-                    F.round(F.aggregate("noisy", F.lit(0.0), lambda a, x: a + x), 6).alias("noisy_sum"))
+    return e.select("vec_id", r6("noise_bound", 6).alias("noise_bound"),
+                    r6(F.array_max(diff), 6).alias("max_abs_noise"),
+                    r6(F.aggregate("noisy", F.lit(0.0), lambda a, x: a + x), 6).alias("noisy_sum"))
 
 
 def gates(spark, sf) -> DataFrame:
@@ -76,8 +78,8 @@ SELECT vec_id, CAST(e1 AS INTEGER) AS expert1, round(w1, 6) AS weight1, CAST(e2
 """)
 def a13(spark, sf):
     r = routed(spark, sf)
-    return r.select("vec_id", F.col("routes")[0]["expert"].alias("expert1"), F.round(F.col("routes")[0]["weight"], 6).alias("weight1"),
-                    F.col("routes")[1]["expert"].alias("expert2"), F.round(F.col("routes")[1]["weight"], 6).alias("weight2"))
+    return r.select("vec_id", F.col("routes")[0]["expert"].alias("expert1"), r6(F.col("routes")[0]["weight"], 6).alias("weight1"),
+                    F.col("routes")[1]["expert"].alias("expert2"), r6(F.col("routes")[1]["weight"], 6).alias("weight2"))
 
 
 @register("g14_expert_load", ROUTE_SQL + f""",
@@ -89,7 +91,7 @@ FROM ex LEFT JOIN r USING (expert) GROUP BY ex.expert
 def g14(spark, sf):
     experts = emb(spark, sf).where(F.col("vec_id") < N_GATES).select(F.col("vec_id").cast("int").alias("expert"))
     g = vx.expert_load(routed(spark, sf), experts)
-    return g.select("expert", "n_rows", F.round("total_weight", 6).alias("total_weight"))
+    return g.select("expert", "n_rows", r6("total_weight", 6).alias("total_weight"))
 
 
 @register("a14_layernorm_rmsnorm", f"""
@@ -103,8 +105,8 @@ SELECT vec_id, round(ln[1], 6) AS ln_first, round({sql_sum('list_transform(ln, l
 def a14(spark, sf):
     e = emb(spark, sf).select("vec_id", vx.to_double(F.col("embedding")).alias("v"))
     o = e.select("vec_id", vx.layernorm(F.col("v")).alias("ln"), vx.rmsnorm(F.col("v")).alias("rms"))
-    return o.select("vec_id", F.round(F.element_at("ln", 1), 6).alias("ln_first"), F.round(_sumsq(F.col("ln")), 6).alias("ln_sumsq"),
-                    F.round(F.element_at("rms", 1), 6).alias("rms_first"), F.round(_sumsq(F.col("rms")), 6).alias("rms_sumsq"))
+    return o.select("vec_id", r6(F.element_at("ln", 1), 6).alias("ln_first"), r6(_sumsq(F.col("ln")), 6).alias("ln_sumsq"),
+                    r6(F.element_at("rms", 1), 6).alias("rms_first"), r6(_sumsq(F.col("rms")), 6).alias("rms_sumsq"))
 
 
 @register("a15_standardize_channels", f"""
@@ -122,8 +124,8 @@ def a15(spark, sf):
     z = x.select("vec_id", vx.standardize_channels(F.col("v"), F.col("ch_mean"), F.col("ch_std")).alias("z"),
                  "ch_mean", "ch_std")
     inv = vx.unstandardize_clamped(F.col("z"), F.col("ch_mean"), F.col("ch_std"))
-    return z.select("vec_id", F.round(F.element_at("z", 1), 6).alias("z_first"), F.round(_sumsq(F.col("z")), 6).alias("z_sumsq"),
-                    F.round(F.array_min(inv), 6).alias("inv_min"), F.round(F.array_max(inv), 6).alias("inv_max"))
+    return z.select("vec_id", r6(F.element_at("z", 1), 6).alias("z_first"), r6(_sumsq(F.col("z")), 6).alias("z_sumsq"),
+                    r6(F.array_min(inv), 6).alias("inv_min"), r6(F.array_max(inv), 6).alias("inv_max"))
 
 
 KNN_SQL = f"""
@@ -142,4 +144,4 @@ def knn(spark, sf) -> DataFrame:
 
 @register("j8_knn_join", KNN_SQL + f" SELECT query_id, rank, neighbor_id, round(dist, 6) AS dist FROM r WHERE rank <= {K}")
 def j8(spark, sf):
-    return knn(spark, sf).withColumn("dist", F.round("dist", 6))
+    return knn(spark, sf).withColumn("dist", r6("dist", 6))

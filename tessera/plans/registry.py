@@ -41,5 +41,6 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from tessera.functions.numeric import nudge_sql
     _load_all()
-    return dict(_SQL)
+    return {k: nudge_sql(v) for k, v in _SQL.items()}
