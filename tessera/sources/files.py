@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +38,15 @@ def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
             .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
 
 
+def _norm_path(p: str) -> str:
+    u = urlparse(p)
+    return ((u.netloc + u.path) if u.scheme not in ("", "file") else u.path).rstrip("/")
+
+
 def _check_not_input(df: DataFrame, path: str) -> None:
-    target = path.rstrip("/")
+    target = _norm_path(path)
     for f in df.inputFiles():
-        p = f.split(":", 1)[-1] if f.startswith("file:") else f
-        if p.rstrip("/").startswith(target.split(":", 1)[-1]):
+        if (_norm_path(f) + "/").startswith(target + "/"):
             raise ValueError(f"refusing to overwrite {path}: it is an input of this DataFrame")
 
 
