@@ -27,9 +27,14 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# The same whitespace set as single characters, for ``btrim`` (no regex).
+WS_CHARS = ("".join(chr(c) for c in range(0x09, 0x0E)) + "".join(chr(c) for c in range(0x1C, 0x21))
+            + "\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def ustrip(col) -> Column:
-    """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(_c(col), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """Python ``str.strip()``: remove Unicode whitespace at both ends (``btrim``, no regex)."""
+    return F.btrim(_c(col), F.lit(WS_CHARS))
 
 
 def collapse_ws(col) -> Column:
