@@ -37,12 +37,16 @@ def dedup_graph(edges: DataFrame, version: list[str]) -> DataFrame:
 
 
 def graph_schema(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Node labels and relation types with their property keys and counts."""
+    """Node labels and relation types with their property keys and counts.
+
+    One aggregation per table: the distinct key sets per type are few, so
+    ``collect_set`` of the key arrays stays small in the partial aggregates.
+    """
     def one(df, kind):
-        keys = df.select("type", F.explode_outer(F.map_keys("properties")).alias("k"))
-        counts = df.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
-        ks = keys.groupBy("type").agg(F.array_join(F.array_sort(F.collect_set("k")), ",").alias("property_keys"))
-        return counts.join(ks, "type", "left").select(F.lit(kind).alias("kind"), "type", "property_keys", "n")
+        g = df.groupBy("type").agg(F.count(F.lit(1)).alias("n"),
+                                   F.collect_set(F.map_keys("properties")).alias("_ks"))
+        return g.select(F.lit(kind).alias("kind"), "type",
+                        F.array_join(F.array_sort(F.array_distinct(F.flatten("_ks"))), ",").alias("property_keys"), "n")
     return one(nodes, "node").unionByName(one(edges, "edge"))
 
 
@@ -83,13 +87,16 @@ def keyword_tokens(text: Column) -> Column:
 def semantic_recall(queries: DataFrame, nodes: DataFrame, edges: DataFrame, limit: int = 5) -> DataFrame:
     """M3: keyword -> node whose name token equals it -> one hop either way -> global limit.
 
-    Token equality stands in for the full-text score (stated, not reproduced).
+    Token equality stands in for the full-text score (stated, not reproduced). The
+    matches are joined straight to the two-way edge list, so the keyword join is
+    planned once.
     """
     kw = queries.select("query_id", F.explode(keyword_tokens(F.col("text"))).alias("token")).distinct()
     nt = nodes.select(F.col("id").alias("entity"), F.explode(keyword_tokens(F.col("properties")["name"])).alias("token"))
     hits = kw.join(nt, "token").select("query_id", "entity").distinct()
-    nb = graph_neighbors(hits.select(F.col("entity").alias("id")), edges)
-    return limit_global(hits.join(nb, "entity"), ["query_id", "entity", "relation", "neighbor", "direction"], limit)
+    b = both_directions(edges).select(F.col("src").alias("entity"), F.col("type").alias("relation"),
+                                      F.col("dst").alias("neighbor"), "direction")
+    return limit_global(hits.join(b, "entity"), ["query_id", "entity", "relation", "neighbor", "direction"], limit)
 
 
 def limit_global(df: DataFrame, order: list[str], n: int) -> DataFrame:
