@@ -20,7 +20,7 @@ BASE_SCHEMA = T.StructType([
     T.StructField("instruction", T.StringType()), T.StructField("output", T.StringType()),
     T.StructField("paraphrases", T.ArrayType(T.StringType()))])
 TRACE_SCHEMA = T.StructType([
-    T.StructField("user_id", T.LongType()), T.StructField("ts", T.TimestampType()),
+    T.StructField("user_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("event_id", T.LongType()), T.StructField("content", T.StringType())])
 
 
