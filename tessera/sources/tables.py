@@ -24,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
     if spread:
-        par = spark.sparkContext.defaultParallelism
-        if _size_bytes(spark, path) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < par:
-            df = df.repartition(par)
+        try:
+            par = spark.sparkContext.defaultParallelism
+            if _size_bytes(spark, path) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < par:
+                df = df.repartition(par)
+        except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): keep the plain scan
+            pass
     return df
 
 
