@@ -3,10 +3,10 @@
 Per-vector maths is ``transform``/``zip_with``/``aggregate`` in the JVM. Small
 parameter tables (gates, channel statistics) are one bounded row attached by a
 broadcast equi join. Exact k-nearest-neighbour search is the one place that
-needs numpy: the corpus is hash-bucketed, every bucket meets the query set in a
+needs numpy: a block nested loop over (query block, corpus bucket) cells, each a
 co-grouped pandas call that keeps only the k best per query, and a final
-ranking runs over at most k x buckets candidates per query. No query/corpus
-pair is ever emitted as a row.
+ranking over at most k x buckets candidates per query. No query/corpus pair is
+ever emitted as a row.
 """
 
 from __future__ import annotations
@@ -115,29 +115,36 @@ def expert_load(routed: DataFrame, experts: DataFrame) -> DataFrame:
 
 
 def knn_join(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, vec: str, k: int,
-             exclude_self: bool = True, rows_per_bucket: int = 200_000) -> DataFrame:
+             exclude_self: bool = True, rows_per_bucket: int = 200_000,
+             queries_per_block: int = 10_000) -> DataFrame:
     """Exact k nearest corpus vectors (squared L2) per query, ties by corpus id.
 
-    The corpus is split in B hash buckets (B from its row count, so one bucket
-    stays near ``rows_per_bucket`` rows); the query set is replicated once per
-    bucket. Each bucket keeps its k best per query, then a window over the
-    <= k*B candidates of a query gives the final k. Output:
+    Block nested loop: the corpus is cut into B hash buckets (about
+    ``rows_per_bucket`` rows each) and the queries into QB hash blocks (about
+    ``queries_per_block`` each); every (query block, corpus bucket) cell is one
+    co-grouped pandas call that keeps the k best per query. Corpus rows are copied
+    QB times and queries B times - the exact search cost, never a pair row. A
+    window over the <= k*B candidates of a query gives the final k. Output:
     ``query_id, rank, neighbor_id, dist``.
     """
     import numpy as np
     import pandas as pd
+    from pyspark.sql import Window
 
-    n = corpus.count()
-    buckets = max(1, math.ceil(n / rows_per_bucket))
-    c = corpus.select(F.col(c_id).alias("cid"), to_double(F.col(vec)).alias("v"),
-                      F.pmod(F.xxhash64(F.col(c_id)), F.lit(buckets)).cast("int").alias("bucket"))
-    q = (queries.select(F.col(q_id).alias("qid"), to_double(F.col(vec)).alias("qv"))
-         .withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
+    buckets = max(1, math.ceil(corpus.count() / rows_per_bucket))
+    blocks = max(1, math.ceil(queries.count() / queries_per_block))
+    c = (corpus.select(F.col(c_id).alias("cid"), to_double(F.col(vec)).alias("v"),
+                       F.pmod(F.xxhash64(F.col(c_id)), F.lit(buckets)).cast("int").alias("cb"))
+         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    q = (queries.select(F.col(q_id).alias("qid"), to_double(F.col(vec)).alias("qv"),
+                        F.pmod(F.xxhash64(F.col(q_id)), F.lit(blocks)).cast("int").alias("qb"))
+         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
 
     def best(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cid": pd.Series([], dtype="int64"),
+                              "dist": pd.Series([], dtype="float64")})
         if len(cpdf) == 0 or len(qpdf) == 0:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cid": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
+            return empty
         X = np.stack(cpdf["v"].to_numpy())
         ids = cpdf["cid"].to_numpy()
         out_q, out_c, out_d = [], [], []
@@ -151,12 +158,13 @@ def knn_join(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, vec: s
             out_q += [qid] * len(order)
             out_c += ii[order].tolist()
             out_d += dd[order].tolist()
+        if not out_q:
+            return empty
         return pd.DataFrame({"qid": np.asarray(out_q, dtype="int64"), "cid": np.asarray(out_c, dtype="int64"),
                              "dist": np.asarray(out_d, dtype="float64")})
 
-    cand = (c.groupBy("bucket").cogroup(q.groupBy("bucket"))
+    cand = (c.groupBy("qb", "cb").cogroup(q.groupBy("qb", "cb"))
             .applyInPandas(best, "qid long, cid long, dist double"))
-    from pyspark.sql import Window
     w = Window.partitionBy("qid").orderBy("dist", "cid")
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(F.col("qid").alias("query_id"), "rank", F.col("cid").alias("neighbor_id"), "dist"))

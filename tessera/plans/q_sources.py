@@ -3,7 +3,6 @@ under the shared checkpoint folder and reads it back through the scan under test
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import r6

@@ -17,12 +17,12 @@ def test_from_records_explicit_schema(spark):
 def test_jsonl_roundtrip_keeps_utf8_and_corrupt_rows(spark):
     out = files.scratch_dir(spark, "t-jsonl")
     schema = T.StructType([T.StructField("instruction", T.StringType()), T.StructField("output", T.StringType())])
-    files.sink_jsonl(spark.createDataFrame([("什么是LoRA？", "低秩")], schema), out)
+    files.sink_jsonl(spark.createDataFrame([("今天天气怎么样？", "晴天")], schema), out)
     paths = __import__("glob").glob(out.replace("file:", "") + "/*.json")
     raw = "".join(open(p, encoding="utf-8").read() for p in paths)
-    assert "什么是LoRA" in raw
+    assert "今天天气怎么样" in raw
     back = files.scan_jsonl(spark, out, schema).collect()
-    assert back[0]["instruction"] == "什么是LoRA？" and back[0]["_corrupt_record"] is None
+    assert back[0]["instruction"] == "今天天气怎么样？" and back[0]["_corrupt_record"] is None
 
 
 def test_sink_refuses_its_own_input(spark):
