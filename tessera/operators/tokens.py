@@ -170,9 +170,16 @@ def vocab_map(vocab: DataFrame) -> DataFrame:
 
 
 def attach_small(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row table of bounded size to every row (broadcast equi join on a constant)."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+    """Attach the columns of a one-row table of bounded size (a vocabulary map, gate
+    vectors, channel statistics) to every row.
+
+    The row is a scalar subquery: computed once, then handed to every task as a
+    value - no join, so no nested-loop or cartesian operator in the plan.
+    """
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    out = df.withColumn("_small", packed)
+    return out.select(*[F.col(c) for c in df.columns], *[F.col("_small")[c].alias(c) for c in cols])
 
 
 def encode_with_map(tokens, vmap, unk_id: int = UNK_ID) -> Column:
