@@ -214,7 +214,7 @@ def x1(spark, sf):
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 p AS (SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
              list_reduce(list_transform(range(1, len(q.v) + 1), lambda j: (q.v[j] - c.v[j]) * (q.v[j] - c.v[j])), lambda a, b: a + b) AS dist
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id < 20),
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, neighbor_id) AS rank FROM p),
 ep AS (SELECT query_id, string_agg('memory ' || CAST(neighbor_id AS VARCHAR), chr(10) ORDER BY rank) AS episodic FROM r WHERE rank <= 2 GROUP BY query_id),
 sem AS (SELECT CAST(n_regionkey AS BIGINT) AS query_id, string_agg(n_name || ' IN ' || r_name, chr(10) ORDER BY n_name) AS semantic

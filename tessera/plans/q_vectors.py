@@ -14,7 +14,6 @@ from tessera.sources.tables import table
 
 SEED = "42"
 N_GATES = 8
-N_QUERIES = 20
 K = 2
 
 
@@ -132,14 +131,15 @@ KNN_SQL = f"""
 WITH v AS (SELECT vec_id, {DV} AS v FROM embeddings),
 p AS (SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
              {sql_sum('list_transform(range(1, len(q.v) + 1), lambda j: (q.v[j] - c.v[j]) * (q.v[j] - c.v[j]))')} AS dist
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id < {N_QUERIES}),
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY dist, neighbor_id) AS INTEGER) AS rank FROM p)
 """
 
 
 def knn(spark, sf) -> DataFrame:
+    """Every vector is a query against the whole table (its own row excluded)."""
     e = emb(spark, sf)
-    return vx.knn_join(e.where(F.col("vec_id") < N_QUERIES), e, "vec_id", "vec_id", "embedding", K)
+    return vx.knn_join(e, e, "vec_id", "vec_id", "embedding", K)
 
 
 @register("j8_knn_join", KNN_SQL + f" SELECT query_id, rank, neighbor_id, round(dist, 6) AS dist FROM r WHERE rank <= {K}")
