@@ -41,22 +41,24 @@ def retry_budget(trace: DataFrame, run: str, step: str, content: str, max_retrie
             .drop("_stop"))
 
 
-def loop_stats(trace: DataFrame, run: str, step: str, tool_call: Column, limits=(10, 15)) -> DataFrame:
-    """V3: steps, tool calls and loops (repeated tool calls) per run; flags for step limits."""
+def loop_stats(trace: DataFrame, run: str, tool_call: Column, limits=(10, 15)) -> DataFrame:
+    """V3: steps, tool calls and loops (repeated tool calls) per run; flags for step limits.
+    One partial aggregate; steps are counted, so no step numbering is needed."""
     g = trace.groupBy(run).agg(F.count(F.lit(1)).alias("steps"),
-                               F.sum(tool_call.cast("long")).alias("tool_calls"),
-                               F.max(step).alias("last_step"))
-    out = g.withColumn("loops", F.greatest(F.col("tool_calls") - 1, F.lit(0)))
+                               F.sum(tool_call.cast("long")).alias("tool_calls"))
+    out = g.withColumn("last_step", F.col("steps")).withColumn("loops", F.greatest(F.col("tool_calls") - 1, F.lit(0)))
     for lim in limits:
         out = out.withColumn(f"at_limit_{lim}", F.col("steps") >= lim)
     return out
 
 
-def latest_state(trace: DataFrame, run: str, step: str, cols: list[str]) -> DataFrame:
-    """V4: the last snapshot of each run (``max_by`` = partial aggregate)."""
-    st = F.struct(*[F.col(c) for c in [step] + cols])
-    return (trace.groupBy(run).agg(F.max_by(st, F.col(step)).alias("_s"))
-            .select(run, *[F.col("_s")[c].alias(c) for c in [step] + cols]))
+def latest_state(trace: DataFrame, run: str, order: list[str], cols: list[str]) -> DataFrame:
+    """V4: the last snapshot of each run by ``order`` (``max_by`` = partial aggregate);
+    ``step`` is its 1-based position, i.e. the number of snapshots."""
+    st = F.struct(*[F.col(c) for c in cols])
+    return (trace.groupBy(run).agg(F.max_by(st, F.struct(*[F.col(c) for c in order])).alias("_s"),
+                                   F.count(F.lit(1)).alias("step"))
+            .select(run, "step", *[F.col("_s")[c].alias(c) for c in cols]))
 
 
 def agent_transitions(indexed: DataFrame, run: str, agent: str) -> DataFrame:

@@ -23,10 +23,14 @@ def content_col():
             .otherwise(F.concat(F.lit("Result: "), et, F.lit(" "), _k())))
 
 
-def trace(spark, sf, keep_index: bool = False) -> DataFrame:
+def events_trace(spark, sf) -> DataFrame:
+    """Trace rows without step numbers (for per-run summaries that only need counts)."""
     e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    e = e.withColumn("content", content_col())
-    return rank_in_groups(e, ["user_id"], [F.col("ts"), F.col("event_id")], "step", keep_index)
+    return e.withColumn("content", content_col())
+
+
+def trace(spark, sf, keep_index: bool = False) -> DataFrame:
+    return rank_in_groups(events_trace(spark, sf), ["user_id"], [F.col("ts"), F.col("event_id")], "step", keep_index)
 
 
 CONTENT_SQL = f"(CASE WHEN event_type = 'error' THEN 'Error: ' ELSE 'Result: ' END || event_type || ' ' || {K_SQL})"
@@ -63,14 +67,14 @@ SELECT user_id, count(*) AS steps, CAST(sum(CASE WHEN event_type = 'click' THEN
 FROM t GROUP BY user_id
 """)
 def v3(spark, sf):
-    return tr.loop_stats(trace(spark, sf), "user_id", "step", F.col("event_type") == "click")
+    return tr.loop_stats(events_trace(spark, sf), "user_id", F.col("event_type") == "click")
 
 
 @register("v4_latest_state", TRACE_SQL + """
 SELECT user_id, step, event_type, content FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY step DESC) AS rn FROM t) WHERE rn = 1
 """)
 def v4(spark, sf):
-    return tr.latest_state(trace(spark, sf), "user_id", "step", ["event_type", "content"])
+    return tr.latest_state(events_trace(spark, sf), "user_id", ["ts", "event_id"], ["event_type", "content"])
 
 
 @register("w10_agent_transitions", TRACE_SQL + """
