@@ -57,43 +57,49 @@ RETRY_STATE = T.StructType([T.StructField("step", T.LongType()), T.StructField("
                             T.StructField("stopped", T.BooleanType())])
 
 
-class RetryBudget(StatefulProcessor):
-    """K3: per run, count steps and failures; stop (and ignore later steps) once the
-    failures exceed ``max_retries``. State: one small value per run.
-
-    A state TTL needs processing-time mode, which keeps an ``availableNow`` query
-    from finishing in Spark 4.1; ``ttl_ms`` is applied only when the caller runs
-    the processor with ``timeMode="ProcessingTime"`` on a continuous trigger.
-    """
-
-    def __init__(self, max_retries: int = 3, ttl_ms: int | None = None):
-        self.max_retries = max_retries
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("budget", RETRY_STATE, self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort")
-        if self.state.exists():
-            step, retries, stopped = self.state.get()
-        else:
-            step, retries, stopped = 0, 0, False
-        out = []
-        for content in pdf["content"].tolist():
-            if stopped:
-                break
-            step += 1
-            retries += int(str(content).startswith("Error:"))
-            action = "continue"
-            if retries > self.max_retries:
-                action, stopped = "stop", True
-            out.append((int(key[0]), step, retries, action))
-        self.state.update((step, retries, stopped))
-        yield pd.DataFrame(out, columns=["user_id", "step", "retries", "action"])
-
-    def close(self) -> None:
-        pass
+def retry_budget_processor(max_retries: int = 3, ttl_ms: int | None = None) -> StatefulProcessor:
+    """K3 processor. The class is built inside this function so it travels to the Python
+    workers by value: they need pyspark, not this package, on their path."""
+
+    class RetryBudget(StatefulProcessor):
+        """K3: per run, count steps and failures; stop (and ignore later steps) once the
+        failures exceed ``max_retries``. State: one small value per run.
+
+        A state TTL needs processing-time mode, which keeps an ``availableNow`` query
+        from finishing in Spark 4.1; ``ttl_ms`` is applied only when the caller runs
+        the processor with ``timeMode="ProcessingTime"`` on a continuous trigger.
+        """
+
+        def __init__(self, max_retries: int = 3, ttl_ms: int | None = None):
+            self.max_retries = max_retries
+            self.ttl_ms = ttl_ms
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.state = handle.getValueState("budget", RETRY_STATE, self.ttl_ms)
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort")
+            if self.state.exists():
+                step, retries, stopped = self.state.get()
+            else:
+                step, retries, stopped = 0, 0, False
+            out = []
+            for content in pdf["content"].tolist():
+                if stopped:
+                    break
+                step += 1
+                retries += int(str(content).startswith("Error:"))
+                action = "continue"
+                if retries > self.max_retries:
+                    action, stopped = "stop", True
+                out.append((int(key[0]), step, retries, action))
+            self.state.update((step, retries, stopped))
+            yield pd.DataFrame(out, columns=["user_id", "step", "retries", "action"])
+
+        def close(self) -> None:
+            pass
+
+    return RetryBudget(max_retries, ttl_ms)
 
 
 def retry_state_stream(trace: DataFrame, max_retries: int = 3, ttl_ms: int | None = None) -> DataFrame:
@@ -102,7 +108,7 @@ def retry_state_stream(trace: DataFrame, max_retries: int = 3, ttl_ms: int | Non
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     mode = "ProcessingTime" if ttl_ms else "None"
     return (trace.groupBy("user_id")
-            .transformWithStateInPandas(statefulProcessor=RetryBudget(max_retries, ttl_ms), outputStructType=RETRY_OUT,
+            .transformWithStateInPandas(statefulProcessor=retry_budget_processor(max_retries, ttl_ms), outputStructType=RETRY_OUT,
                                         outputMode="Append", timeMode=mode))
 
 
