@@ -97,25 +97,40 @@ def neighbour(indexed: DataFrame, group: list[str], cols: list[str], offset: int
 
 def running_sum(df: DataFrame, group: list[str], order: list, value, name: str,
                 num_partitions: int | None = None) -> DataFrame:
-    """``sum(value) over (partition by group order by order rows unbounded preceding)``, skew-safe.
+    """``sum(value) over (partition by group order by order rows unbounded preceding)``, skew-safe."""
+    return running_sums(df, group, order, {name: value}, num_partitions)
+
+
+def running_sums(df: DataFrame, group: list[str], order: list, values: dict,
+                 num_partitions: int | None = None) -> DataFrame:
+    """Several running sums over the same group and order in one pass, skew-safe.
 
     Rows are range-partitioned on (group, order), so a hot group spans several
     partitions. Sums run inside each (group, partition) chunk, and each chunk adds
     the totals of the same group's earlier chunks (a table with one row per chunk,
-    at most one per partition for any group).
+    at most one per partition for any group). ``values`` maps output names to
+    columns; a value of ``1`` gives the 1-based position in the group.
     """
     n = num_partitions or shuffle_partitions(df.sparkSession)
-    val = value if not isinstance(value, str) else F.col(value)
     keys = [F.col(g) for g in group] + list(order)
-    ranged = (df.withColumn("_v", val).repartitionByRange(n, *keys)
+    tmp = {name: f"_v_{i}" for i, name in enumerate(values)}
+    staged = df
+    for name, v in values.items():
+        staged = staged.withColumn(tmp[name], F.col(v) if isinstance(v, str) else
+                                   (v if isinstance(v, Column) else F.lit(v)))
+    ranged = (staged.repartitionByRange(n, *keys)
               .withColumn("_pid", F.spark_partition_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
     w = Window.partitionBy(*group, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_local", F.sum("_v").over(w))
-    chunks = ranged.groupBy(*group, "_pid").agg(F.sum("_v").alias("_tot"))
-    offs = chunks.select(*group, "_pid", F.coalesce(F.sum("_tot").over(
-        Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_off"))
-    return (local.join(offs, group + ["_pid"])
-            .withColumn(name, F.col("_off") + F.col("_local"))
-            .drop("_v", "_pid", "_local", "_off"))
+    local = ranged
+    for name in values:
+        local = local.withColumn("_l" + tmp[name], F.sum(tmp[name]).over(w))
+    chunks = ranged.groupBy(*group, "_pid").agg(*[F.sum(tmp[nm]).alias("_t" + tmp[nm]) for nm in values])
+    wo = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = chunks.select(*group, "_pid", *[F.coalesce(F.sum("_t" + tmp[nm]).over(wo), F.lit(0)).alias("_o" + tmp[nm])
+                                           for nm in values])
+    out = local.join(offs, group + ["_pid"])
+    for name in values:
+        out = out.withColumn(name, F.col("_o" + tmp[name]) + F.col("_l" + tmp[name]))
+    drop = ["_pid"] + [c for nm in values for c in (tmp[nm], "_l" + tmp[nm], "_o" + tmp[nm])]
+    return out.drop(*drop)

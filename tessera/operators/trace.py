@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import neighbour, running_sum
+from tessera.operators.ordering import neighbour, running_sums
 
 
 def failed(content) -> Column:
@@ -30,14 +30,16 @@ def verify_gate(trace: DataFrame, run: str, step: str, content: str) -> DataFram
             .drop("_first_fail"))
 
 
-def retry_budget(trace: DataFrame, run: str, step: str, content: str, max_retries: int = 3) -> DataFrame:
+def retry_budget(trace: DataFrame, run: str, order: list[str], content: str, max_retries: int = 3) -> DataFrame:
     """V2: running count of failures per run; the run stops (error answer) once it exceeds
-    ``max_retries``; steps after the stopping step are dropped."""
-    r = running_sum(trace, [run], [F.col(step)], failed(F.col(content)).cast("long"), "retries")
-    stop = r.where(F.col("retries") > max_retries).groupBy(run).agg(F.min(step).alias("_stop"))
+    ``max_retries``; steps after the stopping step are dropped. Step numbers and the
+    failure count come from one skew-safe running pass over (run, order)."""
+    r = running_sums(trace, [run], [F.col(c) for c in order],
+                     {"step": F.lit(1).cast("long"), "retries": failed(F.col(content)).cast("long")})
+    stop = r.where(F.col("retries") > max_retries).groupBy(run).agg(F.min("step").alias("_stop"))
     return (r.join(stop, run, "left")
-            .where(F.col("_stop").isNull() | (F.col(step) <= F.col("_stop")))
-            .withColumn("action", F.when(F.col(step) == F.col("_stop"), F.lit("stop")).otherwise(F.lit("continue")))
+            .where(F.col("_stop").isNull() | (F.col("step") <= F.col("_stop")))
+            .withColumn("action", F.when(F.col("step") == F.col("_stop"), F.lit("stop")).otherwise(F.lit("continue")))
             .drop("_stop"))
 
 

@@ -57,7 +57,8 @@ SELECT r.user_id, r.step, CAST(r.retries AS BIGINT) AS retries, CASE WHEN r.step
 FROM r LEFT JOIN s USING (user_id) WHERE s.st IS NULL OR r.step <= s.st
 """)
 def v2(spark, sf):
-    return tr.retry_budget(trace(spark, sf), "user_id", "step", "content", 3).select("user_id", "step", "retries", "action")
+    return tr.retry_budget(events_trace(spark, sf), "user_id", ["ts", "event_id"], "content", 3).select(
+        "user_id", "step", "retries", "action")
 
 
 @register("v3_loop_stats", TRACE_SQL + """

@@ -163,7 +163,7 @@ def test_verify_gate_and_retry(spark):
     v = sorted(rows(tr.verify_gate(t, "run", "step", "content"), "run", "step", "status"))
     assert v == [(1, 1, "passed"), (1, 2, "Verification Failed: Error: x"), (2, 1, "passed")]
     fails = spark.createDataFrame([(1, s, "Error: e") for s in range(1, 7)], "run long, step long, content string")
-    r = sorted(rows(tr.retry_budget(fails, "run", "step", "content", 3), "step", "retries", "action"))
+    r = sorted(rows(tr.retry_budget(fails, "run", ["step"], "content", 3), "step", "retries", "action"))
     assert r[-1] == (4, 4, "stop") and len(r) == 4
 
 
