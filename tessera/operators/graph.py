@@ -74,8 +74,11 @@ def graph_typed_match(nodes: DataFrame, edges: DataFrame, src_type: str, rel_typ
 
 
 def rename_classes(df: DataFrame, col: str, mapping: DataFrame, new: str) -> DataFrame:
-    """Equi lookup of a class name; rows whose class has no mapping are dropped (inner)."""
-    return df.join(F.broadcast(mapping), df[col] == mapping["from_name"], "inner").drop("from_name") \
+    """Equi lookup of a class name; rows whose class has no mapping are dropped (inner).
+
+    No broadcast hint: the mapping is caller data of unknown size, so AQE broadcasts
+    it only when its run-time size is under the threshold, else it sort-merges."""
+    return df.join(mapping, df[col] == mapping["from_name"], "inner").drop("from_name") \
         .withColumnRenamed("to_name", new)
 
 
