@@ -30,6 +30,24 @@ from pyspark.sql import functions as F
 
 from tessera.session import shuffle_partitions
 
+# Range-partitioned inputs persisted by the helpers below, so a caller that is done
+# with its results can free them (``release_persisted``).
+_PERSISTED: list[DataFrame] = []
+
+
+def _persist(df: DataFrame) -> DataFrame:
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+def release_persisted() -> int:
+    """Unpersist every range-partitioned input cached by this module; returns how many."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n
+
 
 def md5_order(id_col, seed: str) -> Column:
     """Reproducible pseudo-random sort key: md5 of id || seed (same hex in DuckDB)."""
@@ -49,8 +67,8 @@ def with_global_index(df: DataFrame, order: list, name: str = "_gidx",
                .sortWithinPartitions(*order)
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_local", F.monotonically_increasing_id()
-                           - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-               .persist(StorageLevel.MEMORY_AND_DISK))
+                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    ordered = _persist(ordered)
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",
@@ -118,9 +136,7 @@ def running_sums(df: DataFrame, group: list[str], order: list, values: dict,
     for name, v in values.items():
         staged = staged.withColumn(tmp[name], F.col(v) if isinstance(v, str) else
                                    (v if isinstance(v, Column) else F.lit(v)))
-    ranged = (staged.repartitionByRange(n, *keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = _persist(staged.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy(*group, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged
     for name in values:
