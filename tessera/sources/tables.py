@@ -26,7 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     if spread:
         try:
             par = spark.sparkContext.defaultParallelism
-            if _size_bytes(spark, path) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < par:
+            # split count first: a large table short-circuits before any size listing
+            if df.rdd.getNumPartitions() < par and _size_bytes(spark, path) >= SPREAD_MIN_BYTES:
                 df = df.repartition(par)
         except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): keep the plain scan
             pass
