@@ -79,6 +79,11 @@ def main():
             bad += 1
             continue
         a, b = rows_of(scols, srows), rows_of(dcols, drows)
+        import math as _m
+        negz = sum(1 for rows in (srows, drows) for r in rows for v in r
+                   if isinstance(v, float) and v == 0.0 and _m.copysign(1.0, v) < 0)
+        if negz:
+            print(f"NOTE {name}: {negz} negative zeros")
         if a != b:
             bad += 1
             from collections import Counter
