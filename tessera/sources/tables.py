@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -23,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
         raise ValueError(f"unknown table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    if spread:
+    if spread and os.environ.get("TESSERA_SPREAD", "1") != "0":
         try:
             par = spark.sparkContext.defaultParallelism
             # split count first: a large table short-circuits before any size listing
