@@ -72,12 +72,19 @@ def agent_transitions(indexed: DataFrame, run: str, agent: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def trace_render(trace: DataFrame, run: str, step: str, type_col: str, content: str, tool_calls: Column) -> DataFrame:
-    """Message history as text, ``type: content tool_calls`` per line, in step order."""
+def trace_render(trace: DataFrame, run: list[str], order: list[str], type_col: str, content: str,
+                 tool_calls: Column) -> DataFrame:
+    """Message history as text, ``type: content tool_calls`` per line, in ``order``.
+
+    The history string is the output itself, so one run is gathered into one row;
+    lines are built before the shuffle so only strings travel. A run is one agent
+    session (bounded by the step limit), not a user's whole lifetime.
+    """
     line = F.concat_ws(" ", F.concat(F.col(type_col), F.lit(": "), F.col(content)), tool_calls)
-    return (trace.select(run, F.struct(F.col(step).alias("s"), line.alias("l")).alias("_sl"))
-            .groupBy(run).agg(F.array_join(F.transform(F.array_sort(F.collect_list("_sl")), lambda x: x["l"]), "\n")
-                              .alias("history")))
+    key = F.struct(*[F.col(c) for c in order]).alias("s")
+    return (trace.select(*run, F.struct(key, line.alias("l")).alias("_sl"))
+            .groupBy(*run).agg(F.array_join(F.transform(F.array_sort(F.collect_list("_sl")), lambda x: x["l"]), "\n")
+                               .alias("history")))
 
 
 def merge_reports(reports: DataFrame, request: list[str], persona: str, order: str, text: str,

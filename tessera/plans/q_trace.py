@@ -87,14 +87,17 @@ def w10(spark, sf):
     return tr.agent_transitions(trace(spark, sf, keep_index=True), "user_id", "event_type")
 
 
-@register("c8_trace_render", TRACE_SQL + """
-SELECT user_id, string_agg(event_type || ': ' || content || CASE WHEN event_type = 'click' THEN ' [tool:web_search]' ELSE '' END,
-                           chr(10) ORDER BY step) AS history FROM t GROUP BY user_id
+@register("c8_trace_render", f"""
+SELECT user_id, CAST(dayofmonth(ts) AS INTEGER) AS day,
+       string_agg(event_type || ': ' || {CONTENT_SQL} || CASE WHEN event_type = 'click' THEN ' [tool:web_search]' ELSE '' END,
+                  chr(10) ORDER BY ts, event_id) AS history
+FROM events GROUP BY user_id, day
 """)
 def c8(spark, sf):
-    t = trace(spark, sf)
+    """Run = one user's session of a day (as for C10)."""
+    t = events_trace(spark, sf).withColumn("day", F.dayofmonth("ts"))
     calls = F.when(F.col("event_type") == "click", F.lit("[tool:web_search]"))
-    return tr.trace_render(t, "user_id", "step", "event_type", "content", calls)
+    return tr.trace_render(t, ["user_id", "day"], ["ts", "event_id"], "event_type", "content", calls)
 
 
 @register("c9_merge_reports", f"""
