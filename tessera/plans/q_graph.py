@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import graph as gr
 from tessera.operators.graph import node_id
-from tessera.plans.q_trace import trace
+from tessera.plans.q_trace import indexed_trace
 from tessera.plans.q_vectors import knn
 from tessera.plans.registry import register
 from tessera.sources.tables import table
@@ -202,7 +202,7 @@ SELECT array_to_string(path, '>') AS path, CAST(depth AS INTEGER) AS depth FROM
 WHERE last = 'purchase' AND depth = (SELECT min(depth) FROM p WHERE last = 'purchase')
 """)
 def x1(spark, sf):
-    t = trace(spark, sf, keep_index=True)
+    t = indexed_trace(spark, sf)
     from tessera.operators.ordering import neighbour
     j = neighbour(t, ["user_id"], ["event_type"], 1, prefix="prev_").where(F.col("prev_event_type").isNotNull())
     e = j.select(F.col("prev_event_type").alias("src"), F.col("event_type").alias("dst"))

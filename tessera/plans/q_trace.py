@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.numeric import r6
 
 from tessera.operators import trace as tr
-from tessera.operators.ordering import rank_in_groups
+from tessera.operators.ordering import rank_in_groups, with_global_index
 from tessera.plans.q_text import K_SQL, STEP_SQL, TOOL_RE, _k, plan_steps
 from tessera.operators.text import parse_tool_call
 from tessera.plans.registry import register
@@ -29,6 +29,12 @@ def events_trace(spark, sf) -> DataFrame:
     return e.withColumn("content", content_col())
 
 
+def indexed_trace(spark, sf) -> DataFrame:
+    """Trace rows with the global position ``_gidx`` in (user, ts, event_id) order - enough
+    for previous/next-step joins, without per-run step numbers."""
+    return with_global_index(events_trace(spark, sf), [F.col("user_id"), F.col("ts"), F.col("event_id")], "_gidx")
+
+
 def trace(spark, sf, keep_index: bool = False) -> DataFrame:
     return rank_in_groups(events_trace(spark, sf), ["user_id"], [F.col("ts"), F.col("event_id")], "step", keep_index)
 
@@ -84,7 +90,7 @@ FROM (SELECT event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ste
 GROUP BY prev, event_type
 """)
 def w10(spark, sf):
-    return tr.agent_transitions(trace(spark, sf, keep_index=True), "user_id", "event_type")
+    return tr.agent_transitions(indexed_trace(spark, sf), "user_id", "event_type")
 
 
 @register("c8_trace_render", f"""
