@@ -5,6 +5,7 @@ Usage: python tools/oracle_check.py [sf_dir] [name-substring ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -42,7 +43,11 @@ def rows_of(cols, rows):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 and sys.argv[1].startswith("/") else "/root/testdata/sf0.01"
     pats = [a for a in sys.argv[1:] if not a.startswith("/")]
-    spark = get_spark("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION") == "1":  # a session with Spark's defaults, as a driver may build it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_spark("local[8]", 8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
