@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tessera.llm import quality
+from tessera.llm.sharding import stratified_shards
 from tessera.llm.simhash import simhash_components
 from tessera.llm.workspace import Workspace, documents
 
@@ -24,3 +26,21 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"),
                         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.ledger(documents(spark, sf_dir))
+    base_failed = ~quality.passes("base-1")
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       base_failed.alias("base_failed"), (~base_failed & quality.passes("full-1")).alias("kept"))
+
+
+ORACLE_SQL["op3_quality_rules"] = quality.ORACLE
+
+
+@query
+def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stratified_shards(documents(spark, sf_dir), Workspace(spark, "op9"), "doc_id", "source", "text", shards=8)
+    return rows.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
