@@ -7,14 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import quality
+from tessera.llm.bpe import bpe_decode, bpe_encode
+from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import stratified_shards
 from tessera.llm.simhash import simhash_components
+from tessera.llm.tokenfile import token_file_index, write_token_files
 from tessera.llm.workspace import Workspace, documents
 
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -28,6 +40,15 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+@query
+def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary(WORD_BPE)
+    rows = bpe_decode(bpe_encode(documents(spark, sf_dir), path), path)
+    return rows.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(documents(spark, sf_dir))
@@ -39,8 +60,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op3_quality_rules"] = quality.ORACLE
 
 
+@query
+def op8_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), Workspace(spark, "op8"), vocabulary(WORD_BPE))
+
+
 @query
 def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stratified_shards(documents(spark, sf_dir), Workspace(spark, "op9"), "doc_id", "source", "text", shards=8)
     return rows.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = Workspace(spark, "op10")
+    write_token_files(documents(spark, sf_dir), ws.path("tokens"), vocabulary(BYTE_BPE))
+    return token_file_index(spark, ws.path("tokens"), ws)
