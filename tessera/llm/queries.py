@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import quality
+from tessera.llm import quality, toxicity
 from tessera.llm.bpe import bpe_decode, bpe_encode
 from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import stratified_shards
 from tessera.llm.simhash import simhash_components
 from tessera.llm.tokenfile import token_file_index, write_token_files
+from tessera.llm.warc import resolved_index, write_archives
 from tessera.llm.workspace import Workspace, documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -60,6 +61,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op3_quality_rules"] = quality.ORACLE
 
 
+@query
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = Workspace(spark, "op5")
+    write_archives(documents(spark, sf_dir, "pages"), ws.path("archives"), ws)
+    return resolved_index(spark, ws.path("archives"), ws)
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, documents(spark, sf_dir, "labels"), Workspace(spark, "op6"))
+    rows = toxicity.add_scores(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                       (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query
 def op8_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), Workspace(spark, "op8"), vocabulary(WORD_BPE))
