@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import quality, toxicity
 from tessera.llm.bpe import bpe_decode, bpe_encode
+from tessera.llm.embeddings import embedding_links
 from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import stratified_shards
 from tessera.llm.simhash import simhash_components
+from tessera.llm.substring import substring_index
 from tessera.llm.tokenfile import token_file_index, write_token_files
 from tessera.llm.warc import resolved_index, write_archives
 from tessera.llm.workspace import Workspace, documents
@@ -61,6 +63,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op3_quality_rules"] = quality.ORACLE
 
 
+@query
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(documents(spark, sf_dir, "embeddings"), Workspace(spark, "op4"), threshold=0.98)
+
+
 @query
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "op5")
@@ -77,6 +84,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_index(documents(spark, sf_dir), Workspace(spark, "op7"))
+
+
 @query
 def op8_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), Workspace(spark, "op8"), vocabulary(WORD_BPE))
