@@ -9,6 +9,7 @@ the stored tokens back from the end gives the exact ids, in time linear in the w
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,20 +17,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.tokens import MEMO_ENTRIES, ChunkEncoder, in_slices, worker_encoder
+from tessera.llm.tokens import ChunkEncoder, in_slices, worker_encoder
 
 WORD_END = "</w>"
+MEMO_PAIRS = 400_000  # remembered pair tests; they start anew beyond it
 END_PLANE = 0xF0000  # a word's last symbol is its character in this plane, so that it is one code point
 
 
-def byte_letters() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies: printable Latin-1 bytes are
-    themselves, the others follow from U+0100 on in order."""
-    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]
-    rest = iter(range(256, 512))
-    return [chr(b) if b in set(own) else chr(next(rest)) for b in range(256)]
-
-
 class PrefixEncoder(ChunkEncoder):
     """Ids of texts by prefix tables; the library only normalises and splits texts beyond Latin letters."""
 
@@ -63,8 +57,6 @@ class PrefixEncoder(ChunkEncoder):
                         break
                     grows, part = self.rank[halves[part]], halves[part][side]
                 edges[i] = found[::-1]
-        letters = byte_letters()
-        self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x250)}
         self.special_ids = {t: self.library.token_to_id(t) for t in self.specials}
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")").split if self.specials else None
 
@@ -89,7 +81,7 @@ class PrefixEncoder(ChunkEncoder):
         """Does a, b encode to itself? Replays the growth of both edges: no merge across may come first."""
         found = self.compatible.get(a << 32 | b)
         if found is None:
-            if len(self.compatible) > 2 * MEMO_ENTRIES:
+            if len(self.compatible) > MEMO_PAIRS:
                 self.compatible.clear()
             left, right, i, j = self.right_edge[a], self.left_edge[b], 0, 0
             while True:
@@ -130,7 +122,7 @@ class PrefixEncoder(ChunkEncoder):
         return out[::-1]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(self.word(p.translate(self.letters)), self.dtype).tobytes() for p in pieces]
+        return [array(self.dtype.char, self.word(self._spell(p))).tobytes() for p in pieces]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(self._ids(t), self.dtype).tobytes() for t in texts]
@@ -143,47 +135,79 @@ class PrefixEncoder(ChunkEncoder):
         return [i for w, _ in self.library.pre_tokenizer.pre_tokenize_str(norm) for i in self.word(w)]
 
 
+def _spellings(vocabulary: str) -> pa.StringArray:
+    """Every token's spelling by id, special tokens included."""
+    with open(vocabulary, encoding="utf-8") as f:
+        spec = json.load(f)
+    names = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    spelled = [""] * (max(names.values()) + 1)
+    for t, i in names.items():
+        spelled[i] = t
+    return pa.array(spelled, pa.string())
+
+
+def _encoded(encoder: PrefixEncoder, texts: pa.StringArray) -> Iterator[tuple[int, pa.ListArray]]:
+    """(first row, ids) of consecutive parts of a batch."""
+    for start, part in in_slices(texts, 6 << 20):
+        ids, offsets = encoder.encode(part)
+        yield start, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
+
+
+def _decoded(lists: pa.ListArray, spelled: pa.StringArray) -> Iterator[tuple[int, pa.ListArray, pa.StringArray]]:
+    """(first row, ids, decoded text) of consecutive parts of a batch, some million tokens at a time."""
+    sizes = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())))
+    at = 0
+    while at < len(lists):
+        stop = max(at + 1, int(np.searchsorted(sizes, sizes[at] + (1 << 22))) - 1)
+        part = lists.slice(at, stop - at)
+        words = pa.ListArray.from_arrays(pa.array((sizes[at:stop + 1] - sizes[at]).astype(np.int32)), spelled.take(part.flatten()))
+        yield at, part, pc.binary_join(words, " ")
+        at = stop
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>"
+
+
 def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) per row. A null text is empty and has no ids; repeated rows stay."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows, schema = _texts(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(vocabulary, PrefixEncoder)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for start, stop in in_slices(texts):
-                ids = encoder.encode(texts[start:stop])
-                ends = np.cumsum([0] + [len(x) // encoder.dtype.itemsize for x in ids])
-                flat = np.frombuffer(b"".join(ids), encoder.dtype).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, stop - start), lists], names=["id", "ids"])
+            for start, lists in _encoded(encoder, b.column(1)):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, len(lists)), lists], names=["id", "ids"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(run, schema)
 
 
 def bpe_decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
-    """``rows`` (id, ids) plus ``decoded``: the tokens' spellings joined by one space, special ones included.
+    """(id, ids) plus ``decoded``: the tokens' spellings joined by one space, special ones included.
 
     That is the library's decoding for files without a decoder. A null or empty list decodes to "".
     """
     rows = rows.select("id", F.col(ids_col).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(vocabulary, encoding="utf-8") as f:
-            spec = json.load(f)
-        names = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
-        spelled = [""] * (max(names.values()) + 1)
-        for t, i in names.items():
-            spelled[i] = t
-        table = pa.array(spelled, pa.string())
+        spelled = _spellings(vocabulary)
         for b in batches:
-            sizes = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(b.column(1)), 0).to_numpy())))
-            at = 0
-            while at < b.num_rows:  # some million tokens at a time
-                stop = max(at + 1, int(np.searchsorted(sizes, sizes[at] + (1 << 23))) - 1)
-                part = b.slice(at, stop - at)
-                lists = pa.ListArray.from_arrays(pa.array((sizes[at:stop + 1] - sizes[at]).astype(np.int32)), table.take(part.column(1).flatten()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pc.binary_join(lists, " ")], names=["id", "ids", "decoded"])
-                at = stop
+            for start, lists, decoded in _decoded(b.column(1), spelled):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, len(lists)), lists, decoded], names=["id", "ids", "decoded"])
 
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, decoded string")
+
+
+def bpe_round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``bpe_decode(bpe_encode(docs))`` in one pass, with one Python worker per task instead of two."""
+    rows, schema = _texts(docs, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, spelled = worker_encoder(vocabulary, PrefixEncoder), _spellings(vocabulary)
+        for b in batches:
+            for start, lists in _encoded(encoder, b.column(1)):
+                for at, part, decoded in _decoded(lists, spelled):
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(start + at, len(part)), part, decoded], names=["id", "ids", "decoded"])
+
+    return rows.mapInArrow(run, schema + ", decoded string")

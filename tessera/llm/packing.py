@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tessera.llm.tokenfile import parts_for
-from tessera.llm.tokens import in_slices, worker_encoder
+from tessera.llm.tokenfile import encode_stream, parts_for
 from tessera.llm.workspace import Workspace
 
 WINDOW = 4096
@@ -81,11 +80,9 @@ def best_cuts(where: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> n
     return np.array(chosen[::-1], np.int64)
 
 
-def pack_stream(ids: list[bytes], width: int, ends: np.ndarray, window: int = WINDOW) -> dict[str, np.ndarray]:
-    """Pieces of one stream of documents, each the little-endian ids of a whole document."""
-    flat = np.frombuffer(b"".join(ids), f"<u{width}")
-    doc_end = np.cumsum([len(x) // width for x in ids])
-    doc_start = np.concatenate(([0], doc_end[:-1]))
+def pack_stream(flat: np.ndarray, offsets: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> dict[str, np.ndarray]:
+    """Pieces of one stream of documents, given their ids and where each document begins."""
+    doc_start, doc_end = offsets[:-1], offsets[1:]
     cuts = best_cuts(*candidate_cuts(flat, doc_end, ends), window)
     stops = np.union1d(cuts, doc_end)
     starts = np.concatenate(([0], stops[:-1]))
@@ -122,17 +119,11 @@ def pack_documents(docs: DataFrame, ws: Workspace, vocabulary: str, id_col: str
     rows = rows.repartitionByRange(parts_for(docs, text_col, part_bytes), "id").sortWithinPartitions("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(vocabulary)
-        end = np.array([end_id], encoder.dtype).tobytes()
-        ids, numbers = [], []
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for start, stop in in_slices(texts):
-                ids += [x + end for x in encoder.encode(texts[start:stop])]
-            numbers.append(b.column(0))
-        if ids:
-            found = pack_stream(ids, encoder.dtype.itemsize, sentence_ends(vocabulary), window)
-            number = pa.chunked_array(numbers).combine_chunks().take(pa.array(found.pop("doc")))
+        stream = encode_stream(batches, vocabulary, end_id)
+        if stream:
+            ids, offsets, numbers = stream
+            found = pack_stream(ids, offsets, sentence_ends(vocabulary), window)
+            number = numbers.take(pa.array(found.pop("doc")))
             part = pa.array(np.full(len(number), TaskContext.get().partitionId(), np.int32))
             yield pa.RecordBatch.from_arrays([part, number, *map(pa.array, found.values())], names=["part", "doc_id", *found])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import quality, toxicity
-from tessera.llm.bpe import bpe_decode, bpe_encode
+from tessera.llm.bpe import bpe_round_trip
 from tessera.llm.embeddings import embedding_links
 from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import stratified_shards
@@ -45,8 +45,7 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary(WORD_BPE)
-    rows = bpe_decode(bpe_encode(documents(spark, sf_dir), path), path)
+    rows = bpe_round_trip(documents(spark, sf_dir), vocabulary(WORD_BPE))
     return rows.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

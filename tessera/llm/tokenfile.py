@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tessera.llm.tokens import in_slices, worker_encoder
+from tessera.llm.tokens import in_slices, with_end, worker_encoder
 from tessera.llm.workspace import Workspace
 
 PART_BYTES = 16 << 20  # UTF-8 bytes of text that one file stands for, on average
@@ -39,13 +39,28 @@ def _pad8(data: bytes) -> bytes:
     return data + bytes(-len(data) % 8)
 
 
-def file_bytes(ids: list[bytes], doc_ids: pa.Array, width: int) -> bytes:
+def file_bytes(ids: np.ndarray, offsets: np.ndarray, doc_ids: pa.Array) -> bytes:
     """The content of one file but for the tail."""
-    ends = np.cumsum([0] + [len(x) // width for x in ids], dtype="<i8")
     known = doc_ids.is_valid().to_numpy(zero_copy_only=False)
-    numbers = doc_ids.fill_null(0).cast(pa.int64()).to_numpy().astype("<i8")
-    footer = np.array([len(ids), ends[-1], width], "<i8")
-    return b"".join([_pad8(b"".join(ids)), ends.tobytes(), numbers.tobytes(), _pad8(known.astype("u1").tobytes()), footer.tobytes()])
+    numbers = doc_ids.fill_null(0).cast(pa.int64()).to_numpy()
+    footer = np.array([len(numbers), len(ids), ids.dtype.itemsize], "<i8")
+    return b"".join([_pad8(ids.tobytes()), offsets.astype("<i8").tobytes(), numbers.astype("<i8").tobytes(),
+                     _pad8(known.astype("u1").tobytes()), footer.tobytes()])
+
+
+def encode_stream(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -> tuple[np.ndarray, np.ndarray, pa.Array] | None:
+    """(ids with end ids, offsets, document ids) of all (id, text) rows of a partition; None without rows."""
+    encoder = worker_encoder(vocabulary)
+    ids, sizes, numbers = [], [np.zeros(1, np.int64)], []
+    for b in batches:
+        for _, part in in_slices(b.column(1)):
+            found, offsets = with_end(*encoder.encode(part), end_id)
+            ids.append(found)
+            sizes.append(np.diff(offsets))
+        numbers.append(b.column(0))
+    if not ids:
+        return None
+    return np.concatenate(ids), np.cumsum(np.concatenate(sizes)), pa.chunked_array(numbers).combine_chunks()
 
 
 def parse_file(data) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -75,17 +90,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str =
     rows = rows.repartitionByRange(parts_for(docs, text_col, part_bytes), "id").sortWithinPartitions("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(vocabulary)
-        end = np.array([end_id], encoder.dtype).tobytes()
-        ids, numbers = [], []
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for start, stop in in_slices(texts):
-                ids += [x + end for x in encoder.encode(texts[start:stop])]
-            numbers.append(b.column(0))
-        if ids:
-            content = file_bytes(ids, pa.chunked_array(numbers).combine_chunks(), encoder.dtype.itemsize)
-            yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["content"])
+        stream = encode_stream(batches, vocabulary, end_id)
+        if stream:
+            yield pa.RecordBatch.from_arrays([pa.array([file_bytes(*stream)], pa.binary())], names=["content"])
 
     files = rows.mapInArrow(run, "content binary")
     files.select(F.col("content").cast("string").alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
