@@ -112,6 +112,16 @@ def reaches(g: list[int], at: list[int], first: list[int], last: list[int]) -> t
     return left, right
 
 
+def first_of_cluster(g: np.ndarray, doc: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Places of the minima that no equal minimum of the same text precedes within ``width``.
+
+    Equal hashes close together are one repeating shingle; the first one's window reaches over the others.
+    """
+    order = np.lexsort((at, g, doc))
+    again = (doc[order][1:] == doc[order][:-1]) & (g[order][1:] == g[order][:-1]) & (np.diff(at[order]) < width)
+    return np.sort(order[np.concatenate((np.ones(min(1, len(order)), bool), ~again))])
+
+
 WINDOWS = ["key", "ord", "u", "c", "left", "right", "r_ord", "r_u", "r_c", "r_left", "r_right"]
 
 
@@ -133,8 +143,9 @@ def compact_windows(batch: pa.RecordBatch, width: int, hashes: int) -> list[np.n
         at = window_minima(g, number, width)
         doc = number[at]
         left, right = reaches(g[at].tolist(), at.tolist(), start[doc].tolist(), (start[doc] + size[doc] - 1).tolist())
-        c = at - start[doc]
-        out.append([g[at].view(np.int64), ord_[doc], u[doc], c, at - np.array(left, np.int64), np.array(right, np.int64) - at])
+        once = first_of_cluster(g[at], doc, at, width)
+        doc, at, left, right = doc[once], at[once], np.array(left, np.int64)[once], np.array(right, np.int64)[once]
+        out.append([g[at].view(np.int64), ord_[doc], u[doc], at - start[doc], at - left, right - at])
     return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
@@ -210,12 +221,20 @@ def passage_links(rows: DataFrame, ws: Workspace, width: int, hashes: int = HASH
     return ws.put(found.mapInArrow(meet, schema).select("ord", "u", "c", "left", "right", "r_ord", "r_u", "r_c"), "links")
 
 
-def matching_spans(a: np.ndarray, b: np.ndarray, width: int) -> list[tuple[int, int, int, int, float]]:
-    """(start, stop, start in b, stop in b, similarity) of passages of shingles ``a`` that recur in ``b``."""
+def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list[tuple[int, int, int, int, float]]:
+    """(start, stop, start in b, stop in b, similarity) of passages of shingles ``a`` that recur in ``b``.
+
+    A shingle that occurs at its place plus ``shift`` in b is taken there, others where they first occur.
+    """
     order = np.argsort(b, kind="stable")
     there = np.searchsorted(b[order], a)
     hit = there < len(b)
     hit[hit] = b[order[there[hit]]] == a[hit]
+    other_of = np.where(hit, order[np.minimum(there, len(b) - 1)], 0)
+    straight = np.arange(len(a)) + shift
+    inside = (straight >= 0) & (straight < len(b))
+    inside[inside] = b[straight[inside]] == a[inside]
+    other_of[inside] = straight[inside]
     places = np.flatnonzero(hit)
     spans, todo = [], [places]
     for gap in (3 * SHINGLE, 2 * SHINGLE, SHINGLE + 1, 1):
@@ -225,9 +244,8 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int) -> list[tuple[int,
                 if not len(part) or part[-1] - part[0] + 1 < width:
                     continue
                 s, e = int(part[0]), int(part[-1]) + 1
-                other = order[there[part]]
-                middle = int(np.median(other - part))  # the usual shift; repeats inside b may lie elsewhere
-                near = other[np.abs(other - part - middle) <= SLACK]
+                other = other_of[part]
+                near = other[np.abs(other - part - shift) <= SLACK]  # not its repeats elsewhere in b
                 t, w = (int(near.min()), int(near.max()) + 1) if len(near) else (0, 0)
                 mine, its = np.unique(a[s:e]), np.unique(b[t:w])
                 both = len(np.intersect1d(mine, its, assume_unique=True))
@@ -271,24 +289,24 @@ def repeated_passages(rows: DataFrame, ws: Workspace, min_words: int = MIN_WORDS
     down = lambda c: F.greatest(F.floor((c - SLACK) / GRID) * GRID, F.lit(0))
     up = lambda c: F.ceil((c + SLACK + SHINGLE) / GRID) * GRID
     runs = ws.put(runs.select("u", "ord", "r_u", "r_ord", down(F.col("lo")).alias("s"), up(F.col("hi")).alias("e"),
-                              down(F.col("lo") - F.col("shift")).alias("r_s"), up(F.col("hi") - F.col("shift")).alias("r_e")).distinct(), "runs")
-    slices = fetch(rows, runs.select("u", "s", "e").union(runs.select("r_u", "r_s", "r_e")), ws)
+                              down(F.col("lo") - F.col("shift")).alias("r_s"), up(F.col("hi") - F.col("shift")).alias("r_e"), "shift"), "runs")
+    slices = fetch(rows, runs.select("u", "s", "e").union(runs.select("r_u", "r_s", "r_e")).distinct(), ws)
     pairs = runs.join(slices, ["u", "s", "e"]).join(slices.select(F.col("u").alias("r_u"), F.col("s").alias("r_s"), F.col("e").alias("r_e"), F.col("words").alias("r_words")), ["r_u", "r_s", "r_e"])
-    pairs = pairs.select("ord", "u", "s", "r_ord", "r_u", "r_s", "words", "r_words")
+    pairs = pairs.select("ord", "u", "s", "r_ord", "r_u", "r_s", (F.col("s") - F.col("shift") - F.col("r_s")).alias("d"), "words", "r_words")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["ord", "u", "start", "stop", "r_ord", "r_u", "r_start", "r_stop", "similarity"]
         for b in batches:
-            mine, bounds = word_hashes(b.column(6))
-            its, r_bounds = word_hashes(b.column(7))
-            heads = [b.column(k).to_numpy() for k in range(6)]
+            mine, bounds = word_hashes(b.column(7))
+            its, r_bounds = word_hashes(b.column(8))
+            heads = [b.column(k).to_numpy() for k in range(7)]
             out = []
             for k in range(b.num_rows):
                 x, y = shingle_hashes(mine[bounds[k]:bounds[k + 1]]), shingle_hashes(its[r_bounds[k]:r_bounds[k + 1]])
                 if not len(x) or not len(y):
                     continue
-                o, u, s, ro, ru, rs = (int(h[k]) for h in heads)
-                out += [(o, u, s + p, s + q + SHINGLE - 1, ro, ru, rs + t, rs + w + SHINGLE - 1, z) for p, q, t, w, z in matching_spans(x, y, width)]
+                o, u, s, ro, ru, rs, d = (int(h[k]) for h in heads)
+                out += [(o, u, s + p, s + q + SHINGLE - 1, ro, ru, rs + t, rs + w + SHINGLE - 1, z) for p, q, t, w, z in matching_spans(x, y, width, d)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
 
