@@ -62,7 +62,7 @@ def char_tokens(col) -> Column:
 def ensure_question_mark(col) -> Column:
     """Append a full-width question mark unless the text ends in ? or ？."""
     c = _c(col)
-    return F.when(c.rlike("[?？]$"), c).otherwise(F.concat(c, F.lit("？")))
+    return F.when(c.endswith("?") | c.endswith("？"), c).otherwise(F.concat(c, F.lit("？")))
 
 
 def count_keywords(col, words: list[str]) -> Column:
@@ -78,7 +78,8 @@ def extract_reply(col, mode: str = "ppo", prompt=None) -> Column:
     """Text after the last assistant header.
 
     ``ppo``: remove every end mark, strip; without a marker remove the prompt text and strip.
-    ``trl``: marker includes the newline; cut at the first end mark; no strip.
+    ``trl``: marker includes the newline; cut at the first end mark; no strip; without a marker
+    the text freed of the two special tokens.
     """
     c = _c(col)
     if mode == "ppo":
@@ -91,7 +92,8 @@ def extract_reply(col, mode: str = "ppo", prompt=None) -> Column:
         marker = IM_START + "assistant\n"
         after = F.element_at(F.split(c, _regex_quote(marker)), -1)
         cut = F.element_at(F.split(after, _regex_quote(IM_END), 2), 1)
-        return F.when(F.instr(c, marker) > 0, cut).otherwise(F.lit(None).cast("string"))
+        return F.when(F.instr(c, marker) > 0, cut).otherwise(
+            F.replace(F.replace(c, F.lit(IM_START), F.lit("")), F.lit(IM_END), F.lit("")))
     raise ValueError(mode)
 
 

@@ -1,9 +1,9 @@
 """Chat templates and training rows (C1-C7, C11 helpers, M1).
 
-Input is the long dialog table ``conv_id, turn, role, text`` where ``turn`` is the
-0-based position in the dialog. "Next turn" is an equi join on (conv_id, turn + 1):
-the key is unique, so even a dialog holding a third of all rows is spread over
-every task (a ``lead`` window would put it in one).
+Input is the long dialog table ``conv_id, turn, role, text``; ``turn`` orders a dialog and
+may start anywhere and leave numbers out. "Next turn" goes over a global index of the keys, so
+even a dialog holding a third of all rows is spread over every task (a ``lead`` window would
+put it in one).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.ordering import neighbour, with_global_index
 from tessera.functions.text import IM_END, IM_START, ensure_question_mark, ustrip
 
 NL = "\n"
@@ -43,11 +44,18 @@ def chatml_prompt(turns: DataFrame, **kw) -> DataFrame:
 
 
 def next_turn(turns: DataFrame, cols=("role", "text")) -> DataFrame:
-    """Attach ``next_<col>`` of turn + 1 (lead over the dialog) by a unique-key equi join."""
-    nxt = turns.select(F.col("conv_id").alias("_c"), (F.col("turn") - 1).alias("_t"),
-                       *[F.col(c).alias("next_" + c) for c in cols])
-    return (turns.join(nxt, (turns["conv_id"] == nxt["_c"]) & (turns["turn"] == nxt["_t"]), "left")
-            .drop("_c", "_t"))
+    """Attach ``next_<col>`` of the dialog's next row by turn (``lead``), whatever the numbers leave out.
+
+    Only the keys are put in order and numbered (a global index, see ``ordering``); the next row is then
+    fetched by its unique key (conv_id, turn), so a hot dialog is spread over every task.
+    """
+    keys = with_global_index(turns.select("conv_id", "turn"), [F.col("conv_id"), F.col("turn")], "_g")
+    nxt = neighbour(keys, ["conv_id"], ["turn"], -1, index="_g", prefix="_next_").select(
+        F.col("conv_id").alias("_kc"), F.col("turn").alias("_kt"), "_next_turn")
+    other = turns.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), *[F.col(c).alias("next_" + c) for c in cols])
+    placed = turns.join(nxt, (turns["conv_id"] == F.col("_kc")) & (turns["turn"] == F.col("_kt")), "left")
+    return (placed.join(other, (placed["conv_id"] == other["_c"]) & (placed["_next_turn"] == other["_t"]), "left")
+            .drop("_c", "_t", "_kc", "_kt", "_next_turn"))
 
 
 def user_assistant_pairs(turns: DataFrame) -> DataFrame:
@@ -69,18 +77,19 @@ def to_prompt_completion(turns: DataFrame) -> DataFrame:
 def to_multiturn_samples(turns: DataFrame) -> DataFrame:
     """C4: one sample per assistant turn; the whole history before it goes into the prompt.
 
-    One sorted array of rendered pieces per dialog, then ``slice`` per assistant turn,
-    instead of a growing window frame (less state for long dialogs).
+    One sorted array of rendered pieces per dialog, then a filter per assistant turn,
+    instead of a growing window frame (less state for long dialogs). History is what has a smaller
+    turn number, wherever the numbering starts and whatever it leaves out.
     """
     pieces = turns.select("conv_id", "turn", "role", "text",
                           chatml_piece(F.col("role"), F.col("text")).alias("piece"))
     hist = (pieces.groupBy("conv_id")
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "piece"))), lambda x: x["piece"])
-                 .alias("pieces")))
+            .agg(F.array_sort(F.collect_list(F.struct("turn", "piece"))).alias("pieces")))
     answers = pieces.where(F.col("role") == "assistant").select("conv_id", "turn", "text")
     return (answers.join(hist, "conv_id")
             .select("conv_id", "turn",
-                    F.concat(F.array_join(F.slice("pieces", 1, F.col("turn").cast("int")), ""),
+                    F.concat(F.array_join(F.transform(F.filter("pieces", lambda x: x["turn"] < F.col("turn")),
+                                                      lambda x: x["piece"]), ""),
                              F.lit(ASSISTANT_HEADER)).alias("prompt"),
                     F.concat(F.col("text"), F.lit(IM_END)).alias("completion")))
 

@@ -31,17 +31,19 @@ def last_per_key(df: DataFrame, key: list[str], order: list[str], payload: list[
             .select(*key, *[F.col("_last")[c].alias(c) for c in order + payload]))
 
 
-def prefix_key(text, n: int = 240):
-    """D1 key: whitespace runs to one space, lower case, first ``n`` characters."""
-    return F.substring(F.lower(collapse_ws(text)), 1, n)
+def text_key(text, n: int | None = None):
+    """D1 key: md5 of the text with whitespace runs as one space and lower case; with ``n``
+    the first ``n`` characters instead, which also drops texts that differ only after them."""
+    flat = F.lower(collapse_ws(text))
+    return F.md5(flat) if n is None else F.substring(flat, 1, n)
 
 
-def dedup_prefix(df: DataFrame, text: str = "text", order: list[str] | None = None, n: int = 240,
+def dedup_prefix(df: DataFrame, text: str = "text", order: list[str] | None = None, n: int | None = None,
                  payload: list[str] | None = None) -> DataFrame:
-    """Drop rows whose prefix key was seen earlier in reading order."""
+    """Drop rows whose key was seen earlier in reading order."""
     order = order or ["doc_id"]
     payload = payload if payload is not None else [text]
-    keyed = df.withColumn("dedup_key", prefix_key(F.col(text), n))
+    keyed = df.withColumn("dedup_key", text_key(F.col(text), n))
     return first_per_key(keyed, ["dedup_key"], order, payload)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import WS_CLASS
@@ -88,7 +88,7 @@ def keyword_tokens(text: Column) -> Column:
 
 
 def semantic_recall(queries: DataFrame, nodes: DataFrame, edges: DataFrame, limit: int = 5) -> DataFrame:
-    """M3: keyword -> node whose name token equals it -> one hop either way -> global limit.
+    """M3: keyword -> node whose name token equals it -> one hop either way -> ``limit`` rows per query.
 
     Token equality stands in for the full-text score (stated, not reproduced). The
     matches are joined straight to the two-way edge list, so the keyword join is
@@ -99,7 +99,9 @@ def semantic_recall(queries: DataFrame, nodes: DataFrame, edges: DataFrame, limi
     hits = kw.join(nt, "token").select("query_id", "entity").distinct()
     b = both_directions(edges).select(F.col("src").alias("entity"), F.col("type").alias("relation"),
                                       F.col("dst").alias("neighbor"), "direction")
-    return limit_global(hits.join(b, "entity"), ["query_id", "entity", "relation", "neighbor", "direction"], limit)
+    w = Window.partitionBy("query_id").orderBy("entity", "relation", "neighbor", "direction")
+    return (hits.join(b, "entity").select("query_id", "entity", "relation", "neighbor", "direction")
+            .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn"))
 
 
 def limit_global(df: DataFrame, order: list[str], n: int) -> DataFrame:
@@ -107,35 +109,33 @@ def limit_global(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def path_search(edges: DataFrame, start: str, goal: str, max_depth: int) -> DataFrame:
-    """Breadth first over all live paths; a path never revisits a state; stop at the
-    first depth that reaches the goal. Returns ``path`` (array) and ``depth``.
+def path_search(edges: DataFrame, start: str, goal: str) -> DataFrame:
+    """All shortest paths from ``start`` to ``goal``: ``path`` (array) and ``depth``; none if out of reach.
 
-    One join per level; the loop runs at most ``max_depth`` times and each level's
-    frontier is checkpointed into the shared checkpoint folder, so a lost executor
-    does not replay earlier levels.
+    Breadth first over states, not paths: a level holds the states first reached at that depth (an anti
+    join removes earlier ones), so the frontier is bounded by the number of states and the search ends when
+    it is empty. The paths are rebuilt backwards over the levels. Every level is checkpointed into the
+    shared folder, so a lost executor does not replay earlier levels.
     """
     from tessera.session import cut_lineage
 
-    e = edges.select(F.col("src").alias("_last"), F.col("dst").alias("_next")).distinct()
+    e = cut_lineage(edges.select(F.col("src"), F.col("dst")).distinct())
     spark = edges.sparkSession
-    frontier = spark.range(1).select(F.array(F.lit(start)).alias("path"), F.lit(start).alias("_last"))
-    found = None
-    for depth in range(1, max_depth + 1):
-        step = (frontier.join(e, "_last")
-                .where(~F.array_contains(F.col("path"), F.col("_next")))
-                .select(F.concat(F.col("path"), F.array(F.col("_next"))).alias("path"), F.col("_next").alias("_last")))
+    levels = [spark.range(1).select(F.lit(start).alias("state"))]
+    seen = levels[0]
+    while levels[-1].where(F.col("state") == goal).isEmpty():
+        step = (levels[-1].join(e, F.col("state") == F.col("src")).select(F.col("dst").alias("state")).distinct()
+                .join(seen, "state", "left_anti"))
         step = cut_lineage(step)
-        hit = step.where(F.col("_last") == goal)
-        if not hit.isEmpty():
-            found = hit.select("path", F.lit(depth).alias("depth"))
-            break
-        frontier = step
-        if frontier.isEmpty():
-            break
-    if found is None:
-        found = spark.range(0).select(F.array().cast("array<string>").alias("path"), F.lit(0).alias("depth"))
-    return found
+        if step.isEmpty():
+            return spark.range(0).select(F.array().cast("array<string>").alias("path"), F.lit(0).alias("depth"))
+        levels.append(step)
+        seen = seen.unionByName(step)
+    paths = spark.range(1).select(F.array(F.lit(goal)).alias("path"), F.lit(goal).alias("_head"))
+    for level in reversed(levels[:-1]):
+        paths = (paths.join(e, F.col("_head") == F.col("dst")).join(level, F.col("src") == F.col("state"))
+                 .select(F.concat(F.array("src"), F.col("path")).alias("path"), F.col("src").alias("_head")))
+    return paths.select("path", F.lit(len(levels) - 1).alias("depth"))
 
 
 def context_assembly(episodic: DataFrame, semantic: DataFrame, key: str) -> DataFrame:

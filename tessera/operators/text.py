@@ -84,8 +84,8 @@ def validate_struct(df: DataFrame, text: str, schema: str, ranges: dict[str, tup
     return out.withColumn("reason", reason).withColumn("is_valid", F.col("reason").isNull()).drop("_p")
 
 
-# Tool call ``name("query")`` or ``name('query')``.
-TOOL_CALL = r"(\w+)\((?:\"|')(.*?)(?:\"|')\)"
+# Fixed value: tool call ``name("query")`` or ``name('query')``; letters of any script.
+TOOL_CALL = r"(?U)(\w+)\((?:\"|')(.*?)(?:\"|')\)"
 
 
 def parse_tool_call(df: DataFrame, text: str, default_tool: str = "web_search") -> DataFrame:

@@ -20,17 +20,16 @@ UNK_TOKEN, UNK_ID = "<UNK>", 1
 IGNORE_INDEX = -100
 
 
-def build_vocab(texts: DataFrame, text: str, k: int = 100, first_id: int = 2) -> DataFrame:
-    """The ``k`` commonest character tokens (ties by token), ids by rank from ``first_id``.
+def build_vocab(texts: DataFrame, text: str, first_id: int = 2) -> DataFrame:
+    """Every distinct character token, ids by rank (count, then token) from ``first_id``.
 
-    Counting is a partial aggregate; the top-k is a ``TakeOrderedAndProject`` whose
-    output (k rows) is the only thing that reaches one task.
+    Counting is a partial aggregate; the ranking has one row per distinct character, of
+    which Unicode bounds the number.
     """
     toks = texts.select(F.explode(char_tokens(F.col(text))).alias("token"))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(k)
-    return top.select("token", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token")))
-                                + F.lit(first_id - 1)).cast("int").alias("id"))
+    return counts.select("token", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token")))
+                                   + F.lit(first_id - 1)).cast("int").alias("id"))
 
 
 def with_specials(vocab: DataFrame) -> DataFrame:
@@ -44,19 +43,17 @@ def vocab_encode(df: DataFrame, key: list[str], tokens: str, vocab: DataFrame, o
                  unk_id: int = UNK_ID) -> DataFrame:
     """Token -> id, unknown -> ``<UNK>``, order kept.
 
-    posexplode -> left join to the vocabulary (AQE broadcasts it when its runtime
-    size is under the broadcast threshold, else sort-merge) -> regroup per sequence
-    sorted by position. The regroup key is the sequence key, which is unique per
-    sequence, so no group is larger than one sequence.
+    Only the distinct tokens of each sequence travel: they are joined to the vocabulary (AQE
+    broadcasts it when its run-time size is under the threshold, else sort-merge) and come back
+    as one map per sequence, which a ``transform`` applies. No vocabulary size is assumed.
     """
-    ex = df.select(*key, F.posexplode(F.col(tokens)).alias("_pos", "token"))
-    j = ex.join(vocab.select("token", F.col("id").alias("_id")), "token", "left")
-    enc = (j.groupBy(*key)
-           .agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("i")))),
-                            lambda x: x["i"]).alias(out)))
-    # sequences with no token at all keep an empty array
-    return df.join(enc, key, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+    ex = df.select(*key, F.explode(F.array_distinct(F.col(tokens))).alias("token"))
+    j = ex.join(vocab.select("token", F.col("id").alias("_id")), "token")
+    maps = j.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("token", "_id"))).alias("_map"))
+    known = F.coalesce(F.col("_map"), F.create_map().cast("map<string,int>"))
+    return (df.join(maps, key, "left").withColumn("_map", known)
+            .withColumn(out, encode_with_map(F.coalesce(F.col(tokens), F.array().cast("array<string>")), F.col("_map"), unk_id))
+            .drop("_map"))
 
 
 def truncate_tokens(ids, max_len: int) -> Column:
@@ -104,8 +101,14 @@ def labels_copy(ids) -> Column:
     return ids
 
 
-def attention_mask(ids, pad_id: int = PAD_ID) -> Column:
-    """A5: 1 for real tokens, 0 for pad."""
+def attention_mask(ids, pad_id: int = PAD_ID, length=None) -> Column:
+    """A5: 1 for real tokens, 0 for pad.
+
+    With ``length`` (the true length before padding) the mask goes by position, which is the
+    form to use when the pad token is also the end mark."""
+    if length is not None:
+        n = F.least(length, F.size(ids))
+        return F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.size(ids) - n))
     return F.transform(ids, lambda x: F.when(x != F.lit(pad_id), 1).otherwise(0))
 
 
@@ -125,13 +128,15 @@ def assign_batches(df: DataFrame, id_col: str, bs: int, seed: str = "42", name:
     return idx.withColumn(name, F.floor(F.col("_g") / bs).cast("long")).drop("_shuf", "_g")
 
 
-def pad_batch(df: DataFrame, batch: str, ids: str, labels: str, max_len: int,
+def pad_batch(df: DataFrame, batch: str, ids: str, labels: str, max_len: int | None = None,
               pad_id: int = PAD_ID, ignore: int = IGNORE_INDEX) -> DataFrame:
-    """T = min(longest in batch, max_len); ids padded with ``pad_id``, labels with -100.
+    """T = longest in the batch, at most ``max_len`` if given; ids padded with ``pad_id``, labels with -100.
 
     A batch holds at most ``bs`` rows, so the window per batch is bounded.
     """
-    T = F.least(F.max(F.size(ids)).over(Window.partitionBy(batch)), F.lit(max_len))
+    T = F.max(F.size(ids)).over(Window.partitionBy(batch))
+    if max_len is not None:
+        T = F.least(T, F.lit(max_len))
 
     def fit(c, fill):
         cut = F.slice(F.col(c), 1, T)
@@ -159,18 +164,15 @@ def pack_sequences(df: DataFrame, key: str, ids: str, max_len: int, buckets: int
 
 def masked_mean_loss(df: DataFrame, group: list[str], loss: str, mask: str) -> DataFrame:
     """sum(loss * mask) / (sum(mask) + 1e-8) per group, from per-token arrays."""
-    z = df.select(*group, F.inline(F.arrays_zip(F.col(loss).alias("l"), F.col(mask).alias("m"))))
-    return z.groupBy(*group).agg(
-        (F.sum(F.col("l") * F.col("m")) / (F.sum("m") + F.lit(1e-8))).alias("masked_loss"))
-
-
-def vocab_map(vocab: DataFrame) -> DataFrame:
-    """The vocabulary as one ``map<string,int>`` row (for vocabularies of bounded size)."""
-    return vocab.agg(F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("vocab_map"))
+    add = lambda acc, x: acc + F.coalesce(x, F.lit(0.0))
+    zero = F.lit(0.0)
+    per_row = df.select(*group, F.aggregate(F.zip_with(loss, mask, lambda a, b: (a * b).cast("double")), zero, add).alias("_l"),
+                        F.aggregate(F.transform(mask, lambda x: x.cast("double")), zero, add).alias("_m"))
+    return per_row.groupBy(*group).agg((F.sum("_l") / (F.sum("_m") + F.lit(1e-8))).alias("masked_loss"))
 
 
 def attach_small(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row table of bounded size (a vocabulary map, gate
+    """Attach the columns of a one-row table of bounded size (marker ids, gate
     vectors, channel statistics) to every row.
 
     The row is a scalar subquery: computed once, then handed to every task as a
@@ -183,5 +185,5 @@ def attach_small(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def encode_with_map(tokens, vmap, unk_id: int = UNK_ID) -> Column:
-    """J2 for a bounded vocabulary: per-row map lookup, no shuffle."""
+    """Ids of the tokens by the row's own map of its distinct tokens."""
     return F.transform(tokens, lambda t: F.coalesce(F.element_at(vmap, t), F.lit(unk_id)))

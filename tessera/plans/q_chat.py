@@ -151,7 +151,7 @@ SELECT conv_id,
        ELSE {strip("replace(rendered, first_user, '')")} END AS reply_ppo,
   CASE WHEN strpos(rendered, '<|im_start|>assistant' || chr(10)) > 0
        THEN string_split(string_split(rendered, '<|im_start|>assistant' || chr(10))[-1], '<|im_end|>')[1]
-       END AS reply_trl
+       ELSE replace(replace(rendered, '<|im_start|>', ''), '<|im_end|>', '') END AS reply_trl
 FROM r
 """)
 def t10(spark, sf):

@@ -17,9 +17,15 @@ SEED = "42"
 # ------------------------------------------------------------------ F4: predictions from embeddings
 
 
+def _is_class(k: int):
+    return lambda s: s.k == k
+
+
 def predictions(spark, sf) -> DataFrame:
     e = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
-    logits = F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double") * 10)
+    # ten logits from the whole vector: component i counts for class i mod 10
+    wide = F.transform("embedding", lambda x, i: F.struct((i % 10).alias("k"), (x.cast("double") * 10).alias("x")))
+    logits = F.array(*[F.aggregate(F.filter(wide, _is_class(k)), F.lit(0.0), lambda a, s: a + s.x) for k in CLASSES])
     p = e.select("vec_id", "label", ev.softmax(logits).alias("probs"))
     return (p.withColumn("pred", ev.argmax(F.col("probs")))
             .withColumn("conf", ev.confidence(F.col("probs")))
@@ -34,7 +40,8 @@ def class_rows(spark, sf) -> DataFrame:
 
 
 PRED_SQL = """
-WITH lg AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE) * 10) AS logits FROM embeddings),
+WITH lg AS (SELECT vec_id, label, list_transform(range(10), lambda k: list_reduce(
+               list_transform(embedding, lambda x, i: CASE WHEN (i - 1) % 10 = k THEN CAST(x AS DOUBLE) * 10 ELSE 0.0 END), lambda a, b: a + b)) AS logits FROM embeddings),
 ex AS (SELECT vec_id, label, list_transform(logits, lambda x: exp(x - list_max(logits))) AS ex FROM lg),
 pp AS (SELECT vec_id, label, list_transform(ex, lambda x: x / list_reduce(ex, lambda a, b: a + b)) AS probs FROM ex),
 pd AS (SELECT vec_id, label, probs, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) AS pred,
@@ -249,7 +256,7 @@ def g8(spark, sf):
 
 def history_batches(spark, sf) -> DataFrame:
     e = table(spark, sf, "events").select("event_type", "ts", "value")
-    return (e.groupBy(F.col("event_type").alias("run"), F.dayofmonth("ts").alias("epoch"), F.hour("ts").alias("batch"))
+    return (e.groupBy(F.col("event_type").alias("run"), F.unix_date(F.to_date("ts")).alias("epoch"), F.hour("ts").alias("batch"))
             .agg((F.avg("value") / 100).alias("batch_loss"),
                  F.sum((F.col("value") > 50).cast("long")).alias("n_correct"), F.count(F.lit(1)).alias("n")))
 
@@ -259,7 +266,7 @@ def history(spark, sf) -> DataFrame:
 
 
 HIST_SQL = """
-WITH b AS (SELECT event_type AS run, CAST(dayofmonth(ts) AS INTEGER) AS epoch, CAST(hour(ts) AS INTEGER) AS batch,
+WITH b AS (SELECT event_type AS run, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS epoch, CAST(hour(ts) AS INTEGER) AS batch,
                   avg(value) / 100 AS batch_loss, sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) AS n_correct, count(*) AS n
            FROM events GROUP BY ALL),
 h AS (SELECT run, epoch, avg(batch_loss) AS loss, sum(n_correct) / sum(n) AS accuracy FROM b GROUP BY run, epoch)

@@ -183,7 +183,7 @@ hits AS (SELECT DISTINCT kw.query_id, nt.entity FROM kw JOIN nt USING (token)),
 both_dir AS (SELECT src, type, dst, 'out' AS direction FROM edges UNION ALL SELECT dst, type, src, 'in' FROM edges)
 SELECT h.query_id, h.entity, b.type AS relation, b.dst AS neighbor, b.direction
 FROM hits h JOIN both_dir b ON b.src = h.entity
-ORDER BY query_id, entity, relation, neighbor, direction LIMIT 5
+QUALIFY row_number() OVER (PARTITION BY h.query_id ORDER BY h.entity, b.type, b.dst, b.direction) <= 5
 """)
 def m3(spark, sf):
     return gr.semantic_recall(recall_queries(spark, sf), nodes(spark, sf), edges(spark, sf), 5)
@@ -197,7 +197,7 @@ p(path, last, depth) AS (
   SELECT ['view'], 'view', 0
   UNION ALL
   SELECT list_append(p.path, e.dst), e.dst, p.depth + 1 FROM p JOIN e ON e.src = p.last
-  WHERE NOT list_contains(p.path, e.dst) AND p.depth < 4 AND p.last <> 'purchase')
+  WHERE NOT list_contains(p.path, e.dst) AND p.last <> 'purchase')
 SELECT array_to_string(path, '>') AS path, CAST(depth AS INTEGER) AS depth FROM p
 WHERE last = 'purchase' AND depth = (SELECT min(depth) FROM p WHERE last = 'purchase')
 """)
@@ -206,7 +206,7 @@ def x1(spark, sf):
     from tessera.operators.ordering import neighbour
     j = neighbour(t, ["user_id"], ["event_type"], 1, prefix="prev_").where(F.col("prev_event_type").isNotNull())
     e = j.select(F.col("prev_event_type").alias("src"), F.col("event_type").alias("dst"))
-    p = gr.path_search(e, "view", "purchase", 4)
+    p = gr.path_search(e, "view", "purchase")
     return p.select(F.array_join("path", ">").alias("path"), F.col("depth").cast("int").alias("depth"))
 
 

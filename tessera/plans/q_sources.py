@@ -11,8 +11,7 @@ from pyspark.sql import types as T
 from tessera.operators import chat, evaluate as ev
 from tessera.operators.dedup import anti_seen, last_per_key
 from tessera.plans.q_chat import conversations
-from tessera.plans.q_eval import _per_class, predictions
-from tessera.plans.q_text import LANGS
+from tessera.plans.q_eval import PRED_SQL, _per_class, predictions
 from tessera.plans.q_tokens import tr, vocabulary
 from tessera.plans.registry import register
 from tessera.plans.sqlkit import PC_CTE
@@ -26,13 +25,17 @@ PC_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField(
                           T.StructField("prompt", T.StringType()), T.StructField("completion", T.StringType())])
 
 
-@register("s1_scan_text")
+@register("s1_scan_text", """
+SELECT source, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars FROM documents GROUP BY source
+""")
 def s1(spark, sf):
     out = files.scratch_dir(spark, "s1")
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    d.repartition(8, "doc_id").select("text").write.mode("overwrite").text(out)
+    d = table(spark, sf, "documents").select("source", "text")
+    # small files, as a folder of texts holds; every text ends with a line end
+    d.write.mode("overwrite").partitionBy("source").option("maxRecordsPerFile", 64).text(out)
     t = files.scan_text(spark, out)
-    return t.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.length("text").alias("n_chars"))
+    return (t.groupBy(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"))
+            .agg(F.sum(F.length("text")).cast("long").alias("n_chars")))
 
 
 @register("s2_scan_jsonl", "SELECT conv_id, turn, role, text FROM conversations")
@@ -61,22 +64,24 @@ def s4(spark, sf):
         "o_custkey", "o_orderkey", "o_orderstatus")
 
 
-@register("s5_scan_labelled_tree")
+@register("s5_scan_labelled_tree", r"""
+WITH p AS (SELECT regexp_extract(url, '^[a-z]+://[^/]+/([a-z][a-z])/', 1) AS lang, html FROM pages)
+SELECT CASE WHEN lang = '' THEN 'unlabelled' ELSE lang END AS label, CAST(sum(strlen(html) + 1) AS BIGINT) AS bytes FROM p GROUP BY 1
+""")
 def s5(spark, sf):
     root = files.scratch_dir(spark, "s5")
-    p = table(spark, sf, "pages").select("page_id", "url", "html")
-    lang = F.regexp_extract("url", "/(en|fr|de|es)/", 1)
-    for c in LANGS:  # one folder per class: root/<class>/part-*.txt
-        p.where(lang == c).select("html").write.mode("overwrite").text(f"{root}/{c}")
+    lang = F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z][a-z])/", 1)  # classes as the data has them
+    p = table(spark, sf, "pages").select("html", F.when(lang == "", "unlabelled").otherwise(lang).alias("label"))
+    p.write.mode("overwrite").partitionBy("label").text(root)  # root/label=<class>/part-*.txt
     listing = files.scan_labelled_tree(spark, root, [".TXT"])
-    return listing.groupBy("label").agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+    return (listing.groupBy(F.regexp_replace("label", "^label=", "").alias("label"))
+            .agg(F.sum("length").cast("long").alias("bytes")))
 
 
 @register("s7_scan_json_array", "WITH " + PC_CTE + f""",
 toks AS (SELECT unnest(string_split({tr('text')}, '')) AS tok FROM conversations),
 vc AS (SELECT tok, count(*) AS n FROM toks GROUP BY tok),
-vocab AS (SELECT tok AS token, CAST(row_number() OVER (ORDER BY n DESC, tok) + 1 AS INTEGER) AS id FROM vc
-          QUALIFY row_number() OVER (ORDER BY n DESC, tok) <= 100)
+vocab AS (SELECT tok AS token, CAST(row_number() OVER (ORDER BY n DESC, tok) + 1 AS INTEGER) AS id FROM vc)
 SELECT token, id FROM vocab UNION ALL SELECT '<PAD>', 0 UNION ALL SELECT '<UNK>', 1
 """)
 def s7(spark, sf):
@@ -86,11 +91,8 @@ def s7(spark, sf):
     return files.scan_json_array(spark, out).select("token", "id")
 
 
-@register("s8_sink_metrics", """
-SELECT 10 AS n_classes, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) * 100, 6) AS accuracy, count(*) AS n_rows FROM (
-  WITH lg AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE) * 10) AS logits FROM embeddings),
-  ex AS (SELECT vec_id, label, list_transform(logits, lambda x: exp(x - list_max(logits))) AS ex FROM lg)
-  SELECT label = CAST(list_position(ex, list_max(ex)) - 1 AS INTEGER) AS correct FROM ex)
+@register("s8_sink_metrics", PRED_SQL + """
+SELECT 10 AS n_classes, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) * 100, 6) AS accuracy, count(*) AS n_rows FROM pc
 """)
 def s8(spark, sf):
     out = files.scratch_dir(spark, "s8")

@@ -111,13 +111,13 @@ def t5(spark, sf):
 
 
 @register("d1_dedup_prefix", f"""
-WITH k AS (SELECT doc_id, substr(lower({collapse('text')}), 1, 240) AS dedup_key FROM documents),
+WITH k AS (SELECT doc_id, md5(lower({collapse('text')})) AS dedup_key FROM documents),
 r AS (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY doc_id) AS rn FROM k)
 SELECT dedup_key, doc_id FROM r WHERE rn = 1
 """)
 def d1(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
-    return dedup.dedup_prefix(d, "text", ["doc_id"], 240, payload=[]).select("dedup_key", "doc_id")
+    return dedup.dedup_prefix(d, "text", ["doc_id"], payload=[]).select("dedup_key", "doc_id")
 
 
 @register("d4_union_sources", """

@@ -28,23 +28,22 @@ def sequences(spark, sf) -> DataFrame:
 
 
 def vocabulary(spark, sf) -> DataFrame:
-    return tokens.build_vocab(conversations(spark, sf), "text", 100, 2)
+    return tokens.build_vocab(conversations(spark, sf), "text", 2)
 
 
 def encoded(spark, sf) -> DataFrame:
-    """Sequences with ids (map lookup against the bounded vocabulary) and the marker ids."""
-    vm = tokens.vocab_map(vocabulary(spark, sf))
-    s = tokens.attach_small(sequences(spark, sf), vm)
-    marker_toks = F.split(F.lit(MARKER), "")
-    return s.select("seq_id", "prompt_len",
-                    tokens.encode_with_map(F.col("tokens"), F.col("vocab_map")).alias("ids"),
-                    tokens.encode_with_map(marker_toks, F.col("vocab_map")).alias("marker"))
+    """Sequences with their ids and the marker's ids (one row, as long as the marker)."""
+    v = vocabulary(spark, sf)
+    mark = spark.range(1).select(F.split(F.lit(MARKER), "").alias("_toks"), F.col("id").alias("_k"))
+    mark = tokens.vocab_encode(mark, ["_k"], "_toks", v, "marker").select("marker")
+    s = tokens.vocab_encode(sequences(spark, sf), ["seq_id"], "tokens", v, "ids")
+    return tokens.attach_small(s.select("seq_id", "prompt_len", "ids"), mark)
 
 
 def batched(spark, sf) -> DataFrame:
     e = encoded(spark, sf).withColumn("labels", tokens.labels_prompt_cut(F.col("ids"), F.col("prompt_len")))
     b = tokens.assign_batches(e, "seq_id", BATCH, SEED)
-    return tokens.pad_batch(b, "batch", "ids", "labels", MAX_LEN)
+    return tokens.pad_batch(b, "batch", "ids", "labels")
 
 
 def js(c):
@@ -61,8 +60,7 @@ def tr(x: str) -> str:
 TOK_SQL = "WITH " + PC_CTE + f""",
 toks AS (SELECT unnest(string_split({tr('text')}, '')) AS tok FROM conversations),
 vc AS (SELECT tok, count(*) AS n FROM toks GROUP BY tok),
-vocab AS (SELECT tok, CAST(row_number() OVER (ORDER BY n DESC, tok) + 1 AS INTEGER) AS id FROM vc
-          QUALIFY row_number() OVER (ORDER BY n DESC, tok) <= 100),
+vocab AS (SELECT tok, CAST(row_number() OVER (ORDER BY n DESC, tok) + 1 AS INTEGER) AS id FROM vc),
 seqs AS (SELECT conv_id * 1000 + turn AS seq_id, string_split({tr('prompt || completion')}, '') AS tl,
                 CAST(length({tr('prompt')}) AS INTEGER) AS prompt_len FROM pc),
 ex AS (SELECT seq_id, unnest(tl) AS tok, generate_subscripts(tl, 1) AS pos FROM seqs),
@@ -74,7 +72,7 @@ mk AS (SELECT list(coalesce(v.id, 1) ORDER BY pos) AS mk
 lab AS (SELECT *, list_concat(list_transform(range(least(prompt_len, len(ids))), lambda x: -100), ids[least(prompt_len, len(ids)) + 1:]) AS labels
         FROM enc),
 bat AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY md5(CAST(seq_id AS VARCHAR) || '{SEED}'), seq_id) - 1) / {BATCH}) AS BIGINT) AS batch FROM lab),
-tt AS (SELECT *, least(max(len(ids)) OVER (PARTITION BY batch), {MAX_LEN}) AS T FROM bat),
+tt AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS T FROM bat),
 pad AS (SELECT seq_id, batch, list_concat(ids[1:T], list_transform(range(T - len(ids[1:T])), lambda x: 0)) AS ids,
                list_concat(labels[1:T], list_transform(range(T - len(labels[1:T])), lambda x: -100)) AS labels FROM tt)
 """

@@ -94,33 +94,33 @@ def w10(spark, sf):
 
 
 @register("c8_trace_render", f"""
-SELECT user_id, CAST(dayofmonth(ts) AS INTEGER) AS day,
+SELECT user_id, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS day,
        string_agg(event_type || ': ' || {CONTENT_SQL} || CASE WHEN event_type = 'click' THEN ' [tool:web_search]' ELSE '' END,
                   chr(10) ORDER BY ts, event_id) AS history
 FROM events GROUP BY user_id, day
 """)
 def c8(spark, sf):
     """Run = one user's session of a day (as for C10)."""
-    t = events_trace(spark, sf).withColumn("day", F.dayofmonth("ts"))
+    t = events_trace(spark, sf).withColumn("day", F.unix_date(F.to_date("ts")))
     calls = F.when(F.col("event_type") == "click", F.lit("[tool:web_search]"))
     return tr.trace_render(t, ["user_id", "day"], ["ts", "event_id"], "event_type", "content", calls)
 
 
 @register("c9_merge_reports", f"""
-WITH r AS (SELECT user_id, CAST(dayofmonth(ts) AS INTEGER) AS day, event_type, event_id, event_type || ' report ' || {K_SQL} AS report FROM events),
+WITH r AS (SELECT user_id, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS day, event_type, event_id, event_type || ' report ' || {K_SQL} AS report FROM events),
 f AS (SELECT user_id, day, event_type, arg_min(report, event_id) AS report FROM r GROUP BY ALL),
 p AS (SELECT user_id, day, {", ".join(f"max(CASE WHEN event_type = '{x}' THEN report END) AS r_{x}" for x in PERSONAS)} FROM f GROUP BY user_id, day)
 SELECT user_id, day, concat_ws(chr(10) || chr(10), {", ".join(f"'## {x}' || chr(10) || coalesce(r_{x}, '(no report)')" for x in PERSONAS)}) AS merged FROM p
 """)
 def c9(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    r = e.select("user_id", F.dayofmonth("ts").alias("day"), "event_type", "event_id",
+    r = e.select("user_id", F.unix_date(F.to_date("ts")).alias("day"), "event_type", "event_id",
                  F.concat(F.col("event_type"), F.lit(" report "), _k()).alias("report"))
     return tr.merge_reports(r, ["user_id", "day"], "event_type", "event_id", "report", PERSONAS)
 
 
 @register("c10_blackboard", f"""
-WITH p AS (SELECT user_id, CAST(dayofmonth(ts) AS INTEGER) AS day, ts, event_id,
+WITH p AS (SELECT user_id, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS day, ts, event_id,
                   '**Report from ' || event_type || ':**' || chr(10) || {CONTENT_SQL} AS post FROM events)
 SELECT user_id, day, event_id, post,
        coalesce(string_agg(post, chr(10) || '---' || chr(10)) OVER (PARTITION BY user_id, day ORDER BY ts, event_id
@@ -128,7 +128,7 @@ SELECT user_id, day, event_id, post,
 """)
 def c10(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    e = e.select("user_id", F.dayofmonth("ts").alias("day"), "ts", "event_id", "event_type",
+    e = e.select("user_id", F.unix_date(F.to_date("ts")).alias("day"), "ts", "event_id", "event_type",
                  content_col().alias("content"))
     b = tr.blackboard(e, ["user_id", "day"], ["ts", "event_id"], "event_type", "content")
     return b.select("user_id", "day", "event_id", "post", "board")

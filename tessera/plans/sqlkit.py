@@ -44,9 +44,10 @@ def fmt_reward(x: str) -> str:
 
 PAIRS_CTE = """
 pairs AS (
-  SELECT a.conv_id, a.turn, a.text AS question, b.text AS answer
-  FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
-  WHERE a.role = 'user' AND b.role = 'assistant')
+  SELECT conv_id, turn, text AS question, next_text AS answer
+  FROM (SELECT conv_id, turn, role, text, lead(role) OVER d AS next_role, lead(text) OVER d AS next_text
+        FROM conversations WINDOW d AS (PARTITION BY conv_id ORDER BY turn))
+  WHERE role = 'user' AND next_role = 'assistant')
 """
 
 PC_CTE = PAIRS_CTE + """,

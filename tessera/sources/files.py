@@ -7,7 +7,6 @@ refuse a target that is also an input of the same DataFrame.
 
 from __future__ import annotations
 
-import os
 import uuid
 from urllib.parse import urlparse
 
@@ -60,12 +59,11 @@ def sink_jsonl(df: DataFrame, path: str) -> str:
 def latest_version_file(spark: SparkSession, path: str) -> DataFrame:
     """S4 (file case): rows of the newest file under ``path`` by modification time;
     an error if there is none."""
-    df = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
-                                      F.col("_metadata.file_modification_time").alias("mtime"))
-    newest = df.agg(F.max_by("file", F.struct("mtime", "file")).alias("file"))
-    if newest.first()["file"] is None:
+    listing = spark.read.format("binaryFile").load(path).select("path", "modificationTime")  # contents are not read
+    newest = listing.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()["path"]
+    if newest is None:
         raise FileNotFoundError(f"no dataset file under {path}")
-    return df.join(newest, "file").select("file", "value")
+    return spark.read.text(newest).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
 def scan_labelled_tree(spark: SparkSession, root: str, exts: list[str]) -> DataFrame:
@@ -115,6 +113,3 @@ def sink_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     df.write.mode("overwrite").format(fmt).save(path)
     return path
 
-
-def exists(path: str) -> bool:
-    return os.path.exists(path.split(":", 1)[-1]) if path.startswith("file:") else os.path.exists(path)

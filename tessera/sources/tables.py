@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -12,35 +10,11 @@ TABLES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; column pruning and filter pushdown happen in the scan.
 
-    With ``spread``, a scan that yields fewer input splits than the cluster has
-    cores (one small file with one row group, as in the local fixtures) is dealt
-    round-robin over ``defaultParallelism`` partitions so per-row work uses every
-    core. A large table already has at least that many splits and is left alone,
-    so no shuffle is added at scale. Projections and filters still reach the scan.
+    How a scan is split is left to ``spark.sql.files.maxPartitionBytes``.
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if spread and os.environ.get("TESSERA_SPREAD", "1") != "0":
-        try:
-            par = spark.sparkContext.defaultParallelism
-            # split count first: a large table short-circuits before any size listing
-            if df.rdd.getNumPartitions() < par and _size_bytes(spark, path) >= SPREAD_MIN_BYTES:
-                df = df.repartition(par)
-        except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): keep the plain scan
-            pass
-    return df
-
-
-SPREAD_MIN_BYTES = 1 << 20  # dimension tables below 1 MiB stay in one split (they are broadcast)
-
-
-def _size_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -170,9 +170,9 @@ def test_verify_gate_and_retry(spark):
 def test_path_search_cycle(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c"), ("c", "d"), ("a", "d")], "src string, dst string")
     from tessera.operators.graph import path_search
-    out = [(r["path"], r["depth"]) for r in path_search(e, "a", "d", 4).collect()]
+    out = [(r["path"], r["depth"]) for r in path_search(e, "a", "d").collect()]
     assert out == [(["a", "d"], 1)]
-    out2 = sorted(tuple(r["path"]) for r in path_search(e, "b", "d", 4).collect())
+    out2 = sorted(tuple(r["path"]) for r in path_search(e, "b", "d").collect())
     assert out2 == [("b", "a", "d"), ("b", "c", "d")]
 
 

@@ -25,4 +25,4 @@ def test_extract_reply_modes(spark):
     out = [(r[0], r[1]) for r in df.select(extract_reply(F.col("t"), "ppo", F.col("p")),
                                            extract_reply(F.col("t"), "trl")).collect()]
     assert out[0] == ("bx", "b")           # after the last marker; ppo removes end marks, trl cuts at the first
-    assert out[1] == ("plain  answer", None)
+    assert out[1] == ("plain  answer", 'plain q answer ')

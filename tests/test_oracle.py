@@ -36,8 +36,8 @@ def duck():
 
 
 def _names():
-    import __spark_entry__ as e
-    return sorted(e.queries())
+    from tessera.plans import registry
+    return sorted(registry.queries())
 
 
 @pytest.mark.parametrize("name", _names())

@@ -47,7 +47,7 @@ def main():
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
     else:
-        spark = get_spark("local[8]", 8)
+        spark = get_spark(os.environ.get("ORACLE_MASTER", "local[8]"), 8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
