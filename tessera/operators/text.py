@@ -51,36 +51,45 @@ def extract_json_pair(df: DataFrame, text: str, fields=("instruction", "output")
     Failing rows are kept with a reason so P5 can report them (one pass, no re-read).
     """
     raw = F.regexp_extract(F.col(text), r"(?s)(\{.*\})", 1)
-    schema = ", ".join(f"`{f}` string" for f in fields)
-    parsed = F.from_json(raw, schema, {"mode": "PERMISSIVE"})
-    valid_json = F.get_json_object(raw, "$") .isNotNull()
-    out = df.withColumn("_raw", raw).withColumn("_p", parsed).withColumn("_ok", valid_json)
+    # strict JSON, one object and nothing after it: inside brackets it must be an array of one
+    out = df.withColumn("_raw", raw).withColumn("_v", F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))))
+    one = F.col("_v").isNotNull() & F.try_variant_get("_v", "$[1]", "variant").isNull()
+    out = out.withColumn("_ok", one)
+    empty = wrong = F.lit(False)
     for f in fields:
-        out = out.withColumn(f, F.when(F.col("_ok"), ustrip(F.col("_p")[f])))
-    empty = None
-    for f in fields:
-        e = F.col(f).isNull() | (F.length(F.col(f)) == 0)
-        empty = e if empty is None else empty | e
+        value = F.try_variant_get("_v", f"$[0].{f}", "variant")
+        kind = F.schema_of_variant(value)
+        out = out.withColumn(f, F.when(F.col("_ok") & (kind == "STRING"), ustrip(F.try_variant_get("_v", f"$[0].{f}", "string"))))
+        out = out.withColumn(f"_t_{f}", F.coalesce(kind.isin("STRING", "VOID"), F.lit(True)))
+        wrong = wrong | ~F.col(f"_t_{f}")
+        empty = empty | F.col(f).isNull() | (F.length(F.col(f)) == 0)
     reason = (F.when(F.length("_raw") == 0, F.lit("no_json"))
               .when(~F.col("_ok"), F.lit("bad_json"))
+              .when(wrong, F.lit("not_text"))
               .when(empty, F.lit("empty_field")))
-    return out.withColumn("reason", reason).drop("_raw", "_p", "_ok")
-
-
-def validate_struct(df: DataFrame, text: str, schema: str, ranges: dict[str, tuple]) -> DataFrame:
-    """Parse model output against a typed schema and check value ranges.
-
-    Adds the parsed fields, ``is_valid`` and ``reason`` (first failing check)."""
-    parsed = F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"})
-    out = df.withColumn("_p", parsed)
-    reason = None
-    for field, (lo, hi) in ranges.items():
-        v = F.col("_p")[field]
-        out = out.withColumn(field, v)
-        miss = F.col(field).isNull()
-        bad = (F.col(field) < F.lit(lo)) | (F.col(field) > F.lit(hi))
-        reason = (F.when(miss, F.lit(f"{field}:missing")).when(bad, F.lit(f"{field}:range")) if reason is None
-                  else reason.when(miss, F.lit(f"{field}:missing")).when(bad, F.lit(f"{field}:range")))
+    return out.withColumn("reason", reason).drop("_raw", "_v", "_ok", *[f"_t_{f}" for f in fields])
+
+
+def validate_struct(df: DataFrame, text: str, schema: str, ranges: dict[str, tuple] | None = None,
+                    enums: dict[str, list] | None = None, max_items: dict[str, int] | None = None) -> DataFrame:
+    """Parse model output against a typed schema; check value ranges, allowed values and list lengths.
+
+    Adds the parsed fields, ``is_valid`` and ``reason`` (first failing check: ``field:missing``,
+    ``field:range``, ``field:enum`` or ``field:length``)."""
+    ranges, enums, max_items = ranges or {}, enums or {}, max_items or {}
+    out = df.withColumn("_p", F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"}))
+    checks = []
+    for field in dict.fromkeys([*ranges, *enums, *max_items]):
+        out = out.withColumn(field, F.col("_p")[field])
+        checks.append((F.col(field).isNull(), f"{field}:missing"))
+        if field in ranges:
+            lo, hi = ranges[field]
+            checks.append(((F.col(field) < F.lit(lo)) | (F.col(field) > F.lit(hi)), f"{field}:range"))
+        if field in enums:
+            checks.append((~F.col(field).isin(*enums[field]), f"{field}:enum"))
+        if field in max_items:
+            checks.append((F.size(field) > max_items[field], f"{field}:length"))
+    reason = F.coalesce(*[F.when(bad, F.lit(name)) for bad, name in checks], F.lit(None).cast("string"))
     return out.withColumn("reason", reason).withColumn("is_valid", F.col("reason").isNull()).drop("_p")
 
 

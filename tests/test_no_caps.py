@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from tessera.functions.text import ensure_question_mark, extract_reply
 from tessera.operators import chat, dedup, tokens
 from tessera.operators.graph import path_search
-from tessera.operators.text import parse_tool_call
+from tessera.operators.text import extract_json_pair, parse_tool_call, validate_struct
 from tessera.sources import files
 from tessera.streaming import prepare as st
 
@@ -95,3 +95,21 @@ def test_stream_dedup_loses_no_late_row(spark):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
         st.run_available_now(st.dedup_stream(st.read_stream(spark, src, schema, "parquet")), out, ck, "parquet")
     assert sorted(r.question for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "late"]
+
+
+def test_json_pairs_are_strict(spark):
+    good = '{"instruction":" a ","output":"b"}'
+    rows = [(good, None), ("see " + good + " done", None), (good + ' and {"x":1}', "bad_json"), ("{'instruction':'a','output':'b'}", "bad_json"),
+            ('{"instruction":5,"output":"b"}', "not_text"), (good + " }", "bad_json"), (good + "," + good, "bad_json"), ("none", "no_json"),
+            ('{"instruction":"  ","output":"b"}', "empty_field"), ('{"output":"b"}', "empty_field"), ('{"instruction":null,"output":"b"}', "empty_field")]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "k int, t string")
+    got = {r.k: (r.reason, r.instruction) for r in extract_json_pair(df, "t").collect()}
+    assert [got[k][0] for k in range(len(rows))] == [r for _, r in rows] and got[0][1] == "a"
+
+
+def test_struct_rules_cover_ranges_values_and_list_lengths(spark):
+    rows = ['{"score":3,"kind":"a","tags":["x"]}', '{"score":30,"kind":"a","tags":[]}', '{"score":3,"kind":"z","tags":[]}',
+            '{"score":3,"kind":"a","tags":["x","y","z"]}', '{"score":3,"tags":[]}']
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = [r.reason for r in validate_struct(df, "t", "score int, kind string, tags array<string>", {"score": (0, 10)}, {"kind": ["a", "b"]}, {"tags": 2}).collect()]
+    assert got == [None, "score:range", "kind:enum", "tags:length", "kind:missing"]
