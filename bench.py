@@ -16,7 +16,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.operators.ordering import release_persisted  # noqa: E402
 from tessera.plans.registry import queries  # noqa: E402
 from tessera.session import get_spark  # noqa: E402
 
@@ -42,7 +41,6 @@ HEADLINE = [
 
 
 def run_once(spark, fn, sf) -> float:
-    release_persisted()
     spark.catalog.clearCache()
     t0 = time.perf_counter()
     fn(spark, sf).write.format("noop").mode("overwrite").save()

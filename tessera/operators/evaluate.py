@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import r6
-from tessera.operators.ordering import md5_order, rank_in_groups
+from tessera.operators.ordering import md5_order, rank_in_groups, settled
 
 
 # ------------------------------------------------------------------ array maths
@@ -60,7 +60,7 @@ def stratified_split(df: DataFrame, id_col: str, label: str, ratio: float = 0.8,
     """
     ranked = rank_in_groups(df.withColumn("_shuf", md5_order(id_col, seed)), [label],
                             [F.col("_shuf"), F.col(id_col)], "_rn")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = settled(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
     return (ranked.join(sizes, label)
             .withColumn("split", F.when(F.col("_rn") <= F.floor(F.col("_n") * ratio), "train").otherwise("test"))
             .drop("_shuf", "_rn", "_n"))

@@ -13,40 +13,28 @@ the same numbers with work split evenly:
 * ``neighbour`` fetches the previous/next row of the same group with an equi
   join on the unique global index, so a hot group spreads over all tasks.
 
-The range-partitioned, sorted rows are persisted once and read by both the
-counting branch and the numbering branch. Spark samples range bounds per
-exchange instance (the sample seed depends on the RDD id), so two separately
-planned exchanges may cut the data differently; one persisted physical plan
-gives both branches the same partitions. If an executor is lost, its blocks
-are recomputed from that same plan (same partitioner, same total order), so
-the numbers do not change.
+The range-partitioned, sorted rows are checkpointed once into the shared folder and read by
+both the counting branch and the numbering branch. Spark samples range bounds per exchange
+instance (the sample seed depends on the RDD id), so two separately planned exchanges may cut
+the data differently; one written copy gives both branches the same partitions and survives
+the loss of executors.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import shuffle_partitions
+from tessera.session import cut_lineage, shuffle_partitions
 
-# Range-partitioned inputs persisted by the helpers below, so a caller that is done
-# with its results can free them (``release_persisted``).
-_PERSISTED: list[DataFrame] = []
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder.
 
-
-def _persist(df: DataFrame) -> DataFrame:
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
-    return out
-
-
-def release_persisted() -> int:
-    """Unpersist every range-partitioned input cached by this module; returns how many."""
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-    return n
+    Used for a per-group aggregate that is joined back to its rows: both sides of the join are then
+    plain exchanges, which adaptive execution splits when a key is hot (an aggregate right above
+    the exchange keeps it from doing so).
+    """
+    return cut_lineage(df)
 
 
 def md5_order(id_col, seed: str) -> Column:
@@ -68,7 +56,7 @@ def with_global_index(df: DataFrame, order: list, name: str = "_gidx",
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_local", F.monotonically_increasing_id()
                            - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    ordered = _persist(ordered)
+    ordered = cut_lineage(ordered)
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",
@@ -83,7 +71,7 @@ def rank_in_groups(df: DataFrame, group: list[str], order: list, name: str = "rn
                    keep_index: bool = False) -> DataFrame:
     """``row_number() over (partition by group order by order)`` (1-based), skew-safe."""
     idx = with_global_index(df, [F.col(g) for g in group] + list(order), "_gidx")
-    first = idx.groupBy(*group).agg(F.min("_gidx").alias("_gfirst"))
+    first = settled(idx.groupBy(*group).agg(F.min("_gidx").alias("_gfirst")))
     out = (idx.join(first, group)
            .withColumn(name, (F.col("_gidx") - F.col("_gfirst") + 1).cast("long"))
            .drop("_gfirst"))
@@ -136,7 +124,7 @@ def running_sums(df: DataFrame, group: list[str], order: list, values: dict,
     for name, v in values.items():
         staged = staged.withColumn(tmp[name], F.col(v) if isinstance(v, str) else
                                    (v if isinstance(v, Column) else F.lit(v)))
-    ranged = _persist(staged.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
+    ranged = cut_lineage(staged.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy(*group, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged
     for name in values:

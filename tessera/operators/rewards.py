@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import IM_END, IM_START, count_keywords, regex_quote
+from tessera.operators.ordering import settled
 
 
 def reward_length(text) -> Column:
@@ -56,8 +57,8 @@ def ranking_loss(margin) -> Column:
 def group_advantage(df: DataFrame, group: list[str], reward: str = "reward",
                     eps: float = 1e-4, name: str = "advantage") -> DataFrame:
     """(r - mean_group) / (std_samp_group + eps); a group of one gives 0."""
-    stats = df.groupBy(*group).agg(F.avg(reward).alias("_mean"), F.stddev_samp(reward).alias("_std"),
-                                   F.count(F.lit(1)).alias("_n"))
+    stats = settled(df.groupBy(*group).agg(F.avg(reward).alias("_mean"), F.stddev_samp(reward).alias("_std"),
+                                           F.count(F.lit(1)).alias("_n")))
     return (df.join(stats, group)
             .withColumn(name, F.when(F.col("_n") < 2, F.lit(0.0))
                         .otherwise((F.col(reward) - F.col("_mean")) / (F.col("_std") + F.lit(eps))))
