@@ -9,9 +9,10 @@ passage of ``MIN_WORDS`` words matter; these are the minima of the sliding windo
 Windows of equal minima meet by a shuffle on the minimum. The first of them (smallest document) stands
 for all, so a group of n costs n - 1 links, never n^2; a batch links its own repeats before the shuffle,
 so a passage that a third of all documents hold sends one row per batch. Links whose windows overlap by
-enough, around the same place, are joined to one interval per (text, first text, shift). The intervals'
-words are then fetched and compared: a passage counts if it has at least ``MIN_WORDS`` words and the
-Jaccard similarity of its shingles with the other's is at least ``SIMILARITY``.
+enough, around the same place, are joined to intervals per (text, first text, shift). The words of every
+block's best-supported interval are fetched and compared first, then those of all other intervals
+that the passages found so far do not cover: a passage counts if it has at least ``MIN_WORDS`` words and
+the Jaccard similarity of its shingles with the other's is at least ``SIMILARITY``.
 
 Equal texts are one text here (a 64-bit hash); copies are reported as such and not expanded into pairs.
 """
@@ -34,6 +35,7 @@ MIN_WORDS = 50
 SIMILARITY = 0.8
 HASHES = 4
 GRID = 64  # fetched intervals begin and end at multiples of it, so that links to one text share fetches
+BLOCK = 256  # words; links of a text are gathered per block of it
 SLACK = 16  # words fetched beyond an interval, where windows cut by a changed word may still match
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -258,44 +260,39 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
     return spans
 
 
-def fetch(rows: DataFrame, wanted: DataFrame, ws: Workspace) -> DataFrame:
-    """(u, s, e) -> (u, s, e, words): words s to e of the text, as one line."""
-    asks = wanted.groupBy("u").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("asks"))  # bounded by the text's length
-    joined = rows.select("u", "text").join(asks, "u").select("u", "asks", "text")
+def fetch(rows: DataFrame, wanted: DataFrame, ws: Workspace, name: str) -> DataFrame:
+    """(u, ord, s, e) -> (u, ord, s, e, words): words s to e of the text, as one line."""
+    asks = wanted.groupBy("u", "ord").agg(F.collect_set(F.struct("s", "e")).alias("asks"))  # bounded by the text's length
+    joined = rows.select("u", "ord", "text").join(asks, ["u", "ord"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         for b in batches:
             out = []
-            for u, asked, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for u, o, text, asked in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = text.encode().split()
-                out += [(u, x["s"], x["e"], b" ".join(words[x["s"]:x["e"]]).decode()) for x in asked]
+                out += [(u, o, x["s"], x["e"], b" ".join(words[x["s"]:x["e"]]).decode()) for x in asked]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)],
-                                                 names=["u", "s", "e", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["u", "ord", "s", "e", "words"])
 
-    return ws.put(joined.mapInArrow(cut, "u long, s long, e long, words string").dropDuplicates(["u", "s", "e"]), "slices")
+    return ws.put(joined.select("u", "ord", "text", "asks").mapInArrow(cut, "u long, ord long, s long, e long, words string"), name)
 
 
-def repeated_passages(rows: DataFrame, ws: Workspace, min_words: int = MIN_WORDS, hashes: int = HASHES) -> DataFrame:
-    """(ord long, u long, text) -> (ord, u, start, stop, r_ord, r_u, r_start, r_stop, similarity) in words.
+SPAN = "ord long, u long, start long, stop long, r_ord long, r_u long, r_start long, r_stop long, similarity double"
 
-    ``u`` stands for the text, ``ord`` orders the texts: of two occurrences the later one is reported, with
-    the place of the earlier. Rows of equal ``u`` must have equal texts; they never match each other.
-    """
-    width = max(1, min_words - SHINGLE + 1)
-    links = passage_links(rows, ws, width, hashes)
-    runs = links.groupBy("u", "r_u", (F.col("c") - F.col("r_c")).alias("shift")).agg(
-        F.min("ord").alias("ord"), F.min("r_ord").alias("r_ord"), F.min(F.col("c") - F.col("left")).alias("lo"), F.max(F.col("c") + F.col("right")).alias("hi"))
+
+def verified(rows: DataFrame, runs: DataFrame, ws: Workspace, width: int, name: str) -> DataFrame:
+    """Intervals (u, ord, lo, hi, r_u, r_ord, shift) of shingles -> passages, compared word by word."""
     down = lambda c: F.greatest(F.floor((c - SLACK) / GRID) * GRID, F.lit(0))
     up = lambda c: F.ceil((c + SLACK + SHINGLE) / GRID) * GRID
-    runs = ws.put(runs.select("u", "ord", "r_u", "r_ord", down(F.col("lo")).alias("s"), up(F.col("hi")).alias("e"),
-                              down(F.col("lo") - F.col("shift")).alias("r_s"), up(F.col("hi") - F.col("shift")).alias("r_e"), "shift"), "runs")
-    slices = fetch(rows, runs.select("u", "s", "e").union(runs.select("r_u", "r_s", "r_e")).distinct(), ws)
-    pairs = runs.join(slices, ["u", "s", "e"]).join(slices.select(F.col("u").alias("r_u"), F.col("s").alias("r_s"), F.col("e").alias("r_e"), F.col("words").alias("r_words")), ["r_u", "r_s", "r_e"])
+    runs = ws.put(runs.select("u", "ord", down(F.col("lo")).alias("s"), up(F.col("hi")).alias("e"), "r_u", "r_ord", down(F.col("lo") - F.col("shift")).alias("r_s"),
+                              up(F.col("hi") - F.col("shift")).alias("r_e"), "shift").distinct(), f"runs-{name}")
+    slices = fetch(rows, runs.select("u", "ord", "s", "e").union(runs.select("r_u", "r_ord", "r_s", "r_e")).distinct(), ws, f"slices-{name}")
+    its = slices.select(F.col("u").alias("r_u"), F.col("ord").alias("r_ord"), F.col("s").alias("r_s"), F.col("e").alias("r_e"), F.col("words").alias("r_words"))
+    pairs = runs.join(slices, ["u", "ord", "s", "e"]).join(its, ["r_u", "r_ord", "r_s", "r_e"])
     pairs = pairs.select("ord", "u", "s", "r_ord", "r_u", "r_s", (F.col("s") - F.col("shift") - F.col("r_s")).alias("d"), "words", "r_words")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["ord", "u", "start", "stop", "r_ord", "r_u", "r_start", "r_stop", "similarity"]
         for b in batches:
             mine, bounds = word_hashes(b.column(7))
             its, r_bounds = word_hashes(b.column(8))
@@ -308,10 +305,35 @@ def repeated_passages(rows: DataFrame, ws: Workspace, min_words: int = MIN_WORDS
                 o, u, s, ro, ru, rs, d = (int(h[k]) for h in heads)
                 out += [(o, u, s + p, s + q + SHINGLE - 1, ro, ru, rs + t, rs + w + SHINGLE - 1, z) for p, q, t, w, z in matching_spans(x, y, width, d)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=[x.split()[0] for x in SPAN.split(", ")])
+
+    spans = ws.put(pairs.mapInArrow(verify, SPAN).distinct(), f"spans-{name}")
+    ws.drop(f"slices-{name}")
+    return spans
 
-    spans = pairs.mapInArrow(verify, "ord long, u long, start long, stop long, r_ord long, r_u long, r_start long, r_stop long, similarity double")
-    return ws.put(spans.distinct(), "spans")
+
+def repeated_passages(rows: DataFrame, ws: Workspace, min_words: int = MIN_WORDS, hashes: int = HASHES) -> DataFrame:
+    """(ord long, u long, text) -> (ord, u, start, stop, r_ord, r_u, r_start, r_stop, similarity) in words.
+
+    ``u`` stands for the text, ``ord`` orders the texts: of two occurrences the later one is reported, with
+    the place of the earlier. Rows of equal ``u`` must have equal texts; they never match each other.
+    """
+    width = max(1, min_words - SHINGLE + 1)
+    links = passage_links(rows, ws, width, hashes)
+    lo, hi = F.col("c") - F.col("left"), F.col("c") + F.col("right")
+    blocks = ws.put(links.groupBy("u", "r_u", (F.col("c") - F.col("r_c")).alias("shift"), F.floor(F.col("c") / BLOCK).alias("block")).agg(
+        F.count("*").alias("n"), F.min("ord").alias("ord"), F.min("r_ord").alias("r_ord"), F.min(lo).alias("lo"), F.max(hi).alias("hi"),
+        F.min("c").alias("c_from"), F.max("c").alias("c_to")), "blocks")
+    ws.drop("links")
+    best = ws.put(blocks.groupBy("u", "block").agg(F.max(F.struct("n", -F.col("r_ord"), "r_u", "shift", "ord", "r_ord", "lo", "hi")).alias("b")).select("u", "block", "b.*"), "best")
+    hull = best.groupBy("u", "r_u", "shift").agg(*[F.min(c).alias(c) for c in ("ord", "r_ord", "lo")], F.max("hi").alias("hi"))
+    first = verified(rows, hull, ws, width, "first")
+    # what no passage covers yet, against all its other partners
+    found = first.groupBy("u").agg(F.collect_set(F.struct("start", "stop")).alias("found"))  # bounded by the text's length
+    others = blocks.join(best.select("u", "block", "r_u", "shift"), ["u", "block", "r_u", "shift"], "left_anti").join(found, "u", "left")
+    covered = F.exists("found", lambda x: (x.start <= F.col("c_from")) & (x.stop >= F.col("c_to") + SHINGLE))
+    rest = verified(rows, others.filter(~F.coalesce(covered, F.lit(False))), ws, width, "rest")
+    return first.unionByName(rest).distinct()
 
 
 def prepared(docs: DataFrame, ws: Workspace, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -338,7 +360,7 @@ def substring_index(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text
     copies = named.filter((F.col("ord") > F.col("first")) & (F.col("n_words") >= min_words)).select(
         "ord", "u", F.lit(0).cast("long").alias("start"), F.col("n_words").cast("long").alias("stop"), F.col("first").alias("r_ord"), F.col("u").alias("r_u"),
         F.lit(0).cast("long").alias("r_start"), F.col("n_words").cast("long").alias("r_stop"), F.lit(1.0).alias("similarity"))
-    every = ws.put(spans.unionByName(copies), "every")
+    every = ws.put(spans.unionByName(copies).distinct(), "every")
     roots = connected_components(every.select(F.col("ord").alias("a"), F.col("r_ord").alias("b")), ws)
     least = ws.put(roots.groupBy("root").agg(F.min("node").alias("component_id")), "least")
     component = ws.put(roots.join(least, "root").select(F.col("node").alias("doc_id"), "component_id"), "component")

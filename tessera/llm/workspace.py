@@ -6,6 +6,7 @@ join a plain exchange, which adaptive execution can split when a key is hot.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.session import ensure_checkpoint_dir
 
 
+CLEANUP = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.shuffleDependency.fileCleanup.enabled")
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Writes inside remove their shuffle files when they end, not when the driver happens to collect
+    garbage: nothing reads them again, and a file that is missed is recomputed."""
+    before = {k: spark.conf.get(k, None) for k in CLEANUP}
+    try:
+        for k in CLEANUP:
+            spark.conf.set(k, "true")
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 class Workspace:
     """One folder per call; tables in it are written once and read many times."""
 
@@ -24,7 +42,8 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        with shuffles_removed(self.spark):
+            df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
