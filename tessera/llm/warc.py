@@ -6,20 +6,21 @@ fresh headers. Digest groups are reduced by a partial aggregate and joined back
 so a payload that a third of the pages share is split like any hot join key.
 
 Archives go through Spark's text writer: the two line ends that close every WARC record are its line
-separator, so any file system that Spark writes to will do. The reader goes by Content-Length, so a
+separator, so any file system that Spark writes to will do; a file is one gzip stream. The reader goes by Content-Length, so a
 payload may hold any bytes, blank lines and WARC headers included.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessera.llm.workspace import Workspace
+from tessera.llm.workspace import Workspace, shuffles_removed
 
 CRLF = "\r\n"
 RECORD_END = CRLF + CRLF
@@ -86,8 +87,9 @@ def write_archives(pages: DataFrame, path: str, ws: Workspace, id_col: str = "pa
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")))
     sizes = resolved.agg(F.avg("size")).first()[0] or 0
-    (rows.select(F.concat(lines, F.lit(RECORD_END), block).alias("value")).write.mode("overwrite")
-     .option("lineSep", RECORD_END).option("maxRecordsPerFile", max(1, int(file_bytes // (sizes + 500)))).text(path))
+    with shuffles_removed(pages.sparkSession):
+        (rows.select(F.concat(lines, F.lit(RECORD_END), block).alias("value")).write.mode("overwrite").option("compression", "gzip")
+         .option("lineSep", RECORD_END).option("maxRecordsPerFile", max(1, int(file_bytes // (sizes + 500)))).text(path))
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -116,7 +118,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for content in b.column(0):
                 rows = []
-                for head, block in parse_records(content.as_py()):
+                for head, block in parse_records(gzip.decompress(content.as_py())):
                     body = block[block.index(b"\r\n\r\n") + 4:]
                     page = head.get("x-page-id") or None
                     rows.append((head["warc-record-id"], head["warc-type"], page and int(page), head["warc-target-uri"],
