@@ -84,12 +84,21 @@ def accuracy(df: DataFrame, truth: str, pred: str) -> DataFrame:
     return df.agg((F.avg((F.col(truth) == F.col(pred)).cast("double")) * 100).alias("accuracy"))
 
 
-def per_class_counts(df: DataFrame, truth: str, pred: str, classes: DataFrame) -> DataFrame:
-    """tp, support and predicted count for every class of ``classes`` (one column ``cls``)."""
+def contingency(df: DataFrame, truth: str, pred: str, name: str = "n") -> DataFrame:
+    """Rows per (truth, prediction): the one pass over the data from which the reports below follow.
+
+    It has at most classes^2 rows and is written, so that they don't scan the predictions again."""
+    return settled(df.groupBy(truth, pred).agg(F.count(F.lit(1)).alias(name)))
+
+
+def per_class_counts(df: DataFrame, truth: str, pred: str, classes: DataFrame, n: str | None = None) -> DataFrame:
+    """tp, support and predicted count for every class of ``classes`` (one column ``cls``);
+    ``n`` is the count column if ``df`` is a contingency table."""
+    rows = F.lit(1) if n is None else F.col(n)
     t = df.groupBy(F.col(truth).alias("cls")).agg(
-        F.count(F.lit(1)).alias("support"),
-        F.sum((F.col(truth) == F.col(pred)).cast("long")).alias("tp"))
-    p = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("predicted"))
+        F.sum(rows).alias("support"),
+        F.sum((F.col(truth) == F.col(pred)).cast("long") * rows).alias("tp"))
+    p = df.groupBy(F.col(pred).alias("cls")).agg(F.sum(rows).alias("predicted"))
     out = classes.join(t, "cls", "left").join(p, "cls", "left")
     return out.select("cls", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
                                for c in ("support", "tp", "predicted")])
@@ -127,10 +136,11 @@ def classification_report(per_class: DataFrame, n_correct: DataFrame) -> DataFra
     return lines.unionByName(macro).unionByName(w).unionByName(acc)
 
 
-def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: list[int], class_rows: DataFrame) -> DataFrame:
+def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: list[int], class_rows: DataFrame,
+                     n: str | None = None) -> DataFrame:
     """Dense true x pred counts; the value list of ``pivot`` keeps empty columns and
-    ``class_rows`` (column ``cls``) keeps classes that never occur as truth."""
-    m = df.groupBy(F.col(truth).alias("cls")).pivot(pred, classes).agg(F.count(F.lit(1)))
+    ``class_rows`` (column ``cls``) keeps classes that never occur as truth; ``n`` as above."""
+    m = df.groupBy(F.col(truth).alias("cls")).pivot(pred, classes).agg(F.sum(F.lit(1) if n is None else F.col(n)))
     out = class_rows.join(m, "cls", "left")
     return out.select(F.col("cls").alias("true"),
                       *[F.coalesce(F.col(str(c)), F.lit(0)).cast("long").alias(f"p{c}") for c in classes])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import char_tokens
-from tessera.operators.ordering import md5_order, with_global_index
+from tessera.operators.ordering import md5_order, running_sums, with_global_index
 
 # Special tokens and their ids; ordinary ids start after them.
 PAD_TOKEN, PAD_ID = "<PAD>", 0
@@ -145,21 +145,25 @@ def pad_batch(df: DataFrame, batch: str, ids: str, labels: str, max_len: int | N
     return df.withColumn(ids, fit(ids, pad_id)).withColumn(labels, fit(labels, ignore))
 
 
-def pack_sequences(df: DataFrame, key: str, ids: str, max_len: int, buckets: int | None = None) -> DataFrame:
-    """Concatenate sequences of a hash bucket in key order and cut into ``max_len`` chunks.
+def pack_sequences(df: DataFrame, key: str, ids: str, max_len: int, buckets: int) -> DataFrame:
+    """Concatenate sequences of a bucket (md5 of the key, ``buckets`` of them) in key order and cut
+    into ``max_len`` chunks.
 
-    Each output group is one chunk, so no group exceeds ``max_len`` tokens; token
-    count is preserved.
+    Where a sequence starts in its bucket is a running sum over chunks of range partitions, so a bucket
+    spans many tasks; sequences are cut at chunk borders and travel as arrays, one group per chunk.
     """
-    spark = df.sparkSession
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = df.select(key, ids, F.pmod(F.xxhash64(key), F.lit(nb)).alias("bucket"))
-    w = Window.partitionBy("bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    off = b.withColumn("_start", F.coalesce(F.sum(F.size(ids)).over(w), F.lit(0)))
-    tok = off.select("bucket", F.posexplode(ids).alias("_p", "tid"), "_start") \
-        .withColumn("_g", F.col("_start") + F.col("_p"))
-    return (tok.groupBy("bucket", F.floor(F.col("_g") / max_len).alias("chunk"))
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("_g", "tid"))), lambda x: x["tid"]).alias("packed")))
+    bucket = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(buckets))
+    b = df.select(F.col(key).alias("_k"), F.col(ids).alias("_ids"), bucket.alias("bucket"), F.size(ids).cast("long").alias("_n")).where("_n > 0")
+    ends = running_sums(b.select("_k", "bucket", "_n"), ["bucket"], [F.col("_k")], {"_end": F.col("_n")})
+    placed = b.join(ends.select("_k", (F.col("_end") - F.col("_n")).alias("_start"), "_end"), "_k")
+    first, last = F.floor(F.col("_start") / max_len), F.floor((F.col("_end") - 1) / max_len)
+    cut = placed.withColumn("chunk", F.explode(F.sequence(first, last)))
+    at = F.greatest(F.col("chunk") * max_len - F.col("_start"), F.lit(0))
+    stop = F.least((F.col("chunk") + 1) * max_len - F.col("_start"), F.col("_n"))
+    piece = F.slice("_ids", (at + 1).cast("int"), (stop - at).cast("int"))
+    return (cut.select("bucket", "chunk", F.struct(F.col("_start"), piece.alias("p")).alias("s"))
+            .groupBy("bucket", "chunk")
+            .agg(F.flatten(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["p"])).alias("packed")))
 
 
 def masked_mean_loss(df: DataFrame, group: list[str], loss: str, mask: str) -> DataFrame:

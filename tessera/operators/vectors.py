@@ -115,8 +115,8 @@ def expert_load(routed: DataFrame, experts: DataFrame) -> DataFrame:
 
 
 def knn_join(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, vec: str, k: int,
-             exclude_self: bool = True, rows_per_bucket: int = 200_000,
-             queries_per_block: int = 10_000) -> DataFrame:
+             exclude_self: bool = True, rows_per_bucket: int = 512,
+             queries_per_block: int = 1_024) -> DataFrame:
     """Exact k nearest corpus vectors (squared L2) per query, ties by corpus id.
 
     Block nested loop: the corpus is cut into B hash buckets (about
@@ -145,23 +145,24 @@ def knn_join(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, vec: s
                               "dist": pd.Series([], dtype="float64")})
         if len(cpdf) == 0 or len(qpdf) == 0:
             return empty
-        X = np.stack(cpdf["v"].to_numpy())
-        ids = cpdf["cid"].to_numpy()
+        X, ids = np.stack(cpdf["v"].to_numpy()), cpdf["cid"].to_numpy()
+        asked, qids = np.stack(qpdf["qv"].to_numpy()), qpdf["qid"].to_numpy()
+        order = np.argsort(ids, kind="stable")  # ties go to the smaller id
+        X, ids = X[order], ids[order]
         out_q, out_c, out_d = [], [], []
-        for qid, qv in zip(qpdf["qid"].to_numpy(), qpdf["qv"].to_numpy()):
-            d = ((X - np.asarray(qv)) ** 2).sum(axis=1)
-            keep = ids != qid if exclude_self else np.ones(len(ids), dtype=bool)
-            dd, ii = d[keep], ids[keep]
-            if len(dd) == 0:
-                continue
-            order = np.lexsort((ii, dd))[:k]
-            out_q += [qid] * len(order)
-            out_c += ii[order].tolist()
-            out_d += dd[order].tolist()
-        if not out_q:
-            return empty
-        return pd.DataFrame({"qid": np.asarray(out_q, dtype="int64"), "cid": np.asarray(out_c, dtype="int64"),
-                             "dist": np.asarray(out_d, dtype="float64")})
+        for at in range(0, len(qids), 64):  # 64 queries against the bucket at a time
+            part, own = asked[at:at + 64], qids[at:at + 64]
+            d = ((part[:, None, :] - X[None, :, :]) ** 2).sum(axis=2)
+            if exclude_self:
+                d[own[:, None] == ids[None, :]] = np.inf
+            best_k = np.argsort(d, axis=1, kind="stable")[:, :k]
+            near = np.take_along_axis(d, best_k, axis=1)
+            row, col = np.nonzero(np.isfinite(near))
+            out_q.append(own[row])
+            out_c.append(ids[best_k[row, col]])
+            out_d.append(near[row, col])
+        return pd.DataFrame({"qid": np.concatenate(out_q).astype("int64"), "cid": np.concatenate(out_c).astype("int64"),
+                             "dist": np.concatenate(out_d).astype("float64")})
 
     cand = (c.groupBy("qb", "cb").cogroup(q.groupBy("qb", "cb"))
             .applyInPandas(best, "qid long, cid long, dist double"))

@@ -32,9 +32,12 @@ def predictions(spark, sf) -> DataFrame:
             .withColumn("correct", F.col("pred") == F.col("label")))
 
 
-def class_rows(spark, sf) -> DataFrame:
-    """The ten class ids, taken from the data's label domain plus predictions."""
-    p = predictions(spark, sf)
+def counted(spark, sf) -> DataFrame:
+    return ev.contingency(predictions(spark, sf), "label", "pred")
+
+
+def class_rows(p: DataFrame) -> DataFrame:
+    """The class ids, taken from the data's label domain plus predictions."""
     return (p.select(F.col("label").alias("cls")).unionByName(p.select(F.col("pred").alias("cls")))
             .distinct())
 
@@ -102,9 +105,9 @@ def g2(spark, sf):
     return ev.accuracy(predictions(spark, sf), "label", "pred").select(r6("accuracy", 6).alias("accuracy"))
 
 
-def _per_class(spark, sf):
-    p = predictions(spark, sf)
-    return ev.prf(ev.per_class_counts(p, "label", "pred", class_rows(spark, sf)))
+def _per_class(spark, sf, p: DataFrame | None = None):
+    p = counted(spark, sf) if p is None else p
+    return ev.prf(ev.per_class_counts(p, "label", "pred", class_rows(p), "n"))
 
 
 @register("g3_weighted_prf", PRED_SQL + """
@@ -126,9 +129,9 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
 UNION ALL SELECT 'accuracy', NULL, NULL, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END), 6), count(*) FROM pc
 """)
 def g4(spark, sf):
-    p = predictions(spark, sf)
-    nc = p.agg(F.sum(F.col("correct").cast("long")).alias("correct"), F.count(F.lit(1)).alias("total"))
-    r = ev.classification_report(_per_class(spark, sf), nc)
+    p = counted(spark, sf)
+    nc = p.agg(F.sum(F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)).alias("correct"), F.sum("n").alias("total"))
+    r = ev.classification_report(_per_class(spark, sf, p), nc)
     return r.select("label", *[r6(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
@@ -138,7 +141,8 @@ SELECT c.cls AS "true", """ + ", ".join(
 FROM cls c LEFT JOIN pc ON pc.label = c.cls GROUP BY c.cls
 """)
 def g5(spark, sf):
-    return ev.confusion_matrix(predictions(spark, sf), "label", "pred", CLASSES, class_rows(spark, sf))
+    p = counted(spark, sf)
+    return ev.confusion_matrix(p, "label", "pred", CLASSES, class_rows(p), "n")
 
 
 @register("g6_confidence_histogram", PRED_SQL + """,

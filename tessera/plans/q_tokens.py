@@ -15,6 +15,7 @@ from tessera.plans.sqlkit import PC_CTE
 
 MAX_LEN = 512
 BATCH = 4
+BUCKETS = 8
 SEED = "42"
 MARKER = IM_START + "assistant"
 M = len(MARKER)
@@ -173,8 +174,13 @@ def g10(spark, sf):
     return out.select("batch", r6("masked_loss", 6).alias("masked_loss"))
 
 
-@register("a8_pack_sequences")
+@register("a8_pack_sequences", TOK_SQL + f""",
+b AS (SELECT CAST(CAST('0x' || substr(md5(CAST(seq_id AS VARCHAR)), 1, 8) AS BIGINT) % {BUCKETS} AS BIGINT) AS bucket, seq_id, ids FROM enc),
+e AS (SELECT bucket, seq_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM b),
+n AS (SELECT bucket, id, row_number() OVER (PARTITION BY bucket ORDER BY seq_id, i) - 1 AS pos FROM e)
+SELECT bucket, pos // {MAX_LEN} AS chunk, CAST(count(*) AS INTEGER) AS n_tokens, md5(string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos)) AS ids_md5
+FROM n GROUP BY bucket, pos // {MAX_LEN}
+""")
 def a8(spark, sf):
-    e = encoded(spark, sf)
-    p = tokens.pack_sequences(e, "seq_id", "ids", MAX_LEN)
-    return p.select("bucket", "chunk", F.size("packed").alias("n_tokens"))
+    p = tokens.pack_sequences(encoded(spark, sf), "seq_id", "ids", MAX_LEN, BUCKETS)
+    return p.select("bucket", F.col("chunk").cast("long").alias("chunk"), F.size("packed").alias("n_tokens"), F.md5(js("packed")).alias("ids_md5"))
