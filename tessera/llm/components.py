@@ -10,6 +10,7 @@ tables, so a hub with many neighbours never sits in one task.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.workspace import Workspace
@@ -46,3 +47,18 @@ def connected_components(edges: DataFrame, ws: Workspace, name: str = "cc") -> D
         out = (out.join(low.withColumnsRenamed({"node": "root", "to": "next"}), "root", "left")
                .select("node", F.coalesce("next", "root").alias("root")))
     return ws.put(out, f"{name}-out")
+
+
+def smallest_linked(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Within one task: the smallest of 0..n-1 that each reaches over the pairs (i, j)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        np.minimum.at(new, label, new)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new

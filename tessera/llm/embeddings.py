@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.components import connected_components
+from tessera.llm.components import connected_components, smallest_linked
 from tessera.llm.workspace import Workspace
 
 MISS = 1e-7  # chance to miss a pair whose cosine is the threshold
@@ -165,20 +165,6 @@ def normalised(v: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def smallest_linked(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, label, new)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 def units_of(batches: Iterator[pa.RecordBatch]):
     """(table, h, n, low, alone, vectors) per unit of rows sorted by unit; vectors of a unit have one length."""
     held: list[pa.RecordBatch] = []

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm.components import connected_components
+from tessera.llm.components import connected_components, smallest_linked
 from tessera.llm.workspace import Workspace
 
 SEED = 42
@@ -89,21 +89,6 @@ def _pairs_in_runs(fp: np.ndarray, start: np.ndarray, length: np.ndarray, bits:
     return np.concatenate([empty, *left]), np.concatenate([empty, *right])
 
 
-def _smallest_linked(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest index that each of 0..n-1 reaches over the pairs."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, label, new)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 def _link_buckets(batches: Iterator[pa.RecordBatch], bits: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Sorted (path, key, fp) rows -> stars of linked fingerprints, or the rows of too large a bucket."""
     names = ["path", "a", "b"]
@@ -115,7 +100,7 @@ def _link_buckets(batches: Iterator[pa.RecordBatch], bits: int, limit: int) -> I
         i, j = _pairs_in_runs(fp.view(np.uint64), cut[keep], length[keep], bits)
         if not i.size:
             return
-        label = _smallest_linked(len(fp), i, j)
+        label = smallest_linked(len(fp), i, j)
         at = np.flatnonzero(label != np.arange(len(fp)))
         yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64()), pa.array(fp[at]), pa.array(fp[label[at]])], names=names)
 
@@ -183,11 +168,10 @@ def link_fingerprints(unique: DataFrame, ws: Workspace, max_bits: int, limit: in
             else:
                 finer[p] = [masks[p] | m for m in covering_masks(free, max_bits)]
         masks = {p * fanout + t + 1: m for p, ms in finer.items() for t, m in enumerate(ms)}
-        choice = spark_map(over, finer, fanout)
-        rows = choice
+        rows = deal_anew(over, finer, fanout)
 
 
-def spark_map(over: DataFrame, finer: dict[int, list[int]], fanout: int) -> DataFrame:
+def deal_anew(over: DataFrame, finer: dict[int, list[int]], fanout: int) -> DataFrame:
     """Rows of large buckets, once under each finer mask of their bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

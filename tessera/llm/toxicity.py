@@ -135,7 +135,8 @@ def choose_features(training: DataFrame, max_features: int = MAX_FEATURES, min_z
 
 def fit(docs: DataFrame, labels: DataFrame, ws: Workspace, terms=IDENTITY_TERMS, sample_rows: int = SAMPLE_ROWS,
         fairness: float = FAIRNESS, max_features: int = MAX_FEATURES) -> Model:
-    """The model; without rows of both labels a constant at the share of label 1."""
+    """The model, fitted as if both labels were equally frequent; without rows of both labels a constant at
+    the share of label 1."""
     training = training_rows(docs, labels, ws, sample_rows)
     chosen, n0, n1 = choose_features(training, max_features)
     if not chosen:
@@ -167,15 +168,17 @@ def fit(docs: DataFrame, labels: DataFrame, ws: Workspace, terms=IDENTITY_TERMS,
             d_col.append(k)
             d_val.append(1.0 if k in o else -1.0)
     d_row, d_col, d_val = np.array(d_row, np.int64), np.array(d_col, np.int64), np.array(d_val)
-    w, bias = np.zeros(len(chosen)), float(np.log(n1 / n0))
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum())) / len(y)  # both labels weigh the same
+    w, bias = np.zeros(len(chosen)), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, 401):
         p = 1 / (1 + np.exp(-np.clip(bias + np.bincount(row, w[col], len(y)), -30, 30)))
-        g = np.bincount(col, (p - y)[row], len(w)) / len(y) + RIDGE * w
+        off = (p - y) * weight
+        g = np.bincount(col, off[row], len(w)) + RIDGE * w
         if pairs:
             change = np.bincount(d_row, w[d_col] * d_val, len(pairs))
             g += fairness * 2 * np.bincount(d_col, change[d_row] * d_val, len(w)) / len(pairs)
-        gb = float(np.mean(p - y))
+        gb = float(off.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         rate = 0.05 * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
