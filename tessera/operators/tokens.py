@@ -121,11 +121,13 @@ def shift_align(ids, labels, mask):
 def assign_batches(df: DataFrame, id_col: str, bs: int, seed: str = "42", name: str = "batch") -> DataFrame:
     """Shuffled order (md5 of id||seed, then id) cut in batches of ``bs``; last one short.
 
-    The global position comes from range partitioning (see ``ordering``), so no
-    single task numbers the whole table.
+    The global position comes from range partitioning (see ``ordering``), so no single task
+    numbers the whole table; only the (unique) ids are put in order, and join back to their rows.
     """
-    idx = with_global_index(df.withColumn("_shuf", md5_order(id_col, seed)), [F.col("_shuf"), F.col(id_col)], "_g")
-    return idx.withColumn(name, F.floor(F.col("_g") / bs).cast("long")).drop("_shuf", "_g")
+    keys = df.select(id_col).withColumn("_shuf", md5_order(id_col, seed))
+    idx = with_global_index(keys, [F.col("_shuf"), F.col(id_col)], "_g")
+    idx = idx.select(id_col, F.floor(F.col("_g") / bs).cast("long").alias(name))
+    return idx if df.columns == [id_col] else df.join(idx, id_col)
 
 
 def pad_batch(df: DataFrame, batch: str, ids: str, labels: str, max_len: int | None = None,
