@@ -124,6 +124,17 @@ def first_of_cluster(g: np.ndarray, doc: np.ndarray, at: np.ndarray, width: int)
     return np.sort(order[np.concatenate((np.ones(min(1, len(order)), bool), ~again))])
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of a text column, which bounds a task's memory."""
+    for b in batches:
+        size = np.concatenate(([0], np.cumsum(pc.binary_length(b.column(column)).to_numpy().astype(np.int64))))
+        at = 0
+        while at < b.num_rows:
+            stop = max(at + 1, int(np.searchsorted(size, size[at] + limit, side="right")) - 1)
+            yield b.slice(at, stop - at)
+            at = stop
+
+
 WINDOWS = ["key", "ord", "u", "c", "left", "right", "r_ord", "r_u", "r_c", "r_left", "r_right"]
 
 
@@ -189,7 +200,7 @@ def passage_links(rows: DataFrame, ws: Workspace, width: int, hashes: int = HASH
     schema = ", ".join(f"{c} long" for c in WINDOWS)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_bytes(batches, 2):
             cols = compact_windows(b, width, hashes)
             if not len(cols[0]):
                 continue
@@ -238,6 +249,8 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
     inside[inside] = b[straight[inside]] == a[inside]
     other_of[inside] = straight[inside]
     places = np.flatnonzero(hit)
+    if len(places) < width * SIMILARITY:
+        return []
     spans, todo = [], [places]
     for gap in (3 * SHINGLE, 2 * SHINGLE, SHINGLE + 1, 1):
         rest = []
@@ -249,9 +262,12 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
                 other = other_of[part]
                 near = other[np.abs(other - part - shift) <= SLACK]  # not its repeats elsewhere in b
                 t, w = (int(near.min()), int(near.max()) + 1) if len(near) else (0, 0)
-                mine, its = np.unique(a[s:e]), np.unique(b[t:w])
-                both = len(np.intersect1d(mine, its, assume_unique=True))
-                share = both / max(1, len(mine) + len(its) - both)
+                if (t, w) == (s + shift, e + shift) and inside[s:e].all():
+                    share = 1.0  # word for word
+                else:
+                    mine, its = np.unique(a[s:e]), np.unique(b[t:w])
+                    both = len(np.intersect1d(mine, its, assume_unique=True))
+                    share = both / max(1, len(mine) + len(its) - both)
                 if share >= SIMILARITY and w - t >= width * SIMILARITY:
                     spans.append((s, e, t, w, share))
                 else:
@@ -267,7 +283,7 @@ def fetch(rows: DataFrame, wanted: DataFrame, ws: Workspace, name: str) -> DataF
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        for b in batches:
+        for b in by_bytes(batches, 2):
             out = []
             for u, o, text, asked in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = text.encode().split()
@@ -293,7 +309,7 @@ def verified(rows: DataFrame, runs: DataFrame, ws: Workspace, width: int, name:
     pairs = pairs.select("ord", "u", "s", "r_ord", "r_u", "r_s", (F.col("s") - F.col("shift") - F.col("r_s")).alias("d"), "words", "r_words")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_bytes(batches, 7):
             mine, bounds = word_hashes(b.column(7))
             its, r_bounds = word_hashes(b.column(8))
             heads = [b.column(k).to_numpy() for k in range(7)]
