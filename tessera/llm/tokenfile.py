@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tessera.llm.tokens import in_slices, with_end, worker_encoder
-from tessera.llm.workspace import Workspace, shuffles_removed
+from tessera.llm.workspace import Workspace, bounded
 
 PART_BYTES = 16 << 20  # UTF-8 bytes of text that one file stands for, on average
 
@@ -95,7 +95,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array([file_bytes(*stream)], pa.binary())], names=["content"])
 
     files = rows.mapInArrow(run, "content binary")
-    with shuffles_removed(docs.sparkSession):
+    with bounded(docs.sparkSession):
         files.select(F.col("content").cast("string").alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 

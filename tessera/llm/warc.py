@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessera.llm.workspace import Workspace, shuffles_removed
+from tessera.llm.workspace import Workspace, bounded
 
 CRLF = "\r\n"
 RECORD_END = CRLF + CRLF
@@ -87,7 +87,7 @@ def write_archives(pages: DataFrame, path: str, ws: Workspace, id_col: str = "pa
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")))
     sizes = resolved.agg(F.avg("size")).first()[0] or 0
-    with shuffles_removed(pages.sparkSession):
+    with bounded(pages.sparkSession):
         (rows.select(F.concat(lines, F.lit(RECORD_END), block).alias("value")).write.mode("overwrite").option("compression", "gzip")
          .option("lineSep", RECORD_END).option("maxRecordsPerFile", max(1, int(file_bytes // (sizes + 500)))).text(path))
 

@@ -14,17 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.session import ensure_checkpoint_dir
 
 
-CLEANUP = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.shuffleDependency.fileCleanup.enabled")
+#: While a table is written: its shuffle files go when it is done, and Arrow batches are bounded by bytes.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 @contextlib.contextmanager
-def shuffles_removed(spark: SparkSession):
+def bounded(spark: SparkSession):
     """Writes inside remove their shuffle files when they end, not when the driver happens to collect
-    garbage: nothing reads them again, and a file that is missed is recomputed."""
-    before = {k: spark.conf.get(k, None) for k in CLEANUP}
+    garbage (nothing reads them again, and a file that is missed is recomputed), and hand some
+    megabytes at a time to Python, however long the texts are."""
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
     try:
-        for k in CLEANUP:
-            spark.conf.set(k, "true")
+        for k, v in SETTINGS.items():
+            spark.conf.set(k, v)
         yield
     finally:
         for k, v in before.items():
@@ -42,7 +48,7 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        with shuffles_removed(self.spark):
+        with bounded(self.spark):
             df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
