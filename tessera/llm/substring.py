@@ -124,7 +124,7 @@ def first_of_cluster(g: np.ndarray, doc: np.ndarray, at: np.ndarray, width: int)
     return np.sort(order[np.concatenate((np.ones(min(1, len(order)), bool), ~again))])
 
 
-def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of a text column, which bounds a task's memory."""
     for b in batches:
         size = np.concatenate(([0], np.cumsum(pc.binary_length(b.column(column)).to_numpy().astype(np.int64))))
