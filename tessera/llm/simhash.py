@@ -10,6 +10,7 @@ also fix half of its free bits, again a covering family, until its buckets are s
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,10 +56,25 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 
 
-def covering_masks(bits: list[int], radius: int) -> list[int]:
-    """Masks over the given bit positions: any ``radius`` of them are all left out by some mask."""
+@functools.cache
+def spread_vectors(radius: int) -> list[int]:
+    """The non-zero vectors of radius + 1 bits, each next one where the masks so far fix least; a basis comes first."""
     size = 1 << (radius + 1)
-    spread = [1 + i % (size - 1) for i in range(len(bits))]
+    order, weight = [], [0] * size
+    while len(order) < size - 1:
+        cost = lambda m: sum(2.0 ** -(weight[v] + (m & v).bit_count() % 2) for v in range(1, size))
+        order.append(min((m for m in range(1, size) if m not in order), key=cost))
+        weight = [w + (order[-1] & v).bit_count() % 2 for v, w in enumerate(weight)]
+    return order
+
+
+def covering_masks(bits: list[int], radius: int) -> list[int]:
+    """Masks over the given bit positions: any ``radius`` of them are all left out by some mask.
+
+    With more than ``radius`` positions every mask keeps one at least, so dealing anew always ends.
+    """
+    size, order = 1 << (radius + 1), spread_vectors(radius)
+    spread = [order[i % len(order)] for i in range(len(bits))]
     return [sum(1 << b for b, m in zip(bits, spread, strict=True) if (m & v).bit_count() % 2) for v in range(1, size)]
 
 
@@ -144,8 +160,8 @@ def _split(path, key, fp, limit, linked, whole):
 
 def link_fingerprints(unique: DataFrame, ws: Workspace, max_bits: int, limit: int = RUN_LIMIT) -> DataFrame:
     """Distinct ``fp`` -> edges (a, b) that connect whatever pairs within ``max_bits`` connect."""
+    limit = max(limit, 1 << max_bits)  # a bucket with no more than max_bits free bits is never larger
     masks = {t + 1: m for t, m in enumerate(covering_masks(list(range(64)), max_bits))}
-    fanout = len(masks) + 1
     rows = unique.select("fp", F.explode(F.array(*[
         F.struct(F.lit(t).cast("long").alias("path"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
         for t, m in masks.items()])).alias("x")).select("x.path", "x.key", "fp")
@@ -160,18 +176,16 @@ def link_fingerprints(unique: DataFrame, ws: Workspace, max_bits: int, limit: in
             return edges
         level += 1
         paths = [r[0] for r in over.select("path").distinct().collect()]  # at most one per mask of the level
-        finer = {}
-        for p in paths:
+        finer, deeper = {}, {}
+        for p in paths:  # numbered anew at each level, so that the numbers stay small
             free = [i for i in range(64) if not masks[p] >> i & 1]
-            if len(free) <= max_bits:  # every pair in such a bucket is within the radius
-                finer[p] = [masks[p]]
-            else:
-                finer[p] = [masks[p] | m for m in covering_masks(free, max_bits)]
-        masks = {p * fanout + t + 1: m for p, ms in finer.items() for t, m in enumerate(ms)}
-        rows = deal_anew(over, finer, fanout)
+            finer[p] = [(len(deeper) + t, masks[p] | m) for t, m in enumerate(covering_masks(free, max_bits))]
+            deeper.update(finer[p])
+        masks = deeper
+        rows = deal_anew(over, finer)
 
 
-def deal_anew(over: DataFrame, finer: dict[int, list[int]], fanout: int) -> DataFrame:
+def deal_anew(over: DataFrame, finer: dict[int, list[tuple[int, int]]]) -> DataFrame:
     """Rows of large buckets, once under each finer mask of their bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +193,9 @@ def deal_anew(over: DataFrame, finer: dict[int, list[int]], fanout: int) -> Data
             path, fp = b.column(0).to_numpy(), b.column(1).to_numpy()
             for p in np.unique(path):
                 own = fp[path == p]
-                for t, m in enumerate(finer[int(p)]):
+                for number, m in finer[int(p)]:
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(own), int(p) * fanout + t + 1)),
+                        pa.array(np.full(len(own), number)),
                         pa.array(own & np.int64(_signed(m))), pa.array(own)], names=["path", "key", "fp"])
 
     return over.mapInArrow(run, "path long, key long, fp long")

@@ -139,6 +139,28 @@ def test_split_buckets_lose_no_link_of_a_dense_group(spark):
     assert all(len(p) == 1 for p in parts.values()) and len(parts) == len(set(want))
 
 
+def test_every_finer_mask_fixes_a_free_bit_and_dealing_anew_ends(spark):
+    from tessera.llm.simhash import _signed, link_fingerprints
+    for n in range(5, 65):
+        masks = covering_masks(list(range(n)), 4)
+        assert min(m.bit_count() for m in masks) >= (n - 10 if n < 16 else 1)
+    assert all(any(not (1 << a | 1 << b | 1 << c | 1 << d) & m for m in masks) for n in (5, 9) for masks in [covering_masks(list(range(n)), 4)]
+               for a in range(n) for b in range(n) for c in range(n) for d in range(n))
+    random.seed(9)
+    fps = {0x0123456789ABCDEF}
+    while len(fps) < 300:
+        fps.add(random.choice(sorted(fps)) ^ (1 << random.randrange(12)) ^ (1 << random.randrange(64)))
+    fps = sorted(fps)
+    rows = spark.createDataFrame([(_signed(x),) for x in fps], "fp long")
+    ws = Workspace(spark, "t")
+    roots = {r.node: r.root for r in connected_components(link_fingerprints(rows, ws, 4, limit=8), ws).collect()}
+    want = groups(list(range(len(fps))), fps)
+    parts = collections.defaultdict(set)
+    for k, x in enumerate(fps):
+        parts[roots.get(_signed(x), _signed(x))].add(want[k])
+    assert all(len(p) == 1 for p in parts.values()) and len(parts) == len(set(want))
+
+
 def test_masks_cover_every_pair_within_the_radius():
     masks = covering_masks(list(range(64)), 4)
     random.seed(1)
