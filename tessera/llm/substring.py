@@ -6,11 +6,11 @@ tree over the hashes yields compact windows (l, c, r): every passage that begins
 passage of ``MIN_WORDS`` words matter; these are the minima of the sliding windows of that width, about
 2 per width and hash.
 
-Windows of equal minima meet by a shuffle on the minimum. The first of them (smallest document) stands
-for all, so a group of n costs n - 1 links, never n^2; a batch links its own repeats before the shuffle,
-so a passage that a third of all documents hold sends one row per batch. Links whose windows overlap by
-enough, around the same place, are joined to intervals per (text, first text, shift). The words of every
-block's best-supported interval are fetched and compared first, then those of all other intervals
+Windows of equal minima meet by a shuffle on the minimum. Each is linked to the first of them (smallest
+document), so a group of n costs n - 1 links, never n^2; a window whose content another text of its batch
+holds in full goes as a link to it.
+Links whose windows overlap by enough, around the same place, are joined to intervals per (text, first
+text, shift). The words of every block's best-supported interval are fetched and compared first, then those of all other intervals
 that the passages found so far do not cover: a passage counts if it has at least ``MIN_WORDS`` words and
 the Jaccard similarity of its shingles with the other's is at least ``SIMILARITY``.
 
@@ -135,11 +135,13 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 2
             at = stop
 
 
-WINDOWS = ["key", "ord", "u", "c", "left", "right", "r_ord", "r_u", "r_c", "r_left", "r_right"]
+WINDOWS = ["key", "ord", "u", "c", "left", "right", "ctx", "r_ord", "r_u", "r_c"]
+OWN = 7  # columns of a window; the others are null until it is linked
+STEP = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 
 
-def compact_windows(batch: pa.RecordBatch, width: int, hashes: int) -> list[np.ndarray]:
-    """Columns key, ord, u, c, left, right of all windows of a batch of (ord, u, text) rows."""
+def shingled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shingles, row of each, first shingle of each row, number of each row's shingles) of (ord, u, text, ..) rows."""
     words, bounds = word_hashes(batch.column(2))
     s = shingle_hashes(words)
     number = np.repeat(np.arange(batch.num_rows), np.diff(bounds))[: len(s)]
@@ -147,37 +149,45 @@ def compact_windows(batch: pa.RecordBatch, width: int, hashes: int) -> list[np.n
     inside = np.arange(len(s)) <= ends[number] if len(s) else np.empty(0, bool)
     s, number = s[inside], number[inside]
     size = np.bincount(number, minlength=batch.num_rows) if len(s) else np.zeros(batch.num_rows, np.int64)
-    start = np.cumsum(size) - size
+    return s, number, np.cumsum(size) - size, size
+
+
+def content_hashes(s: np.ndarray):
+    """A function (from, to) -> hashes of s[from:to], for arrays of places."""
+    def powers(x):
+        return np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(len(s), x, np.uint64))))
+
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(s * powers(STEP)[:-1], dtype=np.uint64)))
+    back = powers(pow(STEP, -1, 1 << 64))
+    return lambda a, b: mix((sums[b] - sums[a]) * back[a] ^ mix((b - a).astype(np.uint64)))
+
+
+def compact_windows(batch: pa.RecordBatch, width: int, hashes: int) -> list[np.ndarray]:
+    """Columns key, ord, u, c, left, right, ctx of all windows of a batch of (ord, u, text) rows.
+
+    ``ctx`` is the content of a window, as far as passages of ``width`` around the minimum reach: of two
+    windows with equal ones, every such passage of one is a passage of the other. The last bits of
+    ``key`` are the number of the hash function.
+    """
+    s, number, start, size = shingled(batch)
     ord_, u = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    content = content_hashes(s)
     out = []
     for f in range(hashes):
-        g = mix(s ^ mix(np.uint64(f + 1) * np.full(1, 0x9E3779B97F4A7C15, np.uint64)))
+        g = mix(s ^ mix(np.uint64(f + 1) * np.full(1, STEP, np.uint64)))
         g[g == 0] = 1
         at = window_minima(g, number, width)
         doc = number[at]
         left, right = reaches(g[at].tolist(), at.tolist(), start[doc].tolist(), (start[doc] + size[doc] - 1).tolist())
         once = first_of_cluster(g[at], doc, at, width)
         doc, at, left, right = doc[once], at[once], np.array(left, np.int64)[once], np.array(right, np.int64)[once]
-        out.append([g[at].view(np.int64), ord_[doc], u[doc], at - start[doc], at - left, right - at])
+        begin, end = np.maximum(left, at - width + 1), np.minimum(right, at + width - 1) + 1
+        ctx = mix(content(begin, end) ^ (at - begin).astype(np.uint64))
+        key = g[at] & ~np.uint64(3) | np.uint64(f & 3)
+        out.append([key.view(np.int64), ord_[doc], u[doc], at - start[doc], at - left, right - at, ctx.view(np.int64)])
     return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
-def link_runs(cols: list[np.ndarray], first: list[np.ndarray] | None):
-    """Rows sorted by (key, ord, u, c) -> (rows that open a run, links of the others to the run's first row).
-
-    ``first`` is the opening row of the run that the rows may go on with. A row of the first row's own
-    text gives no link: its repeats inside a text are found through the text's other passages.
-    """
-    key = cols[0]
-    opens = np.concatenate(([first is None or key[0] != first[0][0]], key[1:] != key[:-1]))
-    if first is not None and not opens[0]:
-        cols = [np.concatenate((f, x)) for f, x in zip(first, cols, strict=True)]
-        opens = np.concatenate(([True], opens))
-    lead = np.maximum.accumulate(np.where(opens, np.arange(len(opens)), 0))
-    member = ~opens & (cols[2] != cols[2][lead])
-    return opens, lead, member, cols
-
-
 def overlap(left, right, r_left, r_right):
     return np.minimum(left, r_left), np.minimum(right, r_right)
 
@@ -188,50 +198,98 @@ def _links(cols, lead, member, width):
     r = [x[lead[member]] for x in cols]
     lo, hi = overlap(m[4], m[5], r[4], r[5])
     keep = lo + hi + 1 >= width * SIMILARITY
-    return [m[0][keep], m[1][keep], m[2][keep], m[3][keep], lo[keep], hi[keep], r[1][keep], r[2][keep], r[3][keep], lo[keep], hi[keep]]
+    return [x[keep] for x in (*m[:4], lo, hi, m[6], r[1], r[2], r[3])]
 
 
 def _batch(cols: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in cols], names=WINDOWS)
+    none = [pa.nulls(len(cols[0]), pa.int64())] * (len(WINDOWS) - len(cols))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in cols] + none, names=WINDOWS)
+
+
+def _runs(cols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a row opens a run of its key, place of the run's first row) of rows sorted by key."""
+    opens = np.concatenate(([True], cols[0][1:] != cols[0][:-1]))
+    return opens, np.maximum.accumulate(np.where(opens, np.arange(len(opens)), 0))
+
+
+def _stands_for(cols: list[np.ndarray], lead: np.ndarray) -> np.ndarray:
+    """Rows whose passages are all passages of their run's first row: another text's, or a copy's of the text."""
+    other = (cols[2] != cols[2][lead]) | (cols[3] == cols[3][lead])
+    return (cols[6] == cols[6][lead]) & other & (lead != np.arange(len(lead)))
+
+
+def _sent(cols: list[np.ndarray], width: int) -> Iterator[pa.RecordBatch]:
+    """The windows of a batch, but those that an equal window stands for go as links to it."""
+    order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
+    cols = [x[order] for x in cols]
+    _, lead = _runs(cols)
+    same = _stands_for(cols, lead)
+    yield _batch([x[~same] for x in cols])
+    links = _links(cols, lead, same & (cols[2] != cols[2][lead]), width)
+    if len(links[0]):  # they pass the shuffle as they are, spread evenly
+        links[0] = mix(links[1].view(np.uint64) ^ links[3].view(np.uint64)).view(np.int64)
+        yield _batch(links)
+
+
+def _met(batches: Iterator[pa.RecordBatch], width: int, again: bool) -> Iterator[pa.RecordBatch]:
+    """Windows sorted by (key, ord, u, c) -> links to the first of a key; links that are ready pass.
+
+    With ``again`` the windows of a key of three or more that the first does not stand for are handed on
+    too: they may match each other. A row of the first row's own text gives no link.
+    """
+    held, long = [np.empty(0, np.int64)] * OWN, False  # the last run, or its first row if more than two were seen
+
+    def run(cols, first_is_long):
+        opens, lead = _runs(cols)
+        links = _links(cols, lead, ~opens & (cols[2] != cols[2][lead]), width)
+        if len(links[0]):
+            yield _batch(links)
+        if again:
+            size = np.bincount(lead, minlength=len(lead))[lead]
+            if first_is_long:
+                size[lead == 0] = 3
+            rest = (size > 2) & ~opens & ~_stands_for(cols, lead)
+            if rest.any():
+                yield _batch([x[rest] for x in cols])
+
+    for b in batches:
+        done = b.filter(b.column(OWN).is_valid())
+        if done.num_rows:
+            yield done
+        b = b.filter(b.column(OWN).is_null())
+        if not b.num_rows:
+            continue
+        cols = [np.concatenate((h, b.column(k).to_numpy())) for k, h in enumerate(held)]
+        _, lead = _runs(cols)
+        last = int(lead[-1])
+        goes_on = long and last == 0
+        if len(lead) - last > 2 or goes_on:
+            yield from run(cols, long)
+            held, long = [x[last:last + 1] for x in cols], True
+        else:
+            if last:
+                yield from run([x[:last] for x in cols], long)
+            held, long = [x[last:] for x in cols], False
+    if len(held[0]) > 1:
+        yield from run(held, long)
 
 
 def passage_links(rows: DataFrame, ws: Workspace, width: int, hashes: int = HASHES) -> DataFrame:
     """(ord, u, text) -> links (ord, u, c, left, right, r_ord, r_u, r_c): equal minima, windows that overlap."""
     schema = ", ".join(f"{c} long" for c in WINDOWS)
+    own = ["ord", "u", "c", "left", "right", "r_ord", "r_u", "r_c"]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_bytes(batches, 2):
             cols = compact_windows(b, width, hashes)
-            if not len(cols[0]):
-                continue
-            order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
-            opens, lead, member, cols = link_runs([x[order] for x in cols], None)
-            none = pa.nulls(int(opens.sum()), pa.int64())
-            yield _batch([x[opens] for x in cols] + [none] * 5)
-            links = _links(cols, lead, member, width)
-            if len(links[0]):  # they pass the shuffle as they are, spread evenly
-                links[0] = mix(links[1].view(np.uint64) ^ links[3].view(np.uint64)).view(np.int64)
-                yield _batch(links)
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = None
-        for b in batches:
-            done = b.filter(b.column(7).is_valid())
-            if done.num_rows:
-                yield done
-            b = b.filter(b.column(7).is_null())
-            if not b.num_rows:
-                continue
-            opens, lead, member, cols = link_runs([b.column(k).to_numpy() for k in range(6)], first)
-            links = _links(cols, lead, member, width)
-            if len(links[0]):
-                yield _batch(links)
-            at = int(lead[-1])
-            first = [x[at:at + 1] for x in cols]
-
-    found = rows.select("ord", "u", "text").mapInArrow(windows, schema)
-    found = found.repartition("key").sortWithinPartitions("key", "ord", "u", "c")
-    return ws.put(found.mapInArrow(meet, schema).select("ord", "u", "c", "left", "right", "r_ord", "r_u", "r_c"), "links")
+            if len(cols[0]):
+                yield from _sent(cols, width)
+
+    def met(found: DataFrame, again: bool) -> DataFrame:
+        found = found.repartition("key").sortWithinPartitions("key", "ord", "u", "c")
+        return found.mapInArrow(lambda it: _met(it, width, again), schema)
+
+    return ws.put(met(rows.select("ord", "u", "text").mapInArrow(windows, schema), False).select(own), "links")
 
 
 def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list[tuple[int, int, int, int, float]]:

@@ -221,6 +221,38 @@ def test_every_exact_repeat_of_the_fixture_is_covered(spark):
                 assert {x for s in spans[i] for x in s} >= set(range(k, k + MIN_WORDS))
 
 
+def lines_of(seed, n_words):
+    random.seed(seed)
+    return lambda n=n_words: " ".join(random.choices([a + b + c for a in "bcdfghjk" for b in "aeiou" for c in "lmnrstvw"], k=n))
+
+
+def uncovered(rows, out):
+    """Documents with a place of MIN_WORDS words that an earlier document holds too and no later span covers."""
+    spans = collections.defaultdict(set)
+    for r in out:
+        if not r.kept:
+            spans[r.doc_id] |= set(range(r.start_word, r.stop_word))
+    seen, lost = {}, set()
+    for i, t in sorted(rows):
+        w = t.split()
+        for k in range(len(w) - MIN_WORDS + 1):
+            if seen.setdefault(tuple(w[k:k + MIN_WORDS]), i) != i and not spans[i] >= set(range(k, k + MIN_WORDS)):
+                lost.add(i)
+    return lost
+
+
+def test_a_batch_sends_on_what_its_first_row_does_not_stand_for(spark):
+    fresh, parts = lines_of(12, 45), [[], []]
+    for g in range(30):  # the first documents of the second batch hold a line of the passage only
+        one, two = fresh(45), fresh(10)
+        parts[0].append((10 * g, f"{fresh(70)} {one} {two} {fresh(70)}"))
+        parts[1] += [(10 * g + 1, f"{fresh(60)} {one} {fresh(60)}"), (10 * g + 2, f"{fresh(60)} {two} {fresh(60)}"), (10 * g + 3, f"{fresh(70)} {one} {two} {fresh(70)}")]
+    ws = Workspace(spark, "t")
+    docs = [ws.put(frame(spark, p).coalesce(1), f"part-{k}") for k, p in enumerate(parts)]
+    out = substring_index(docs[0].unionByName(docs[1]), ws).collect()
+    assert not uncovered(parts[0] + parts[1], out) and {r.doc_id for r in out if not r.kept} == {10 * g + 3 for g in range(30)}
+
+
 def test_compact_windows_equal_brute_force():
     rng = np.random.default_rng(3)
     g, text = rng.integers(1, 1 << 40, 300).astype(np.uint64), np.repeat([0, 1, 2], [120, 30, 150])
