@@ -8,7 +8,10 @@ passage of ``MIN_WORDS`` words matter; these are the minima of the sliding windo
 
 Windows of equal minima meet by a shuffle on the minimum. Each is linked to the first of them (smallest
 document), so a group of n costs n - 1 links, never n^2; a window whose content another text of its batch
-holds in full goes as a link to it.
+holds in full goes as a link to it. Windows that the first need not stand for meet again, in a second
+shuffle, under finer keys: their minimum with the least shingle of the half before, of the half after
+and of both, and all their passages of just the width, each under its whole content. So equal passages
+meet, however often their shingles occur elsewhere; similar ones share some key with a good chance.
 Links whose windows overlap by enough, around the same place, are joined to intervals per (text, first
 text, shift). The words of every block's best-supported interval are fetched and compared first, then those of all other intervals
 that the passages found so far do not cover: a passage counts if it has at least ``MIN_WORDS`` words and
@@ -274,6 +277,42 @@ def _met(batches: Iterator[pa.RecordBatch], width: int, again: bool) -> Iterator
         yield from run(held, long)
 
 
+def _contexts(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
+    """Windows under finer keys, from (ord, u, text, asks) rows; ``asks`` lists windows (key, c, left, right, ctx).
+
+    The half of a passage's width before and the half after the minimum: a passage of the full width holds
+    one of them, so the least shingle of either, and of both, joins the key. The windows of the first hash
+    function are also replaced by all their passages of just the width, each under its whole content:
+    equal passages meet whatever else their shingles occur in.
+    """
+    s, _, start, _ = shingled(batch)
+    asks = batch.column(3)
+    row = np.repeat(np.arange(len(asks)), pc.list_value_length(asks).to_numpy())
+    key, c, left, right, ctx = (x.to_numpy() for x in asks.flatten().flatten())
+    ord_, u = batch.column(0).to_numpy()[row], batch.column(1).to_numpy()[row]
+    at, half = start[row] + c, max(1, width // 2)
+    low = sliding(mix(s ^ np.uint64(STEP)), half, np.minimum)
+    before, after = left >= half, right >= half
+    sides = [np.zeros(len(key), np.uint64) for _ in range(2)]
+    sides[0][before] = low[at[before] - half]
+    sides[1][after] = low[at[after] + 1]
+    out = []
+    for n, (has, side) in enumerate(((before, sides[0]), (after, sides[1]), (before & after, mix(sides[0]) ^ sides[1]))):
+        finer = mix(key.view(np.uint64) ^ mix(side ^ np.uint64(n + 1)))
+        out.append([x[has] for x in (finer.view(np.int64), ord_, u, c, left, right, ctx)])
+    first = (key & 3) == 0
+    begin = (at - np.minimum(left, width - 1))[first]
+    many = np.minimum(at, at + right - width + 1)[first] - begin + 1
+    of = np.repeat(np.flatnonzero(first), many)
+    place = np.repeat(begin, many) + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+    place, own = np.unique(place, return_index=True)
+    of = of[own]
+    whole = content_hashes(s)(place, place + width).view(np.int64)
+    zero = np.zeros(len(of), np.int64)
+    out.append([whole, ord_[of], u[of], place - start[row[of]], zero, zero + width - 1, whole])
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
 def passage_links(rows: DataFrame, ws: Workspace, width: int, hashes: int = HASHES) -> DataFrame:
     """(ord, u, text) -> links (ord, u, c, left, right, r_ord, r_u, r_c): equal minima, windows that overlap."""
     schema = ", ".join(f"{c} long" for c in WINDOWS)
@@ -285,11 +324,19 @@ def passage_links(rows: DataFrame, ws: Workspace, width: int, hashes: int = HASH
             if len(cols[0]):
                 yield from _sent(cols, width)
 
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in by_bytes(batches, 2):
+            yield from _sent(_contexts(b, width), width)
+
     def met(found: DataFrame, again: bool) -> DataFrame:
         found = found.repartition("key").sortWithinPartitions("key", "ord", "u", "c")
         return found.mapInArrow(lambda it: _met(it, width, again), schema)
 
-    return ws.put(met(rows.select("ord", "u", "text").mapInArrow(windows, schema), False).select(own), "links")
+    links = ws.put(met(rows.select("ord", "u", "text").mapInArrow(windows, schema), True), "links")
+    asks = links.filter("r_u is null").groupBy("ord", "u").agg(F.collect_set(F.struct("key", "c", "left", "right", "ctx")).alias("asks"))  # bounded by the text's length
+    finer = rows.select("ord", "u", "text").join(asks, ["ord", "u"]).select("ord", "u", "text", "asks")
+    finer = ws.put(met(finer.mapInArrow(contexts, schema), False).select(own), "finer")
+    return links.filter("r_u is not null").select(own).unionByName(finer)
 
 
 def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list[tuple[int, int, int, int, float]]:
@@ -399,6 +446,7 @@ def repeated_passages(rows: DataFrame, ws: Workspace, min_words: int = MIN_WORDS
         F.count("*").alias("n"), F.min("ord").alias("ord"), F.min("r_ord").alias("r_ord"), F.min(lo).alias("lo"), F.max(hi).alias("hi"),
         F.min("c").alias("c_from"), F.max("c").alias("c_to")), "blocks")
     ws.drop("links")
+    ws.drop("finer")
     best = ws.put(blocks.groupBy("u", "block").agg(F.max(F.struct("n", -F.col("r_ord"), "r_u", "shift", "ord", "r_ord", "lo", "hi")).alias("b")).select("u", "block", "b.*"), "best")
     hull = best.groupBy("u", "r_u", "shift").agg(*[F.min(c).alias(c) for c in ("ord", "r_ord", "lo")], F.max("hi").alias("hi"))
     first = verified(rows, hull, ws, width, "first")

@@ -241,6 +241,16 @@ def uncovered(rows, out):
     return lost
 
 
+def seam_rows():
+    """Pairs that share a passage made of two frequent lines, which others hold singly at smaller ids."""
+    fresh, rows = lines_of(11, 45), []
+    for g in range(12):
+        one, two = fresh(45), fresh(45)
+        rows += [(100 * g + k, f"{fresh(60)} {(one, two)[k % 2]} {fresh(60)}") for k in range(6)]
+        rows += [(100 * g + 50 + k, f"{fresh(70)} {one} {two} {fresh(70)}") for k in range(3)]
+    return rows
+
+
 def test_a_batch_sends_on_what_its_first_row_does_not_stand_for(spark):
     fresh, parts = lines_of(12, 45), [[], []]
     for g in range(30):  # the first documents of the second batch hold a line of the passage only
@@ -253,6 +263,22 @@ def test_a_batch_sends_on_what_its_first_row_does_not_stand_for(spark):
     assert not uncovered(parts[0] + parts[1], out) and {r.doc_id for r in out if not r.kept} == {10 * g + 3 for g in range(30)}
 
 
+def test_passages_made_of_frequent_lines_are_found(spark):
+    rows = seam_rows()
+    out = substring_index(frame(spark, rows).coalesce(1), Workspace(spark, "t")).collect()
+    assert not uncovered(rows, out) and {r.doc_id for r in out if not r.kept} == {100 * g + k for g in range(12) for k in (51, 52)}
+
+
+def test_results_do_not_depend_on_batches(spark):
+    rows = seam_rows()
+    # one partition holds the first of each pair, another the second, both with lines of their own that open the runs
+    parts = [[r for r in rows if r[0] % 100 in keep] for keep in ({0, 1, 50}, {2, 3, 51}, {4, 5, 52})]
+    ws = Workspace(spark, "t")
+    docs = [ws.put(frame(spark, p).coalesce(1), f"part-{k}") for k, p in enumerate(parts)]
+    out = substring_index(docs[0].unionByName(docs[1]).unionByName(docs[2]), ws).collect()
+    assert not uncovered(rows, out) and {r.doc_id for r in out if not r.kept} == {100 * g + k for g in range(12) for k in (51, 52)}
+
+
 def test_compact_windows_equal_brute_force():
     rng = np.random.default_rng(3)
     g, text = rng.integers(1, 1 << 40, 300).astype(np.uint64), np.repeat([0, 1, 2], [120, 30, 150])
