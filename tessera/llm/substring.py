@@ -13,9 +13,10 @@ shuffle, under finer keys: their minimum with the least shingle of the half befo
 and of both, and all their passages of just the width, each under its whole content. So equal passages
 meet, however often their shingles occur elsewhere; similar ones share some key with a good chance.
 Links whose windows overlap by enough, around the same place, are joined to intervals per (text, first
-text, shift). The words of every block's best-supported interval are fetched and compared first, then those of all other intervals
-that the passages found so far do not cover: a passage counts if it has at least ``MIN_WORDS`` words and
-the Jaccard similarity of its shingles with the other's is at least ``SIMILARITY``.
+text, shift). The words of every block's best-supported interval are fetched and compared first, then
+those of all other intervals but such as lie in a passage found with a text that is itself linked to
+their partner: a passage counts if it has at least ``MIN_WORDS`` words and the Jaccard similarity of its
+shingles with the other's is at least ``SIMILARITY``.
 
 Equal texts are one text here (a 64-bit hash); copies are reported as such and not expanded into pairs.
 """
@@ -443,18 +444,21 @@ def repeated_passages(rows: DataFrame, ws: Workspace, min_words: int = MIN_WORDS
     links = passage_links(rows, ws, width, hashes)
     lo, hi = F.col("c") - F.col("left"), F.col("c") + F.col("right")
     blocks = ws.put(links.groupBy("u", "r_u", (F.col("c") - F.col("r_c")).alias("shift"), F.floor(F.col("c") / BLOCK).alias("block")).agg(
-        F.count("*").alias("n"), F.min("ord").alias("ord"), F.min("r_ord").alias("r_ord"), F.min(lo).alias("lo"), F.max(hi).alias("hi"),
-        F.min("c").alias("c_from"), F.max("c").alias("c_to")), "blocks")
+        F.count("*").alias("n"), F.min("ord").alias("ord"), F.min("r_ord").alias("r_ord"), F.min(lo).alias("lo"), F.max(hi).alias("hi")), "blocks")
     ws.drop("links")
     ws.drop("finer")
     best = ws.put(blocks.groupBy("u", "block").agg(F.max(F.struct("n", -F.col("r_ord"), "r_u", "shift", "ord", "r_ord", "lo", "hi")).alias("b")).select("u", "block", "b.*"), "best")
     hull = best.groupBy("u", "r_u", "shift").agg(*[F.min(c).alias(c) for c in ("ord", "r_ord", "lo")], F.max("hi").alias("hi"))
     first = verified(rows, hull, ws, width, "first")
-    # what no passage covers yet, against all its other partners
-    found = first.groupBy("u").agg(F.collect_set(F.struct("start", "stop")).alias("found"))  # bounded by the text's length
-    others = blocks.join(best.select("u", "block", "r_u", "shift"), ["u", "block", "r_u", "shift"], "left_anti").join(found, "u", "left")
-    covered = F.exists("found", lambda x: (x.start <= F.col("c_from")) & (x.stop >= F.col("c_to") + SHINGLE))
-    rest = verified(rows, others.filter(~F.coalesce(covered, F.lit(False))), ws, width, "rest")
+    # all its other partners, but those of an interval that lies in a passage found with a text that is linked to the partner
+    one = ["u", "r_u", "shift", "block"]
+    linked = first.select(F.col("u").alias("via"), "r_u").unionByName(first.select(F.col("r_u").alias("via"), F.col("u").alias("r_u")))
+    linked = ws.put(linked.distinct(), "linked")
+    others = ws.put(blocks.join(best.select(*one), one, "left_anti"), "others")
+    within = others.join(first.select("u", "start", "stop", F.col("r_u").alias("via")).distinct(), "u").filter((F.col("start") <= F.col("lo")) & (F.col("stop") >= F.col("hi") + SHINGLE))
+    within = ws.put(within.select(*one, "via").distinct(), "within")
+    settled = within.filter("via = r_u").select(*one).unionByName(within.join(linked, ["via", "r_u"], "left_semi").select(*one))
+    rest = verified(rows, others.join(settled, one, "left_anti"), ws, width, "rest")
     return first.unionByName(rest).distinct()
 
 

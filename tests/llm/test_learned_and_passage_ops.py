@@ -279,6 +279,22 @@ def test_results_do_not_depend_on_batches(spark):
     assert not uncovered(rows, out) and {r.doc_id for r in out if not r.kept} == {100 * g + k for g in range(12) for k in (51, 52)}
 
 
+def partial_rows():
+    """Three documents a group: the last holds words 0-80 of a passage, the others 0-60 and 10-80."""
+    fresh, rows = lines_of(13, 110), []
+    for g in range(12):
+        p = fresh().split()
+        rows += [(10 * g, f"{fresh(70)} {' '.join(p[:60])} {fresh(70)}"), (10 * g + 1, f"{fresh(70)} {' '.join(p[10:80])} {fresh(70)}"),
+                 (10 * g + 2, f"{fresh(70)} {' '.join(p[:80])} {fresh(70)}")]
+    return rows
+
+
+def test_partners_beyond_the_best_one_are_compared(spark):
+    rows = partial_rows()
+    out = substring_index(frame(spark, rows), Workspace(spark, "t")).collect()
+    assert not uncovered(rows, out)
+
+
 def test_compact_windows_equal_brute_force():
     rng = np.random.default_rng(3)
     g, text = rng.integers(1, 1 << 40, 300).astype(np.uint64), np.repeat([0, 1, 2], [120, 30, 150])
