@@ -354,10 +354,25 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
     inside = (straight >= 0) & (straight < len(b))
     inside[inside] = b[straight[inside]] == a[inside]
     other_of[inside] = straight[inside]
+    near_hit = hit & (np.abs(other_of - np.arange(len(a)) - shift) <= SLACK)  # not its repeats elsewhere in b
     places = np.flatnonzero(hit)
     if len(places) < width * SIMILARITY:
         return []
-    spans, todo = [], [places]
+
+    def compared(s, e):
+        """(start, stop, similarity) of a[s:e]'s counterpart in b."""
+        near = other_of[s:e][near_hit[s:e]]
+        t, w = (int(near.min()), int(near.max()) + 1) if len(near) else (0, 0)
+        if (t, w) == (s + shift, e + shift) and inside[s:e].all():
+            return t, w, 1.0  # word for word
+        mine, its = np.unique(a[s:e]), np.unique(b[t:w])
+        both = len(np.intersect1d(mine, its, assume_unique=True))
+        return t, w, both / max(1, len(mine) + len(its) - both)
+
+    def counts(t, w, share):
+        return share >= SIMILARITY and w - t >= width * SIMILARITY
+
+    spans, todo, weak = [], [places], []
     for gap in (3 * SHINGLE, 2 * SHINGLE, SHINGLE + 1, 1):
         rest = []
         for p in todo:
@@ -365,20 +380,29 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
                 if not len(part) or part[-1] - part[0] + 1 < width:
                     continue
                 s, e = int(part[0]), int(part[-1]) + 1
-                other = other_of[part]
-                near = other[np.abs(other - part - shift) <= SLACK]  # not its repeats elsewhere in b
-                t, w = (int(near.min()), int(near.max()) + 1) if len(near) else (0, 0)
-                if (t, w) == (s + shift, e + shift) and inside[s:e].all():
-                    share = 1.0  # word for word
-                else:
-                    mine, its = np.unique(a[s:e]), np.unique(b[t:w])
-                    both = len(np.intersect1d(mine, its, assume_unique=True))
-                    share = both / max(1, len(mine) + len(its) - both)
-                if share >= SIMILARITY and w - t >= width * SIMILARITY:
-                    spans.append((s, e, t, w, share))
+                found = compared(s, e)
+                if counts(*found):
+                    spans.append((s, e, *found))
                 else:
                     rest.append(part)
         todo = rest
+        weak = weak or rest
+    # of parts that are too weak as a whole: the stretches of places at which a passage of the least width has enough in common
+    total = np.concatenate(([0], np.cumsum(near_hit)))
+    for part in weak:
+        first, last = int(part[0]), int(part[-1]) + 1
+        rich = first + np.flatnonzero(total[first + width:last + 1] - total[first:last + 1 - width] >= width * SIMILARITY)
+        todo = [r for r in np.split(rich, np.flatnonzero(np.diff(rich) > 1) + 1) if len(r)]
+        while todo:
+            r = todo.pop()
+            s, e = int(r[0]), int(r[-1]) + width
+            if any(x[0] <= s and e <= x[1] for x in spans):
+                continue
+            found = compared(s, e)
+            if counts(*found):
+                spans.append((s, e, *found))
+            elif len(r) > 1:
+                todo += [r[: len(r) // 2], r[len(r) // 2:]]
     return spans
 
 

@@ -295,6 +295,20 @@ def test_partners_beyond_the_best_one_are_compared(spark):
     assert not uncovered(rows, out)
 
 
+def test_lightly_beside_heavily_edited_text_is_found(spark):
+    fresh, rows = lines_of(14, 180), []
+    for g in range(6):
+        old = fresh().split()
+        new = [f"edit{k}" if (k < 100 and k % (8 + g % 3) == 0) or k == 140 else w for k, w in enumerate(old)]
+        rows += [(10 * g, " ".join(old)), (10 * g + 1, " ".join(new))]
+    out = [r for r in substring_index(frame(spark, rows), Workspace(spark, "t")).collect() if not r.kept]
+    spans = collections.defaultdict(set)
+    for r in out:
+        assert r.similarity >= 0.8 and r.stop_word - r.start_word >= MIN_WORDS
+        spans[r.doc_id] |= set(range(r.start_word, r.stop_word))
+    assert all(spans[10 * g + 1] >= set(range(101, 180)) and not spans[10 * g + 1] & set(range(60)) for g in range(6))
+
+
 def test_compact_windows_equal_brute_force():
     rng = np.random.default_rng(3)
     g, text = rng.integers(1, 1 << 40, 300).astype(np.uint64), np.repeat([0, 1, 2], [120, 30, 150])
