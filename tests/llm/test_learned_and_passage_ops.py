@@ -359,3 +359,19 @@ def test_pipeline_runs_the_stages_one_after_the_other(spark):
     got = corpus_pipeline.run(spark, SF)
     key = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
     assert collections.Counter(map(tuple, got.select(*key).collect())) == collections.Counter(map(tuple, rows.select(*key).collect()))
+
+
+def test_pipeline_passages_equal_brute_force(spark):
+    rows = seam_rows() + [(i + 5000, t) for i, t in partial_rows()]
+    stages = dict(corpus_pipeline.STAGES)
+    docs = stages["simhash_near_dedup"](spark, frame(spark, rows), SF)
+    docs = Workspace(spark, "t").put(docs, "docs")
+    assert {r.doc_id for r in docs.collect()} == {i for i, _ in rows}  # no two share most shingles
+    got = {r.doc_id: r.text.split() for r in stages["substring_dedup"](spark, docs, SF).collect()}
+    seen, cut = {}, collections.defaultdict(set)
+    for i, t in sorted(rows):
+        w = t.split()
+        for k in range(len(w) - MIN_WORDS + 1):
+            if seen.setdefault(tuple(w[k:k + MIN_WORDS]), i) != i:
+                cut[i] |= set(range(k, k + MIN_WORDS))
+    assert cut and got == {i: [w for k, w in enumerate(t.split()) if k not in cut[i]] for i, t in rows}
