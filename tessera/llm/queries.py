@@ -10,10 +10,13 @@ from tessera.llm import quality, toxicity
 from tessera.llm.bpe import bpe_round_trip
 from tessera.llm.embeddings import embedding_links
 from tessera.llm.packing import pack_documents
+from tessera.llm.repair import repaired_conversations
+from tessera.llm.repeats import cut_repeats, removal_report
 from tessera.llm.sharding import stratified_shards
 from tessera.llm.simhash import simhash_components
 from tessera.llm.substring import substring_index
 from tessera.llm.tokenfile import token_file_index, write_token_files
+from tessera.llm.turntrie import conversation_trie
 from tessera.llm.warc import resolved_index, write_archives
 from tessera.llm.workspace import Workspace, documents
 
@@ -105,3 +108,18 @@ def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "op10")
     write_token_files(documents(spark, sf_dir), ws.path("tokens"), vocabulary(BYTE_BPE))
     return token_file_index(spark, ws.path("tokens"), ws)
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(documents(spark, sf_dir, "conversations"), Workspace(spark, "op11"))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(documents(spark, sf_dir, "conversations"), Workspace(spark, "op12"))
+
+
+@query
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_report(cut_repeats(documents(spark, sf_dir), Workspace(spark, "op13"), window=200)).withColumnRenamed("id", "doc_id")

@@ -12,13 +12,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_has_one_query_and_the_pipeline_is_registered():
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_queries_return_a_row_per_row_of_their_table(spark):
     tables = {"op4_embedding_near_dedup": "embeddings", "op5_warc_revisits": "pages"}
     for name, fn in llm.QUERIES.items():
-        if not name.startswith(("op7", "op8")):
+        if not name.startswith(("op7", "op8", "op11", "op12")):
             assert fn(spark, SF).count() == spark.read.parquet(f"{SF}/{tables.get(name, 'documents')}.parquet").count(), name
 
 
