@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import neighbour, with_global_index
+from tessera.operators.ordering import join_same, neighbour, settled, with_global_index
 from tessera.functions.text import IM_END, IM_START, ensure_question_mark, ustrip
 
 NL = "\n"
@@ -53,8 +53,8 @@ def next_turn(turns: DataFrame, cols=("role", "text")) -> DataFrame:
     nxt = neighbour(keys, ["conv_id"], ["turn"], -1, index="_g", prefix="_next_").select(
         F.col("conv_id").alias("_kc"), F.col("turn").alias("_kt"), "_next_turn")
     other = turns.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), *[F.col(c).alias("next_" + c) for c in cols])
-    placed = turns.join(nxt, (turns["conv_id"] == F.col("_kc")) & (turns["turn"] == F.col("_kt")), "left")
-    return (placed.join(other, (placed["conv_id"] == other["_c"]) & (placed["_next_turn"] == other["_t"]), "left")
+    placed = turns.join(nxt, turns["conv_id"].eqNullSafe(F.col("_kc")) & (turns["turn"] == F.col("_kt")), "left")
+    return (placed.join(other, placed["conv_id"].eqNullSafe(other["_c"]) & (placed["_next_turn"] == other["_t"]), "left")
             .drop("_c", "_t", "_kc", "_kt", "_next_turn"))
 
 
@@ -86,7 +86,7 @@ def to_multiturn_samples(turns: DataFrame) -> DataFrame:
     hist = (pieces.groupBy("conv_id")
             .agg(F.array_sort(F.collect_list(F.struct("turn", "piece"))).alias("pieces")))
     answers = pieces.where(F.col("role") == "assistant").select("conv_id", "turn", "text")
-    return (answers.join(hist, "conv_id")
+    return (join_same(answers, settled(hist), ["conv_id"])
             .select("conv_id", "turn",
                     F.concat(F.array_join(F.transform(F.filter("pieces", lambda x: x["turn"] < F.col("turn")),
                                                       lambda x: x["piece"]), ""),

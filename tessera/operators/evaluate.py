@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import r6
-from tessera.operators.ordering import md5_order, rank_in_groups, settled
+from tessera.operators.ordering import join_same, md5_order, rank_in_groups, settled
 
 
 # ------------------------------------------------------------------ array maths
@@ -55,13 +55,13 @@ def smoothed_ce(probs, label, eps: float = 0.1) -> Column:
 def stratified_split(df: DataFrame, id_col: str, label: str, ratio: float = 0.8, seed: str = "42") -> DataFrame:
     """Inside each class, shuffled (md5 of id||seed, then id), first floor(n*ratio) -> train.
 
-    Disjoint and complete by construction. Ranks come from a range-partitioned
+    Disjoint and complete; rows without a class are a class of their own. Ranks come from a range-partitioned
     global index, so a class holding most of the rows is still split over tasks.
     """
     ranked = rank_in_groups(df.withColumn("_shuf", md5_order(id_col, seed)), [label],
                             [F.col("_shuf"), F.col(id_col)], "_rn")
     sizes = settled(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
-    return (ranked.join(sizes, label)
+    return (join_same(ranked, sizes, [label])
             .withColumn("split", F.when(F.col("_rn") <= F.floor(F.col("_n") * ratio), "train").otherwise("test"))
             .drop("_shuf", "_rn", "_n"))
 
@@ -72,11 +72,6 @@ def sequence_ids(df: DataFrame, label: str, order: str, fmt: str = "%s_%04d.txt"
     return r.withColumn(name, F.format_string(fmt, F.col(label), F.col("_rn") - 1)).drop("_rn")
 
 
-def sample_n(df: DataFrame, id_col: str, n: int, seed: str = "42") -> DataFrame:
-    """N pseudo-random rows (all when fewer); top-n per partition, then merged."""
-    return df.orderBy(md5_order(id_col, seed), F.col(id_col)).limit(n)
-
-
 # ------------------------------------------------------------------ metrics
 
 def accuracy(df: DataFrame, truth: str, pred: str) -> DataFrame:
@@ -99,7 +94,7 @@ def per_class_counts(df: DataFrame, truth: str, pred: str, classes: DataFrame, n
         F.sum(rows).alias("support"),
         F.sum((F.col(truth) == F.col(pred)).cast("long") * rows).alias("tp"))
     p = df.groupBy(F.col(pred).alias("cls")).agg(F.sum(rows).alias("predicted"))
-    out = classes.join(t, "cls", "left").join(p, "cls", "left")
+    out = join_same(join_same(classes, t, ["cls"], "left"), p, ["cls"], "left")
     return out.select("cls", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
                                for c in ("support", "tp", "predicted")])
 
@@ -146,6 +141,20 @@ def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: list[int], c
                       *[F.coalesce(F.col(str(c)), F.lit(0)).cast("long").alias(f"p{c}") for c in classes])
 
 
+def confusion_counts(counted: DataFrame, truth: str, pred: str, n: str) -> DataFrame:
+    """G5 for classes as the data has them: a row (true, pred, n) for every pair of classes that occur as truth or
+    prediction, zeros included. ``counted`` is a contingency table; rows without a truth or a prediction are no pair.
+
+    The classes become one array (as many as there are classes), which every row class is paired with.
+    """
+    both = counted.select(F.explode(F.array(truth, pred)).alias("c")).where("c is not null")
+    classes = both.agg(F.array_sort(F.collect_set("c")).alias("classes"))
+    grid = classes.select(F.explode("classes").alias("true"), "classes").select("true", F.explode("classes").alias("pred"))
+    have = counted.groupBy(F.col(truth).alias("_t"), F.col(pred).alias("_p")).agg(F.sum(n).alias("_n"))
+    return (grid.join(have, (F.col("true") == F.col("_t")) & (F.col("pred") == F.col("_p")), "left")
+            .select("true", "pred", F.coalesce("_n", F.lit(0)).cast("long").alias("n")))
+
+
 def confidence_histogram(df: DataFrame, conf: str, correct: str, bins: int = 20) -> DataFrame:
     """Equal-width bins from min to max of each series (all / correct / wrong); the
     maximum falls in the last bin. Min and max are one-row aggregates joined back."""

@@ -5,9 +5,8 @@ window with no partition sends the whole table to one task. These helpers give
 the same numbers with work split evenly:
 
 * ``with_global_index`` range-partitions on a total order, numbers rows inside
-  each partition and adds the row count of all earlier partitions. The only
-  table that is broadcast has one row per partition, so its size is bounded by
-  ``spark.sql.shuffle.partitions``, not by the data.
+  each partition and adds the row count of all earlier partitions (a table with one
+  row per partition; its join is left to the run-time size check).
 * ``rank_in_groups`` subtracts the group's first global index (a partial
   aggregate, so a hot group is combined map-side).
 * ``neighbour`` fetches the previous/next row of the same group with an equi
@@ -37,6 +36,15 @@ def settled(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi join on columns of the same name in which a null key equals a null key; the keys of ``left`` stay.
+
+    A group whose key is null is a group like any other, as it is for ``groupBy`` and windows."""
+    other = right.withColumnsRenamed({k: "_same_" + k for k in keys})
+    cond = [F.col(k).eqNullSafe(F.col("_same_" + k)) for k in keys]
+    return left.join(other, cond, how).drop(*["_same_" + k for k in keys])
+
+
 def md5_order(id_col, seed: str) -> Column:
     """Reproducible pseudo-random sort key: md5 of id || seed (same hex in DuckDB)."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
@@ -47,12 +55,14 @@ def with_global_index(df: DataFrame, order: list, name: str = "_gidx",
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based position of each row in the total order ``order``.
 
-    ``order`` must be a total order (ties broken by a unique column) so that a
-    re-run after a lost executor numbers every row the same way.
+    Nulls come first. Rows equal in ``order`` get neighbouring numbers as they come (many equal rows still
+    spread over several partitions); the rows are written once with their numbers.
     """
     n = num_partitions or shuffle_partitions(df.sparkSession)
-    ordered = (df.repartitionByRange(n, *order)
-               .sortWithinPartitions(*order)
+    order = [*order, F.col("_came")]
+    ordered = (df.withColumn("_came", F.monotonically_increasing_id())
+               .repartitionByRange(n, *order)
+               .sortWithinPartitions(*order).drop("_came")
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_local", F.monotonically_increasing_id()
                            - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
@@ -62,7 +72,7 @@ def with_global_index(df: DataFrame, order: list, name: str = "_gidx",
         "_pid",
         F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
-    return (ordered.join(F.broadcast(offsets), "_pid")
+    return (ordered.join(offsets, "_pid")
             .withColumn(name, (F.col("_off") + F.col("_local")).cast("long"))
             .drop("_pid", "_local", "_off"))
 
@@ -72,17 +82,12 @@ def rank_in_groups(df: DataFrame, group: list[str], order: list, name: str = "rn
     """``row_number() over (partition by group order by order)`` (1-based), skew-safe."""
     idx = with_global_index(df, [F.col(g) for g in group] + list(order), "_gidx")
     first = settled(idx.groupBy(*group).agg(F.min("_gidx").alias("_gfirst")))
-    out = (idx.join(first, group)
+    out = (join_same(idx, first, group)
            .withColumn(name, (F.col("_gidx") - F.col("_gfirst") + 1).cast("long"))
            .drop("_gfirst"))
     return out if keep_index else out.drop("_gidx")
 
 
-def group_sizes(df: DataFrame, group: list[str], name: str = "_n") -> DataFrame:
-    """Rows per group as a partial aggregate (map-side combine handles hot groups)."""
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
-
-
 def neighbour(indexed: DataFrame, group: list[str], cols: list[str], offset: int,
               index: str = "_gidx", prefix: str = "prev_") -> DataFrame:
     """Attach ``cols`` of the row ``offset`` positions earlier in the same group.
@@ -96,7 +101,7 @@ def neighbour(indexed: DataFrame, group: list[str], cols: list[str], offset: int
         (F.col(index) + F.lit(offset)).alias("_nidx"),
         *[F.col(g).alias("_n_" + g) for g in group],
         *[F.col(c).alias(prefix + c) for c in cols])
-    cond = [indexed[index] == other["_nidx"]] + [indexed[g] == other["_n_" + g] for g in group]
+    cond = [indexed[index] == other["_nidx"]] + [indexed[g].eqNullSafe(other["_n_" + g]) for g in group]
     return (indexed.join(other, cond, "left")
             .drop("_nidx", *["_n_" + g for g in group]))
 
@@ -133,7 +138,7 @@ def running_sums(df: DataFrame, group: list[str], order: list, values: dict,
     wo = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = chunks.select(*group, "_pid", *[F.coalesce(F.sum("_t" + tmp[nm]).over(wo), F.lit(0)).alias("_o" + tmp[nm])
                                            for nm in values])
-    out = local.join(offs, group + ["_pid"])
+    out = join_same(local, offs, group + ["_pid"])
     for name in values:
         out = out.withColumn(name, F.col("_o" + tmp[name]) + F.col("_l" + tmp[name]))
     drop = ["_pid"] + [c for nm in values for c in (tmp[nm], "_l" + tmp[nm], "_o" + tmp[nm])]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import IM_END, IM_START, count_keywords, regex_quote
-from tessera.operators.ordering import settled
+from tessera.operators.ordering import join_same, settled
 
 
 def reward_length(text) -> Column:
@@ -59,7 +59,7 @@ def group_advantage(df: DataFrame, group: list[str], reward: str = "reward",
     """(r - mean_group) / (std_samp_group + eps); a group of one gives 0."""
     stats = settled(df.groupBy(*group).agg(F.avg(reward).alias("_mean"), F.stddev_samp(reward).alias("_std"),
                                            F.count(F.lit(1)).alias("_n")))
-    return (df.join(stats, group)
+    return (join_same(df, stats, group)
             .withColumn(name, F.when(F.col("_n") < 2, F.lit(0.0))
                         .otherwise((F.col(reward) - F.col("_mean")) / (F.col("_std") + F.lit(eps))))
             .drop("_mean", "_std", "_n"))
@@ -76,28 +76,26 @@ def best_per_group(df: DataFrame, group: list[str], score: str, tiebreak: str, c
             .select(*group, *[F.col("_best")[c].alias(c) for c in cols]))
 
 
-def preference_pairs(completions: DataFrame, group: str, prompt: str, reply: str, order: str,
-                     score: str) -> DataFrame:
-    """Best vs worst completion of the same prompt, full ChatML text on both sides.
+def preference_pairs(completions: DataFrame, prompt: str, reply: str, order: list[str], score: str) -> DataFrame:
+    """Best vs worst completion of the same prompt, wherever it was asked; full ChatML text on both sides.
 
-    ``max_by``/``min_by`` give the pair without a self join; ties go to the smallest
-    ``order``. Groups with fewer than two completions give no pair.
+    ``max_by``/``min_by`` over the prompt's text give the pair without a self join, a frequent prompt is reduced
+    map-side. Ties of the score go to the smaller ``order``; for the worst, too. Prompts whose completions all score
+    alike give no pair (there is nothing to prefer), nor do null prompts; null replies or scores take no part.
     """
-    hi = F.struct(F.col(score), (-F.col(order)).alias("_o"))
-    lo = F.struct(F.col(score), F.col(order).alias("_o"))
-    payload = F.struct(F.col(order).alias("o"), F.col(reply).alias("r"))
-    g = (completions.groupBy(group, prompt)
-         .agg(F.max_by(payload, hi).alias("_hi"), F.min_by(payload, lo).alias("_lo"),
-              F.count(F.lit(1)).alias("_n"))
-         .where(F.col("_n") >= 2))
+    at = F.struct(*order)
+    usable = completions.where(F.col(prompt).isNotNull() & F.col(reply).isNotNull() & F.col(score).isNotNull())
+    ranked = usable.select(F.col(prompt).alias("_p"), F.struct(F.col(score).alias("s"), at.alias("o"), F.col(reply).alias("r")).alias("_c"))
+    low = F.min_by("_c", F.struct("_c.s", "_c.o"))
+    high = F.min_by("_c", F.struct((-F.col("_c.s")).alias("s"), "_c.o"))
+    g = ranked.groupBy("_p").agg(high.alias("_hi"), low.alias("_lo")).where("_hi.s > _lo.s")
 
     def full(p, r):
         return F.concat(p, r, F.lit(IM_END))
 
-    return g.select(group, F.col(prompt).alias("prompt"),
-                    full(F.col(prompt), F.col("_hi.r")).alias("chosen"),
-                    full(F.col(prompt), F.col("_lo.r")).alias("rejected"),
-                    F.col("_hi.o").alias("chosen_turn"), F.col("_lo.o").alias("rejected_turn"))
+    origin = [F.col(f"_{side}.o.{c}").alias(f"{name}_{c}") for side, name in (("hi", "chosen"), ("lo", "rejected")) for c in order]
+    return g.select(F.col("_p").alias("prompt"), full(F.col("_p"), F.col("_hi.r")).alias("chosen"),
+                    full(F.col("_p"), F.col("_lo.r")).alias("rejected"), *origin)
 
 
 def pairwise_eval(pairs: DataFrame, chosen_score: str, rejected_score: str) -> DataFrame:

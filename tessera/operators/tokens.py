@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import char_tokens
-from tessera.operators.ordering import md5_order, running_sums, with_global_index
+from tessera.operators.ordering import join_same, md5_order, running_sums, with_global_index
 
 # Special tokens and their ids; ordinary ids start after them.
 PAD_TOKEN, PAD_ID = "<PAD>", 0
@@ -49,9 +49,9 @@ def vocab_encode(df: DataFrame, key: list[str], tokens: str, vocab: DataFrame, o
     """
     ex = df.select(*key, F.explode(F.array_distinct(F.col(tokens))).alias("token"))
     j = ex.join(vocab.select("token", F.col("id").alias("_id")), "token")
-    maps = j.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("token", "_id"))).alias("_map"))
+    maps = j.groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("token", "_id"))).alias("_map"))
     known = F.coalesce(F.col("_map"), F.create_map().cast("map<string,int>"))
-    return (df.join(maps, key, "left").withColumn("_map", known)
+    return (join_same(df, maps, key, "left").withColumn("_map", known)
             .withColumn(out, encode_with_map(F.coalesce(F.col(tokens), F.array().cast("array<string>")), F.col("_map"), unk_id))
             .drop("_map"))
 
@@ -122,12 +122,11 @@ def assign_batches(df: DataFrame, id_col: str, bs: int, seed: str = "42", name:
     """Shuffled order (md5 of id||seed, then id) cut in batches of ``bs``; last one short.
 
     The global position comes from range partitioning (see ``ordering``), so no single task
-    numbers the whole table; only the (unique) ids are put in order, and join back to their rows.
+    numbers the whole table. The rows themselves are numbered, so rows with a null id (first in the
+    order) or a repeated one have their own places.
     """
-    keys = df.select(id_col).withColumn("_shuf", md5_order(id_col, seed))
-    idx = with_global_index(keys, [F.col("_shuf"), F.col(id_col)], "_g")
-    idx = idx.select(id_col, F.floor(F.col("_g") / bs).cast("long").alias(name))
-    return idx if df.columns == [id_col] else df.join(idx, id_col)
+    idx = with_global_index(df.withColumn("_shuf", md5_order(id_col, seed)), [F.col("_shuf"), F.col(id_col)], "_g")
+    return idx.select(*df.columns, F.floor(F.col("_g") / bs).cast("long").alias(name))
 
 
 def pad_batch(df: DataFrame, batch: str, ids: str, labels: str, max_len: int | None = None,
@@ -152,12 +151,13 @@ def pack_sequences(df: DataFrame, key: str, ids: str, max_len: int, buckets: int
     into ``max_len`` chunks.
 
     Where a sequence starts in its bucket is a running sum over chunks of range partitions, so a bucket
-    spans many tasks; sequences are cut at chunk borders and travel as arrays, one group per chunk.
+    spans many tasks; sequences are cut at chunk borders and travel as arrays, one group per chunk. Sequences
+    without a key are a bucket of their own; those that share a key follow each other by a hash of their ids.
     """
     bucket = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(buckets))
     b = df.select(F.col(key).alias("_k"), F.col(ids).alias("_ids"), bucket.alias("bucket"), F.size(ids).cast("long").alias("_n")).where("_n > 0")
-    ends = running_sums(b.select("_k", "bucket", "_n"), ["bucket"], [F.col("_k")], {"_end": F.col("_n")})
-    placed = b.join(ends.select("_k", (F.col("_end") - F.col("_n")).alias("_start"), "_end"), "_k")
+    ends = running_sums(b, ["bucket"], [F.col("_k"), F.xxhash64("_ids"), F.col("_ids")], {"_end": F.col("_n")})
+    placed = ends.withColumn("_start", F.col("_end") - F.col("_n"))
     first, last = F.floor(F.col("_start") / max_len), F.floor((F.col("_end") - 1) / max_len)
     cut = placed.withColumn("chunk", F.explode(F.sequence(first, last)))
     at = F.greatest(F.col("chunk") * max_len - F.col("_start"), F.lit(0))
@@ -168,13 +168,17 @@ def pack_sequences(df: DataFrame, key: str, ids: str, max_len: int, buckets: int
             .agg(F.flatten(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["p"])).alias("packed")))
 
 
-def masked_mean_loss(df: DataFrame, group: list[str], loss: str, mask: str) -> DataFrame:
-    """sum(loss * mask) / (sum(mask) + 1e-8) per group, from per-token arrays."""
+def masked_sums(loss: Column, mask: Column) -> tuple[Column, Column]:
+    """sum(loss * mask) and sum(mask) of one sequence, from its per-token arrays."""
     add = lambda acc, x: acc + F.coalesce(x, F.lit(0.0))
     zero = F.lit(0.0)
-    per_row = df.select(*group, F.aggregate(F.zip_with(loss, mask, lambda a, b: (a * b).cast("double")), zero, add).alias("_l"),
-                        F.aggregate(F.transform(mask, lambda x: x.cast("double")), zero, add).alias("_m"))
-    return per_row.groupBy(*group).agg((F.sum("_l") / (F.sum("_m") + F.lit(1e-8))).alias("masked_loss"))
+    return (F.aggregate(F.zip_with(loss, mask, lambda a, b: (a * b).cast("double")), zero, add),
+            F.aggregate(F.transform(mask, lambda x: x.cast("double")), zero, add))
+
+
+def masked_mean_loss(df: DataFrame, group: list[str], loss_sum: str, mask_sum: str) -> DataFrame:
+    """sum(loss * mask) / (sum(mask) + 1e-8) per group, from the sums of each sequence (``masked_sums``)."""
+    return df.groupBy(*group).agg((F.sum(loss_sum) / (F.sum(mask_sum) + F.lit(1e-8))).alias("masked_loss"))
 
 
 def attach_small(df: DataFrame, one_row: DataFrame) -> DataFrame:

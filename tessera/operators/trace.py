@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import neighbour, running_sums, settled
+from tessera.operators.ordering import join_same, neighbour, running_sums, settled
 
 
 def failed(content) -> Column:
@@ -22,7 +22,7 @@ def verify_gate(trace: DataFrame, run: str, step: str, content: str) -> DataFram
     """V1: steps up to the first failure of each run; the failing step is recorded as
     ``Verification Failed: …`` and the rest of the plan is dropped."""
     fails = settled(trace.where(failed(F.col(content))).groupBy(run).agg(F.min(step).alias("_first_fail")))
-    j = trace.join(fails, run, "left")
+    j = join_same(trace, fails, [run], "left")
     return (j.where(F.col("_first_fail").isNull() | (F.col(step) <= F.col("_first_fail")))
             .withColumn("status", F.when(F.col(step) == F.col("_first_fail"),
                                          F.concat(F.lit("Verification Failed: "), F.col(content)))
@@ -37,7 +37,7 @@ def retry_budget(trace: DataFrame, run: str, order: list[str], content: str, max
     r = running_sums(trace, [run], [F.col(c) for c in order],
                      {"step": F.lit(1).cast("long"), "retries": failed(F.col(content)).cast("long")})
     stop = settled(r.where(F.col("retries") > max_retries).groupBy(run).agg(F.min("step").alias("_stop")))
-    return (r.join(stop, run, "left")
+    return (join_same(r, stop, [run], "left")
             .where(F.col("_stop").isNull() | (F.col("step") <= F.col("_stop")))
             .withColumn("action", F.when(F.col("step") == F.col("_stop"), F.lit("stop")).otherwise(F.lit("continue")))
             .drop("_stop"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import r6
@@ -164,12 +164,18 @@ z AS (SELECT batch, unnest(list_transform(lab, lambda x: CASE WHEN x = 0 THEN 0.
 SELECT batch, round(sum(l * m) / (sum(m) + 1e-8), 6) AS masked_loss FROM z GROUP BY batch
 """)
 def g10(spark, sf):
-    b = batched(spark, sf)
-    mask = tokens.loss_mask_marker(F.col("ids"), F.col("marker"), M)
+    """The sums of each sequence are formed before anything is shuffled, so no token travels. A mask reaches over the padding
+    (A2) where the loss is 0: it adds the batch's width less the sequence's length to the mask's sum."""
+    e = encoded(spark, sf)
+    at = tokens.marker_position(F.col("ids"), F.col("marker"), M)
+    e = e.withColumn("at", at)
     n = F.greatest(F.size("ids") - 1, F.lit(0))
-    lab = F.slice(F.col("ids"), 2, n)
-    loss = F.transform(lab, lambda x: F.when(x == tokens.PAD_ID, F.lit(0.0)).otherwise((x % 7) / 7.0))
-    s = b.select("batch", loss.alias("loss"), F.slice(mask, 2, n).alias("mask"))
+    loss = F.transform(F.slice(F.col("ids"), 2, n), lambda x: F.when(x == tokens.PAD_ID, F.lit(0.0)).otherwise((x % 7) / 7.0))
+    sums = tokens.masked_sums(loss, F.slice(tokens.mask_from_position(F.col("ids"), F.col("at"), M), 2, n))
+    narrow = e.select("seq_id", F.size("ids").alias("size"), F.col("at").isNotNull().alias("found"), sums[0].alias("loss"), sums[1].alias("mask"))
+    b = tokens.assign_batches(narrow, "seq_id", BATCH, SEED)
+    width = F.max("size").over(Window.partitionBy("batch"))  # a batch has at most BATCH rows
+    s = b.select("batch", "loss", (F.col("mask") + F.when(F.col("found"), width - F.col("size")).otherwise(0)).alias("mask"))
     out = tokens.masked_mean_loss(s, ["batch"], "loss", "mask")
     return out.select("batch", r6("masked_loss", 6).alias("masked_loss"))
 

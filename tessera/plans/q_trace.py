@@ -32,7 +32,8 @@ def events_trace(spark, sf) -> DataFrame:
 def indexed_trace(spark, sf) -> DataFrame:
     """Trace rows with the global position ``_gidx`` in (user, ts, event_id) order - enough
     for previous/next-step joins, without per-run step numbers."""
-    return with_global_index(events_trace(spark, sf), [F.col("user_id"), F.col("ts"), F.col("event_id")], "_gidx")
+    e = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    return with_global_index(e, [F.col("user_id"), F.col("ts"), F.col("event_id")], "_gidx")
 
 
 def trace(spark, sf, keep_index: bool = False) -> DataFrame:
