@@ -1,4 +1,4 @@
-"""Property-graph and memory operators.
+"""Property-graph and memory operators.
 
 A graph is two tables: ``nodes(id, type, properties map<string,string>)`` and
 ``edges(src, type, dst, properties map<string,string>)``. Every hop is an equi
@@ -12,8 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import WS_CLASS
 from tessera.operators.dedup import last_per_key
+from tessera.operators.paths import path_search  # noqa: F401  X1 is a graph operator too
+from tessera.operators.recall import relations_of, semantic_recall  # noqa: F401  M3 likewise
 
 
 def node_id(kind: str, key) -> Column:
@@ -50,19 +51,10 @@ def graph_schema(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return one(nodes, "node").unionByName(one(edges, "edge"))
 
 
-def both_directions(edges: DataFrame) -> DataFrame:
-    """Edges plus their reverses, tagged with the direction."""
-    fwd = edges.select("src", "type", "dst", F.lit("out").alias("direction"))
-    rev = edges.select(F.col("dst").alias("src"), "type", F.col("src").alias("dst"), F.lit("in").alias("direction"))
-    return fwd.unionByName(rev)
-
-
 def graph_neighbors(seeds: DataFrame, edges: DataFrame, seed_col: str = "id") -> DataFrame:
-    """Relations in either direction from each seed entity to its neighbour."""
-    b = both_directions(edges)
-    return (seeds.select(F.col(seed_col).alias("src")).distinct()
-            .join(b, "src").select(F.col("src").alias("entity"), F.col("type").alias("relation"),
-                                   F.col("dst").alias("neighbor"), "direction"))
+    """Distinct relations in either direction from each seed entity to its neighbour; ``edges`` may hold an edge
+    many times (only what touches a seed is merged)."""
+    return relations_of(seeds.select(F.col(seed_col).alias("entity")), edges)
 
 
 def graph_typed_match(nodes: DataFrame, edges: DataFrame, src_type: str, rel_types: list[str]) -> DataFrame:
@@ -82,68 +74,28 @@ def rename_classes(df: DataFrame, col: str, mapping: DataFrame, new: str) -> Dat
         .withColumnRenamed("to_name", new)
 
 
-def keyword_tokens(text: Column) -> Column:
-    """Lower-cased whitespace tokens of a text (T12 on the query side)."""
-    return F.filter(F.split(F.lower(text), f"{WS_CLASS}+"), lambda x: x != "")
-
-
-def semantic_recall(queries: DataFrame, nodes: DataFrame, edges: DataFrame, limit: int = 5) -> DataFrame:
-    """M3: keyword -> node whose name token equals it -> one hop either way -> ``limit`` rows per query.
-
-    Token equality stands in for the full-text score (stated, not reproduced). The
-    matches are joined straight to the two-way edge list, so the keyword join is
-    planned once.
-    """
-    kw = queries.select("query_id", F.explode(keyword_tokens(F.col("text"))).alias("token")).distinct()
-    nt = nodes.select(F.col("id").alias("entity"), F.explode(keyword_tokens(F.col("properties")["name"])).alias("token"))
-    hits = kw.join(nt, "token").select("query_id", "entity").distinct()
-    b = both_directions(edges).select(F.col("src").alias("entity"), F.col("type").alias("relation"),
-                                      F.col("dst").alias("neighbor"), "direction")
-    w = Window.partitionBy("query_id").orderBy("entity", "relation", "neighbor", "direction")
-    return (hits.join(b, "entity").select("query_id", "entity", "relation", "neighbor", "direction")
-            .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn"))
-
-
 def limit_global(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """One ``LIMIT n`` over the whole result under a fixed total order (TakeOrderedAndProject)."""
     return df.orderBy(*order).limit(n)
 
 
-def path_search(edges: DataFrame, start: str, goal: str) -> DataFrame:
-    """All shortest paths from ``start`` to ``goal``: ``path`` (array) and ``depth``; none if out of reach.
+def within_budget(items: DataFrame, key: str, order: list, text: str, budget: int) -> DataFrame:
+    """(key, texts): the items of each key in ``order``, joined by newlines, as long as they fit into ``budget``
+    characters (newlines included); the first that doesn't fit ends the list. Keys none of whose items fits are left out.
 
-    Breadth first over states, not paths: a level holds the states first reached at that depth (an anti
-    join removes earlier ones), so the frontier is bounded by the number of states and the search ends when
-    it is empty. The paths are rebuilt backwards over the levels. Every level is checkpointed into the
-    shared folder, so a lost executor does not replay earlier levels.
-    """
-    from tessera.session import cut_lineage
-
-    e = cut_lineage(edges.select(F.col("src"), F.col("dst")).distinct())
-    spark = edges.sparkSession
-    levels = [spark.range(1).select(F.lit(start).alias("state"))]
-    seen = levels[0]
-    while levels[-1].where(F.col("state") == goal).isEmpty():
-        step = (levels[-1].join(e, F.col("state") == F.col("src")).select(F.col("dst").alias("state")).distinct()
-                .join(seen, "state", "left_anti"))
-        step = cut_lineage(step)
-        if step.isEmpty():
-            return spark.range(0).select(F.array().cast("array<string>").alias("path"), F.lit(0).alias("depth"))
-        levels.append(step)
-        seen = seen.unionByName(step)
-    paths = spark.range(1).select(F.array(F.lit(goal)).alias("path"), F.lit(goal).alias("_head"))
-    for level in reversed(levels[:-1]):
-        paths = (paths.join(e, F.col("_head") == F.col("dst")).join(level, F.col("src") == F.col("state"))
-                 .select(F.concat(F.array("src"), F.col("path")).alias("path"), F.col("src").alias("_head")))
-    return paths.select("path", F.lit(len(levels) - 1).alias("depth"))
-
-
-def context_assembly(episodic: DataFrame, semantic: DataFrame, key: str) -> DataFrame:
-    """C11: both memory results in one prompt text under fixed headings (full outer join)."""
-    j = episodic.join(semantic, key, "full_outer")
-    text = F.concat(F.lit("Episodic memory:\n"), F.coalesce(F.col("episodic"), F.lit("(none)")),
-                    F.lit("\n\nSemantic memory:\n"), F.coalesce(F.col("semantic"), F.lit("(none)")))
-    return j.select(key, text.alias("context"))
+    ``items`` holds the few recalled rows of each key (the k best, the limit), so a key's rows are bounded."""
+    w = Window.partitionBy(key).orderBy(*order)
+    fits = items.withColumns({"_n": F.row_number().over(w), "_used": F.sum(F.length(text) + 1).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1})
+    return (fits.where(F.col("_used") <= budget).groupBy(key)
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", F.col(text).alias("t")))), lambda x: x["t"]), "\n").alias("texts")))
+
+
+def context_assembly(queries: DataFrame, episodic: DataFrame, semantic: DataFrame, key: str) -> DataFrame:
+    """C11: both memory results of every query (columns ``texts`` of either side) in one prompt text under fixed headings."""
+    e, s = episodic.select(key, F.col("texts").alias("_e")), semantic.select(key, F.col("texts").alias("_s"))
+    text = F.concat(F.lit("Episodic memory:\n"), F.coalesce(F.col("_e"), F.lit("(none)")),
+                    F.lit("\n\nSemantic memory:\n"), F.coalesce(F.col("_s"), F.lit("(none)")))
+    return queries.select(key).distinct().join(e, key, "left").join(s, key, "left").select(key, text.alias("context"))
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:

@@ -1,21 +1,16 @@
-"""Vector operators.
+"""Vector operators.
 
 Per-vector maths is ``transform``/``zip_with``/``aggregate`` in the JVM. Small
-parameter tables (gates, channel statistics) are one bounded row attached by a
-broadcast equi join. Exact k-nearest-neighbour search is the one place that
-needs numpy: a block nested loop over (query block, corpus bucket) cells, each a
-co-grouped pandas call that keeps only the k best per query, and a final
-ranking over at most k x buckets candidates per query. No query/corpus pair is
-ever emitted as a row.
+parameter tables (gates, channel statistics) are one bounded row attached as a
+scalar subquery. Exact k-nearest-neighbour search (J8) is in ``nearest``.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.ordering import settled
 from tessera.operators.tokens import attach_small
 
 
@@ -114,58 +109,41 @@ def expert_load(routed: DataFrame, experts: DataFrame) -> DataFrame:
                     F.coalesce("total_weight", F.lit(0.0)).alias("total_weight")))
 
 
-def knn_join(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, vec: str, k: int,
-             exclude_self: bool = True, rows_per_bucket: int = 512,
-             queries_per_block: int = 1_024) -> DataFrame:
-    """Exact k nearest corpus vectors (squared L2) per query, ties by corpus id.
+def expert_combine(routed: DataFrame, id_col: str, vec: str, experts: DataFrame) -> DataFrame:
+    """Every row's vector goes through the linear maps of the experts it is routed to; the weighted outputs add up.
 
-    Block nested loop: the corpus is cut into B hash buckets (about
-    ``rows_per_bucket`` rows each) and the queries into QB hash blocks (about
-    ``queries_per_block`` each); every (query block, corpus bucket) cell is one
-    co-grouped pandas call that keeps the k best per query. Corpus rows are copied
-    QB times and queries B times - the exact search cost, never a pair row. A
-    window over the <= k*B candidates of a query gives the final k. Output:
-    ``query_id, rank, neighbor_id, dist``.
+    ``routed`` has ``routes`` (A13) and integer ids (null and repeated ids keep their rows); ``experts`` has (expert, matrix
+    array<array<double>>), one row an expert, rows of a matrix giving one output component each. One row per row of
+    ``routed``: (id, output array<double>); routes to an expert that is not listed add nothing, and rows left
+    without any have a null output. Outputs add in the order of the routes, so repeated runs give the same bits. A hot
+    expert is a hot join key between two written or scanned tables, which adaptive execution splits; what meets again per
+    row are its few routes.
+    """
+    rows = settled(routed.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), to_double(F.col(vec)).alias("_x"), "routes"))
+    sent = rows.select("_row", "_x", F.posexplode("routes").alias("_slot", "_r")).select("_row", "_x", "_slot", "_r.expert", "_r.weight")
+    mapped = sent.join(experts.select("expert", "matrix"), "expert").select(
+        "_row", "_slot", F.zip_with(F.transform("matrix", lambda m: dot(m, F.col("_x"))), F.transform("matrix", lambda _: F.col("weight")),
+                                    lambda y, w: y * w).alias("y"))
+    per_row = mapped.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_slot", "y"))).alias("ys"))
+    total = F.aggregate(F.slice("ys", 2, F.greatest(F.size("ys") - 1, F.lit(0))), F.col("ys")[0]["y"],
+                        lambda acc, s: F.zip_with(acc, s["y"], lambda a, b: a + b))
+    return rows.select("_row", "_id").join(settled(per_row), "_row", "left").select(F.col("_id").alias("id"), total.alias("output"))
+
+
+def hashed_terms(rows: DataFrame, id_col: str, tokens: Column, dims: int = 64, scale: int = 1000) -> DataFrame:
+    """(id, vector array<double>): signed counts of hashed tokens, scaled to length ``scale`` and rounded to integers.
+
+    A token's component is the first 32 bits of its MD5 modulo ``dims``, its sign the next bit. Components are
+    integers, so distances between such vectors are exact. A text without a token has the zero vector.
     """
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import Window
-
-    buckets = max(1, math.ceil(corpus.count() / rows_per_bucket))
-    blocks = max(1, math.ceil(queries.count() / queries_per_block))
-    c = (corpus.select(F.col(c_id).alias("cid"), to_double(F.col(vec)).alias("v"),
-                       F.pmod(F.xxhash64(F.col(c_id)), F.lit(buckets)).cast("int").alias("cb"))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    q = (queries.select(F.col(q_id).alias("qid"), to_double(F.col(vec)).alias("qv"),
-                        F.pmod(F.xxhash64(F.col(q_id)), F.lit(blocks)).cast("int").alias("qb"))
-         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
-
-    def best(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cid": pd.Series([], dtype="int64"),
-                              "dist": pd.Series([], dtype="float64")})
-        if len(cpdf) == 0 or len(qpdf) == 0:
-            return empty
-        X, ids = np.stack(cpdf["v"].to_numpy()), cpdf["cid"].to_numpy()
-        asked, qids = np.stack(qpdf["qv"].to_numpy()), qpdf["qid"].to_numpy()
-        order = np.argsort(ids, kind="stable")  # ties go to the smaller id
-        X, ids = X[order], ids[order]
-        out_q, out_c, out_d = [], [], []
-        for at in range(0, len(qids), 64):  # 64 queries against the bucket at a time
-            part, own = asked[at:at + 64], qids[at:at + 64]
-            d = ((part[:, None, :] - X[None, :, :]) ** 2).sum(axis=2)
-            if exclude_self:
-                d[own[:, None] == ids[None, :]] = np.inf
-            best_k = np.argsort(d, axis=1, kind="stable")[:, :k]
-            near = np.take_along_axis(d, best_k, axis=1)
-            row, col = np.nonzero(np.isfinite(near))
-            out_q.append(own[row])
-            out_c.append(ids[best_k[row, col]])
-            out_d.append(near[row, col])
-        return pd.DataFrame({"qid": np.concatenate(out_q).astype("int64"), "cid": np.concatenate(out_c).astype("int64"),
-                             "dist": np.concatenate(out_d).astype("float64")})
-
-    cand = (c.groupBy("qb", "cb").cogroup(q.groupBy("qb", "cb"))
-            .applyInPandas(best, "qid long, cid long, dist double"))
-    w = Window.partitionBy("qid").orderBy("dist", "cid")
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(F.col("qid").alias("query_id"), "rank", F.col("cid").alias("neighbor_id"), "dist"))
+    md = F.md5("t")
+    words = rows.select(F.col(id_col).alias("id"), F.explode(tokens).alias("t"))
+    signed = words.select("id", (F.conv(F.substring(md, 1, 8), 16, 10).cast("long") % dims).cast("int").alias("b"),
+                          F.when(F.substring(md, 9, 1) >= "8", -1).otherwise(1).alias("s"))
+    sums = signed.groupBy("id", "b").agg(F.sum("s").cast("double").alias("s"))
+    per_row = sums.groupBy("id").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("n"), F.map_from_entries(F.collect_list(F.struct("b", "s"))).alias("m"))
+    at = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.coalesce(F.try_element_at("m", d), F.lit(0.0)))
+    filled = per_row.withColumn("v", at)
+    scaled = _with_scalar(F.col("v"), F.when(F.col("n") > 0, F.col("n")).otherwise(1.0), lambda x, n: F.floor(x * F.lit(float(scale)) / n + 0.5).cast("double"))
+    return (rows.select(F.col(id_col).alias("id")).join(settled(filled.select("id", scaled.alias("vector"))), "id", "left")
+            .select("id", F.coalesce("vector", F.array_repeat(F.lit(0.0), dims)).alias("vector")))

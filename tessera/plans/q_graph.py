@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.text import WS_CLASS
 from tessera.operators import graph as gr
+from tessera.operators import vectors as vx
+from tessera.operators.chat import episodic_rows
 from tessera.operators.graph import node_id
+from tessera.operators.nearest import knn_join
+from tessera.operators.ordering import settled, with_global_index
+from tessera.operators.paths import path_counts, path_search
+from tessera.operators.recall import B, K1, PLACES, both_ends, keyword_tokens, semantic_recall
 from tessera.plans.q_trace import indexed_trace
-from tessera.plans.q_vectors import knn
 from tessera.plans.registry import register
+from tessera.plans.sqlkit import PAIRS_CTE
 from tessera.sources.tables import table
 
 # Segment names mapped for J1; MACHINERY is left out on purpose.
@@ -140,12 +147,12 @@ nb AS (SELECT b.src AS entity, b.type AS relation, b.dst AS neighbor, b.directio
 
 @register("j6_graph_neighbors", NEIGHBORS_SQL + " SELECT entity, relation, neighbor, direction FROM nb")
 def j6(spark, sf):
-    return gr.graph_neighbors(region_seeds(spark, sf), edges(spark, sf))
+    return gr.graph_neighbors(region_seeds(spark, sf), raw_edges(spark, sf))
 
 
 @register("w11_limit_global", NEIGHBORS_SQL + " SELECT entity, relation, neighbor, direction FROM nb ORDER BY entity, relation, neighbor, direction LIMIT 5")
 def w11(spark, sf):
-    nb = gr.graph_neighbors(region_seeds(spark, sf), edges(spark, sf))
+    nb = gr.graph_neighbors(region_seeds(spark, sf), raw_edges(spark, sf))
     return gr.limit_global(nb, ["entity", "relation", "neighbor", "direction"], 5)
 
 
@@ -169,24 +176,58 @@ def j1(spark, sf):
 
 
 def recall_queries(spark, sf) -> DataFrame:
-    """One question per region, asked in words: ``Which nations are in <r_name>?``."""
-    r = table(spark, sf, "region")
-    return r.select(F.col("r_regionkey").cast("long").alias("query_id"),
-                    F.concat(F.lit("Which nations are in "), F.col("r_name"), F.lit(" ?")).alias("text"))
-
-
-@register("m3_semantic_recall", "WITH " + NODES_SQL + "," + EDGES_SQL + f""",
-q AS (SELECT CAST(r_regionkey AS BIGINT) AS query_id, 'Which nations are in ' || r_name || ' ?' AS text FROM region),
-kw AS (SELECT DISTINCT query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[\\s]+'), lambda x: x <> '')) AS token FROM q),
-nt AS (SELECT id AS entity, unnest(list_filter(regexp_split_to_array(lower(name), '[\\s]+'), lambda x: x <> '')) AS token FROM nodes),
-hits AS (SELECT DISTINCT kw.query_id, nt.entity FROM kw JOIN nt USING (token)),
-both_dir AS (SELECT src, type, dst, 'out' AS direction FROM edges UNION ALL SELECT dst, type, src, 'in' FROM edges)
-SELECT h.query_id, h.entity, b.type AS relation, b.dst AS neighbor, b.direction
-FROM hits h JOIN both_dir b ON b.src = h.entity
-QUALIFY row_number() OVER (PARTITION BY h.query_id ORDER BY h.entity, b.type, b.dst, b.direction) <= 5
+    """Questions in words: one per region, and one per supplier about the part whose key is the supplier's."""
+    r = table(spark, sf, "region").select(F.concat(F.lit("region:"), F.col("r_regionkey")).alias("query_id"),
+                                          F.concat(F.lit("Which nations are in "), F.col("r_name"), F.lit(" ?")).alias("text"))
+    s, p = table(spark, sf, "supplier").select("s_suppkey", "s_name"), table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
+    sp = s.join(p, s["s_suppkey"] == p["p_partkey"]).select(
+        F.concat(F.lit("supplier:"), F.col("s_suppkey")).alias("query_id"),
+        F.concat(F.lit("Does "), F.col("s_name"), F.lit(" sell the "), F.col("p_name"), F.lit(" of "), F.col("p_brand"), F.lit(" ?")).alias("text"))
+    return r.unionByName(sp)
+
+
+NODE_TEXT_SQL = """
+node_text AS (
+  SELECT 'region:' || r_regionkey AS entity, r_name AS text FROM region
+  UNION ALL SELECT 'nation:' || n_nationkey, n_name FROM nation
+  UNION ALL SELECT 'customer:' || c_custkey, c_name || ' ' || c_mktsegment FROM customer
+  UNION ALL SELECT 'supplier:' || s_suppkey, s_name FROM supplier
+  UNION ALL SELECT 'part:' || p_partkey, p_name || ' ' || p_brand FROM part)
+"""
+
+
+def bm25_sql(queries: str) -> str:
+    """CTEs that score every entity for the rows of ``queries`` (query_id, text): ``scored`` and the five best, ``best``."""
+    words = lambda x: f"list_filter(regexp_split_to_array(lower({x}), '{WS_CLASS}+'), lambda x: x <> '')"
+    return f"""
+posting AS (SELECT token, entity, count(*) AS tf FROM (SELECT entity, unnest({words('text')}) AS token FROM node_text) GROUP BY 1, 2),
+len AS (SELECT entity, sum(tf) AS length FROM posting GROUP BY 1),
+whole AS (SELECT count(*) AS n, avg(length) AS mean FROM len),
+term AS (SELECT token, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM posting, whole GROUP BY token, n),
+kw AS (SELECT DISTINCT query_id, unnest({words('text')}) AS token FROM {queries}),
+part_score AS (
+  SELECT query_id, entity, CAST(round(idf * (CAST(tf AS DOUBLE) * {K1 + 1} / (tf + {K1} * (1 - {B} + {B} * length / mean))), {PLACES}) AS DECIMAL(18, {PLACES})) AS part
+  FROM kw JOIN term USING (token) JOIN posting USING (token) JOIN len USING (entity), whole),
+scored AS (SELECT query_id, entity, sum(part) AS score FROM part_score GROUP BY 1, 2),
+best AS (SELECT query_id, entity, score FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, entity) <= 5),
+both_dir AS (SELECT src, type, dst, 'out' AS direction FROM edges UNION ALL SELECT dst, type, src, 'in' FROM edges),
+recalled AS (
+  SELECT h.query_id, h.entity, h.score, b.type AS relation, b.dst AS neighbor, b.direction,
+         row_number() OVER (PARTITION BY h.query_id ORDER BY h.score DESC, h.entity, b.type, b.dst, b.direction) AS rn
+  FROM best h JOIN both_dir b ON b.src = h.entity QUALIFY rn <= 5)
+"""
+
+
+@register("m3_semantic_recall", "WITH " + NODE_TEXT_SQL + "," + EDGES_SQL + """,
+q AS (SELECT 'region:' || r_regionkey AS query_id, 'Which nations are in ' || r_name || ' ?' AS text FROM region
+      UNION ALL SELECT 'supplier:' || s_suppkey, 'Does ' || s_name || ' sell the ' || p_name || ' of ' || p_brand || ' ?'
+      FROM supplier JOIN part ON p_partkey = s_suppkey),
+""" + bm25_sql("q") + """
+SELECT query_id, entity, CAST(score AS DOUBLE) AS score, relation, neighbor, direction FROM recalled
 """)
 def m3(spark, sf):
-    return gr.semantic_recall(recall_queries(spark, sf), nodes(spark, sf), edges(spark, sf), 5)
+    rows = semantic_recall(recall_queries(spark, sf), nodes(spark, sf), raw_edges(spark, sf), 5)
+    return rows.withColumn("score", F.col("score").cast("double"))
 
 
 @register("x1_path_search", """
@@ -206,33 +247,85 @@ def x1(spark, sf):
     from tessera.operators.ordering import neighbour
     j = neighbour(t, ["user_id"], ["event_type"], 1, prefix="prev_").where(F.col("prev_event_type").isNotNull())
     e = j.select(F.col("prev_event_type").alias("src"), F.col("event_type").alias("dst"))
-    p = gr.path_search(e, "view", "purchase")
+    p = path_search(e, "view", "purchase")
     return p.select(F.array_join("path", ">").alias("path"), F.col("depth").cast("int").alias("depth"))
 
 
-@register("c11_context_assembly", f"""
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
-p AS (SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
-             list_reduce(list_transform(range(1, len(q.v) + 1), lambda j: (q.v[j] - c.v[j]) * (q.v[j] - c.v[j])), lambda a, b: a + b) AS dist
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, neighbor_id) AS rank FROM p),
-ep AS (SELECT query_id, string_agg('memory ' || CAST(neighbor_id AS VARCHAR), chr(10) ORDER BY rank) AS episodic FROM r WHERE rank <= 2 GROUP BY query_id),
-sem AS (SELECT CAST(n_regionkey AS BIGINT) AS query_id, string_agg(n_name || ' IN ' || r_name, chr(10) ORDER BY n_name) AS semantic
-        FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY n_regionkey)
-SELECT coalesce(ep.query_id, sem.query_id) AS query_id,
-       'Episodic memory:' || chr(10) || coalesce(episodic, '(none)') || chr(10) || chr(10) || 'Semantic memory:' || chr(10) || coalesce(semantic, '(none)') AS context
-FROM ep FULL OUTER JOIN sem ON ep.query_id = sem.query_id
+EPISODIC_CHARS, SEMANTIC_CHARS, DIMS = 1500, 300, 64
+
+
+def session_queries(spark, sf) -> DataFrame:
+    """(query_id, text): the last user turn of each dialog, after the name of the customer with the dialog's number."""
+    turns = table(spark, sf, "conversations").where(F.col("role") == "user")
+    last = turns.groupBy("conv_id").agg(F.max_by("text", "turn").alias("asked"))
+    who = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return last.join(who, last["conv_id"] == who["c_custkey"], "left").select(
+        F.col("conv_id").alias("query_id"), F.concat_ws(" ", "c_name", "asked").alias("text"))
+
+
+def term_vector_sql(name: str, rows: str) -> str:
+    """CTEs ``name`` (id, b, c) with the integer components other than 0 of the rows (id, text) and ``name``_norm."""
+    return f"""
+{name}_tok AS (SELECT id, unnest(list_filter(regexp_split_to_array(lower(text), '{WS_CLASS}+'), lambda x: x <> '')) AS t FROM {rows}),
+{name}_sum AS (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {DIMS} AS b, sum(CASE WHEN substr(md5(t), 9, 1) >= '8' THEN -1 ELSE 1 END) AS s FROM {name}_tok GROUP BY 1, 2),
+{name} AS (SELECT id, b, CAST(floor(CAST(s AS DOUBLE) * 1000.0 / n + 0.5) AS BIGINT) AS c
+           FROM {name}_sum JOIN (SELECT id, sqrt(CAST(sum(s * s) AS DOUBLE)) AS n FROM {name}_sum GROUP BY 1) USING (id) WHERE n > 0),
+{name}_norm AS (SELECT r.id, coalesce(sum(c * c), 0) AS nn FROM {rows} r LEFT JOIN {name} USING (id) GROUP BY 1)"""
+
+
+FIRST_REGION, SECOND_REGION = "region:0", "region:1"
+
+
+def level_counts_sql(levels: int) -> str:
+    """CTEs l0, l1, ...: states first reached at each depth with the number of shortest paths to them."""
+    out = [f"l0 AS (SELECT '{FIRST_REGION}' AS state, CAST(1 AS HUGEINT) AS n)"]
+    for k in range(1, levels + 1):
+        seen = " UNION ALL ".join(f"SELECT state FROM l{j}" for j in range(k))
+        out.append(f"l{k} AS (SELECT b.dst AS state, sum(l.n) AS n FROM l{k - 1} l JOIN step b ON b.src = l.state "
+                   f"WHERE b.dst NOT IN ({seen}) GROUP BY b.dst)")
+    found = " UNION ALL ".join(f"SELECT {k} AS depth, n FROM l{k} WHERE state = '{SECOND_REGION}'" for k in range(levels + 1))
+    return ",\n".join(out) + f" SELECT CAST(depth AS INTEGER) AS depth, CAST(n AS DOUBLE) AS n_paths FROM ({found})"
+
+
+@register("x1_path_counts", "WITH " + EDGES_SQL + """,
+step AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
+""" + level_counts_sql(8))
+def x1_counts(spark, sf):
+    """Shortest ways between two regions over relations of either direction (nations, customers, parts between them)."""
+    both = both_ends(raw_edges(spark, sf)).select(F.col("entity").alias("src"), F.col("neighbor").alias("dst"))
+    return path_counts(both, FIRST_REGION, SECOND_REGION).select("depth", F.col("n_paths").cast("double").alias("n_paths"))
+
+
+@register("c11_context_assembly", "WITH " + NODE_TEXT_SQL + "," + EDGES_SQL + "," + PAIRS_CTE + """,
+mem AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS id, conv_id, 'User: ' || question || chr(10) || 'Assistant: ' || answer AS text FROM pairs),
+q AS (SELECT conv_id AS query_id, conv_id AS id, CASE WHEN c_name IS NULL THEN asked ELSE c_name || ' ' || asked END AS text
+      FROM (SELECT conv_id, max_by(text, turn) AS asked FROM conversations WHERE role = 'user' GROUP BY 1) LEFT JOIN customer ON c_custkey = conv_id),
+""" + term_vector_sql("qv", "q") + "," + term_vector_sql("mv", "mem") + """,
+dots AS (SELECT qv.id AS qid, mv.id AS mid, sum(qv.c * mv.c) AS d FROM qv JOIN mv USING (b) GROUP BY 1, 2),
+near AS (SELECT qn.id AS query_id, mem.text, row_number() OVER (PARTITION BY qn.id ORDER BY qn.nn + mn.nn - 2 * coalesce(d, 0), mem.id) AS rank
+         FROM qv_norm qn JOIN mem ON mem.conv_id <> qn.id JOIN mv_norm mn ON mn.id = mem.id LEFT JOIN dots ON qid = qn.id AND mid = mem.id
+         QUALIFY rank <= 2),
+ep AS (SELECT query_id, string_agg(text, chr(10) ORDER BY rank) AS texts FROM (
+         SELECT *, sum(length(text) + 1) OVER (PARTITION BY query_id ORDER BY rank) - 1 AS used FROM near) WHERE used <= """ + str(EPISODIC_CHARS) + """ GROUP BY 1),
+""" + bm25_sql("q") + """,
+fact AS (SELECT query_id, rn, entity || CASE WHEN direction = 'out' THEN ' -' || relation || '-> ' ELSE ' <-' || relation || '- ' END || neighbor AS text FROM recalled),
+sem AS (SELECT query_id, string_agg(text, chr(10) ORDER BY rn) AS texts FROM (
+         SELECT *, sum(length(text) + 1) OVER (PARTITION BY query_id ORDER BY rn) - 1 AS used FROM fact) WHERE used <= """ + str(SEMANTIC_CHARS) + """ GROUP BY 1)
+SELECT q.query_id, 'Episodic memory:' || chr(10) || coalesce(ep.texts, '(none)') || chr(10) || chr(10) || 'Semantic memory:' || chr(10) || coalesce(sem.texts, '(none)') AS context
+FROM q LEFT JOIN ep USING (query_id) LEFT JOIN sem USING (query_id)
 """)
 def c11(spark, sf):
-    k = knn(spark, sf)
-    ep = (k.groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
-        "rank", F.concat(F.lit("memory "), F.col("neighbor_id").cast("string")).alias("t")))), lambda x: x["t"]), "\n")
-        .alias("episodic")))
-    n = table(spark, sf, "nation")
-    r = table(spark, sf, "region")
-    sem = (n.join(r, n["n_regionkey"] == r["r_regionkey"])
-           .groupBy(F.col("n_regionkey").cast("long").alias("query_id"))
-           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
-               "n_name", F.concat(F.col("n_name"), F.lit(" IN "), F.col("r_name")).alias("t")))), lambda x: x["t"]), "\n")
-               .alias("semantic")))
-    return gr.context_assembly(ep, sem, "query_id")
+    asked = settled(session_queries(spark, sf))
+    memories = episodic_rows(table(spark, sf, "conversations"))
+    memories = settled(with_global_index(memories, [F.col("conv_id"), F.col("turn")], "id"))
+    vectors = lambda df, key, text: vx.hashed_terms(df, key, keyword_tokens(F.col(text)), DIMS)
+    corpus = vectors(memories, "id", "memory").join(memories.select("id", "conv_id"), "id")
+    queries = vectors(asked, "query_id", "text").withColumn("conv_id", F.col("id"))
+    near = knn_join(queries, corpus, "id", "id", "vector", 2, group="conv_id")
+    recalled = near.join(memories.select(F.col("id").alias("neighbor_id"), "memory"), "neighbor_id")
+    episodic = gr.within_budget(recalled, "query_id", ["rank"], "memory", EPISODIC_CHARS)
+    facts = semantic_recall(asked, nodes(spark, sf), raw_edges(spark, sf), 5)
+    arrow = F.when(F.col("direction") == "out", F.concat(F.lit(" -"), "relation", F.lit("-> "))).otherwise(F.concat(F.lit(" <-"), "relation", F.lit("- ")))
+    facts = facts.withColumn("fact", F.concat("entity", arrow, "neighbor"))
+    semantic = gr.within_budget(facts, "query_id", [F.col("score").desc(), "entity", "relation", "neighbor", "direction"], "fact", SEMANTIC_CHARS)
+    return gr.context_assembly(asked, episodic, semantic, "query_id")

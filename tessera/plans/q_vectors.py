@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.numeric import r6
 
 from tessera.operators import vectors as vx
+from tessera.operators.nearest import knn_join
 from tessera.operators.tokens import attach_small
 from tessera.plans.registry import register
 from tessera.sources.tables import table
@@ -93,6 +94,39 @@ def g14(spark, sf):
     return g.select("expert", "n_rows", r6("total_weight", 6).alias("total_weight"))
 
 
+def expert_maps(spark, sf) -> DataFrame:
+    """One matrix per gate: the sum of the outer products of the two vector pairs that follow the gates in the table
+    (vectors 8 + 4e .. 11 + 4e for expert e), a map of rank two."""
+    last = N_GATES + 4 * N_GATES
+    four = emb(spark, sf).where(F.col("vec_id").between(N_GATES, last - 1)).groupBy(
+        F.floor((F.col("vec_id") - N_GATES) / 4).cast("int").alias("expert")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("vec_id", vx.to_double(F.col("embedding")).alias("v")))), lambda s: s["v"]).alias("vs"))
+    outer = lambda a, b: F.transform(F.col("vs")[a], lambda x: F.transform(F.col("vs")[b], lambda y: x * y))
+    return four.where(F.size("vs") == 4).select("expert", F.zip_with(outer(0, 1), outer(2, 3), lambda p, q: F.zip_with(p, q, lambda x, y: x + y)).alias("matrix"))
+
+
+@register("g14_expert_combine", ROUTE_SQL + f""",
+x AS (SELECT vec_id, {DV} AS v FROM embeddings),
+ab AS (SELECT CAST(floor((vec_id - {N_GATES}) / 4) AS INTEGER) AS expert, list(v ORDER BY vec_id) AS vs FROM x
+       WHERE vec_id >= {N_GATES} AND vec_id < {5 * N_GATES} GROUP BY 1 HAVING count(*) = 4),
+r AS (SELECT vec_id, 1 AS slot, e1 AS expert, w1 AS weight FROM w UNION ALL SELECT vec_id, 2, e2, w2 FROM w),
+pr AS (SELECT r.vec_id, r.slot, r.weight, ab.vs, {sql_sum('list_transform(range(1, len(x.v) + 1), lambda j: x.v[j] * ab.vs[2][j])')} AS p1,
+              {sql_sum('list_transform(range(1, len(x.v) + 1), lambda j: x.v[j] * ab.vs[4][j])')} AS p2
+       FROM r JOIN x USING (vec_id) JOIN ab USING (expert)),
+y AS (SELECT vec_id, list_transform(range(1, len(vs[1]) + 1), lambda j: weight * (vs[1][j] * p1 + vs[3][j] * p2)) AS y FROM pr),
+u AS (SELECT vec_id, unnest(y) AS y, generate_subscripts(y, 1) AS c FROM y),
+o AS (SELECT vec_id, c, sum(y) AS o FROM u GROUP BY vec_id, c)
+SELECT x.vec_id, round(max(CASE WHEN c = 1 THEN o END), 6) AS out_first, round(max(CASE WHEN c = 64 THEN o END), 6) AS out_last,
+       round(sum(o * o), 6) AS out_sumsq, round(sum(o), 6) AS out_sum
+FROM x LEFT JOIN o USING (vec_id) GROUP BY x.vec_id
+""")
+def g14_combine(spark, sf):
+    o = vx.expert_combine(routed(spark, sf), "vec_id", "embedding", expert_maps(spark, sf))
+    total = F.aggregate("output", F.lit(0.0), lambda a, x: a + x)
+    return o.select(F.col("id").alias("vec_id"), r6(F.element_at("output", 1), 6).alias("out_first"), r6(F.element_at("output", -1), 6).alias("out_last"),
+                    r6(_sumsq(F.col("output")), 6).alias("out_sumsq"), r6(total, 6).alias("out_sum"))
+
+
 @register("a14_layernorm_rmsnorm", f"""
 WITH v AS (SELECT vec_id, {DV} AS v FROM embeddings),
 st AS (SELECT vec_id, v, {sql_sum('v')} / len(v) AS mu, {sql_sum('list_transform(v, lambda x: x * x)')} / len(v) AS ms FROM v),
@@ -139,7 +173,7 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY dist, nei
 def knn(spark, sf) -> DataFrame:
     """Every vector is a query against the whole table (its own row excluded)."""
     e = emb(spark, sf)
-    return vx.knn_join(e, e, "vec_id", "vec_id", "embedding", K)
+    return knn_join(e, e, "vec_id", "vec_id", "embedding", K)
 
 
 @register("j8_knn_join", KNN_SQL + f" SELECT query_id, rank, neighbor_id, round(dist, 6) AS dist FROM r WHERE rank <= {K}")

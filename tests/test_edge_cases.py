@@ -181,9 +181,8 @@ def test_knn_exact_against_brute_force(spark):
     random.seed(1)
     vecs = [(i, [random.random() for _ in range(4)]) for i in range(60)]
     df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
-    from tessera.operators.vectors import knn_join
-    got = sorted(rows(knn_join(df.where("vec_id < 5"), df, "vec_id", "vec_id", "embedding", 3, rows_per_bucket=13,
-                               queries_per_block=2),
+    from tessera.operators.nearest import knn_join
+    got = sorted(rows(knn_join(df.where("vec_id < 5"), df, "vec_id", "vec_id", "embedding", 3, pivots=5, block=13),
                       "query_id", "rank", "neighbor_id"))
     want = []
     for q, qv in vecs[:5]:
