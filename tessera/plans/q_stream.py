@@ -57,11 +57,16 @@ def k1(spark, sf):
     return spark.read.schema(schema).json(out).select("base_id", "pos", "question", "answer")
 
 
-@register("k2_stream_dedup", K1_SQL + " SELECT DISTINCT question FROM k1")
+@register("k2_stream_dedup", K1_SQL + """
+SELECT question, base_id, pos FROM k1 QUALIFY row_number() OVER (PARTITION BY question ORDER BY base_id, pos) = 1
+""")
 def k2(spark, sf):
-    out, ck = files.scratch_dir(spark, "k2-out"), files.scratch_dir(spark, "k2-ckpt")
-    st.run_available_now(st.dedup_stream(_prepared_stream(spark, sf)), out, ck)
-    return spark.read.schema("question string").json(out).select("question")
+    """The rows come in eight files, a file a micro-batch, dealt by a hash: most keys repeat in later batches."""
+    src, out, ck = (files.scratch_dir(spark, n) for n in ("k2-src", "k2-out", "k2-ckpt"))
+    base_rows(spark, sf).repartition(8, F.md5(F.col("base_id").cast("string"))).write.mode("overwrite").json(src)
+    rows = st.prepare_stream(st.read_stream(spark, src, BASE_SCHEMA, files_a_batch=1)).select("question", "base_id", "pos")
+    st.dedup_batches(rows, out, ck, "question", ["base_id", "pos"])
+    return st.settled_first(spark, out, rows.schema, ["base_id", "pos"])
 
 
 @register("k3_stream_retry_state", f"""
@@ -74,10 +79,20 @@ SELECT r.user_id, r.step, CAST(r.retries AS BIGINT) AS retries, CASE WHEN r.step
 FROM r LEFT JOIN s USING (user_id) WHERE s.st IS NULL OR r.step <= s.st
 """)
 def k3(spark, sf):
+    """The rows come in shuffled files, a file a micro-batch; the watermark waits for the whole span of the table, and a row of a
+    later time without a run ends the source."""
     src = files.scratch_dir(spark, "k3-src")
     e = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "props")
-    e.select("user_id", "ts", "event_id", content_col().alias("content")).write.mode("overwrite").parquet(src)
-    stream = st.read_stream(spark, src, TRACE_SCHEMA, "parquet")
+    rows = e.select("user_id", "ts", "event_id", content_col().alias("content"))
+    rows.repartition(4, F.md5(F.col("event_id").cast("string"))).write.mode("overwrite").parquet(src)
+    span = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("z"))
+    seconds = span.select((F.unix_timestamp(F.col("z").cast("timestamp")) - F.unix_timestamp(F.col("a").cast("timestamp")) + 1).alias("s")).first()["s"] or 1
+    own = st.streaming_session(spark)
     out, ck = files.scratch_dir(spark, "k3-out"), files.scratch_dir(spark, "k3-ckpt")
-    st.run_available_now(st.retry_state_stream(stream, 3), out, ck, fmt="parquet")
-    return spark.read.parquet(out).select("user_id", "step", "retries", "action")
+    stream = lambda: st.retry_state_stream(st.read_stream(own, src, TRACE_SCHEMA, "parquet", 1), 3, f"{seconds} seconds")
+    st.run_available_now(stream(), out, ck, fmt="parquet")
+    end = span.select(F.lit(None).cast("long").alias("user_id"), F.expr(f"z + make_interval(0, 0, 0, 0, 0, 0, {2 * seconds + 2})").alias("ts"),
+                      F.lit(None).cast("long").alias("event_id"), F.lit(None).cast("string").alias("content")).where("ts is not null")
+    end.write.mode("append").parquet(src)
+    st.run_available_now(stream(), out, ck, fmt="parquet")
+    return spark.read.schema(st.RETRY_OUT).parquet(out).select("user_id", "step", "retries", "action")

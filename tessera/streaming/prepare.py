@@ -1,10 +1,10 @@
 """Structured Streaming operators (K1-K3).
 
 K1 is the record-by-record preparation loop as a stateless stream; K2 keeps the
-"questions seen" set as keyed state bounded by a watermark; K3 keeps a retry
-counter per run in a ``transformWithStateInPandas`` value state (RocksDB state
-store; three numbers per run). All three write to a file sink with a checkpoint, so a
-restarted query resumes where it stopped.
+"questions seen" set as a stored table that every micro-batch is checked against (or as
+state bounded by a watermark); K3 counts retries per run in event order with
+``transformWithStateInPandas`` (list state, event-time timers, RocksDB). All three write files
+with a checkpoint, so a restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tessera.functions.text import ensure_question_mark, ustrip
+from tessera.operators.ordering import settled
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -43,76 +44,174 @@ def prepare_stream(src: DataFrame) -> DataFrame:
 
 
 def dedup_stream(prepared: DataFrame, key: str = "question", delay: str | None = None) -> DataFrame:
-    """K2: drop a question already seen; equal to the batch D2 however late a row comes.
+    """K2 in the state store: drop a question already seen, however late it comes (the state holds every key).
 
-    The state then holds every key. With ``delay`` the state of older keys is evicted, and rows
-    that come later than the watermark are lost: only for streams that may lose them.
+    With ``delay`` the state of older keys is evicted, and rows that come later than the watermark are
+    lost: only for streams that may lose them. ``dedup_batches`` bounds the state without losing rows.
     """
     if delay is None:
         return prepared.dropDuplicates([key])
     return prepared.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
 
+def dedup_batches(prepared: DataFrame, folder: str, checkpoint: str, key: str, order: list[str]) -> None:
+    """K2 with nothing in the state store: ``foreachBatch`` against stored keys; processes what is available, then stops.
+
+    Under ``folder``: ``first`` holds the first row of each key as it came, ``late`` rows that came in a later batch and
+    stand before it in ``order`` (``settled_first`` picks between them). A batch is cut to one row a key, then only its
+    keys are looked up: the stored table is scanned and semi-joined to them (the batch is the side that may be broadcast, by
+    its run-time size), never shuffled for them as a whole or collected. Each batch writes its own folder and reads
+    only those of earlier batches, so a batch that is run again after a failure writes the same rows once. Null keys
+    are a key. What grows is the stored table, one row a key; the query's state does not.
+    """
+    columns = prepared.columns
+
+    def one(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        first = (rows.groupBy(F.col(key).alias("_k")).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("_r")).select("_r.*"))
+        first = first.withColumn("_key", F.md5(F.coalesce(F.concat(F.lit("k"), F.col(key)), F.lit("null"))))
+        stored = _stored(spark, f"{folder}/first", first.schema, batch)
+        if stored is None:
+            first.write.mode("overwrite").parquet(f"{folder}/first/batch={batch}")
+            return
+        first = settled(first)
+        known = settled(stored.join(first.select("_key"), "_key", "left_semi"))
+        seen = known.select("_key", F.struct(*order).alias("_was"))
+        late = first.join(seen, "_key").where(F.struct(*order) < F.col("_was")).drop("_was")
+        first.join(seen, "_key", "left_anti").write.mode("overwrite").parquet(f"{folder}/first/batch={batch}")
+        late.write.mode("overwrite").parquet(f"{folder}/late/batch={batch}")
+
+    q = prepared.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType, before: int) -> DataFrame | None:
+    """The rows that batches before ``before`` wrote under ``path``; None if there is none."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not before or not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        return None
+    whole = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(whole).parquet(path).where(F.col("batch") < before).drop("batch")
+
+
+def settled_first(spark: SparkSession, folder: str, schema: T.StructType, order: list[str]) -> DataFrame:
+    """The first row of every key by ``order`` (equal to the batch operator D2): stored rows, or late ones that stand before them."""
+    keyed = T.StructType([*schema.fields, T.StructField("_key", T.StringType())])
+    parts = [p for name in ("first", "late") if (p := _stored(spark, f"{folder}/{name}", keyed, 1 << 62)) is not None]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    names = [f.name for f in schema.fields]
+    return rows.groupBy("_key").agg(F.min_by(F.struct(*names), F.struct(*order)).alias("_r")).select("_r.*")
+
+
 RETRY_OUT = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("step", T.LongType()),
                           T.StructField("retries", T.LongType()), T.StructField("action", T.StringType())])
 RETRY_STATE = T.StructType([T.StructField("step", T.LongType()), T.StructField("retries", T.LongType()),
                             T.StructField("stopped", T.BooleanType())])
+WAITING = T.StructType([T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("failed", T.BooleanType())])
+CHUNK = 50_000  # rows of a frame that a processor hands on
+
+
+def streaming_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for streams with state: RocksDB is set there, the caller's settings stay."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    return own
 
 
-def retry_budget_processor(max_retries: int = 3, ttl_ms: int | None = None) -> StatefulProcessor:
+def retry_budget_processor(max_retries: int = 3, idle_ms: int | None = None) -> StatefulProcessor:
     """K3 processor. The class is built inside this function so it travels to the Python
     workers by value: they need pyspark, not this package, on their path."""
+    chunk = CHUNK
 
     class RetryBudget(StatefulProcessor):
-        """K3: per run, count steps and failures; stop (and ignore later steps) once the
-        failures exceed ``max_retries``. State: one small value per run.
+        """K3: per run, count steps and failures in event order; stop (and ignore later steps) once the
+        failures exceed ``max_retries``.
 
-        A state TTL needs processing-time mode, which keeps an ``availableNow`` query
-        from finishing in Spark 4.1; ``ttl_ms`` is applied only when the caller runs
-        the processor with ``timeMode="ProcessingTime"`` on a continuous trigger.
+        Rows wait in a list state (time, id and whether they failed: no texts) until the watermark has passed them;
+        an event-time timer then takes those that are due, in the order of (ts, event_id), so the
+        order holds over any micro-batches. A run is counted on with three numbers. With ``idle_ms`` the state of
+        a run without rows for so long is removed by a later timer (its time to live).
         """
 
-        def __init__(self, max_retries: int = 3, ttl_ms: int | None = None):
-            self.max_retries = max_retries
-            self.ttl_ms = ttl_ms
-
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.state = handle.getValueState("budget", RETRY_STATE, self.ttl_ms)
+            self.handle = handle
+            self.budget = handle.getValueState("budget", RETRY_STATE)
+            self.waiting = handle.getListState("waiting", WAITING)
+            self.last = handle.getValueState("last", T.StructType([T.StructField("ms", T.LongType())]))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort")
-            if self.state.exists():
-                step, retries, stopped = self.state.get()
-            else:
-                step, retries, stopped = 0, 0, False
+            stopped = self.budget.exists() and self.budget.get()[2]
+            latest = -1
+            for part in rows:  # a frame at a time, never all rows of the key
+                part = part[part["counts"]]
+                if not len(part) or key[0] is None:
+                    continue
+                micros = part["ts"].astype("datetime64[us]").astype("int64")
+                latest = max(latest, int(micros.max()) // 1000)
+                if not stopped:
+                    failed = part["content"].fillna("").astype(str).str.startswith("Error:")
+                    self.waiting.appendList(list(zip(micros.tolist(), part["event_id"].astype("int64").tolist(), failed.tolist())))
+            if latest >= 0:
+                self.handle.registerTimer(latest)
+                if idle_ms:
+                    self.last.update((max(latest, self.last.get()[0] if self.last.exists() else 0),))
+                    self.handle.registerTimer(latest + idle_ms)
+            yield pd.DataFrame(columns=["user_id", "step", "retries", "action"])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            now = expiredTimerInfo.getExpiryTimeInMs()
+            pending = list(self.waiting.get()) if self.waiting.exists() else []
+            due = sorted((w[0], w[1], w[2]) for w in pending if w[0] // 1000 <= now)
             out = []
-            for content in pdf["content"].tolist():
-                if stopped:
-                    break
-                step += 1
-                retries += int(str(content).startswith("Error:"))
-                action = "continue"
-                if retries > self.max_retries:
-                    action, stopped = "stop", True
-                out.append((int(key[0]), step, retries, action))
-            self.state.update((step, retries, stopped))
+            if due:
+                step, retries, stopped = self.budget.get() if self.budget.exists() else (0, 0, False)
+                rest = [(w[0], w[1], w[2]) for w in pending if w[0] // 1000 > now]
+                for _, _, failed in due:
+                    if stopped:
+                        rest = []
+                        break
+                    step += 1
+                    retries += int(failed)
+                    stopped = retries > max_retries
+                    out.append((int(key[0]), step, retries, "stop" if stopped else "continue"))
+                    if len(out) == chunk:
+                        yield pd.DataFrame(out, columns=["user_id", "step", "retries", "action"])
+                        out = []
+                self.budget.update((step, retries, stopped))
+                if rest:
+                    self.waiting.put(rest)
+                else:
+                    self.waiting.clear()
+            if idle_ms and not pending and self.last.exists() and now >= self.last.get()[0] + idle_ms:
+                self.budget.clear()
+                self.last.clear()
             yield pd.DataFrame(out, columns=["user_id", "step", "retries", "action"])
 
         def close(self) -> None:
             pass
 
-    return RetryBudget(max_retries, ttl_ms)
+    return RetryBudget()
+
 
+def retry_state_stream(trace: DataFrame, max_retries: int = 3, delay: str = "0 seconds", idle_ms: int | None = None) -> DataFrame:
+    """K3 on a streaming trace ``user_id, ts, event_id, content`` of a session made by ``streaming_session``.
 
-def retry_state_stream(trace: DataFrame, max_retries: int = 3, ttl_ms: int | None = None) -> DataFrame:
-    """K3 on a streaming trace ``user_id, ts, event_id, content``."""
-    spark = trace.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    mode = "ProcessingTime" if ttl_ms else "None"
-    return (trace.groupBy("user_id")
-            .transformWithStateInPandas(statefulProcessor=retry_budget_processor(max_retries, ttl_ms), outputStructType=RETRY_OUT,
-                                        outputMode="Append", timeMode=mode))
+    A row counts when the watermark (the latest time seen less ``delay``) has passed it; rows that come later than the
+    watermark are late and left out, as Spark does. The rows of the last ``delay`` therefore wait for later ones: a source
+    ends with a row of a later time (any run, null for instance) if all of them must come out. Rows without a run, a time or
+    an id are not counted; they do move the watermark.
+    """
+    # no filter here: it would be pushed below the watermark, which rows without a run move too
+    timed = trace.select("user_id", F.col("ts").cast("timestamp").alias("ts"), F.coalesce("event_id", F.lit(0).cast("long")).alias("event_id"), "content",
+                         (F.col("event_id").isNotNull() & F.col("ts").isNotNull()).alias("counts")).withWatermark("ts", delay)
+    return (timed.groupBy("user_id")
+            .transformWithStateInPandas(statefulProcessor=retry_budget_processor(max_retries, idle_ms), outputStructType=RETRY_OUT,
+                                        outputMode="Append", timeMode="EventTime"))
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
-    return spark.readStream.schema(schema).format(fmt).load(path)
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", files_a_batch: int | None = None) -> DataFrame:
+    r = spark.readStream.schema(schema).format(fmt)
+    return (r.option("maxFilesPerTrigger", files_a_batch) if files_a_batch else r).load(path)

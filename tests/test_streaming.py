@@ -38,9 +38,57 @@ def test_retry_state_carries_over_batches(spark):
     t = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
     rows1 = [(7, t(1), 1, "Error: a"), (7, t(2), 2, "Error: b"), (7, t(3), 3, "ok")]
     spark.createDataFrame(rows1, TRACE).write.mode("append").parquet(src)
-    st.run_available_now(st.retry_state_stream(st.read_stream(spark, src, TRACE, "parquet"), 2), out, ck, "parquet")
+    st.run_available_now(st.retry_state_stream(st.read_stream(st.streaming_session(spark), src, TRACE, "parquet"), 2), out, ck, "parquet")
     rows2 = [(7, t(4), 4, "Error: c"), (7, t(5), 5, "ok")]
     spark.createDataFrame(rows2, TRACE).write.mode("append").parquet(src)
-    st.run_available_now(st.retry_state_stream(st.read_stream(spark, src, TRACE, "parquet"), 2), out, ck, "parquet")
+    st.run_available_now(st.retry_state_stream(st.read_stream(st.streaming_session(spark), src, TRACE, "parquet"), 2), out, ck, "parquet")
     got = sorted((r["step"], r["retries"], r["action"]) for r in spark.read.parquet(out).collect())
     assert got == [(1, 1, "continue"), (2, 2, "continue"), (3, 2, "continue"), (4, 3, "stop")]
+
+
+def test_stored_keys_equal_the_batch_operator_over_batches_and_a_rerun(spark):
+    import random
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "b", "c", "d", None, "e"]), i, rng.randrange(3)) for i in range(60)]
+    rng.shuffle(rows)
+    schema = T.StructType([T.StructField("question", T.StringType()), T.StructField("base_id", T.LongType()), T.StructField("pos", T.LongType())])
+    src, out, ck = (files.scratch_dir(spark, n) for n in ("td-src", "td-out", "td-ck"))
+    for k in range(0, 60, 20):
+        spark.createDataFrame(rows[k:k + 20], schema).coalesce(2).write.mode("append").json(src)
+        for _ in range(2):  # the second run has nothing to do
+            st.dedup_batches(st.read_stream(spark, src, schema, files_a_batch=1), out, ck, "question", ["base_id", "pos"])
+        seen = {}
+        for q, b, p in rows[:k + 20]:
+            seen[q] = min(seen.get(q, (b, p)), (b, p))
+        got = {r["question"]: (r["base_id"], r["pos"]) for r in st.settled_first(spark, out, schema, ["base_id", "pos"]).collect()}
+        assert got == seen
+    assert spark.read.parquet(f"{out}/first").groupBy("_key").count().where("count > 1").count() == 0
+
+
+def test_retries_in_event_order_over_shuffled_batches_and_a_hot_run(spark):
+    import datetime as dt
+    import random
+    rng = random.Random(4)
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    rows = [(u, t(rng.randrange(3000)), 1000 * u + i, rng.choice(["Error: x", "ok", "ok", None])) for u in range(5) for i in range(20)]
+    rows += [(9, t(k // 10), 10 ** 6 + k, "ok") for k in range(20_000)] + [(9, t(2500), 10 ** 6 + 20_000, "Error: z")]
+    rng.shuffle(rows)
+    src, out, ck = (files.scratch_dir(spark, n) for n in ("to-src", "to-out", "to-ck"))
+    own = st.streaming_session(spark)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    run = lambda: st.run_available_now(st.retry_state_stream(st.read_stream(own, src, TRACE, "parquet", 1), 3, "4000 seconds"), out, ck, "parquet")
+    for k in range(3):
+        spark.createDataFrame(rows[k::3], TRACE).coalesce(1).write.mode("append").parquet(src)
+    run()
+    spark.createDataFrame([(None, t(20_000), None, None)], TRACE).write.mode("append").parquet(src)
+    run()
+    want = []
+    for u in {r[0] for r in rows}:
+        step = bad = 0
+        for r in sorted((r for r in rows if r[0] == u), key=lambda r: (r[1], r[2])):
+            step, bad = step + 1, bad + (r[3] or "").startswith("Error:")
+            want.append((u, step, bad, "stop" if bad > 3 else "continue"))
+            if bad > 3:
+                break
+    assert sorted(tuple(r) for r in spark.read.schema(st.RETRY_OUT).parquet(out).collect()) == sorted(want)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
