@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.numeric import r6
 
 from tessera.operators import evaluate as ev
+from tessera.operators.sampling import sample_n
 from tessera.plans.registry import register
 from tessera.sources.tables import table
 
@@ -145,6 +146,31 @@ def g5(spark, sf):
     return ev.confusion_matrix(p, "label", "pred", CLASSES, class_rows(p), "n")
 
 
+# Short words that tell the four languages of the fixture apart, tried in this order.
+MARK_WORDS = [("en", " the "), ("de", " der "), ("fr", " les "), ("es", " los ")]
+
+
+def language_guesses(spark, sf) -> DataFrame:
+    """(lang, guess): the language whose mark word stands most often in the text, null if none does."""
+    d = table(spark, sf, "documents").select("lang", F.lower("text").alias("t"))
+    hits = F.array(*[F.struct(((F.length("t") - F.length(F.replace("t", F.lit(w), F.lit("")))) / len(w)).alias("k"), F.lit(-i).alias("o"), F.lit(lang).alias("l"))
+                     for i, (lang, w) in enumerate(MARK_WORDS)])
+    best = F.array_max(hits)
+    return d.select("lang", F.when(best["k"] > 0, best["l"]).alias("guess"))
+
+
+@register("g5_confusion_by_class", """
+WITH k AS (SELECT lang, """ + ", ".join(f"(length(lower(text)) - length(replace(lower(text), '{w}', ''))) / {len(w)} AS {lang}" for lang, w in MARK_WORDS) + """ FROM documents),
+g AS (SELECT lang, CASE WHEN greatest(en, de, fr, es) = 0 THEN NULL WHEN en = greatest(en, de, fr, es) THEN 'en' WHEN de = greatest(en, de, fr, es) THEN 'de'
+                        WHEN fr = greatest(en, de, fr, es) THEN 'fr' ELSE 'es' END AS guess FROM k),
+c AS (SELECT DISTINCT c FROM (SELECT lang AS c FROM g UNION ALL SELECT guess FROM g) WHERE c IS NOT NULL)
+SELECT a.c AS "true", b.c AS pred, CAST((SELECT count(*) FROM g WHERE g.lang = a.c AND g.guess = b.c) AS BIGINT) AS n FROM c a, c b
+""")
+def g5_by_class(spark, sf):
+    counted_ = ev.contingency(language_guesses(spark, sf), "lang", "guess")
+    return ev.confusion_counts(counted_, "lang", "guess", "n")
+
+
 @register("g6_confidence_histogram", PRED_SQL + """,
 s AS (SELECT 'all' AS series, conf AS x FROM pc UNION ALL SELECT CASE WHEN correct THEN 'correct' ELSE 'wrong' END, conf FROM pc),
 e AS (SELECT series, min(x) AS lo, max(x) AS hi FROM s GROUP BY series)
@@ -206,7 +232,15 @@ def w2(spark, sf):
 
 @register("w3_sample_n", f"SELECT doc_id, lang FROM documents ORDER BY {_shuf_sql('doc_id')}, doc_id LIMIT 128")
 def w3(spark, sf):
-    return ev.sample_n(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", 128, SEED)
+    return sample_n(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", 128, SEED)
+
+
+@register("w3_sample_third", f"""
+SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (ORDER BY {_shuf_sql('doc_id')}, doc_id) <= (SELECT count(*) // 3 FROM documents)
+""")
+def w3_third(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang")
+    return sample_n(d, "doc_id", d.count() // 3, SEED)
 
 
 @register("w9_sorted_counts", "SELECT lang, count(*) AS n FROM documents GROUP BY lang ORDER BY lang")

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import r6
 
-from tessera.functions.text import IM_START
+from tessera.functions.text import IM_END, IM_START
 from tessera.operators import chat, rewards
+from tessera.operators.plugins import with_user_rewards
 from tessera.plans.q_chat import conversations
 from tessera.plans.registry import register
-from tessera.plans.sqlkit import KEYWORDS, PC_CTE, fmt_reward, kw_reward
+from tessera.plans.sqlkit import KEYWORDS, PAIRS_CTE, PC_CTE, fmt_reward, kw_reward
 
 LEN_WEIGHT = 0.01
 EPS = 1e-4
@@ -85,6 +86,31 @@ def r4(spark, sf):
     return scored_completions(spark, sf).select("conv_id", "turn", r6("reward", 6).alias("reward"))
 
 
+def length_reward(completions: list[str]) -> list[float]:
+    return [float(len(c)) for c in completions]
+
+
+def keyword_reward(completions: list[str]) -> list[float]:
+    return [min(sum(w in c for w in KEYWORDS) / len(KEYWORDS), 1.0) for c in completions]
+
+
+def format_reward(prompts: list[str], completions: list[str]) -> list[float]:
+    texts = [p + c for p, c in zip(prompts, completions)]
+    marks = [(t.count(IM_START), t.count(IM_END)) for t in texts]
+    return [(1.0 if s == e else 0.5) if s and e else 0.0 for s, e in marks]
+
+
+@register("r4_user_rewards", SCORED_SQL + " SELECT conv_id, turn, round(reward, 6) AS reward FROM scored")
+def r4_user(spark, sf):
+    """R4 with the three rewards as a user's Python functions over Arrow batches."""
+    pc = chat.to_prompt_completion(conversations(spark, sf))
+    completions = {"completions": F.col("completion")}
+    scored = with_user_rewards(pc, {"r_len": (length_reward, completions), "r_kw": (keyword_reward, completions),
+                                    "r_fmt": (format_reward, {"prompts": F.col("prompt"), **completions})},
+                               {"r_len": LEN_WEIGHT, "r_kw": 1.0, "r_fmt": 1.0})
+    return scored.select("conv_id", "turn", r6("reward", 6).alias("reward"))
+
+
 @register("r6_missing_eos_penalty", f"""
 SELECT conv_id, turn,
        round({kw_reward('text')} - CASE WHEN strpos(text, '<|im_end|>') > 0 THEN 0.0 ELSE 1.0 END, 6) AS pen_raw,
@@ -110,45 +136,39 @@ def w5(spark, sf):
 
 
 def pair_candidates(spark, sf) -> DataFrame:
-    """Assistant replies with the ChatML prompt of the dialog's first user turn."""
-    t = conversations(spark, sf)
-    first_user = (t.where(F.col("role") == "user").groupBy("conv_id")
-                  .agg(F.min_by("text", "turn").alias("_q"))
-                  .select("conv_id", F.concat(F.lit(IM_START + "user\n"), F.col("_q"),
-                                              F.lit("<|im_end|>\n" + IM_START + "assistant\n")).alias("prompt")))
-    replies = t.where(F.col("role") == "assistant").select(
-        "conv_id", "turn", F.col("text").alias("reply"), F.length("text").alias("reply_len"))
-    return replies.join(first_user, "conv_id")
-
-
-PAIRS_SQL = f"""
-WITH fu AS (
-  SELECT conv_id, '<|im_start|>user' || chr(10) || arg_min(text, turn) || '<|im_end|>' || chr(10)
-                  || '<|im_start|>assistant' || chr(10) AS prompt
-  FROM conversations WHERE role = 'user' GROUP BY conv_id),
+    """Two completions of every user turn's own prompt: the reply, and its first line as a shorter draft (stand-in for
+    several generations per prompt; the table holds one)."""
+    pc = chat.user_assistant_pairs(conversations(spark, sf)).select(
+        "conv_id", "turn", F.concat(F.lit(IM_START + "user\n"), F.col("question"), F.lit(IM_END + "\n" + IM_START + "assistant\n")).alias("prompt"), "answer")
+    drafts = F.array(F.struct(F.lit(0).alias("variant"), F.col("answer").alias("reply")),
+                     F.struct(F.lit(1).alias("variant"), F.substring_index("answer", "\n", 1).alias("reply")))
+    return pc.select("conv_id", "turn", "prompt", F.inline(drafts)).withColumn("reply_len", F.length("reply"))
+
+
+PAIRS_SQL = "WITH " + PAIRS_CTE + """,
 c AS (
-  SELECT r.conv_id, r.turn, r.text AS reply, length(r.text) AS reply_len, fu.prompt
-  FROM conversations r JOIN fu ON fu.conv_id = r.conv_id WHERE r.role = 'assistant'),
+  SELECT conv_id, turn, '<|im_start|>user' || chr(10) || question || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS prompt,
+         v AS variant, CASE WHEN v = 0 THEN answer ELSE string_split(answer, chr(10))[1] END AS reply
+  FROM pairs, (VALUES (0), (1)) d(v)),
 rk AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY reply_len DESC, turn) AS hi,
-            row_number() OVER (PARTITION BY conv_id ORDER BY reply_len, turn) AS lo,
-            count(*) OVER (PARTITION BY conv_id) AS n
-  FROM c),
-pairs AS (
-  SELECT h.conv_id, h.prompt, h.prompt || h.reply || '<|im_end|>' AS chosen,
-         l.prompt || l.reply || '<|im_end|>' AS rejected, h.turn AS chosen_turn, l.turn AS rejected_turn,
+  SELECT *, row_number() OVER (PARTITION BY prompt ORDER BY length(reply) DESC, conv_id, turn, variant) AS hi,
+            row_number() OVER (PARTITION BY prompt ORDER BY length(reply), conv_id, turn, variant) AS lo FROM c),
+chosen_pairs AS (
+  SELECT h.prompt, h.prompt || h.reply || '<|im_end|>' AS chosen, h.prompt || l.reply || '<|im_end|>' AS rejected,
+         h.conv_id AS chosen_conv_id, h.turn AS chosen_turn, h.variant AS chosen_variant,
+         l.conv_id AS rejected_conv_id, l.turn AS rejected_turn, l.variant AS rejected_variant,
          h.reply AS chosen_reply, l.reply AS rejected_reply
-  FROM rk h JOIN rk l ON l.conv_id = h.conv_id AND l.lo = 1 WHERE h.hi = 1 AND h.n >= 2)
+  FROM rk h JOIN rk l ON l.prompt = h.prompt AND l.lo = 1 WHERE h.hi = 1 AND length(h.reply) > length(l.reply))
 """
 
 
 def preference_pairs(spark, sf) -> DataFrame:
-    c = pair_candidates(spark, sf)
-    return rewards.preference_pairs(c, "conv_id", "prompt", "reply", "turn", "reply_len")
+    return rewards.preference_pairs(pair_candidates(spark, sf), "prompt", "reply", ["conv_id", "turn", "variant"], "reply_len")
 
 
-@register("j3_preference_pairs", PAIRS_SQL +
-          " SELECT conv_id, prompt, chosen, rejected, chosen_turn, rejected_turn FROM pairs")
+@register("j3_preference_pairs", PAIRS_SQL + """
+SELECT prompt, chosen, rejected, chosen_conv_id, chosen_turn, chosen_variant, rejected_conv_id, rejected_turn, rejected_variant FROM chosen_pairs
+""")
 def j3(spark, sf):
     return preference_pairs(spark, sf)
 
@@ -156,12 +176,12 @@ def j3(spark, sf):
 def _pair_scores(spark, sf) -> DataFrame:
     p = preference_pairs(spark, sf)
     reply = lambda c: F.regexp_extract(F.col(c), r"(?s)<\|im_start\|>assistant\n(.*)<\|im_end\|>$", 1)
-    return p.select("conv_id", rewards.reward_keywords(reply("chosen"), KEYWORDS).alias("s_chosen"),
+    return p.select(F.col("chosen_conv_id").alias("conv_id"), rewards.reward_keywords(reply("chosen"), KEYWORDS).alias("s_chosen"),
                     rewards.reward_keywords(reply("rejected"), KEYWORDS).alias("s_rejected"))
 
 
 @register("r5_ranking_loss", PAIRS_SQL + f""",
-sc AS (SELECT conv_id, {kw_reward('chosen_reply')} - {kw_reward('rejected_reply')} AS margin FROM pairs)
+sc AS (SELECT chosen_conv_id AS conv_id, {kw_reward('chosen_reply')} - {kw_reward('rejected_reply')} AS margin FROM chosen_pairs)
 SELECT conv_id, round(margin, 6) AS margin,
        round(CASE WHEN margin >= 0 THEN ln(1 + exp(-margin)) ELSE -margin + ln(1 + exp(margin)) END, 6) AS loss
 FROM sc
@@ -173,7 +193,7 @@ def r5(spark, sf):
 
 
 @register("g11_pairwise_eval", PAIRS_SQL + f""",
-sc AS (SELECT {kw_reward('chosen_reply')} AS s_chosen, {kw_reward('rejected_reply')} AS s_rejected FROM pairs)
+sc AS (SELECT {kw_reward('chosen_reply')} AS s_chosen, {kw_reward('rejected_reply')} AS s_rejected FROM chosen_pairs)
 SELECT round(avg(CASE WHEN s_chosen > s_rejected THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
        round(avg(s_chosen - s_rejected), 6) AS mean_margin, count(*) AS n_pairs FROM sc
 """)

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from tessera.functions.numeric import r6
 from pyspark.sql import types as T
 
-from tessera.operators import chat, evaluate as ev
+from tessera.operators import chat
 from tessera.operators.dedup import anti_seen, last_per_key
 from tessera.plans.q_chat import conversations
-from tessera.plans.q_eval import PRED_SQL, _per_class, predictions
+from tessera.plans.q_eval import HIST_SQL, PRED_SQL, _per_class, counted, history
 from tessera.plans.q_tokens import tr, vocabulary
 from tessera.plans.registry import register
 from tessera.plans.sqlkit import PC_CTE
 from tessera.sources import files
-from tessera.operators.tokens import attach_small
 from tessera.sources.tables import table
 
 CONV_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
@@ -92,22 +91,58 @@ def s7(spark, sf):
 
 
 @register("s8_sink_metrics", PRED_SQL + """
-SELECT 10 AS n_classes, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) * 100, 6) AS accuracy, count(*) AS n_rows FROM pc
+, m AS (SELECT a.cls AS t, string_agg(CAST((SELECT count(*) FROM pc WHERE pc.label = a.cls AND pc.pred = b.cls) AS VARCHAR), ' ' ORDER BY b.cls) AS line
+      FROM cls a, cls b GROUP BY a.cls),
+""" + HIST_SQL.replace("WITH b", "b", 1) + """
+SELECT (SELECT string_agg(CAST(cls AS VARCHAR), ',' ORDER BY cls) FROM cls) AS class_names,
+       round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) * 100, 6) AS accuracy, count(*) AS n_rows,
+       (SELECT string_agg(line, ';' ORDER BY t) FROM m) AS confusion_matrix,
+       (SELECT count(*) FROM h WHERE run = 'view') AS n_epochs,
+       (SELECT round(sum(loss), 6) FROM h WHERE run = 'view') AS loss_sum, (SELECT round(sum(f1), 6) FROM prf1) AS f1_sum, true AS has_time FROM pc
 """)
 def s8(spark, sf):
     out = files.scratch_dir(spark, "s8")
-    p = predictions(spark, sf)
-    acc = ev.accuracy(p, "label", "pred").select(r6("accuracy", 6).alias("accuracy"))
-    per = _per_class(spark, sf).agg(F.array_sort(F.collect_list(F.struct("cls", "precision", "recall", "f1", "support")))
-                                    .alias("per_class"))
-    n = p.agg(F.count(F.lit(1)).alias("n_rows"))
-    doc = (attach_small(attach_small(acc, per), n)  # three one-row tables
-           .select(F.struct("accuracy", "n_rows").alias("metrics"), "per_class",
-                   F.transform("per_class", lambda x: F.concat(F.lit("class_"), x["cls"].cast("string"))).alias("class_names")))
-    files.sink_metrics(doc, out)
+    counts = counted(spark, sf)
+    run = history(spark, sf).where("run = 'view'")
+    files.sink_metrics(files.metrics_document(counts, "label", "pred", "n", _per_class(spark, sf, counts), run), out)
     back = spark.read.json(out)
-    return back.select(F.size("class_names").alias("n_classes"), F.col("metrics.accuracy").alias("accuracy"),
-                       F.col("metrics.n_rows").alias("n_rows"))
+    total = lambda c, f: F.aggregate(c, F.lit(0.0), lambda a, x: a + x[f])
+    return back.select(F.array_join("class_names", ",").alias("class_names"), r6("metrics.accuracy", 6).alias("accuracy"),
+                       F.col("metrics.n_rows").alias("n_rows"),
+                       F.array_join(F.transform("confusion_matrix", lambda r: F.array_join(r.cast("array<string>"), " ")), ";").alias("confusion_matrix"),
+                       F.size("history").cast("long").alias("n_epochs"), r6(total("history", "loss"), 6).alias("loss_sum"),
+                       r6(total("per_class", "f1"), 6).alias("f1_sum"), F.to_timestamp("timestamp").isNotNull().alias("has_time"))
+
+
+ORDERS_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType())])
+
+
+@register("s4_latest_folder", """
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = (SELECT max(o_orderstatus) FROM orders)
+""")
+def s4_folder(spark, sf):
+    """A dataset version per order status, written one after the other; the scan finds the one written last."""
+    root = files.scratch_dir(spark, "s4")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    for r in o.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect():  # a handful of states
+        o.where(F.col("o_orderstatus") == r["o_orderstatus"]).write.mode("overwrite").json(f"{root}/version_{r['o_orderstatus']}")
+    return files.latest_version_folder(spark, root, ORDERS_SCHEMA)
+
+
+CLASS_LIST = ["de", "en", "es", "zz"]  # zz has no folder
+
+
+@register("s5_wanted_classes", r"""
+WITH p AS (SELECT regexp_extract(url, '^[a-z]+://[^/]+/([a-z][a-z])/', 1) AS lang, html FROM pages)
+SELECT c.label, CAST(coalesce(sum(strlen(html) + 1), 0) AS BIGINT) AS bytes, count(html) = 0 AS missing
+FROM (VALUES ('de'), ('en'), ('es'), ('zz')) c(label) LEFT JOIN p ON p.lang = c.label GROUP BY c.label
+""")
+def s5_wanted(spark, sf):
+    root = files.scratch_dir(spark, "s5w")
+    lang = F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z][a-z])/", 1)
+    table(spark, sf, "pages").select("html", F.when(lang == "", "unlabelled").otherwise(lang).alias("label")).write.mode("overwrite").partitionBy("label").text(root)
+    report = files.labelled_tree_report(spark, root, [f"label={c}" for c in CLASS_LIST], [".TXT"])
+    return report.select(F.regexp_replace("label", "^label=", "").alias("label"), "bytes", "missing")
 
 
 @register("s10_sink_overwrite", """

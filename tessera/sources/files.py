@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,8 +66,31 @@ def latest_version_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(newest).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
-def scan_labelled_tree(spark: SparkSession, root: str, exts: list[str]) -> DataFrame:
-    """Listing of ``root/<class>/*`` with the class taken from the parent folder.
+def latest_version_folder(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
+    """S4 (file case, datasets of many files): the rows of the version under ``root/<version>/`` whose newest file is newest,
+    ties by the version's name; an error if there is none. The listing alone decides, contents of others are not read."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "modificationTime")
+               .where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]")))
+    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    newest = listing.agg(F.max_by(folder, F.struct("modificationTime", folder)).alias("folder")).first()["folder"]
+    if newest is None:
+        raise FileNotFoundError(f"no dataset version under {root}")
+    return spark.read.schema(schema).format(fmt).load(newest)
+
+
+def labelled_tree_report(spark: SparkSession, root: str, classes: list[str], exts: list[str]) -> DataFrame:
+    """A row per wanted class: (label, n_files, bytes, missing). A class without a folder, or whose folder has no file of the
+    known extensions, is reported as missing with zeros; other folders are left out."""
+    wanted = spark.createDataFrame([(c,) for c in classes], "label string")
+    found = scan_labelled_tree(spark, root, exts, classes).groupBy(F.col("label").alias("_l")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+    return wanted.join(found, F.col("label") == F.col("_l"), "left").select(
+        "label", F.coalesce("n_files", F.lit(0)).cast("long").alias("n_files"), F.coalesce("bytes", F.lit(0)).cast("long").alias("bytes"),
+        F.col("n_files").isNull().alias("missing"))
+
+
+def scan_labelled_tree(spark: SparkSession, root: str, exts: list[str], classes: list[str] | None = None) -> DataFrame:
+    """Listing of ``root/<class>/*`` with the class taken from the parent folder (those of ``classes`` only, if given).
     Only the listing columns are selected, so file contents are not read."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
           .select("path", "length", "modificationTime"))
@@ -76,7 +99,8 @@ def scan_labelled_tree(spark: SparkSession, root: str, exts: list[str]) -> DataF
     for e in exts:
         c = low.endswith(e.lower())
         cond = c if cond is None else cond | c
-    return df.where(cond).withColumn("label", F.element_at(F.split("path", "/"), -2))
+    out = df.where(cond).withColumn("label", F.element_at(F.split("path", "/"), -2))
+    return out if classes is None else out.where(F.col("label").isin(classes))
 
 
 def from_records(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
@@ -100,6 +124,30 @@ def scan_json_array(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.posexplode(F.from_json("value", "array<string>")).alias("id", "token"))
 
 
+def metrics_document(counted: DataFrame, truth: str, pred: str, n: str, per_class: DataFrame, history: DataFrame, now: Column | None = None) -> DataFrame:
+    """One row: metrics (accuracy, n_rows), class_names, per_class, confusion_matrix (rows true, columns predicted, in the
+    order of class_names), history (epoch, loss, accuracy by epoch) and timestamp.
+
+    ``counted`` is the contingency table, so the predictions are scanned once; ``per_class`` has (cls, precision, recall, f1,
+    support). Classes and epochs bound what meets in the row.
+    """
+    from tessera.operators.evaluate import confusion_counts
+    from tessera.operators.tokens import attach_small
+
+    metrics = counted.agg(F.struct((F.sum(F.when(F.col(truth) == F.col(pred), F.col(n)).otherwise(0)) * 100.0 / F.sum(n)).alias("accuracy"),
+                                   F.sum(n).alias("n_rows")).alias("metrics"))
+    lines = confusion_counts(counted, truth, pred, n).groupBy("true").agg(F.array_sort(F.collect_list(F.struct("pred", "n"))).alias("_line"))
+    matrix = lines.agg(F.array_sort(F.collect_list(F.struct("true", "_line"))).alias("_m")).select(
+        F.transform("_m", lambda r: r["true"].cast("string")).alias("class_names"),
+        F.transform("_m", lambda r: F.transform(r["_line"], lambda c: c["n"])).alias("confusion_matrix"))
+    classes = per_class.agg(F.array_sort(F.collect_list(F.struct("cls", "precision", "recall", "f1", "support"))).alias("per_class"))
+    epochs = history.agg(F.array_sort(F.collect_list(F.struct("epoch", "loss", "accuracy"))).alias("history"))
+    out = metrics
+    for part in (matrix, classes, epochs):
+        out = attach_small(out, part)
+    return out.withColumn("timestamp", F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd HH:mm:ss"))
+
+
 def sink_metrics(metrics: DataFrame, path: str) -> str:
     """Nested metrics document (one row of structs/arrays) as JSON."""
     _check_not_input(metrics, path)
