@@ -139,6 +139,11 @@ def test_held_out_accuracy_on_the_fixture(spark):
     rows = (toxicity.add_scores(documents(spark, sf), model).join(documents(spark, sf, "labels"), "doc_id")
             .filter(toxicity.held_out(F.col("doc_id"))).select("toxic", "score").collect())
     assert np.mean([(r.score >= 0.7) == r.toxic for r in rows]) > 0.93
+    plain = toxicity.fit(documents(spark, sf), documents(spark, sf, "labels"), Workspace(spark, "t"), fairness=0.0)
+    assert model.n_pairs > 0 and model.weights != plain.weights  # the penalty acts on the given tables
+    terms = {t for ts in toxicity.IDENTITY_TERMS for t in ts}
+    spread = lambda m: sum(abs(m.weights.get(t, 0.0)) for t in terms)
+    assert spread(model) < spread(plain)
     assert not [r for r in rows if r.toxic == 0 and r.score >= 0.7]
 
 
