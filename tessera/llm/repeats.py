@@ -149,9 +149,12 @@ def anchor_rows(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(run, "key binary, place long, left int, right int, digit long, h1 long, h2 long")
 
 
-def anchor_bytes(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(key, place, left, right, open, bytes): the hull of each wanted run, cut from its text."""
-    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("place", "left", "right", "open")).alias("runs"))
+def anchor_bytes(texts: DataFrame, wanted: DataFrame, window: int, ws: Workspace) -> DataFrame:
+    """(key, place, left, right, open, bytes): the hull of each wanted run, cut from its text.
+
+    The lists (bounded by their text's length) are written first, so that a key with many copies of its text can be split.
+    """
+    lists = ws.put(wanted.groupBy("key").agg(F.collect_list(F.struct("place", "left", "right", "open")).alias("runs")), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -237,7 +240,7 @@ def repeated_spans(docs: DataFrame, ws: Workspace, text_col: str = "text", windo
     # second digit: one row a class, where a group has several
     several = classes.groupBy("digit").count().filter("count > 1").select("digit")
     wanted = ws.put(classes.join(several, "digit", "left_semi").select("one.*", (F.col("n") == 1).alias("open")), "second")
-    hulls = ws.put(anchor_bytes(texts, wanted, window), "hulls")
+    hulls = ws.put(anchor_bytes(texts, wanted, window, ws), "hulls")
     blocks = ws.put(block_rows(hulls, window), "blocks")
     part = ["c1", "c2", "h1", "h2"]
     place = F.struct("key", "place", "left", "right")
