@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import toxicity
-from tessera.llm.embeddings import code_factor, embedding_links, may_link, normalised, rotations, table_shape
+from tessera.llm.embeddings import (SEED, code_factor, embedding_links, may_link, may_link_stored, normalised, rotations, stored_codes,
+                                    table_shape)
 from tessera.llm.substring import (MIN_WORDS, SHINGLE, cut_words, matching_spans, mix, reaches, shingle_hashes, substring_dedup, substring_index, window_minima)
 from tessera.llm.workspace import Workspace, documents
 
@@ -74,6 +75,15 @@ def test_estimates_bound_every_pair_at_the_threshold():
     codes, factors = code_factor(x @ turn.T)
     found = may_link(codes, factors, y @ turn.T, 0.98)
     assert found.diagonal().all() and found.mean() < 0.02
+    bits, stored_factors, _, _ = stored_codes(x)
+    _, _, steps, coordinates = stored_codes(y)
+    stored = may_link_stored(bits, stored_factors, steps, coordinates, 0.98)
+    turn = rotations(64, 1, SEED + 1)[0]
+    codes, factors = code_factor(x @ turn.T)
+    found = may_link(codes, factors, y @ turn.T, 0.98)
+    assert np.allclose(stored_factors, factors) and bits.shape == (400, 8) and coordinates.dtype == np.int8
+    assert not (found & ~stored).any() and stored.mean() < 0.05  # what is stored never drops what the whole vectors keep
+    assert np.allclose(turn @ turn.T, np.eye(64))
     assert np.allclose(turn @ turn.T, np.eye(64))
     bits, tables = table_shape(10 ** 9, 0.98)
     assert (1 - (1 - np.arccos(0.98) / np.pi) ** bits) ** tables <= 1e-7
