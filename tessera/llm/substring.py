@@ -13,11 +13,14 @@ shuffle, under finer keys: their minimum with the least shingle of the half befo
 and of both, and all their passages of just the width, each under its whole content. So equal passages
 meet, however often their shingles occur elsewhere; similar ones share some key with a good chance.
 Links whose windows overlap by enough, around the same place, are joined to intervals per (text, first
-text, shift). The words of every block's best-supported interval are fetched and compared first, then
+text, shift). The shingles of every block's best-supported interval are fetched and compared first, then
 those of all other intervals but such as lie in a passage found with a text that is itself linked to
 their partner: a passage counts if it has at least ``MIN_WORDS`` words and the Jaccard similarity of its
 shingles with the other's is at least ``SIMILARITY``.
 
+Shingles are cut and hashed once per text; what is fetched and compared of them are ``CODE`` bytes each. Two different
+shingles of a pair of passages of 100 words agree in them by chance in fewer than one pair in 10^8.
+
 Equal texts are one text here (a 64-bit hash); copies are reported as such and not expanded into pairs.
 """
 
@@ -41,6 +44,7 @@ HASHES = 4
 GRID = 64  # fetched intervals begin and end at multiples of it, so that links to one text share fetches
 BLOCK = 256  # words; links of a text are gathered per block of it
 SLACK = 16  # words fetched beyond an interval, where windows cut by a changed word may still match
+CODE = 5  # bytes of a shingle's hash that are compared
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -345,11 +349,13 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
 
     A shingle that occurs at its place plus ``shift`` in b is taken there, others where they first occur.
     """
-    order = np.argsort(b, kind="stable")
-    there = np.searchsorted(b[order], a)
-    hit = there < len(b)
-    hit[hit] = b[order[there[hit]]] == a[hit]
-    other_of = np.where(hit, order[np.minimum(there, len(b) - 1)], 0)
+    kinds, code = np.unique(np.concatenate((a, b)), return_inverse=True)
+    mine_of, its_of = code[: len(a)], code[len(a):]
+    first_in = np.full(len(kinds), -1)
+    first_in[its_of[::-1]] = np.arange(len(b) - 1, -1, -1)
+    other_of = first_in[mine_of]
+    hit = other_of >= 0
+    other_of[~hit] = 0
     straight = np.arange(len(a)) + shift
     inside = (straight >= 0) & (straight < len(b))
     inside[inside] = b[straight[inside]] == a[inside]
@@ -365,9 +371,10 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
         t, w = (int(near.min()), int(near.max()) + 1) if len(near) else (0, 0)
         if (t, w) == (s + shift, e + shift) and inside[s:e].all():
             return t, w, 1.0  # word for word
-        mine, its = np.unique(a[s:e]), np.unique(b[t:w])
-        both = len(np.intersect1d(mine, its, assume_unique=True))
-        return t, w, both / max(1, len(mine) + len(its) - both)
+        mine, its = np.zeros(len(kinds), bool), np.zeros(len(kinds), bool)
+        mine[mine_of[s:e]] = True
+        its[its_of[t:w]] = True
+        return t, w, np.count_nonzero(mine & its) / max(1, np.count_nonzero(mine | its))
 
     def counts(t, w, share):
         return share >= SIMILARITY and w - t >= width * SIMILARITY
@@ -388,7 +395,7 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
         todo = rest
         weak = weak or rest
     # of parts that are too weak as a whole: the stretches of places at which a passage of the least width has enough in common
-    total = np.concatenate(([0], np.cumsum(near_hit)))
+    total = np.concatenate(([0], np.cumsum(near_hit))) if weak else None
     for part in weak:
         first, last = int(part[0]), int(part[-1]) + 1
         rich = first + np.flatnonzero(total[first + width:last + 1] - total[first:last + 1 - width] >= width * SIMILARITY)
@@ -407,45 +414,56 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
 
 
 def fetch(rows: DataFrame, wanted: DataFrame, ws: Workspace, name: str) -> DataFrame:
-    """(u, ord, s, e) -> (u, ord, s, e, words): words s to e of the text, as one line."""
+    """(u, ord, s, e) -> (u, ord, s, e, codes): the shingles of words s to e of the text, ``CODE`` bytes of each."""
     asks = wanted.groupBy("u", "ord").agg(F.collect_set(F.struct("s", "e")).alias("asks"))  # bounded by the text's length
     joined = rows.select("u", "ord", "text").join(asks, ["u", "ord"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for b in by_bytes(batches, 2):
+            s, _, start, size = shingled(b)
+            codes = memoryview(np.ascontiguousarray(s.view(np.uint8).reshape(-1, 8)[:, :CODE]).reshape(-1))
             out = []
-            for u, o, text, asked in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                words = text.encode().split()
-                out += [(u, o, x["s"], x["e"], b" ".join(words[x["s"]:x["e"]]).decode()) for x in asked]
+            for u, o, asked, at, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), start.tolist(), size.tolist(), strict=True):
+                out += [(u, o, x["s"], x["e"], bytes(codes[CODE * (at + min(x["s"], n)): CODE * (at + max(0, min(x["e"] - SHINGLE + 1, n)))])) for x in asked]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["u", "ord", "s", "e", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["u", "ord", "s", "e", "codes"])
+
+    return ws.put(joined.select("u", "ord", "text", "asks").mapInArrow(cut, "u long, ord long, s long, e long, codes binary"), name)
+
 
-    return ws.put(joined.select("u", "ord", "text", "asks").mapInArrow(cut, "u long, ord long, s long, e long, words string"), name)
+def decoded(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles of all rows, bounds of each row's) of fetched codes."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data or b"", np.uint8)[offsets[0]:offsets[-1]].reshape(-1, CODE)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :CODE] = raw
+    return wide.view(np.uint64).reshape(-1), (offsets - offsets[0]) // CODE
 
 
 SPAN = "ord long, u long, start long, stop long, r_ord long, r_u long, r_start long, r_stop long, similarity double"
 
 
 def verified(rows: DataFrame, runs: DataFrame, ws: Workspace, width: int, name: str) -> DataFrame:
-    """Intervals (u, ord, lo, hi, r_u, r_ord, shift) of shingles -> passages, compared word by word."""
+    """Intervals (u, ord, lo, hi, r_u, r_ord, shift) of shingles -> passages, compared shingle by shingle."""
     down = lambda c: F.greatest(F.floor((c - SLACK) / GRID) * GRID, F.lit(0))
     up = lambda c: F.ceil((c + SLACK + SHINGLE) / GRID) * GRID
     runs = ws.put(runs.select("u", "ord", down(F.col("lo")).alias("s"), up(F.col("hi")).alias("e"), "r_u", "r_ord", down(F.col("lo") - F.col("shift")).alias("r_s"),
                               up(F.col("hi") - F.col("shift")).alias("r_e"), "shift").distinct(), f"runs-{name}")
     slices = fetch(rows, runs.select("u", "ord", "s", "e").union(runs.select("r_u", "r_ord", "r_s", "r_e")).distinct(), ws, f"slices-{name}")
-    its = slices.select(F.col("u").alias("r_u"), F.col("ord").alias("r_ord"), F.col("s").alias("r_s"), F.col("e").alias("r_e"), F.col("words").alias("r_words"))
+    its = slices.select(F.col("u").alias("r_u"), F.col("ord").alias("r_ord"), F.col("s").alias("r_s"), F.col("e").alias("r_e"), F.col("codes").alias("r_codes"))
     pairs = runs.join(slices, ["u", "ord", "s", "e"]).join(its, ["r_u", "r_ord", "r_s", "r_e"])
-    pairs = pairs.select("ord", "u", "s", "r_ord", "r_u", "r_s", (F.col("s") - F.col("shift") - F.col("r_s")).alias("d"), "words", "r_words")
+    pairs = pairs.select("ord", "u", "s", "r_ord", "r_u", "r_s", (F.col("s") - F.col("shift") - F.col("r_s")).alias("d"), "codes", "r_codes")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_bytes(batches, 7):
-            mine, bounds = word_hashes(b.column(7))
-            its, r_bounds = word_hashes(b.column(8))
+            mine, bounds = decoded(b.column(7))
+            its, r_bounds = decoded(b.column(8))
             heads = [b.column(k).to_numpy() for k in range(7)]
             out = []
             for k in range(b.num_rows):
-                x, y = shingle_hashes(mine[bounds[k]:bounds[k + 1]]), shingle_hashes(its[r_bounds[k]:r_bounds[k + 1]])
+                x, y = mine[bounds[k]:bounds[k + 1]], its[r_bounds[k]:r_bounds[k + 1]]
                 if not len(x) or not len(y):
                     continue
                 o, u, s, ro, ru, rs, d = (int(h[k]) for h in heads)
