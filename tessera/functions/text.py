@@ -42,12 +42,6 @@ def collapse_ws(col) -> Column:
     return F.regexp_replace(_c(col), f"{WS_CLASS}+", " ")
 
 
-def is_blank(col) -> Column:
-    """Null, empty, or whitespace only (the ``not x.strip()`` test)."""
-    c = _c(col)
-    return c.isNull() | (F.length(ustrip(c)) == 0)
-
-
 def normalize_width(col) -> Column:
     """Full-width to half-width by the fixed 95-character table."""
     return F.translate(_c(col), FULL_WIDTH, HALF_WIDTH)

@@ -47,11 +47,6 @@ def dedup_prefix(df: DataFrame, text: str = "text", order: list[str] | None = No
     return first_per_key(keyed, ["dedup_key"], order, payload)
 
 
-def dedup_graph(edges: DataFrame, key: list[str], version: str, props: list[str]) -> DataFrame:
-    """D3: writing the same node/edge again merges it; the latest properties win."""
-    return last_per_key(edges.select(*key, version, *props), key, [version], props)
-
-
 def union_sources(dfs: list[DataFrame], key: list[str]) -> DataFrame:
     """Concatenate listings; rows listed by several patterns appear once."""
     u = reduce(lambda a, b: a.unionByName(b), dfs)

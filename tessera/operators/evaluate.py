@@ -99,12 +99,12 @@ def per_class_counts(df: DataFrame, truth: str, pred: str, classes: DataFrame, n
                                for c in ("support", "tp", "predicted")])
 
 
-def prf(counts: DataFrame) -> DataFrame:
+def prf(counts: DataFrame, keep_tp: bool = False) -> DataFrame:
     """Per-class precision, recall, F1; a class never predicted has precision 0."""
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("predicted")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     f1 = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
-    return counts.select("cls", "support", p.alias("precision"), r.alias("recall"), f1.alias("f1"))
+    return counts.select("cls", "support", p.alias("precision"), r.alias("recall"), f1.alias("f1"), *(["tp"] if keep_tp else []))
 
 
 def weighted_prf(per_class: DataFrame) -> DataFrame:
@@ -114,21 +114,32 @@ def weighted_prf(per_class: DataFrame) -> DataFrame:
                            for m in ("precision", "recall", "f1")])
 
 
-def classification_report(per_class: DataFrame, n_correct: DataFrame) -> DataFrame:
-    """Per-class lines plus accuracy, macro avg and weighted avg lines."""
-    lines = per_class.select(F.col("cls").cast("string").alias("label"), "precision", "recall", "f1",
-                             F.col("support").cast("long"))
-    macro = per_class.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
-                          F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-                          F.sum("support").cast("long").alias("support"))
-    w = per_class.agg(F.lit("weighted avg").alias("label"),
-                      *[(F.sum(F.col(m) * F.col("support")) / F.sum("support")).alias(m)
-                        for m in ("precision", "recall", "f1")],
-                      F.sum("support").cast("long").alias("support"))
-    acc = n_correct.select(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                           F.lit(None).cast("double").alias("recall"),
-                           (F.col("correct") / F.col("total")).alias("f1"), F.col("total").cast("long").alias("support"))
-    return lines.unionByName(macro).unionByName(w).unionByName(acc)
+def class_counts(counted: DataFrame, truth: str, pred: str, n: str) -> DataFrame:
+    """(cls, support, tp, predicted) of every class that is a truth or a prediction, from a contingency table: each
+    of its rows counts for its true class and for its predicted one, in one aggregation."""
+    hit = F.when(F.col(truth) == F.col(pred), F.col(n)).otherwise(0)
+    sides = F.array(F.struct(F.col(truth).alias("cls"), F.col(n).alias("support"), hit.alias("tp"), F.lit(0).cast("long").alias("predicted")),
+                    F.struct(F.col(pred).alias("cls"), F.lit(0).cast("long").alias("support"), F.lit(0).cast("long").alias("tp"), F.col(n).alias("predicted")))
+    return counted.select(F.inline(sides)).groupBy("cls").agg(*[F.sum(c).cast("long").alias(c) for c in ("support", "tp", "predicted")])
+
+
+def classification_report(counts: DataFrame) -> DataFrame:
+    """Per-class lines plus accuracy, macro avg and weighted avg lines, from (cls, support, tp, predicted).
+
+    The three summary lines are one aggregate over the class lines, unrolled."""
+    per_class = prf(counts, keep_tp=True)
+    lines = per_class.select(F.col("cls").cast("string").alias("label"), "precision", "recall", "f1", F.col("support").cast("long"))
+    names = ("precision", "recall", "f1")
+    sums = per_class.agg(*[F.avg(m).alias("a_" + m) for m in names], *[(F.sum(F.col(m) * F.col("support")) / F.sum("support")).alias("w_" + m) for m in names],
+                         F.sum("support").cast("long").alias("support"), (F.sum("tp") / F.sum("support")).alias("accuracy"))
+    none = F.lit(None).cast("double")
+
+    def line(label, values):
+        return F.struct(F.lit(label).alias("label"), *[v.alias(m) for m, v in zip(names, values)], F.col("support").alias("support"))
+
+    summary = sums.select(F.inline(F.array(line("macro avg", [F.col("a_" + m) for m in names]), line("weighted avg", [F.col("w_" + m) for m in names]),
+                                           line("accuracy", [none, none, F.col("accuracy")]))))
+    return lines.unionByName(summary)
 
 
 def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: list[int], class_rows: DataFrame,

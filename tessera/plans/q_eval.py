@@ -18,15 +18,12 @@ SEED = "42"
 # ------------------------------------------------------------------ F4: predictions from embeddings
 
 
-def _is_class(k: int):
-    return lambda s: s.k == k
-
-
 def predictions(spark, sf) -> DataFrame:
     e = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
-    # ten logits from the whole vector: component i counts for class i mod 10
-    wide = F.transform("embedding", lambda x, i: F.struct((i % 10).alias("k"), (x.cast("double") * 10).alias("x")))
-    logits = F.array(*[F.aggregate(F.filter(wide, _is_class(k)), F.lit(0.0), lambda a, s: a + s.x) for k in CLASSES])
+    # ten logits from the whole vector: component i counts for class i mod 10; one fold over its rows of ten
+    rows = F.sequence(F.lit(0), F.greatest(F.ceil(F.size("embedding") / 10).cast("int") - 1, F.lit(0)))
+    logits = F.aggregate(rows, F.array_repeat(F.lit(0.0), 10), lambda acc, j: F.zip_with(
+        acc, F.slice("embedding", j * 10 + 1, 10), lambda a, x: a + F.coalesce(x.cast("double") * 10, F.lit(0.0))))
     p = e.select("vec_id", "label", ev.softmax(logits).alias("probs"))
     return (p.withColumn("pred", ev.argmax(F.col("probs")))
             .withColumn("conf", ev.confidence(F.col("probs")))
@@ -108,7 +105,7 @@ def g2(spark, sf):
 
 def _per_class(spark, sf, p: DataFrame | None = None):
     p = counted(spark, sf) if p is None else p
-    return ev.prf(ev.per_class_counts(p, "label", "pred", class_rows(p), "n"))
+    return ev.prf(ev.class_counts(p, "label", "pred", "n"))
 
 
 @register("g3_weighted_prf", PRED_SQL + """
@@ -130,9 +127,7 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
 UNION ALL SELECT 'accuracy', NULL, NULL, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END), 6), count(*) FROM pc
 """)
 def g4(spark, sf):
-    p = counted(spark, sf)
-    nc = p.agg(F.sum(F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)).alias("correct"), F.sum("n").alias("total"))
-    r = ev.classification_report(_per_class(spark, sf, p), nc)
+    r = ev.classification_report(ev.class_counts(counted(spark, sf), "label", "pred", "n"))
     return r.select("label", *[r6(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 

@@ -241,7 +241,7 @@ def plan_steps(spark, sf) -> DataFrame:
 
 STEP_SQL = f"""(CASE WHEN event_id % 5 = 0 THEN 'web_search(' || event_type || ' ' || {K_SQL} || ')'
   ELSE 'web_search(''' || event_type || ' ' || {K_SQL} || ''')' END)"""
-TOOL_RE = r"""(\w+)\((?:"|')(.*?)(?:"|')\)""".replace("'", "''")
+TOOL_RE = text.TOOL_CALL.removeprefix("(?U)").replace('\\"', '"').replace("'", "''")  # RE2 has no such flag
 
 
 @register("t8_parse_tool_call", f"""
