@@ -175,15 +175,18 @@ def j1(spark, sf):
     return gr.rename_classes(c, "c_mktsegment", mp, "segment_label")
 
 
-def recall_queries(spark, sf) -> DataFrame:
-    """Questions in words: one per region, and one per supplier about the part whose key is the supplier's."""
-    r = table(spark, sf, "region").select(F.concat(F.lit("region:"), F.col("r_regionkey")).alias("query_id"),
-                                          F.concat(F.lit("Which nations are in "), F.col("r_name"), F.lit(" ?")).alias("text"))
+def region_questions(spark, sf) -> DataFrame:
+    """One question per region, asked in words."""
+    return table(spark, sf, "region").select(F.concat(F.lit("region:"), F.col("r_regionkey")).alias("query_id"),
+                                             F.concat(F.lit("Which nations are in "), F.col("r_name"), F.lit(" ?")).alias("text"))
+
+
+def supplier_questions(spark, sf) -> DataFrame:
+    """One question per supplier about the part whose key is the supplier's; every word of it stands in many nodes."""
     s, p = table(spark, sf, "supplier").select("s_suppkey", "s_name"), table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
-    sp = s.join(p, s["s_suppkey"] == p["p_partkey"]).select(
+    return s.join(p, s["s_suppkey"] == p["p_partkey"]).select(
         F.concat(F.lit("supplier:"), F.col("s_suppkey")).alias("query_id"),
         F.concat(F.lit("Does "), F.col("s_name"), F.lit(" sell the "), F.col("p_name"), F.lit(" of "), F.col("p_brand"), F.lit(" ?")).alias("text"))
-    return r.unionByName(sp)
 
 
 NODE_TEXT_SQL = """
@@ -218,16 +221,27 @@ recalled AS (
 """
 
 
+RECALLED_SQL = bm25_sql("q") + " SELECT query_id, entity, CAST(score AS DOUBLE) AS score, relation, neighbor, direction FROM recalled"
+
+
+def recalled(spark, sf, questions: DataFrame) -> DataFrame:
+    rows = semantic_recall(questions, nodes(spark, sf), raw_edges(spark, sf), 5)
+    return rows.withColumn("score", F.col("score").cast("double"))
+
+
 @register("m3_semantic_recall", "WITH " + NODE_TEXT_SQL + "," + EDGES_SQL + """,
-q AS (SELECT 'region:' || r_regionkey AS query_id, 'Which nations are in ' || r_name || ' ?' AS text FROM region
-      UNION ALL SELECT 'supplier:' || s_suppkey, 'Does ' || s_name || ' sell the ' || p_name || ' of ' || p_brand || ' ?'
-      FROM supplier JOIN part ON p_partkey = s_suppkey),
-""" + bm25_sql("q") + """
-SELECT query_id, entity, CAST(score AS DOUBLE) AS score, relation, neighbor, direction FROM recalled
-""")
+q AS (SELECT 'region:' || r_regionkey AS query_id, 'Which nations are in ' || r_name || ' ?' AS text FROM region),
+""" + RECALLED_SQL)
 def m3(spark, sf):
-    rows = semantic_recall(recall_queries(spark, sf), nodes(spark, sf), raw_edges(spark, sf), 5)
-    return rows.withColumn("score", F.col("score").cast("double"))
+    return recalled(spark, sf, region_questions(spark, sf))
+
+
+@register("m3_supplier_questions", "WITH " + NODE_TEXT_SQL + "," + EDGES_SQL + """,
+q AS (SELECT 'supplier:' || s_suppkey AS query_id, 'Does ' || s_name || ' sell the ' || p_name || ' of ' || p_brand || ' ?' AS text
+      FROM supplier JOIN part ON p_partkey = s_suppkey),
+""" + RECALLED_SQL)
+def m3_suppliers(spark, sf):
+    return recalled(spark, sf, supplier_questions(spark, sf))
 
 
 @register("x1_path_search", """
