@@ -1,11 +1,12 @@
 """Order-preserving packing of documents into token windows by dynamic programming.
 
-Documents keep their order (ascending id); each range partition is one stream of ids with candidate
+Documents keep their order (ascending id); a range partition is read in streams of bounded size with candidate
 cuts at document ends, sentence ends and, inside overlong sentences, at every ``STRIDE`` ids. For a
 cut j, cost(j) = penalty(j) + min over cuts i at most a window before j of cost(i) + padding, and as
 the padding is linear in the length, the minimum is that of cost(i) + position(i) over a sliding
-range: a monotone queue finds it in constant time per cut. The last window of every partition is
-usually short; these windows, one per partition, are put together anew.
+range: a monotone queue finds it in constant time per cut. The last window of a stream opens the next one
+(where it begins is the best last cut whatever follows); that of a partition is usually short, and these, at
+most one for each of a bounded number of partitions, are put together in groups of ``GROUP``.
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tessera.llm.tokenfile import encode_stream, parts_for
+from tessera.llm.tokenfile import MAX_PARTS, encode_streams, in_id_order
 from tessera.llm.workspace import Workspace
 
 WINDOW = 4096
@@ -28,6 +30,7 @@ SENTENCE_PENALTY = 8.0  # in ids of padding: a cut inside a document at a senten
 INNER_PENALTY = 64.0  # a cut inside a sentence
 STRIDE = 64
 PART_BYTES = 24 << 20  # UTF-8 bytes of text of one stream, on average
+GROUP = 256  # short windows that are put together at a time
 SCHEMA = ("part int, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "window long, offset long, last boolean")
 
@@ -43,13 +46,16 @@ def sentence_ends(vocabulary: str) -> np.ndarray:
     return ends
 
 
-def candidate_cuts(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, penalties) of the cuts after position 0, ascending; gaps are at most ``STRIDE`` or sentences."""
+def candidate_cuts(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray,
+                   window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, penalties) of the cuts after position 0, ascending; gaps are at most ``STRIDE`` or sentences,
+    and never over a window."""
+    stride = max(1, min(STRIDE, window // 4))
     inner = np.flatnonzero(ends[ids]) + 1
     at = np.union1d(inner, doc_ends)
     gaps = np.diff(np.concatenate(([0], at)))
-    wide = np.flatnonzero(gaps > 4 * STRIDE)
-    fill = [np.arange((at[k] - gaps[k]) + STRIDE, at[k], STRIDE) for k in wide]
+    wide = np.flatnonzero(gaps > min(4 * stride, window))
+    fill = [np.arange((at[k] - gaps[k]) + stride, at[k], stride) for k in wide]
     forced = np.concatenate([np.empty(0, np.int64), *fill])
     where = np.concatenate((at, forced))
     penalty = np.concatenate((np.full(len(at), SENTENCE_PENALTY), np.full(len(forced), INNER_PENALTY)))
@@ -83,7 +89,7 @@ def best_cuts(where: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> n
 def pack_stream(flat: np.ndarray, offsets: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> dict[str, np.ndarray]:
     """Pieces of one stream of documents, given their ids and where each document begins."""
     doc_start, doc_end = offsets[:-1], offsets[1:]
-    cuts = best_cuts(*candidate_cuts(flat, doc_end, ends), window)
+    cuts = best_cuts(*candidate_cuts(flat, doc_end, ends, window), window)
     stops = np.union1d(cuts, doc_end)
     starts = np.concatenate(([0], stops[:-1]))
     doc = np.searchsorted(doc_end, starts, side="right")
@@ -95,6 +101,38 @@ def pack_stream(flat: np.ndarray, offsets: np.ndarray, ends: np.ndarray, window:
             "doc_tokens": (doc_end - doc_start)[doc], "window": seq, "offset": starts - seq_start[seq], "last": seq == len(cuts) - 1}
 
 
+def pack_streams(streams: Iterator[tuple[np.ndarray, np.ndarray, pa.Array]], ends: np.ndarray,
+                 window: int = WINDOW) -> Iterator[tuple[pa.Array, dict[str, np.ndarray]]]:
+    """(document ids, pieces) of one partition's streams, each continued by the next; only the very last window is ``last``."""
+    tail, windows, packed = None, 0, 0  # packed: ids of the tail's first document that lie in earlier windows
+    for flat, offsets, numbers in streams:
+        if tail is not None:
+            held, at, owners = tail
+            same = np.concatenate((at, at[-1] + offsets[1:]))
+            flat, offsets, numbers = np.concatenate((held, flat)), same, pa.concat_arrays([owners, numbers])
+        found = pack_stream(flat, offsets, ends, window)
+        first = found["doc"] == 0
+        found["start"][first] += packed
+        found["doc_tokens"][first] += packed
+        keep = ~found["last"]
+        cut = int(found["length"][keep].sum())
+        doc = int(found["doc"][~keep][0])
+        packed = int(found["start"][~keep][0])
+        tail = flat[cut:], np.concatenate(([0], offsets[doc + 1:] - cut)), numbers.slice(doc)
+        if cut:
+            found = {k: v[keep] for k, v in found.items()}
+            found["window"] += windows
+            windows = int(found["window"][-1]) + 1
+            yield numbers.take(pa.array(found.pop("doc"))), found
+    if tail is not None:
+        found = pack_stream(tail[0], tail[1], ends, window)
+        first = found["doc"] == 0
+        found["start"][first] += packed
+        found["doc_tokens"][first] += packed
+        found["window"] += windows
+        yield tail[2].take(pa.array(found.pop("doc"))), found
+
+
 def join_short(lengths: list[tuple[int, int]], window: int) -> dict[int, tuple[int, int]]:
     """part -> (bin, offset): the partitions' last windows, longest first, each in the first bin with room."""
     bins, out = [], {}
@@ -108,35 +146,35 @@ def join_short(lengths: list[tuple[int, int]], window: int) -> dict[int, tuple[i
 
 
 def pack_documents(docs: DataFrame, ws: Workspace, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = WINDOW, end_id: int = 2, part_bytes: int = PART_BYTES) -> DataFrame:
+                   window: int = WINDOW, end_id: int = 2, part_bytes: int = PART_BYTES, max_parts: int = MAX_PARTS) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), every id in exactly one.
 
-    A null or empty text is its end id alone; null ids come first, repeated ids by text. An empty table
-    gives no piece. Windows are numbered in the order of the documents, the joined short ones last.
+    A null or empty text is its end id alone; null ids come first, repeated ids by a hash of their text
+    (``in_id_order``). An empty table gives no piece. Windows are numbered in the order of the documents, the
+    joined short ones last.
     """
-    spark: SparkSession = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(parts_for(docs, text_col, part_bytes), "id").sortWithinPartitions("id", "text")
+    rows = in_id_order(docs, id_col, text_col, part_bytes, max_parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = encode_stream(batches, vocabulary, end_id)
-        if stream:
-            ids, offsets, numbers = stream
-            found = pack_stream(ids, offsets, sentence_ends(vocabulary), window)
-            number = numbers.take(pa.array(found.pop("doc")))
+        streams = encode_streams(batches, vocabulary, end_id, part_bytes)
+        for number, found in pack_streams(streams, sentence_ends(vocabulary), window):
             part = pa.array(np.full(len(number), TaskContext.get().partitionId(), np.int32))
             yield pa.RecordBatch.from_arrays([part, number, *map(pa.array, found.values())], names=["part", "doc_id", *found])
 
     pieces = ws.put(rows.mapInArrow(run, SCHEMA), "pieces")
-    # one row per partition from here on: windows before it, and where its short window goes
+
+    def fit(short: pd.DataFrame) -> pd.DataFrame:
+        place = join_short(list(zip(short["part"].tolist(), short["short"].tolist(), strict=True)), window)
+        return short.assign(bin=[place[p][0] for p in short["part"]], shift=[place[p][1] for p in short["part"]])
+
+    # one row per partition from here on, at most max_parts: windows before it, and where its short window goes
     parts = pieces.groupBy("part").agg(F.max("window").alias("full"), F.sum(F.when(F.col("last"), F.col("length"))).alias("short"))
+    parts = parts.withColumn("grp", F.expr(f"part div {GROUP}"))
+    placed = ws.put(parts.groupBy("grp").applyInPandas(fit, "part int, full long, short long, grp long, bin long, shift long"), "short")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    rows = parts.select("part", "full", "short", F.coalesce(F.sum("full").over(before), F.lit(0)).alias("base")).collect()
-    total = sum(r.full for r in rows)
-    place = join_short([(r.part, r.short) for r in rows], window)
-    bases = spark.createDataFrame([(r.part, r.base, total + place[r.part][0], place[r.part][1]) for r in rows],
-                                  "part int, base long, bin long, shift long")
-    return pieces.join(F.broadcast(bases), "part").select(
+    bases = placed.select("part", "shift", F.coalesce(F.sum("full").over(before), F.lit(0)).alias("base"),
+                          (F.sum("full").over(Window.partitionBy()) + F.dense_rank().over(Window.orderBy("grp", "bin")) - 1).alias("bin"))
+    return pieces.join(bases, "part").select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens",
         F.when(F.col("last"), F.col("bin")).otherwise(F.col("base") + F.col("window")).alias("sequence_id"),
         F.when(F.col("last"), F.col("shift") + F.col("offset")).otherwise(F.col("offset")).alias("offset"))

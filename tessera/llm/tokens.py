@@ -171,7 +171,10 @@ def worker_encoder(path: str, kind: type = ChunkEncoder):
     return held[key]
 
 
-def in_slices(texts: pa.StringArray, limit: int = 8 << 20):
+SLICE_BYTES = 8 << 20
+
+
+def in_slices(texts: pa.StringArray, limit: int = SLICE_BYTES):
     """(start, part) of consecutive parts of about ``limit`` bytes, so that one part's chunks stay in bounds.
 
     The more texts share a part, the fewer distinct pieces there are to encode for each of them.

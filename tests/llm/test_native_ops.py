@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import quality
 from tessera.llm.components import connected_components
-from tessera.llm.sharding import stratified_shards
+from tessera.llm.sharding import global_position, stratified_shards
 from tessera.llm.simhash import covering_masks, fingerprint, simhash_components, simhash_dedup
 from tessera.llm.warc import parse_records, read_archives, resolved_index, write_archives
 from tessera.llm.workspace import Workspace
@@ -83,6 +83,22 @@ def test_shards_are_even_gapless_and_proportional(spark):
     assert len({r.shard for r in few}) == 3
 
 
+def test_copies_of_one_row_spread_over_the_ranges(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(7).alias("doc_id"),
+                                      F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), "id")).otherwise("same").alias("text"), F.lit("hot").alias("source"))
+    ws = Workspace(spark, "t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these few rows would be put together again
+    try:
+        out = stratified_shards(rows, ws, "doc_id", "source", "text", shards=8)
+        assert sorted(r["count"] for r in out.groupBy("shard").count().collect()) == [3750] * 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name in ("by-source", "interleaved"):
+        sizes = [r["count"] for r in spark.read.parquet(ws.path(name)).groupBy("__part").count().collect()]
+        assert len(sizes) >= 4 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert [r.pos for r in global_position(rows.limit(9).withColumn("n", F.col("doc_id")), ["doc_id", "text"], ws, "few").sort("pos").collect()] == list(range(9))
+
+
 def plain_fingerprint(t):
     w = words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     if not w:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm.bpe import PrefixEncoder, bpe_decode, bpe_encode, bpe_round_trip
-from tessera.llm.packing import INNER_PENALTY, SENTENCE_PENALTY, best_cuts, candidate_cuts, join_short, pack_documents
-from tessera.llm.tokenfile import open_mapped, read_token_files, token_file_index, write_token_files
+from tessera.llm.packing import INNER_PENALTY, SENTENCE_PENALTY, best_cuts, candidate_cuts, join_short, pack_documents, pack_streams
+from tessera.llm.tokenfile import in_id_order, open_mapped, read_token_files, token_file_index, write_token_files
 from tessera.llm.tokens import ChunkEncoder
 from tessera.llm.workspace import Workspace
 
@@ -142,3 +142,58 @@ def test_candidates_leave_no_wide_gap_and_short_windows_are_joined():
 def test_digest_text_of_the_query(spark):
     df = spark.createDataFrame([([5, 70],)], "ids array<int>")
     assert df.select(F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)).first()[0] == hashlib.sha256(b"5 70").hexdigest()
+
+
+def test_hot_ids_and_copies_spread_over_the_ranges(spark):
+    text = F.concat(F.lit("text "), F.col("id").cast("string"))
+    hot = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), text.alias("text"))
+    same = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(-1).alias("doc_id"),
+                                      F.when(F.col("id") % 3 > 0, text).otherwise("one text").alias("text"))
+    for docs in (hot, same):
+        sizes = [r["count"] for r in in_id_order(docs, "doc_id", "text", 20_000).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 30_000 and len(sizes) > 10 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert in_id_order(hot, "doc_id", "text", 20_000, max_parts=3).rdd.getNumPartitions() <= 3
+
+
+def test_bounded_parts_hold_several_files_and_streams(spark):
+    rows = [(k if k % 3 else None, f"Text number {k}. " * (k % 40)) for k in range(600)] + [(7000, "one row"), (7000, "one row")]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    ws = Workspace(spark, "t")
+    write_token_files(docs, ws.path("f"), BYTE, part_bytes=20_000, max_parts=2)
+    lib = Tokenizer.from_file(BYTE)
+    want = collections.Counter((i, zlib.crc32(np.array(lib.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes())) for i, t in rows)
+    got = sorted(token_file_index(spark, ws.path("f"), ws).collect(), key=lambda r: r.start)
+    assert collections.Counter((r.doc_id, r.ids_crc32) for r in got) == want
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got]).tolist()[:-1]]
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    parts = {r.part for r in read_token_files(spark, ws.path("f")).select("part").distinct().collect()}
+    assert len(parts) > 5 and len({p // 1_000_000 for p in parts}) == 2
+    known = [(k, f"Text number {k}. " * (k % 40)) for k in range(600)]
+    packed = pack_documents(spark.createDataFrame(known, DOCS), Workspace(spark, "t"), WORD, part_bytes=20_000, max_parts=2).collect()
+    check_pieces(packed, known)
+    least = -(-sum(p.length for p in packed) // 4096)  # whatever the number of streams, two partitions leave one short window more at most
+    assert len({p.sequence_id for p in packed}) <= least + 1
+
+
+def test_streams_continue_each_other():
+    rng = np.random.default_rng(8)
+    ends = np.zeros(50, bool)
+    ends[7] = True
+    for window, sizes in ((12, (1, 6)), (40, (1, 90)), (4096, (1, 3))):
+        docs = [rng.integers(0, 50, rng.integers(*sizes)) for _ in range(200)]
+        streams, at = [], 0
+        while at < len(docs):
+            some = docs[at: at + int(rng.integers(1, 20))]
+            streams.append((np.concatenate(some), np.cumsum([0, *map(len, some)]), pa.array(range(at, at + len(some)))))
+            at += len(some)
+        found = [(int(d.as_py()), *(int(v[k]) for v in f.values())) for ds, f in pack_streams(iter(streams), ends, window) for k, d in enumerate(ds)]
+        seen, windows = collections.Counter(), {}
+        for doc, start, n, crc, total, seq, offset, last in found:
+            assert start == seen[doc] and total == len(docs[doc]) and offset == windows.get(seq, 0)
+            assert crc == zlib.crc32(docs[doc][start:start + n].astype("<u4").tobytes())
+            seen[doc] += n
+            windows[seq] = offset + n
+            assert windows[seq] <= window and bool(last) == (seq == found[-1][5])
+        assert sorted(windows) == list(range(len(windows))) and all(seen[k] == len(d) for k, d in enumerate(docs))
+    assert list(pack_streams(iter([]), ends)) == []
