@@ -5,9 +5,11 @@ response, other records with it become revisits that refer to it, and the archiv
 fresh headers. Digest groups are reduced by a partial aggregate and joined back from a written table,
 so a payload that a third of the pages share is split like any hot join key.
 
-Archives go through Spark's text writer: the two line ends that close every WARC record are its line
-separator, so any file system that Spark writes to will do; a file is one gzip stream. The reader goes by Content-Length, so a
-payload may hold any bytes, blank lines and WARC headers included.
+An archive opens with a warcinfo record, and every record is a gzip member of its own, so a reader can
+seek to it by the offset that ``read_archives`` returns. Archives go through Spark's text writer, so any
+file system that Spark writes to will do: a row is a whole archive, and the writer's line separator, one
+zero byte, is padding that gzip readers skip (the names end in ``.txt``, the writer's own choice). The
+reader goes by Content-Length, so a payload may hold any bytes, blank lines and WARC headers included.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,7 +28,8 @@ from tessera.llm.workspace import Workspace, bounded
 
 CRLF = "\r\n"
 RECORD_END = CRLF + CRLF
-FILE_BYTES = 16 << 20  # payload bytes of one archive, on average
+FILE_BYTES = 16 << 20  # uncompressed bytes after which a task starts a new archive
+CHUNK = 1 << 14  # bytes given to the decompressor at a time
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"  # the table has no capture time
 
@@ -59,9 +64,51 @@ def resolve(headers: DataFrame, ws: Workspace, min_bytes: int = 0) -> DataFrame:
     return joined.select("id", "digest", "size", refers.alias("refers_to"))
 
 
+def member(record: bytes) -> bytes:
+    """One record, with the two line ends that close it, as a gzip member."""
+    return gzip.compress(record + RECORD_END.encode(), 6, mtime=0)
+
+
+def members(data) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, compressed length, content) of every gzip member of an archive, up to its zero padding."""
+    view, at = memoryview(data), 0
+    while at < len(view) and view[at]:
+        reader, stop, content = zlib.decompressobj(31), at, []
+        while not reader.eof:
+            if stop >= len(view):
+                raise ValueError(f"the gzip member at {at} is cut short")
+            content.append(reader.decompress(view[stop:stop + CHUNK]))
+            stop = min(stop + CHUNK, len(view))
+        stop -= len(reader.unused_data)
+        yield at, stop - at, b"".join(content)
+        at = stop
+
+
+def archives_of(records: Iterator[bytes], file_bytes: int) -> Iterator[bytes]:
+    """Archives of consecutive records: a warcinfo record, then about ``file_bytes`` of them before compression."""
+    held, size = [], 0
+    for record in records:
+        if not held:
+            block = b"software: tessera\r\nformat: WARC File Format 1.1\r\n"
+            held.append(member(CRLF.join((
+                "WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.UUID(bytes=hashlib.md5(record).digest())}>", f"WARC-Date: {DATE}",
+                "Content-Type: application/warc-fields", f"Content-Length: {len(block)}")).encode() + RECORD_END.encode() + block))
+        held.append(member(record))
+        size += len(record)
+        if size >= file_bytes:
+            yield b"".join(held)
+            held, size = [], 0
+    if held:
+        yield b"".join(held)
+
+
 def write_archives(pages: DataFrame, path: str, ws: Workspace, id_col: str = "page_id", url_col: str = "url",
                    payload_col: str = "html", min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
-    """One WARC/1.1 record per row under ``path``; a null payload is empty, a null url an empty URI."""
+    """One WARC/1.1 record per row under ``path``; a null payload is empty, a null url an empty URI.
+
+    Blanks and control characters can't stand in a header line and are taken out of URIs. An empty table
+    gives no archive.
+    """
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
     headers = pages.select(F.col(id_col).cast("long").alias("id"), base32(F.sha1(payload)).alias("digest"),
                            F.octet_length(payload).cast("long").alias("size"))
@@ -86,14 +133,19 @@ def write_archives(pages: DataFrame, path: str, ws: Workspace, id_col: str = "pa
         F.when(revisit, F.concat(F.lit(f"WARC-Profile: {REVISIT_PROFILE}\r\nWARC-Refers-To: "), record_id(F.col("refers_to"), F.col("digest")))),
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")))
-    sizes = resolved.agg(F.avg("size")).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for archive in archives_of((v.as_buffer().to_pybytes() for b in batches for v in b.column(0)), file_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array([archive], pa.binary())], names=["archive"])
+
+    archives = rows.select(F.concat(lines, F.lit(RECORD_END), block).alias("value")).mapInArrow(run, "archive binary")
     with bounded(pages.sparkSession):
-        (rows.select(F.concat(lines, F.lit(RECORD_END), block).alias("value")).write.mode("overwrite").option("compression", "gzip")
-         .option("lineSep", RECORD_END).option("maxRecordsPerFile", max(1, int(file_bytes // (sizes + 500)))).text(path))
+        (archives.select(F.col("archive").cast("string").alias("value")).write.mode("overwrite")
+         .option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path))
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-case names, block) of every record of one archive."""
+    """(headers with lower-case names, block) of every record of uncompressed archive data."""
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
@@ -106,29 +158,35 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, record_type, page_id, uri, declared_digest, refers_to_id, payload, payload_bytes, payload_digest).
+    """(record_id, record_type, page_id, uri, declared_digest, refers_to_id, payload, payload_bytes, payload_digest,
+    file, member_at, member_bytes) of every response and revisit.
 
-    Size and digest are computed from the payload that was read; a revisit's own payload is empty.
+    Size and digest are computed from the payload that was read; a revisit's own payload is empty. The last
+    three say where the record's gzip member lies.
     """
     schema = ("record_id string, record_type string, page_id long, uri string, declared_digest string, "
-              "refers_to_id string, payload binary, payload_bytes long, payload_digest string")
+              "refers_to_id string, payload binary, payload_bytes long, payload_digest string, file string, member_at long, member_bytes long")
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for content in b.column(0):
+            for file, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows = []
-                for head, block in parse_records(gzip.decompress(content.as_py())):
+                for at, length, data in members(content.as_buffer()):
+                    head, block = next(parse_records(data))
+                    if head["warc-type"] == "warcinfo":
+                        continue
                     body = block[block.index(b"\r\n\r\n") + 4:]
                     page = head.get("x-page-id") or None
                     rows.append((head["warc-record-id"], head["warc-type"], page and int(page), head["warc-target-uri"],
                                  head["warc-payload-digest"].removeprefix("sha1:"), head.get("warc-refers-to"), body, len(body),
-                                 base64.b32encode(hashlib.sha1(body).digest()).decode()))
+                                 base64.b32encode(hashlib.sha1(body).digest()).decode(), file, at, length))
                 if rows:
-                    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string()]
+                    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(),
+                             pa.string(), pa.int64(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("content")
+    files = spark.read.format("binaryFile").load(path).filter("length > 1").select("path", "content")
     return files.mapInArrow(run, schema)
 
 
@@ -137,7 +195,7 @@ def resolved_index(spark: SparkSession, path: str, ws: Workspace) -> DataFrame:
 
     Revisits take size and digest from the payload of the response that they refer to.
     """
-    records = ws.put(read_archives(spark, path).drop("payload", "uri", "declared_digest"), "records")
+    records = ws.put(read_archives(spark, path).drop("payload", "uri", "declared_digest", "file", "member_at", "member_bytes"), "records")
     own = records.filter("record_type = 'response'")
     originals = ws.put(own.groupBy("record_id", "payload_digest").agg(F.min("page_id").alias("refers_to"), F.first("payload_bytes").alias("b")), "originals")
     revisits = records.filter("record_type = 'revisit'").select("page_id", "refers_to_id", "record_type", F.col("payload_digest").alias("d"))

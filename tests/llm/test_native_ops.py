@@ -2,7 +2,9 @@
 
 import base64
 import collections
+import gzip
 import hashlib
+import pathlib
 import random
 import re
 import zlib
@@ -16,7 +18,7 @@ from tessera.llm import quality
 from tessera.llm.components import connected_components
 from tessera.llm.sharding import global_position, stratified_shards
 from tessera.llm.simhash import covering_masks, fingerprint, simhash_components, simhash_dedup
-from tessera.llm.warc import parse_records, read_archives, resolved_index, write_archives
+from tessera.llm.warc import archives_of, member, members, parse_records, read_archives, resolved_index, write_archives
 from tessera.llm.workspace import Workspace
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -225,6 +227,16 @@ def test_archives_round_trip_with_revisits(spark):
     assert collections.Counter(map(tuple, got)) == collections.Counter(want)
     read = {(r.page_id, r.record_type): bytes(r.payload) for r in read_archives(spark, ws.path("w")).collect()}
     assert read[2, "response"] == tricky.encode() and read[6, "revisit"] == b""
+    for r in read_archives(spark, ws.path("w")).collect():  # every record can be read alone, and the file by any gzip reader
+        data = pathlib.Path(r.file.removeprefix("file:")).read_bytes()
+        (head, block), = parse_records(gzip.decompress(data[r.member_at:r.member_at + r.member_bytes]))
+        assert head["warc-record-id"] == r.record_id and block.endswith(bytes(r.payload))
+        kinds = [h["warc-type"] for h, _ in parse_records(gzip.decompress(data))]
+        assert kinds[0] == "warcinfo" and set(kinds[1:]) <= {"response", "revisit"}
+    many = Workspace(spark, "t")
+    write_archives(pages, many.path("w"), many, file_bytes=1)
+    assert sorted(map(str, resolved_index(spark, many.path("w"), many).collect())) == sorted(map(str, got))
+    assert read_archives(spark, many.path("w")).select("file").distinct().count() == len(rows)
     small = Workspace(spark, "t")
     write_archives(pages, small.path("w"), small, min_bytes=5)
     assert all(r.record_type == "response" for r in resolved_index(spark, small.path("w"), small).collect() if r.payload_bytes < 5)
@@ -237,3 +249,15 @@ def test_record_parser_goes_by_length():
     block = b"HTTP/1.1 200 OK\r\n\r\nx\r\n\r\ny"
     data = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(block), block)
     assert [b for _, b in parse_records(data * 3)] == [block] * 3
+
+
+def test_members_of_an_archive_cross_chunks_and_end_at_the_padding():
+    rng = np.random.default_rng(4)
+    records = [rng.bytes(int(n)) for n in (0, 1, 10, 16_000, 16_384, 50_000, 3)]
+    data = b"".join(member(r) for r in records)
+    found = list(members(data + b"\0"))
+    assert [c for _, _, c in found] == [r + b"\r\n\r\n" for r in records]
+    assert [a for a, _, _ in found] == [0, *np.cumsum([n for _, n, _ in found]).tolist()[:-1]]
+    assert list(members(b"\0")) == [] and list(archives_of(iter([]), 9)) == []
+    with pytest.raises(ValueError, match="cut short"):
+        list(members(data[:-3]))
