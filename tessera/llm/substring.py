@@ -21,7 +21,9 @@ shingles with the other's is at least ``SIMILARITY``.
 Shingles are cut and hashed once per text; what is fetched and compared of them are ``CODE`` bytes each. Two different
 shingles of a pair of passages of 100 words agree in them by chance in fewer than one pair in 10^8.
 
-Equal texts are one text here (a 64-bit hash); copies are reported as such and not expanded into pairs.
+Equal texts are one text here: copies are told by a 64-bit hash and MD5 together, reported as such and not
+expanded into pairs. Passages know their text by the 64-bit hash alone: two texts that share it by chance
+are not searched for passages of each other.
 """
 
 from __future__ import annotations
@@ -505,13 +507,15 @@ def repeated_passages(rows: DataFrame, ws: Workspace, min_words: int = MIN_WORDS
 
 
 def prepared(docs: DataFrame, ws: Workspace, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """((ord, u, text) rows, (id, u, n_words, first) per distinct id and text); null ids and texts stay out."""
+    """((ord, u, text) rows, (ord, u, h, n_words, first) per distinct id and text); null ids and texts stay out.
+
+    ``first`` is the smallest id of the text, by its 64-bit hash and its MD5."""
     rows = docs.select(F.col(id_col).cast("long").alias("ord"), F.col(text_col).alias("text")).filter("ord is not null and text is not null")
     rows = rows.select("ord", F.xxhash64("text").alias("u"), "text")
-    named = rows.groupBy("ord", "u").agg(F.max(F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))).alias("n_words"))
+    named = rows.groupBy("ord", "u", F.md5("text").alias("h")).agg(F.max(F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))).alias("n_words"))
     named = ws.put(named, "named")
-    first = ws.put(named.groupBy("u").agg(F.min("ord").alias("first")), "first")
-    return rows, named.join(first, "u")
+    first = ws.put(named.groupBy("u", "h").agg(F.min("ord").alias("first")), "first")
+    return rows, named.join(first, ["u", "h"])
 
 
 def substring_index(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

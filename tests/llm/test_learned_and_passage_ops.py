@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import toxicity
+from tessera.llm import substring, toxicity
 from tessera.llm.embeddings import (SEED, code_factor, embedding_links, may_link, may_link_stored, normalised, rotations, stored_codes,
                                     table_shape)
 from tessera.llm.substring import (MIN_WORDS, SHINGLE, cut_words, matching_spans, mix, reaches, shingle_hashes, substring_dedup, substring_index, window_minima)
@@ -390,3 +390,10 @@ def test_pipeline_passages_equal_brute_force(spark):
             if seen.setdefault(tuple(w[k:k + MIN_WORDS]), i) != i:
                 cut[i] |= set(range(k, k + MIN_WORDS))
     assert cut and got == {i: [w for k, w in enumerate(t.split()) if k not in cut[i]] for i, t in rows}
+
+
+def test_whole_copies_are_told_by_content_not_by_one_hash(spark):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["a " * 60, "a " * 60, "b " * 60, None, ""])], "doc_id long, text string")
+    _, named = substring.prepared(docs, Workspace(spark, "t"), "doc_id", "text")
+    assert {(r.ord, r.first) for r in named.collect()} == {(0, 0), (1, 0), (2, 2), (4, 4)}
+    assert {len(r.h) for r in named.collect()} == {32}
