@@ -346,6 +346,33 @@ def passage_links(rows: DataFrame, ws: Workspace, width: int, hashes: int = HASH
     return links.filter("r_u is not null").select(own).unionByName(finer)
 
 
+def in_step(mine_of: np.ndarray, its_of: np.ndarray, other_of: np.ndarray, hit: np.ndarray, near_hit: np.ndarray, first: int, last: int):
+    """(start, stop) -> (start in b, stop in b, similarity) within a[first:last] from running counts; None if they don't tell.
+
+    They do where no shingle repeats on either side, all that recur do so nearby and in the same order: then
+    every such shingle of a[start:stop] lies between the places of the first and the last of them.
+    """
+    near = np.flatnonzero(near_hit[first:last]) + first
+    its = other_of[near]
+    if not len(near) or np.count_nonzero(hit[first:last]) > len(near) or (np.diff(its) <= 0).any():
+        return None
+    for kinds in (mine_of[first:last], its_of[its[0]:its[-1] + 1]):
+        ordered = np.sort(kinds)
+        if (ordered[1:] == ordered[:-1]).any():
+            return None
+    before = np.concatenate(([0], np.cumsum(near_hit[first:last]))).tolist()  # recurring shingles before a place
+    its = its.tolist()
+
+    def compared(s, e):
+        i, j = before[s - first], before[e - first]
+        if i == j:
+            return 0, 0, 0.0
+        t, w = its[i], its[j - 1] + 1
+        return t, w, (j - i) / (e - s + w - t - (j - i))
+
+    return compared
+
+
 def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list[tuple[int, int, int, int, float]]:
     """(start, stop, start in b, stop in b, similarity) of passages of shingles ``a`` that recur in ``b``.
 
@@ -402,14 +429,17 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
         first, last = int(part[0]), int(part[-1]) + 1
         rich = first + np.flatnonzero(total[first + width:last + 1] - total[first:last + 1 - width] >= width * SIMILARITY)
         todo = [r for r in np.split(rich, np.flatnonzero(np.diff(rich) > 1) + 1) if len(r)]
+        quick = in_step(mine_of, its_of, other_of, hit, near_hit, first, last) if todo else None
+        known = list(spans)  # a stretch never lies in one found below: those of a part go from right to left
         while todo:
             r = todo.pop()
             s, e = int(r[0]), int(r[-1]) + width
-            if any(x[0] <= s and e <= x[1] for x in spans):
+            if quick is None and any(x[0] <= s and e <= x[1] for x in known):
                 continue
-            found = compared(s, e)
+            found = compared(s, e) if quick is None else quick(s, e)
             if counts(*found):
-                spans.append((s, e, *found))
+                if quick is None or not any(x[0] <= s and e <= x[1] for x in known):
+                    spans.append((s, e, *found))
             elif len(r) > 1:
                 todo += [r[: len(r) // 2], r[len(r) // 2:]]
     return spans

@@ -392,6 +392,40 @@ def test_pipeline_passages_equal_brute_force(spark):
     assert cut and got == {i: [w for k, w in enumerate(t.split()) if k not in cut[i]] for i, t in rows}
 
 
+def test_running_counts_compare_as_sets_do():
+    rng = np.random.default_rng(12)
+    told = 0
+    for _ in range(300):
+        a = rng.integers(0, 1 << 40, 160, dtype=np.uint64)
+        b = rng.integers(0, 1 << 40, 170, dtype=np.uint64)
+        shift = int(rng.integers(-8, 9))
+        for p in np.flatnonzero(rng.random(160) < rng.choice([0.5, 0.8, 0.95])):
+            if 0 <= p + shift + (p > 90) < len(b):
+                b[p + shift + (p > 90)] = a[p]  # one more word in b after the 90th
+        kinds, code = np.unique(np.concatenate((a, b)), return_inverse=True)
+        mine, its = code[:160], code[160:]
+        where = {int(k): q for q, k in enumerate(its)}
+        other = np.array([where.get(int(k), 0) for k in mine])
+        hit = np.isin(mine, its)
+        near = hit & (np.abs(other - np.arange(160) - shift) <= substring.SLACK)
+        quick = substring.in_step(mine, its, other, hit, near, 5, 150)
+        told += quick is not None
+        for s, e in rng.integers(5, 151, (20, 2)).tolist() if quick else []:
+            if s < e:
+                t, w, share = quick(s, e)
+                x, y = set(mine[s:e].tolist()), set(its[t:w].tolist())
+                found = other[s:e][near[s:e]]
+                assert (t, w) == ((found.min(), found.max() + 1) if len(found) else (0, 0))
+                assert share == (len(x & y) / len(x | y))
+    assert told > 200
+    x = np.arange(60)
+    plain = (x, x, x, np.ones(60, bool), np.ones(60, bool))
+    assert substring.in_step(*plain, 0, 60)(3, 50) == (3, 50, 1.0)
+    assert substring.in_step(x, x, x[::-1], *plain[3:], 0, 60) is None  # another order
+    assert substring.in_step(x % 30, x, x, *plain[3:], 0, 60) is None  # repeats
+    assert substring.in_step(x, x, x, np.ones(60, bool), x > 9, 0, 60) is None  # recurs far away
+
+
 def test_whole_copies_are_told_by_content_not_by_one_hash(spark):
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(["a " * 60, "a " * 60, "b " * 60, None, ""])], "doc_id long, text string")
     _, named = substring.prepared(docs, Workspace(spark, "t"), "doc_id", "text")
