@@ -97,3 +97,28 @@ def test_budget_ends_a_list_at_the_first_item_that_does_not_fit(spark):
     e = gr.within_budget(items, "q", ["r"], "t", 10)
     ctx = {r["q"]: r["context"] for r in gr.context_assembly(q, e, e.limit(0), "q").collect()}
     assert ctx == {1: "Episodic memory:\nabcd\n\nSemantic memory:\n(none)", 2: "Episodic memory:\n(none)\n\nSemantic memory:\n(none)"}
+
+
+def test_frequent_words_hand_on_few_rows_a_query_whatever_the_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    nodes = [(f"s{k:03d}", f"only{k}") for k in range(60)]
+    nodes += [(f"p{k:03d}", " ".join(["red", "ring", "gold"][:1 + k % 3] + [rng.choice("uvw")] * (k % 5))) for k in range(300)]
+    queries = [(k, f"has only{k} the red ring of gold") for k in range(60)]
+    df, q = spark.createDataFrame(nodes, "id string, t string"), spark.createDataFrame(queries, "query_id long, text string")
+    index = recall.text_index(df, "id", F.col("t"), 3)
+    want = {(i, r + 1, e, s) for i, text in queries for r, (s, e) in enumerate(bm25(nodes, text)[:3])}
+    for postings, asked in ((100_000, 1024), (40, 7)):
+        monkeypatch.setattr(recall, "BLOCK_POSTINGS", postings)
+        monkeypatch.setattr(recall, "BLOCK_QUERIES", asked)
+        got = {(r["query_id"], r["rank"], r["entity"], -int(r["score"] * 10 ** 6)) for r in recall.top_entities(q, index).collect()}
+        assert got == want
+        assert recall.scored_entities(q, index).count() <= 60 * 3 * 3  # not a row per query and posting
+
+
+def test_entities_of_the_same_words_count_but_are_scored_once(spark):
+    nodes = [(f"n{k:02d}", "ring red" if k % 2 else "red ring") for k in range(40)] + [("m", "red red ring"), ("z", "blue")]
+    index = recall.text_index(spark.createDataFrame(nodes, "id string, t string"), "id", F.col("t"), 4)
+    assert index.postings.where("token = 'red'").count() == 2
+    assert index.terms.where("token = 'red'").first()["df"] == 41
+    got = [(r["entity"], -int(r["score"] * 10 ** 6)) for r in recall.top_entities(spark.createDataFrame([(1, "red ring")], "query_id long, text string"), index).orderBy("rank").collect()]
+    assert got == [(e, s) for s, e in bm25(nodes, "red ring")[:4]]
