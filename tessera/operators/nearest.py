@@ -2,15 +2,20 @@
 
 Some vectors of the corpus are pivots (the smallest MD5s of their ids; their number is a parameter and bounds what tasks
 are handed). Every vector lies in the cell of its nearest pivot and is stored with its distance to it, in blocks of
-at most ``BLOCK`` vectors that know the least and greatest distance of theirs. For a query at distance d of a
+at most ``BLOCK`` vectors, cut in the order of that distance, that know the least and greatest of theirs. For a query at distance d of a
 pivot, the triangle inequality puts every vector of a block at least max(d - greatest, least - d) away, and for
 pivots p and r the side of the plane between them puts every vector of p's cell at least
 (d(q, p)^2 - d(q, r)^2) / (2 d(p, r)) away. A first visit, to one block of the query's own cell, bounds its k-th
 distance; a second one goes to the cells whose bound does not pass it, and inside a cell only to blocks and vectors that
 may lie nearer. Nothing is left out by a guess: bounds are compared with some slack for rounding.
 
+Two blocks are compared by one matrix product, |q|^2 + |x|^2 - 2 qx. Its rounding error is bounded, so it only tells which
+pairs may be among the k nearest; the distances that are ranked and returned are computed from the differences. A
+block of queries keeps its k nearest while it goes through the blocks of a cell, and each one lowers the bound for the next.
+
 How much is spared depends on the data: clustered vectors visit few cells, vectors spread evenly over a sphere
-visit all (``visited_share`` measures it), and the result is the same.
+visit all (``visited_share`` measures it), and the result is the same: all pairs are then compared, in memory that does
+not grow, shared out by cell and query block.
 """
 
 from __future__ import annotations
@@ -29,7 +34,9 @@ from tessera.operators.ordering import settled
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need numpy and pandas, not this package
 
 PIVOTS = 16
-BLOCK = 512
+BLOCK = 4096
+BLOCK_BYTES = 2 << 20  # blocks of wide vectors have fewer rows
+SHARES = 8  # tasks that share the queries of a cell
 SLACK = 1e-9
 
 BLOCKS = "cell int, least double, most double, ids array<bigint>, groups array<bigint>, dists array<double>, vectors array<double>"
@@ -50,63 +57,121 @@ def to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(((x[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
 
 
+def fitting(block: int, width: int) -> int:
+    return max(1, min(block, BLOCK_BYTES // (8 * max(width, 1))))
+
+
 def in_cells(rows: DataFrame, pivots: np.ndarray, block: int) -> DataFrame:
-    """Blocks of (id, grp, v): neighbours of one cell within a task, at most ``block`` vectors each."""
+    """Blocks of (id, grp, v): neighbours of one cell by their distance to its pivot, at most ``block`` vectors each."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for at in range(0, len(f), 16 * block):
-                part = f.iloc[at:at + 16 * block]
-                x = np.stack(part["v"].to_numpy()).astype(float)
+            if len(f):
+                x = np.stack(f["v"].to_numpy()).astype(float)
                 d = np.concatenate([to_pivots(x[k:k + 256], pivots) for k in range(0, len(x), 256)])
-                cell = d.argmin(axis=1)
-                near = d[np.arange(len(x)), cell]
-                order = np.lexsort((near, cell))
-                cuts = np.flatnonzero(np.diff(cell[order])) + 1
-                out = []
-                for run_ in np.split(order, cuts):
-                    for k in range(0, len(run_), block):
-                        own = run_[k:k + block]
-                        out.append((int(cell[own[0]]), near[own[0]], near[own[-1]], part["id"].to_numpy()[own],
-                                    part["grp"].to_numpy()[own], near[own], x[own].reshape(-1)))
-                yield pd.DataFrame(out, columns=["cell", "least", "most", "ids", "groups", "dists", "vectors"])
-
-    return rows.mapInPandas(run, BLOCKS)
-
+                yield f.assign(cell=d.argmin(axis=1).astype("int32"), dist=d.min(axis=1))
 
-def best_of(d2: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Columns of the k least finite values of each row, ties by id (``ids`` ascend)."""
-    return np.argsort(d2, axis=1, kind="stable")[:, :k]
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if not len(f):
+                continue
+            x = np.stack(f["v"].to_numpy()).astype(float)
+            cell, dist, ids, groups = (f[c].to_numpy() for c in ("cell", "dist", "id", "grp"))
+            out, most = [], fitting(block, x.shape[1])
+            for run_ in np.split(np.arange(len(f)), np.flatnonzero(np.diff(cell)) + 1):
+                for k in range(0, len(run_), most):
+                    own = run_[k:k + most]
+                    out.append((int(cell[own[0]]), dist[own[0]], dist[own[-1]], ids[own], groups[own], dist[own], x[own].reshape(-1)))
+            yield pd.DataFrame(out, columns=["cell", "least", "most", "ids", "groups", "dists", "vectors"])
+
+    placed = settled(rows.mapInPandas(near, "id long, grp long, v array<double>, cell int, dist double"))
+    order = ["cell", "dist", "id"]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(cut, BLOCKS)
+
+
+def met(asked: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Query blocks with every block of their cell; a cell's query blocks are shared out over tasks."""
+    share = F.pmod(F.xxhash64(F.col("qids")[0]), F.lit(SHARES)).cast("int")
+    return asked.withColumn("share", share).join(blocks.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))), ["cell", "share"])
+
+
+class Nearest:
+    """The k nearest vectors that a block of queries has met so far; its bounds fall with every block."""
+
+    def __init__(self, ids: np.ndarray, groups: np.ndarray, at: np.ndarray, reach: np.ndarray, q: np.ndarray, k: int):
+        self.ids, self.groups, self.at, self.q, self.k = ids, groups, at, q, k
+        self.reach = reach * (1 + SLACK) + SLACK
+        self.squares = (q ** 2).sum(axis=1)
+        self.best = np.full((len(ids), k), np.inf)
+        self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
+
+    def meet(self, least: float, most: float, ids: np.ndarray, groups: np.ndarray, dists: np.ndarray, x: np.ndarray) -> None:
+        squares = (x ** 2).sum(axis=1)
+        for b in range(0, len(self.ids), 256):
+            rows = np.arange(b, min(b + 256, len(self.ids)))
+            reach = np.minimum(self.reach[rows], np.sqrt(self.best[rows, -1]) * (1 + SLACK) + SLACK)
+            on = np.maximum(self.at[rows] - most, least - self.at[rows]) <= reach
+            rows, reach = rows[on], reach[on]
+            if not len(rows):
+                continue
+            low = np.searchsorted(dists, (self.at[rows] - reach).min())
+            high = np.searchsorted(dists, (self.at[rows] + reach).max(), side="right")
+            for c in range(low, high, 1024):
+                some = slice(c, min(c + 1024, high))
+                self._compare(rows, ids[some], groups[some], x[some], squares[some])
+
+    def _compare(self, rows: np.ndarray, ids: np.ndarray, groups: np.ndarray, x: np.ndarray, squares: np.ndarray) -> None:
+        q, own = self.q[rows], self.squares[rows]
+        error = 4 * (q.shape[1] + 8) * np.finfo(float).eps * (own.max() + squares.max())
+        d2 = q @ x.T
+        d2 *= -2
+        d2 += own[:, None]
+        d2 += squares[None, :]
+        kth, last = self.best[rows, -1], self.found[rows, -1]
+        may = d2 <= (np.minimum(self.reach[rows] ** 2, kth) + error)[:, None]
+        if np.count_nonzero(may) > 4 * self.k * len(rows) and len(ids) > self.k:  # by the k-th of these vectors
+            d2[self.groups[rows][:, None] == groups[None, :]] = np.inf
+            may &= d2 <= (np.partition(d2, self.k - 1, axis=1)[:, self.k - 1] + 2 * error)[:, None]
+        i, j = np.nonzero(may)
+        keep = (self.groups[rows][i] != groups[j]) & ((kth[i] > 0) | (ids[j] < last[i]))  # nothing is nearer than 0
+        i, j = i[keep], j[keep]
+        if not len(i):
+            return
+        exact = np.concatenate([((q[i[s:s + 16384]] - x[j[s:s + 16384]]) ** 2).sum(axis=1) for s in range(0, len(i), 16384)])
+        better = (exact < kth[i]) | ((exact == kth[i]) & (ids[j] < last[i]))
+        i, found, exact = i[better], ids[j[better]], exact[better]
+        some = np.unique(i)
+        i = np.concatenate([i, np.repeat(some, self.k)])
+        exact = np.concatenate([exact, self.best[rows[some]].reshape(-1)])
+        found = np.concatenate([found, self.found[rows[some]].reshape(-1)])
+        order = np.lexsort((found, exact, i))
+        i = i[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        top = rank < self.k
+        self.best[rows[i[top]], rank[top]] = exact[order][top]
+        self.found[rows[i[top]], rank[top]] = found[order][top]
+
+    def rows(self) -> pd.DataFrame:
+        i, j = np.nonzero(np.isfinite(self.best))
+        return pd.DataFrame({"qid": self.ids[i], "cid": self.found[i, j], "dist": self.best[i, j]})
 
 
 def compared(pairs: DataFrame, k: int) -> DataFrame:
-    """(qids, qgroups, qvectors, reach, block columns) -> the k nearest of each query in each block: (qid, cid, dist)."""
+    """(qids, qgroups, qvectors, reach, block columns) -> the k nearest of each query in blocks that come one after the
+    other: (qid, cid, dist)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for f in frames:
-            out = []
             for r in f.itertuples(index=False):
-                q = np.asarray(r.qvectors).reshape(len(r.qids), -1)
-                x = np.asarray(r.vectors).reshape(len(r.ids), -1)
-                ids, groups, dists = np.asarray(r.ids), np.asarray(r.groups), np.asarray(r.dists)
-                reach, at = np.asarray(r.reach), np.asarray(r.qdists)
-                on = np.maximum(at - r.most, r.least - at) <= reach * (1 + SLACK) + SLACK  # by this block's own bounds
-                if not on.any():
-                    continue
-                q, qids, qgroups, reach, at = q[on], np.asarray(r.qids)[on], np.asarray(r.qgroups)[on], reach[on], at[on]
-                some = (np.abs(dists[None, :] - at[:, None]) <= (reach * (1 + SLACK) + SLACK)[:, None]).any(axis=0)
-                x, ids, groups = x[some], ids[some], groups[some]
-                order = np.argsort(ids, kind="stable")
-                x, ids, groups = x[order], ids[order], groups[order]
-                for b in range(0, len(q), 64):
-                    d2 = ((q[b:b + 64, None, :] - x[None, :, :]) ** 2).sum(axis=2)
-                    d2[(qgroups[b:b + 64, None] == groups[None, :])] = np.inf
-                    col = best_of(d2, ids, k)
-                    near = np.take_along_axis(d2, col, axis=1)
-                    i, j = np.nonzero(np.isfinite(near))
-                    out.append(pd.DataFrame({"qid": qids[b:b + 64][i], "cid": ids[col[i, j]], "dist": near[i, j]}))
-            if out:
-                yield pd.concat(out)
+                qids = np.asarray(r.qids)
+                if held is None or not np.array_equal(held.ids, qids):
+                    if held is not None:
+                        yield held.rows()
+                    held = Nearest(qids, np.asarray(r.qgroups), np.asarray(r.qdists), np.asarray(r.reach), np.asarray(r.qvectors).reshape(len(qids), -1), k)
+                held.meet(r.least, r.most, np.asarray(r.ids), np.asarray(r.groups), np.asarray(r.dists), np.asarray(r.vectors).reshape(len(r.ids), -1))
+        if held is not None:
+            yield held.rows()
 
     return pairs.select("qids", "qgroups", "qdists", "reach", "qvectors", "least", "most", "ids", "groups", "dists", "vectors") \
         .mapInPandas(run, "qid long, cid long, dist double")
@@ -138,12 +203,12 @@ def visits(queries: DataFrame, reach: DataFrame, cells: DataFrame, pivots: np.nd
             own = f["reach"].fillna(np.inf).to_numpy()
             d = np.concatenate([to_pivots(x[k:k + 256], pivots) for k in range(0, len(x), 256)])
             go = bound_to_cells(d, between, least, most) <= (own * (1 + SLACK) + SLACK)[:, None]
-            out = []
+            out, most_rows = [], fitting(BLOCK, x.shape[1])
             for c in np.flatnonzero(np.isfinite(least)):
                 rows = np.flatnonzero(go[:, c])
                 rows = rows[np.argsort(d[rows, c], kind="stable")]
-                for k in range(0, len(rows), BLOCK):
-                    w = rows[k:k + BLOCK]
+                for k in range(0, len(rows), most_rows):
+                    w = rows[k:k + most_rows]
                     out.append((int(c), f["id"].to_numpy()[w], f["grp"].to_numpy()[w], d[w, c], own[w], x[w].reshape(-1)))
             yield pd.DataFrame(out, columns=["cell", "qids", "qgroups", "qdists", "reach", "qvectors"])
 
@@ -160,9 +225,9 @@ def plan_visits(queries: DataFrame, corpus: DataFrame, k: int, pivots: int, bloc
         F.transform("dists", lambda _: F.lit(float("inf"))).alias("reach"))
     first = cells.groupBy("cell").agg(F.max_by(F.struct("least", "most", "ids", "groups", "dists", "vectors"), F.struct(F.size("ids"), F.col("ids")[0])).alias("b")) \
         .select("cell", "b.*")
-    seen = compared(asked.join(first, "cell"), k).groupBy("qid").agg(F.array_sort(F.collect_list("dist")).alias("d"))  # at most k a query
+    seen = compared(met(asked, first), k).groupBy("qid").agg(F.array_sort(F.collect_list("dist")).alias("d"))  # at most k a query
     reach = settled(seen.select(F.col("qid").alias("id"), F.when(F.size("d") >= k, F.sqrt(F.col("d")[k - 1])).otherwise(F.lit(float("inf"))).alias("reach")))
-    return settled(visits(queries, reach, cells, matrix)), cells, queries
+    return visits(queries, reach, cells, matrix), cells, queries
 
 
 def prepared(df: DataFrame, id_col: str, vec: str, group: str | None) -> DataFrame:
@@ -183,7 +248,7 @@ def knn_join(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, vec: s
     if c.isEmpty():
         return c.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("neighbor_id"), F.lit(0.0).alias("dist"))
     going, cells, _ = plan_visits(q, c, k, pivots, block)
-    found = compared(going.join(cells, "cell"), k)
+    found = compared(met(going, cells), k)
     w = Window.partitionBy("qid").orderBy("dist", "cid")
     return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(F.col("qid").alias("query_id"), "rank", F.col("cid").alias("neighbor_id"), "dist"))

@@ -122,3 +122,21 @@ def test_entities_of_the_same_words_count_but_are_scored_once(spark):
     assert index.terms.where("token = 'red'").first()["df"] == 41
     got = [(r["entity"], -int(r["score"] * 10 ** 6)) for r in recall.top_entities(spark.createDataFrame([(1, "red ring")], "query_id long, text string"), index).orderBy("rank").collect()]
     assert got == [(e, s) for s, e in bm25(nodes, "red ring")[:4]]
+
+
+def test_evenly_spread_vectors_and_copies_hand_on_k_rows_a_cell(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(600, 8)), np.repeat(rng.normal(size=(1, 8)), 200, axis=0), 1e6 + 1e-4 * rng.normal(size=(40, 8))])
+    rows = [(int(i), int(i) // 2, v.tolist()) for i, v in zip(rng.permutation(len(x)), x)]
+    df = spark.createDataFrame(rows, "id long, g long, v array<double>").repartition(3)
+    q = nearest.prepared(df, "id", "v", "g")
+    going, cells, _ = nearest.plan_visits(q, q, 3, 4, 16)
+    assert cells.agg(F.max(F.size("ids"))).first()[0] == 16
+    assert nearest.compared(nearest.met(going, cells), 3).count() <= len(rows) * 3 * 4  # k a block before, now k a cell
+    want = []
+    for i, g, v in rows:  # sums as the operator adds them, so that ties are ties
+        d = ((np.array(v) - np.array([r[2] for r in rows])) ** 2).sum(axis=1)
+        near = sorted((e, j) for e, (j, h, _) in zip(d.tolist(), rows) if h != g)[:3]
+        want += [(i, r + 1, j, e) for r, (e, j) in enumerate(near)]
+    got = nearest.knn_join(df, df, "id", "id", "v", 3, group="g", pivots=4, block=16)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
