@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,10 +108,9 @@ def settled_first(spark: SparkSession, folder: str, schema: T.StructType, order:
 
 RETRY_OUT = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("step", T.LongType()),
                           T.StructField("retries", T.LongType()), T.StructField("action", T.StringType())])
-RETRY_STATE = T.StructType([T.StructField("step", T.LongType()), T.StructField("retries", T.LongType()),
-                            T.StructField("stopped", T.BooleanType())])
-WAITING = T.StructType([T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("failed", T.BooleanType())])
-CHUNK = 50_000  # rows of a frame that a processor hands on
+ROWS = T.StructType([T.StructField("rows", T.BinaryType())])
+CHUNK = 50_000  # rows of a frame or of a stored piece that a processor hands on
+GROUPS = 1024  # runs are dealt to so many groups by a hash; each has one state
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
@@ -122,73 +122,102 @@ def streaming_session(spark: SparkSession) -> SparkSession:
 
 
 def retry_budget_processor(max_retries: int = 3, idle_ms: int | None = None) -> StatefulProcessor:
-    """K3 processor. The class is built inside this function so it travels to the Python
+    """K3 processor of a group of runs. The class is built inside this function so it travels to the Python
     workers by value: they need pyspark, not this package, on their path."""
     chunk = CHUNK
+    waiting_rows = np.dtype([("user_id", "i8"), ("ts", "i8"), ("event_id", "i8"), ("failed", "?")])
+    counts = np.dtype([("user_id", "i8"), ("step", "i8"), ("retries", "i8"), ("last", "i8")])
+    names = ["user_id", "step", "retries", "action"]
 
     class RetryBudget(StatefulProcessor):
         """K3: per run, count steps and failures in event order; stop (and ignore later steps) once the
         failures exceed ``max_retries``.
 
-        Rows wait in a list state (time, id and whether they failed: no texts) until the watermark has passed them;
-        an event-time timer then takes those that are due, in the order of (ts, event_id), so the
-        order holds over any micro-batches. A run is counted on with three numbers. With ``idle_ms`` the state of
-        a run without rows for so long is removed by a later timer (its time to live).
+        The key is a group of runs, so that calls to the state store grow with the groups and not with the runs. Rows
+        wait in a list state (run, time, id and whether they failed: no texts; a piece holds many) until the watermark
+        has passed them; an event-time timer for the first of them then takes those that are due, run by run in the order
+        of (ts, event_id), so the order holds over any micro-batches. A run is counted on with three numbers. With ``idle_ms``
+        the numbers of a run without rows for so long are removed by a later timer (its time to live).
         """
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.budget = handle.getValueState("budget", RETRY_STATE)
-            self.waiting = handle.getListState("waiting", WAITING)
-            self.last = handle.getValueState("last", T.StructType([T.StructField("ms", T.LongType())]))
+            self.budget = handle.getListState("budget", ROWS)  # the counts of the group's runs, by run
+            self.waiting = handle.getListState("waiting", ROWS)
+
+        def stored(self, state, kind: np.dtype) -> np.ndarray:
+            pieces = [np.frombuffer(bytes(r[0]), kind) for r in state.get()] if state.exists() else []
+            return np.concatenate(pieces) if pieces else np.empty(0, kind)
+
+        def store(self, state, rows: np.ndarray) -> None:
+            if len(rows):
+                state.put([(rows[k:k + chunk].tobytes(),) for k in range(0, len(rows), chunk)])
+            else:
+                state.clear()
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            stopped = self.budget.exists() and self.budget.get()[2]
-            latest = -1
+            held = None
             for part in rows:  # a frame at a time, never all rows of the key
                 part = part[part["counts"]]
-                if not len(part) or key[0] is None:
+                if not len(part):
                     continue
-                micros = part["ts"].astype("datetime64[us]").astype("int64")
-                latest = max(latest, int(micros.max()) // 1000)
-                if not stopped:
-                    failed = part["content"].fillna("").astype(str).str.startswith("Error:")
-                    self.waiting.appendList(list(zip(micros.tolist(), part["event_id"].astype("int64").tolist(), failed.tolist())))
-            if latest >= 0:
-                self.handle.registerTimer(latest)
-                if idle_ms:
-                    self.last.update((max(latest, self.last.get()[0] if self.last.exists() else 0),))
-                    self.handle.registerTimer(latest + idle_ms)
-            yield pd.DataFrame(columns=["user_id", "step", "retries", "action"])
+                new = np.empty(len(part), waiting_rows)
+                new["user_id"] = part["user_id"].astype("int64")
+                new["ts"] = part["ts"].astype("datetime64[us]").astype("int64")
+                new["event_id"] = part["event_id"].astype("int64")
+                new["failed"] = part["content"].fillna("").astype(str).str.startswith("Error:")
+                if held is None:
+                    held = self.stored(self.budget, counts)
+                    over = held["user_id"][held["retries"] > max_retries]
+                # rows of a run that was stopped only say when it was last seen
+                new = new[~np.isin(new["user_id"], over)] if not idle_ms else new
+                for k in range(0, len(new), chunk):
+                    self.waiting.appendValue((new[k:k + chunk].tobytes(),))
+                if len(new):
+                    self.handle.registerTimer(int(new["ts"].min()) // 1000)
+            yield pd.DataFrame(columns=names)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            now = expiredTimerInfo.getExpiryTimeInMs()
-            pending = list(self.waiting.get()) if self.waiting.exists() else []
-            due = sorted((w[0], w[1], w[2]) for w in pending if w[0] // 1000 <= now)
-            out = []
-            if due:
-                step, retries, stopped = self.budget.get() if self.budget.exists() else (0, 0, False)
-                rest = [(w[0], w[1], w[2]) for w in pending if w[0] // 1000 > now]
-                for _, _, failed in due:
-                    if stopped:
-                        rest = []
-                        break
-                    step += 1
-                    retries += int(failed)
-                    stopped = retries > max_retries
-                    out.append((int(key[0]), step, retries, "stop" if stopped else "continue"))
-                    if len(out) == chunk:
-                        yield pd.DataFrame(out, columns=["user_id", "step", "retries", "action"])
-                        out = []
-                self.budget.update((step, retries, stopped))
-                if rest:
-                    self.waiting.put(rest)
-                else:
-                    self.waiting.clear()
-            if idle_ms and not pending and self.last.exists() and now >= self.last.get()[0] + idle_ms:
-                self.budget.clear()
-                self.last.clear()
-            yield pd.DataFrame(out, columns=["user_id", "step", "retries", "action"])
+            now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+            pending, held = self.stored(self.waiting, waiting_rows), self.stored(self.budget, counts)
+            due = pending["ts"] // 1000 <= now
+            rest, rows = pending[~due], pending[due]
+            if len(rows):
+                rows = rows[np.lexsort((rows["failed"], rows["event_id"], rows["ts"], rows["user_id"]))]
+                runs, start, of, n = np.unique(rows["user_id"], return_index=True, return_inverse=True, return_counts=True)
+                fresh = np.zeros(int((~np.isin(runs, held["user_id"])).sum()), counts)
+                fresh["user_id"] = runs[~np.isin(runs, held["user_id"])]
+                held = np.concatenate([held, fresh])
+                held = held[np.argsort(held["user_id"], kind="stable")]
+                at = np.searchsorted(held["user_id"], runs)
+                step = held["step"][at][of] + np.arange(len(rows)) - start[of] + 1
+                bad = np.cumsum(rows["failed"])
+                retries = held["retries"][at][of] + bad - (bad[start] - rows["failed"][start])[of]
+                counted = retries - rows["failed"] <= max_retries  # steps after the stop don't count
+                step, retries, user = step[counted], retries[counted], rows["user_id"][counted]
+                if len(user):
+                    final = np.flatnonzero(np.append(user[1:] != user[:-1], True))
+                    where = np.searchsorted(held["user_id"], user[final])
+                    held["step"][where], held["retries"][where] = step[final], retries[final]
+                held["last"][at] = np.maximum(held["last"][at], rows["ts"][start + n - 1] // 1000)
+                over = held["user_id"][held["retries"] > max_retries]
+                rest = rest[~np.isin(rest["user_id"], over)] if not idle_ms else rest
+                action = np.where(retries > max_retries, "stop", "continue")
+                for k in range(0, len(user), chunk):
+                    some = slice(k, k + chunk)
+                    yield pd.DataFrame(dict(zip(names, (user[some], step[some], retries[some], action[some]))))
+                self.store(self.waiting, rest)
+                if len(rest):
+                    self.handle.registerTimer(int(rest["ts"].min()) // 1000)
+            if idle_ms:
+                idle = (held["last"] + idle_ms <= now) & ~np.isin(held["user_id"], rest["user_id"])
+                if idle.any() or len(rows):
+                    held = held[~idle]
+                    if len(held):
+                        self.handle.registerTimer(int(held["last"].min()) + idle_ms)
+            if len(rows) or idle_ms:
+                self.store(self.budget, held)
+            yield pd.DataFrame(columns=names)
 
         def close(self) -> None:
             pass
@@ -205,9 +234,11 @@ def retry_state_stream(trace: DataFrame, max_retries: int = 3, delay: str = "0 s
     an id are not counted; they do move the watermark.
     """
     # no filter here: it would be pushed below the watermark, which rows without a run move too
-    timed = trace.select("user_id", F.col("ts").cast("timestamp").alias("ts"), F.coalesce("event_id", F.lit(0).cast("long")).alias("event_id"), "content",
-                         (F.col("event_id").isNotNull() & F.col("ts").isNotNull()).alias("counts")).withWatermark("ts", delay)
-    return (timed.groupBy("user_id")
+    timed = trace.select(F.pmod(F.xxhash64("user_id"), F.lit(GROUPS)).cast("int").alias("runs"),
+                         F.coalesce(F.col("user_id").cast("long"), F.lit(0).cast("long")).alias("user_id"), F.col("ts").cast("timestamp").alias("ts"),
+                         F.coalesce("event_id", F.lit(0).cast("long")).alias("event_id"), "content",
+                         (F.col("user_id").isNotNull() & F.col("event_id").isNotNull() & F.col("ts").isNotNull()).alias("counts")).withWatermark("ts", delay)
+    return (timed.groupBy("runs")
             .transformWithStateInPandas(statefulProcessor=retry_budget_processor(max_retries, idle_ms), outputStructType=RETRY_OUT,
                                         outputMode="Append", timeMode="EventTime"))
 

@@ -92,3 +92,27 @@ def test_retries_in_event_order_over_shuffled_batches_and_a_hot_run(spark):
                 break
     assert sorted(tuple(r) for r in spark.read.schema(st.RETRY_OUT).parquet(out).collect()) == sorted(want)
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
+def test_state_grows_with_groups_not_with_runs(spark, monkeypatch):
+    import datetime as dt
+    monkeypatch.setattr(st, "GROUPS", 8)
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    rows = [(2 ** 60 + u, t(10 * k + u % 10), 100 * u + k, "Error: x" if (u + k) % 2 else "ok") for u in range(300) for k in range(6)]
+    src, out, ck = (files.scratch_dir(spark, n) for n in ("tg-src", "tg-out", "tg-ck"))
+    for k in range(2):
+        spark.createDataFrame(rows[k::2] + [(None, t(0), 1, "ok")], TRACE).coalesce(1).write.mode("append").parquet(src)
+    spark.createDataFrame([(None, t(9000), None, None)], TRACE).coalesce(1).write.mode("append").parquet(src)
+    stream = st.retry_state_stream(st.read_stream(st.streaming_session(spark), src, TRACE, "parquet", 1), 1, "4000 seconds")
+    q = stream.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out)
+    q.awaitTermination()
+    assert 0 < max(o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]) < 100
+    want = []
+    for u in range(300):
+        bad = 0
+        for k in range(6):
+            bad += (u + k) % 2
+            want.append((2 ** 60 + u, k + 1, bad, "stop" if bad > 1 else "continue"))
+            if bad > 1:
+                break
+    assert sorted(tuple(r) for r in spark.read.schema(st.RETRY_OUT).parquet(out).collect()) == sorted(want)
