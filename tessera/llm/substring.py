@@ -57,20 +57,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))  # of XXH64
+
+
+def rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def short_hashes(eights: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """XXH64 (seed 0) of the ``size`` bytes, under 32, from each place; ``eights`` has the 8 bytes from every place."""
+    h, read = np.full(len(at), P5 + np.uint64(size)), 0
+    while size - read >= 8:
+        h ^= rotated(eights[at + read].view(np.uint64) * P2, 31) * P1
+        h = rotated(h, 27) * P1 + P4
+        read += 8
+    tail = eights[at + read].view(np.uint64) if read < size else h
+    if size - read >= 4:
+        h ^= (tail & np.uint64(0xFFFFFFFF)) * P1
+        h = rotated(h, 23) * P2 + P3
+        tail, read = tail >> np.uint64(32), read + 4
+    while read < size:
+        h ^= (tail & np.uint64(0xFF)) * P5
+        h = rotated(h, 11) * P1
+        tail, read = tail >> np.uint64(8), read + 1
+    h = (h ^ (h >> np.uint64(33))) * P2
+    h = (h ^ (h >> np.uint64(29))) * P3
+    return h ^ (h >> np.uint64(32))
+
+
 def word_hashes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word, bounds of each text in it)."""
+    """(64-bit hash of every word, XXH64 of its UTF-8; bounds of each text in it)."""
     import xxhash
 
-    parts = pc.ascii_split_whitespace(texts)
-    bounds = parts.offsets.to_numpy().astype(np.int64)
-    coded = parts.flatten().dictionary_encode()
-    bounds = bounds - bounds[0]
-    digest = xxhash.xxh64_intdigest
-    of_code = np.array([digest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
-    there = (pc.binary_length(coded.dictionary).to_numpy() > 0)
-    code = coded.indices.to_numpy()
-    real = there[code] if len(code) else np.empty(0, bool)
-    return (of_code[code[real]] if len(code) else np.empty(0, np.uint64)), np.concatenate(([0], np.cumsum(real)))[bounds]
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    if not len(raw):
+        return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    word = (raw != 0x20) & (raw - np.uint8(9) > 4)
+    opens, closes = word.copy(), word.copy()
+    opens[1:] &= ~word[:-1]
+    closes[:-1] &= ~word[1:]
+    edge = offsets[(offsets > 0) & (offsets < len(raw))]  # a text's last word and the next one's first may touch
+    opens[edge], closes[edge - 1] = word[edge], word[edge - 1]
+    at = np.flatnonzero(opens)
+    size = np.flatnonzero(closes) + 1 - at
+    out = np.empty(len(at), np.uint64)
+    padded = np.concatenate((raw, np.zeros(8, np.uint8)))
+    eights = np.ndarray(len(raw) + 1, "V8", padded, 0, (1,))
+    order = np.argsort(np.minimum(size, 32).astype(np.uint8), kind="stable")
+    stop = np.searchsorted(size[order[: np.count_nonzero(size < 32)]], np.arange(1, 33)).tolist()
+    for n, (i, j) in enumerate(zip(stop, stop[1:], strict=False), 1):
+        if i < j:
+            out[order[i:j]] = short_hashes(eights, at[order[i:j]], n)
+    for k in order[stop[-1]:].tolist():
+        out[k] = xxhash.xxh64_intdigest(raw[at[k]:at[k] + size[k]])
+    return out, np.searchsorted(at, offsets)
 
 
 def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -104,24 +148,30 @@ def window_minima(g: np.ndarray, text: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(sliding(padded, width, np.maximum) == g)
 
 
-def reaches(g: list[int], at: list[int], first: list[int], last: list[int]) -> tuple[list[int], list[int]]:
-    """How far each of the minima reaches to both sides before a smaller hash; a stack walks the Cartesian tree.
+def reaches(g, at, first, last) -> tuple[np.ndarray, np.ndarray]:
+    """How far each of the minima reaches to both sides before a smaller hash, as in the Cartesian tree.
 
-    The nearest smaller hash of a minimum is itself a minimum of some window, so the minima suffice.
+    The nearest smaller hash of a minimum is itself a minimum of some window, so the minima suffice. Each looks
+    at its neighbour and, while that is larger, on at the place the neighbour looks at: all between are larger.
     """
-    left, right, stack, owner = [0] * len(at), [0] * len(at), [], -1
-    for k, (value, place) in enumerate(zip(g, at, strict=True)):
-        if first[k] != owner:
-            for j in stack:
-                right[j] = last[j]
-            stack, owner = [], first[k]
-        while stack and g[stack[-1]] > value:
-            right[stack.pop()] = place - 1
-        left[k] = at[stack[-1]] + 1 if stack else first[k]
-        stack.append(k)
-    for j in stack:
-        right[j] = last[j]
-    return left, right
+    g, at, first, last = (np.asarray(x) for x in (g, at, first, last))
+    n = len(g)
+    text = np.cumsum(np.concatenate((np.zeros(min(n, 1), np.int64), first[1:] != first[:-1])))  # a wall before and after each text
+    here = np.arange(n) + text + 1
+    value = np.zeros(n + (int(text[-1]) + 2 if n else 1), np.uint64)
+    value[here] = g
+    place = np.zeros(len(value), np.int64)
+    place[here] = at
+    out = []
+    for step, beyond in ((-1, np.greater), (1, np.greater_equal)):  # of equal hashes the earlier one reaches over the later
+        to = np.arange(len(value)) + step
+        todo = here[beyond(value[to[here]], value[here])]
+        while len(todo):
+            to[todo] = to[to[todo]]
+            todo = todo[beyond(value[to[todo]], value[todo])]
+        end = to[here]
+        out.append(np.where(value[end] > 0, place[end] - step, first if step < 0 else last))
+    return out[0], out[1]
 
 
 def first_of_cluster(g: np.ndarray, doc: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -188,9 +238,9 @@ def compact_windows(batch: pa.RecordBatch, width: int, hashes: int) -> list[np.n
         g[g == 0] = 1
         at = window_minima(g, number, width)
         doc = number[at]
-        left, right = reaches(g[at].tolist(), at.tolist(), start[doc].tolist(), (start[doc] + size[doc] - 1).tolist())
+        left, right = reaches(g[at], at, start[doc], start[doc] + size[doc] - 1)
         once = first_of_cluster(g[at], doc, at, width)
-        doc, at, left, right = doc[once], at[once], np.array(left, np.int64)[once], np.array(right, np.int64)[once]
+        doc, at, left, right = doc[once], at[once], left[once], right[once]
         begin, end = np.maximum(left, at - width + 1), np.minimum(right, at + width - 1) + 1
         ctx = mix(content(begin, end) ^ (at - begin).astype(np.uint64))
         key = g[at] & ~np.uint64(3) | np.uint64(f & 3)
@@ -373,37 +423,83 @@ def in_step(mine_of: np.ndarray, its_of: np.ndarray, other_of: np.ndarray, hit:
     return compared
 
 
+def split(places: np.ndarray, gap: int) -> list[np.ndarray]:
+    """Ascending places, cut where the next is more than ``gap`` away."""
+    cuts = [0, *(np.flatnonzero(places[1:] - places[:-1] > gap) + 1).tolist(), len(places)]
+    return [places[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+
+
 def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list[tuple[int, int, int, int, float]]:
     """(start, stop, start in b, stop in b, similarity) of passages of shingles ``a`` that recur in ``b``.
 
     A shingle that occurs at its place plus ``shift`` in b is taken there, others where they first occur.
     """
-    kinds, code = np.unique(np.concatenate((a, b)), return_inverse=True)
+    found = matching_pairs(a, np.array([0, len(a)]), b, np.array([0, len(b)]), width, np.array([shift]))
+    return [x for _, spans in found for x in spans]
+
+
+def matching_pairs(a: np.ndarray, bounds: np.ndarray, b: np.ndarray, r_bounds: np.ndarray, width: int, shift: np.ndarray):
+    """(number, ``matching_spans``) of the pairs a[bounds[k]:bounds[k + 1]], b[r_bounds[k]:r_bounds[k + 1]] that may have any.
+
+    What recurs where is found for all pairs at once; of several pairs shingles have ``CODE`` bytes.
+    """
+    pairs = len(shift)
+    assert pairs <= 1 << 64 - 8 * CODE
+    row, r_row = np.repeat(np.arange(pairs), np.diff(bounds)), np.repeat(np.arange(pairs), np.diff(r_bounds))
+    wide = np.concatenate((row, r_row)).astype(np.uint64) << np.uint64(8 * CODE)
+    kinds, code = np.unique(np.concatenate((a, b)) | wide, return_inverse=True)
     mine_of, its_of = code[: len(a)], code[len(a):]
-    first_in = np.full(len(kinds), -1)
+    first_in, first_of = np.full(len(kinds), -1), np.full(len(kinds), -1)
     first_in[its_of[::-1]] = np.arange(len(b) - 1, -1, -1)
+    first_of[mine_of[::-1]] = np.arange(len(a) - 1, -1, -1)
     other_of = first_in[mine_of]
     hit = other_of >= 0
-    other_of[~hit] = 0
-    straight = np.arange(len(a)) + shift
-    inside = (straight >= 0) & (straight < len(b))
-    inside[inside] = b[straight[inside]] == a[inside]
+    place, at, to = np.arange(len(a)) - bounds[row], r_bounds[row], shift[row]
+    other_of = np.where(hit, other_of - at, -1)
+    straight = place + to
+    inside = (straight >= 0) & (straight < np.diff(r_bounds)[row])
+    inside[inside] = its_of[(straight + at)[inside]] == mine_of[inside]
     other_of[inside] = straight[inside]
-    near_hit = hit & (np.abs(other_of - np.arange(len(a)) - shift) <= SLACK)  # not its repeats elsewhere in b
+    near_hit = hit & (np.abs(other_of - straight) <= SLACK)  # not its repeats elsewhere in b
+    again = np.zeros(pairs, bool)  # pairs in which a shingle repeats on a side
+    again[row[first_of[mine_of] != np.arange(len(a))]] = True
+    again[r_row[first_in[its_of] != np.arange(len(b))]] = True
+    # only pairs with enough in common, in a part of the least width without large gaps
+    where = np.flatnonzero(hit)
+    enough = np.bincount(row[where], minlength=pairs) >= width * SIMILARITY
+    opens = np.flatnonzero(np.concatenate((np.ones(min(1, len(where)), bool), (where[1:] - where[:-1] > 3 * SHINGLE) | (row[where][1:] != row[where][:-1]))))
+    closes = np.concatenate((opens[1:], np.full(min(1, len(where)), len(where)))) - 1
+    parted = np.zeros(pairs, bool)
+    parted[row[where[opens]][where[closes] - where[opens] + 1 >= width]] = True
+    base = np.searchsorted(kinds, np.arange(pairs).astype(np.uint64) << np.uint64(8 * CODE))
+    for k in np.flatnonzero(enough & parted).tolist():
+        i, j, r_i, r_j = int(bounds[k]), int(bounds[k + 1]), int(r_bounds[k]), int(r_bounds[k + 1])
+        spans = _spans(mine_of[i:j] - base[k], its_of[r_i:r_j] - base[k], other_of[i:j], hit[i:j], near_hit[i:j], inside[i:j], not again[k], width, int(shift[k]))
+        if spans:
+            yield k, spans
+
+
+def _spans(mine_of, its_of, other_of, hit, near_hit, inside, once: bool, width: int, shift: int) -> list[tuple[int, int, int, int, float]]:
+    """``matching_spans`` of shingles numbered by kind; ``once``: none repeats in a or in b."""
     places = np.flatnonzero(hit)
-    if len(places) < width * SIMILARITY:
-        return []
+    kinds = 0 if once else int(max(mine_of.max(), its_of.max())) + 1
 
     def compared(s, e):
-        """(start, stop, similarity) of a[s:e]'s counterpart in b."""
+        """(start, stop, similarity) of a[s:e]'s counterpart in b; what is too short counts as unlike."""
         near = other_of[s:e][near_hit[s:e]]
         t, w = (int(near.min()), int(near.max()) + 1) if len(near) else (0, 0)
+        if w - t < width * SIMILARITY:
+            return t, w, 0.0
         if (t, w) == (s + shift, e + shift) and inside[s:e].all():
             return t, w, 1.0  # word for word
-        mine, its = np.zeros(len(kinds), bool), np.zeros(len(kinds), bool)
+        if once:
+            both = np.count_nonzero((other_of[s:e] >= t) & (other_of[s:e] < w))
+            return t, w, both / (e - s + w - t - both)
+        mine, its = np.zeros(kinds, bool), np.zeros(kinds, bool)
         mine[mine_of[s:e]] = True
         its[its_of[t:w]] = True
-        return t, w, np.count_nonzero(mine & its) / max(1, np.count_nonzero(mine | its))
+        both = np.count_nonzero(mine & its)
+        return t, w, both / (np.count_nonzero(mine) + np.count_nonzero(its) - both)
 
     def counts(t, w, share):
         return share >= SIMILARITY and w - t >= width * SIMILARITY
@@ -412,7 +508,7 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
     for gap in (3 * SHINGLE, 2 * SHINGLE, SHINGLE + 1, 1):
         rest = []
         for p in todo:
-            for part in np.split(p, np.flatnonzero(np.diff(p) > gap) + 1):
+            for part in split(p, gap):
                 if not len(part) or part[-1] - part[0] + 1 < width:
                     continue
                 s, e = int(part[0]), int(part[-1]) + 1
@@ -428,7 +524,7 @@ def matching_spans(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> list
     for part in weak:
         first, last = int(part[0]), int(part[-1]) + 1
         rich = first + np.flatnonzero(total[first + width:last + 1] - total[first:last + 1 - width] >= width * SIMILARITY)
-        todo = [r for r in np.split(rich, np.flatnonzero(np.diff(rich) > 1) + 1) if len(r)]
+        todo = split(rich, 1) if len(rich) else []
         quick = in_step(mine_of, its_of, other_of, hit, near_hit, first, last) if todo else None
         known = list(spans)  # a stretch never lies in one found below: those of a part go from right to left
         while todo:
@@ -489,17 +585,14 @@ def verified(rows: DataFrame, runs: DataFrame, ws: Workspace, width: int, name:
     pairs = pairs.select("ord", "u", "s", "r_ord", "r_u", "r_s", (F.col("s") - F.col("shift") - F.col("r_s")).alias("d"), "codes", "r_codes")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in by_bytes(batches, 7):
+        for b in by_bytes(batches, 7, 1 << 20):
             mine, bounds = decoded(b.column(7))
             its, r_bounds = decoded(b.column(8))
             heads = [b.column(k).to_numpy() for k in range(7)]
             out = []
-            for k in range(b.num_rows):
-                x, y = mine[bounds[k]:bounds[k + 1]], its[r_bounds[k]:r_bounds[k + 1]]
-                if not len(x) or not len(y):
-                    continue
-                o, u, s, ro, ru, rs, d = (int(h[k]) for h in heads)
-                out += [(o, u, s + p, s + q + SHINGLE - 1, ro, ru, rs + t, rs + w + SHINGLE - 1, z) for p, q, t, w, z in matching_spans(x, y, width, d)]
+            for k, found in matching_pairs(mine, bounds, its, r_bounds, width, heads[6]):
+                o, u, s, ro, ru, rs, _ = (int(h[k]) for h in heads)
+                out += [(o, u, s + p, s + q + SHINGLE - 1, ro, ru, rs + t, rs + w + SHINGLE - 1, z) for p, q, t, w, z in found]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=[x.split()[0] for x in SPAN.split(", ")])
 

@@ -6,7 +6,9 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -426,6 +428,60 @@ def test_running_counts_compare_as_sets_do():
     assert substring.in_step(x, x, x, np.ones(60, bool), x > 9, 0, 60) is None  # recurs far away
 
 
+def test_words_are_hashed_together_as_xxh64_does_one_by_one(monkeypatch):
+    one, single = xxhash.xxh64_intdigest, []
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda w: single.append(len(w)) or one(w))
+    rng = random.Random(5)
+    parts = ["a", "é", "漢", "😀", "\x00", "\x1c", "\x85", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "0123456789abcdef"]
+    texts = ["", "touching", "texts ", " ", None, "", *["".join(rng.choices(parts, k=60)) for _ in range(200)], " ".join("q" * n for n in range(70))]
+    for column in (pa.array(texts, pa.string()), pa.array(texts, pa.string()).slice(1), pa.array([], pa.string()), pa.array([None, ""], pa.string())):
+        hashes, bounds = substring.word_hashes(column)
+        want = [[one(w) for w in re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in column.to_pylist()]
+        assert [hashes[i:j].tolist() for i, j in zip(bounds, bounds[1:], strict=False)] == want
+    assert single and min(single) >= 32  # only long words go one by one
+
+
+@pytest.mark.parametrize("kinds", [2, 9, 1 << 60])
+def test_reaches_walk_as_a_stack_does(kinds):
+    rng = np.random.default_rng(kinds)
+    for n in (0, 1, 2, 50, 300):
+        for arranged in (np.asarray, np.sort, lambda x: np.sort(x)[::-1]):
+            g, text = arranged(rng.integers(1, kinds, n).astype(np.uint64)), np.sort(rng.integers(0, 3, n))
+            at = np.arange(n) * 3 + 100 * text
+            first, last = (np.array([pick(at[text == t]) + more for t in text], np.int64) for pick, more in ((min, -1), (max, 1)))
+            want = []
+            for k in range(n):
+                i, j = k - 1, k + 1
+                while i >= 0 and text[i] == text[k] and g[i] > g[k]:
+                    i -= 1
+                while j < n and text[j] == text[k] and g[j] >= g[k]:
+                    j += 1
+                want.append((at[i] + 1 if i >= 0 and text[i] == text[k] else first[k], at[j] - 1 if j < n and text[j] == text[k] else last[k]))
+            assert list(zip(*reaches(g, at, first, last), strict=True)) == want
+
+
+def test_pairs_compared_together_equal_pairs_compared_as_sets():
+    rng = np.random.default_rng(13)
+    pairs = []
+    for _ in range(200):
+        kinds = int(rng.choice([40, 400, 1 << 40]))  # few kinds: shingles repeat
+        a, b = (rng.integers(0, kinds, int(rng.integers(0, 200)), dtype=np.uint64) for _ in range(2))
+        shift = int(rng.integers(-20, 21))
+        for p in np.flatnonzero(rng.random(len(a)) < rng.choice([0.5, 0.9, 0.97, 1])):
+            if 0 <= p + shift < len(b):
+                b[p + shift] = a[p]
+        pairs.append((a, b, shift))
+    bounds, r_bounds = (np.cumsum([0, *(len(p[k]) for p in pairs)]) for k in (0, 1))
+    shifts = np.array([p[2] for p in pairs])
+    together = dict(substring.matching_pairs(np.concatenate([p[0] for p in pairs]), bounds, np.concatenate([p[1] for p in pairs]), r_bounds, 46, shifts))
+    assert {k: v for k, p in enumerate(pairs) if (v := matching_spans(p[0], p[1], 46, p[2]))} == together
+    assert 30 < len(together) < 190
+    for k, spans in together.items():
+        for s, e, t, w, share in spans:
+            x, y = set(pairs[k][0][s:e].tolist()), set(pairs[k][1][t:w].tolist())
+            assert e - s >= 46 and share == len(x & y) / len(x | y) >= 0.8
+
+
 def test_whole_copies_are_told_by_content_not_by_one_hash(spark):
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(["a " * 60, "a " * 60, "b " * 60, None, ""])], "doc_id long, text string")
     _, named = substring.prepared(docs, Workspace(spark, "t"), "doc_id", "text")
